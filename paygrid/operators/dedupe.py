@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +59,12 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     ``monotonically_increasing_id`` (partition index in the high bits, position
     in the low bits) and shifted by the number of rows in earlier partitions.
     Same ids as ``row_number() over (order by key)``, without the single task.
+
+    The numbered frame is persisted: range bounds come from sampling, so the
+    count branch and the id branch must read the very same partitions (two
+    independent exchanges may sample different bounds). A lost cached block is
+    recomputed from the same exchange (same bounds, same total order inside),
+    so ids stay stable when executors are lost.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -65,6 +72,7 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: cumulative offsets over at most n rows.
     offsets = counts.select(

@@ -270,3 +270,14 @@ class Migration:
             out = out.unionByName(p)
         out = out.withColumn("mensagem_erro", F.coalesce("mensagem_erro", F.lit(MSG_DEFAULT)))
         return out if with_payload else out.drop("payload_origem")
+
+
+def _consolidado(m: Migration) -> DataFrame:
+    from paygrid.operators import reconcile as R
+
+    c = R.consolidate(m.contracheque_full, m.item, ["id_contracheque"])
+    return surrogate_keys(c, ["id_contracheque"], "id_contracheque_consolidado")
+
+
+Migration.consolidado = cached_property(_consolidado)
+Migration.consolidado.__set_name__(Migration, "consolidado")

@@ -107,3 +107,88 @@ SELECT {O.KEY4},
 FROM b_item GROUP BY ALL""")
 def q_item_totals(spark, sf_dir):
     return R.item_totals(E.itens(wide(spark, sf_dir)), E.PAYSLIP_KEY)
+
+
+# --- 2.D / 2.F: resolved model ------------------------------------------------------
+
+CC_COLS = ["id_contracheque", "id_vinculo", "id_folha_referencia", "mes_ano", "numero",
+           "folha_descricao_origem", "competencia", "bruto", "descontos", "liquido",
+           "data_consolidacao", "dt_lib_c_cheque", "ano", "mes", "hash_origem"]
+
+
+@register("surrogate_keys", "SELECT id_servidor, numfunc, cpf, nome, pis_pasep, identidade FROM t_servidor")
+def q_surrogate_keys(spark, sf_dir):
+    return migration(spark, sf_dir).servidor.drop("updated_at")
+
+
+@register("folha_ids", "SELECT * EXCLUDE (src_order) FROM t_folha")
+def q_folha_ids(spark, sf_dir):
+    return migration(spark, sf_dir).folha.drop("src_order")
+
+
+@register("rubrica_ids", "SELECT * FROM t_rubrica")
+def q_rubrica_ids(spark, sf_dir):
+    return migration(spark, sf_dir).rubrica.drop("updated_at")
+
+
+@register("vinculo_resolve", """
+SELECT id_vinculo, id_servidor, numvinc, id_funcional, regime_juridico, tipo_vinculo, ativo FROM t_vinculo""")
+def q_vinculo_resolve(spark, sf_dir):
+    return migration(spark, sf_dir).vinculo.select(
+        "id_vinculo", "id_servidor", "numvinc", "id_funcional", "regime_juridico", "tipo_vinculo", "ativo")
+
+
+@register("vinculo_rejects", "SELECT * FROM t_errors WHERE entidade = 'servidor_vinculo'")
+def q_vinculo_rejects(spark, sf_dir):
+    return migration(spark, sf_dir).vinculo_rejects.drop("payload_origem")
+
+
+@register("contracheque_folha_map", f"""
+SELECT {O.KEY4}, id_folha_por_descricao, id_folha_por_mes, id_folha_referencia,
+  CASE WHEN id_folha_por_descricao IS NOT NULL THEN 'DESCRICAO'
+       WHEN id_folha_por_mes IS NOT NULL THEN 'FALLBACK' ELSE 'NAO_MAPEADO' END AS forma_mapeamento
+FROM c_tag""")
+def q_contracheque_folha_map(spark, sf_dir):
+    m = migration(spark, sf_dir)
+    x = m.contracheque_tagged
+    return x.select(*E.PAYSLIP_KEY, "id_folha_por_descricao", "id_folha_por_mes", "id_folha_referencia",
+                    F.when(F.col("id_folha_por_descricao").isNotNull(), "DESCRICAO")
+                    .when(F.col("id_folha_por_mes").isNotNull(), "FALLBACK")
+                    .otherwise("NAO_MAPEADO").alias("forma_mapeamento"))
+
+
+@register("contracheque_resolve", f"SELECT {', '.join(CC_COLS)} FROM t_cc")
+def q_contracheque_resolve(spark, sf_dir):
+    return migration(spark, sf_dir).contracheque.drop("updated_at")
+
+
+@register("snapshot_resolve", "SELECT * FROM t_snapshot")
+def q_snapshot_resolve(spark, sf_dir):
+    return migration(spark, sf_dir).snapshot
+
+
+@register("item_resolve", "SELECT * FROM t_item")
+def q_item_resolve(spark, sf_dir):
+    return migration(spark, sf_dir).item
+
+
+@register("consolidado", "SELECT * FROM t_consolidado")
+def q_consolidado(spark, sf_dir):
+    return migration(spark, sf_dir).consolidado
+
+
+@register("load_errors", "SELECT * FROM t_errors")
+def q_load_errors(spark, sf_dir):
+    return migration(spark, sf_dir).rejects(with_payload=False)
+
+
+@register("key_lookup", """
+SELECT DISTINCT k.numfunc, k.numvinc, v.id_servidor, v.id_vinculo
+FROM (SELECT DISTINCT numfunc, numvinc FROM b_contracheque) k
+JOIN t_vinculo v USING (numfunc, numvinc)""")
+def q_key_lookup(spark, sf_dir):
+    """Distinct link keys of the payslips -> stored ids (inner join, no IN blocks)."""
+    m = migration(spark, sf_dir)
+    keys = m.contracheque_src.select("numfunc", "numvinc").distinct()
+    return keys.join(m.vinculo.select("numfunc", "numvinc", "id_servidor", "id_vinculo"),
+                     ["numfunc", "numvinc"], "inner")

@@ -225,3 +225,86 @@ def sql(final: str) -> str:
     order = _deps(used)
     body = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
     return f"WITH {body}\n{final}" if order else final
+
+
+# --- resolved model: ids, reject splits, folha mapping ----------------------------
+
+cte("t_servidor", "SELECT row_number() OVER (ORDER BY numfunc) AS id_servidor, * FROM b_servidor", ["b_servidor"])
+cte("t_folha", "SELECT row_number() OVER (ORDER BY mes_ano_folha, num_folha) AS id_folha_referencia, * FROM b_folha",
+    ["b_folha"])
+cte("t_rubrica", "SELECT row_number() OVER (ORDER BY codigo_rubrica) AS id_rubrica, * FROM b_rubrica", ["b_rubrica"])
+cte("v_tag", """
+SELECT v.*, s.id_servidor,
+  CASE WHEN s.id_servidor IS NULL THEN 'Servidor nao encontrado para o vinculo.' END AS _erro
+FROM b_vinculo v LEFT JOIN t_servidor s USING (numfunc)""", ["b_vinculo", "t_servidor"])
+cte("t_vinculo", """
+SELECT row_number() OVER (ORDER BY id_servidor, numvinc) AS id_vinculo, * EXCLUDE (_erro)
+FROM v_tag WHERE _erro IS NULL""", ["v_tag"])
+cte("f_desc", f"""
+SELECT mes_ano_folha AS fd_mes, {folha_desc_sql('descricao_folha')} AS fd_desc, id_folha_referencia AS fd_id
+FROM t_folha
+QUALIFY row_number() OVER (PARTITION BY mes_ano_folha, {folha_desc_sql('descricao_folha')} ORDER BY src_order DESC) = 1""",
+    ["t_folha"])
+cte("f_mes", """
+SELECT mes_ano_folha AS fm_mes, min(id_folha_referencia) AS fm_id FROM t_folha
+GROUP BY mes_ano_folha HAVING count(DISTINCT id_folha_referencia) = 1""", ["t_folha"])
+cte("c_tag", f"""
+SELECT c.*, v.id_servidor, v.id_vinculo, fd.fd_id AS id_folha_por_descricao, fm.fm_id AS id_folha_por_mes,
+  coalesce(fd.fd_id, fm.fm_id) AS id_folha_referencia,
+  CASE WHEN v.id_vinculo IS NULL THEN 'Vinculo nao encontrado para o contracheque.'
+       WHEN coalesce(fd.fd_id, fm.fm_id) IS NULL THEN 'Folha de referencia nao encontrada para o contracheque.'
+  END AS _erro
+FROM b_contracheque c
+LEFT JOIN t_vinculo v USING (numfunc, numvinc)
+LEFT JOIN f_desc fd ON c.mes_ano = fd.fd_mes AND {folha_desc_sql('c.folha_descricao_origem')} IS NOT DISTINCT FROM fd.fd_desc
+LEFT JOIN f_mes fm ON c.mes_ano = fm.fm_mes""", ["b_contracheque", "t_vinculo", "f_desc", "f_mes"])
+cte("t_cc", """
+SELECT row_number() OVER (ORDER BY id_vinculo, mes_ano, numero) AS id_contracheque, * EXCLUDE (_erro)
+FROM c_tag WHERE _erro IS NULL""", ["c_tag"])
+
+
+def _child_tag(src: str, msg_link: str, msg_cc: str) -> str:
+    return f"""
+SELECT x.*, cc.id_contracheque,
+  CASE WHEN v.id_vinculo IS NULL THEN '{msg_link}' WHEN cc.id_contracheque IS NULL THEN '{msg_cc}' END AS _erro
+FROM {src} x
+LEFT JOIN (SELECT numfunc, numvinc, id_vinculo FROM t_vinculo) v USING (numfunc, numvinc)
+LEFT JOIN (SELECT {KEY4}, id_contracheque FROM t_cc) cc USING ({KEY4})"""
+
+
+cte("s_tag", _child_tag("b_snapshot", "Vinculo nao encontrado para snapshot.",
+                        "Contracheque nao encontrado para snapshot."), ["b_snapshot", "t_vinculo", "t_cc"])
+cte("i_tag", _child_tag("b_item", "Vinculo nao encontrado para item.",
+                        "Contracheque nao encontrado para item."), ["b_item", "t_vinculo", "t_cc"])
+cte("t_snapshot", """
+SELECT row_number() OVER (ORDER BY id_contracheque) AS id_snapshot, id_contracheque, orgao, cargo, ref_cargo,
+  funcao, ref_funcao, municipio, setor, regime_juridico, tipo_vinculo, banco, agencia, conta, carga_horaria
+FROM s_tag WHERE _erro IS NULL""", ["s_tag"])
+cte("t_item", """
+SELECT row_number() OVER (ORDER BY i.id_contracheque, i.sequencia_item) AS id_contracheque_item,
+  i.id_contracheque, r.id_rubrica, i.sequencia_item, i.codigo_rubrica_origem, i.nome_rubrica_origem,
+  i.tipo_rubrica_origem, i.complemento, i.info, i.valor_vantagem, i.valor_desconto, i.valor_auxiliar,
+  i.valor_total_item, i.item_hash
+FROM i_tag i LEFT JOIN t_rubrica r ON i.codigo_rubrica_origem = r.codigo_rubrica
+WHERE i._erro IS NULL""", ["i_tag", "t_rubrica"])
+cte("t_consolidado", f"""
+SELECT row_number() OVER (ORDER BY c.id_contracheque) AS id_contracheque_consolidado, c.id_contracheque,
+  CAST(coalesce(t.sv, 0) + coalesce(t.sa, 0) AS DECIMAL(15,2)) AS total_vantagens,
+  CAST(coalesce(t.sd, 0) AS DECIMAL(15,2)) AS total_descontos_itens,
+  CAST(coalesce(t.n, 0) AS INTEGER) AS total_itens,
+  CAST(coalesce(c.bruto, 0) - (coalesce(t.sv, 0) + coalesce(t.sa, 0)) AS DECIMAL(15,2)) AS divergencia_bruto,
+  CAST(coalesce(c.descontos, 0) - coalesce(t.sd, 0) AS DECIMAL(15,2)) AS divergencia_descontos,
+  CAST(coalesce(c.liquido, 0) - (coalesce(t.sv, 0) + coalesce(t.sa, 0) - coalesce(t.sd, 0)) AS DECIMAL(15,2)) AS divergencia_liquido
+FROM t_cc c
+LEFT JOIN (SELECT id_contracheque, sum(valor_vantagem) AS sv, sum(valor_auxiliar) AS sa, sum(valor_desconto) AS sd,
+                  count(*) AS n FROM t_item GROUP BY id_contracheque) t USING (id_contracheque)""", ["t_cc", "t_item"])
+cte("t_errors", f"""
+SELECT 'servidor_vinculo' AS entidade, CAST(numfunc AS VARCHAR) || ':' || CAST(numvinc AS VARCHAR) AS chave_origem,
+       _erro AS mensagem_erro FROM v_tag WHERE _erro IS NOT NULL
+UNION ALL
+SELECT 'contracheque', concat_ws(':', numfunc, numvinc, mes_ano, numero), _erro FROM c_tag WHERE _erro IS NOT NULL
+UNION ALL
+SELECT 'contracheque_snapshot_funcional', concat_ws(':', numfunc, numvinc, mes_ano, numero), _erro
+FROM s_tag WHERE _erro IS NOT NULL
+UNION ALL
+SELECT 'contracheque_item', item_hash, _erro FROM i_tag WHERE _erro IS NOT NULL""", ["v_tag", "c_tag", "s_tag", "i_tag"])
