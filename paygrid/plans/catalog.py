@@ -192,3 +192,140 @@ def q_key_lookup(spark, sf_dir):
     keys = m.contracheque_src.select("numfunc", "numvinc").distinct()
     return keys.join(m.vinculo.select("numfunc", "numvinc", "id_servidor", "id_vinculo"),
                      ["numfunc", "numvinc"], "inner")
+
+
+# --- 2.E / 2.G: validation metrics ----------------------------------------------------
+
+from paygrid.operators import quality as Q  # noqa: E402
+
+
+class Validation:
+    """Inputs of the validation run: B2-B8 frames over the whole source."""
+
+    def __init__(self, spark, sf_dir):
+        self.w = wide(spark, sf_dir)
+        self.folhas = E.folhas(E.normalize_folhas(T.payroll_folhas(spark, sf_dir)))
+        self.contracheques = E.contracheques(self.w)
+        self.itens = E.itens(self.w)
+
+    def status(self):
+        return Q.mapping_status(self.contracheques, self.folhas)
+
+    def summary(self):
+        return Q.mapping_summary(self.status())
+
+    def rubricas(self):
+        return Q.rubrica_quality(self.w, self.itens)
+
+    def entities(self):
+        return Q.entity_counts(E.servidores(self.w), E.vinculos(self.w), E.rubricas(self.w), self.contracheques)
+
+
+SUMMARY_COLS = ["total_contracheques", "mapeados_por_descricao", "mapeados_por_fallback", "nao_mapeados",
+                "taxa_sucesso", "taxa_fallback", "taxa_erro"]
+RUBQ_COLS = ["rubricas_distintas", "rubricas_nulas", "nomes_rubrica_vazios"]
+ENT_COLS = ["servidores_unicos", "vinculos_unicos", "rubricas_unicas", "contracheques_unicos"]
+
+
+@register("mapping_summary", "SELECT * FROM q_summary")
+def q_mapping_summary(spark, sf_dir):
+    return Validation(spark, sf_dir).summary()
+
+
+@register("mapping_failures_top50", f"""
+SELECT {O.KEY4}, folha_descricao_origem FROM q_status WHERE forma_mapeamento = 'NAO_MAPEADO'
+ORDER BY {O.KEY4} LIMIT 50""")
+def q_mapping_failures(spark, sf_dir):
+    return Q.mapping_failures(Validation(spark, sf_dir).status())
+
+
+@register("entity_counts", "SELECT * FROM q_entities")
+def q_entity_counts(spark, sf_dir):
+    return Validation(spark, sf_dir).entities()
+
+
+@register("sem_vinculo", f"""
+SELECT {O.KEY4} FROM b_contracheque c
+WHERE NOT EXISTS (SELECT 1 FROM t_vinculo v WHERE v.numfunc = c.numfunc AND v.numvinc = c.numvinc)""")
+def q_sem_vinculo(spark, sf_dir):
+    m = migration(spark, sf_dir)
+    return Q.sem_vinculo(m.contracheque_src, m.vinculo)
+
+
+@register("rubrica_quality", "SELECT * FROM q_rubq")
+def q_rubrica_quality(spark, sf_dir):
+    return Validation(spark, sf_dir).rubricas()
+
+
+@register("rubrica_nula_top50", f"""
+SELECT {O.KEY4}, codigo_rubrica_origem, nome_rubrica_origem FROM b_item WHERE codigo_rubrica_origem IS NULL
+ORDER BY {O.KEY4}, item_hash LIMIT 50""")
+def q_rubrica_nula_top50(spark, sf_dir):
+    return Q.rubrica_null_examples(Validation(spark, sf_dir).itens)
+
+
+@register("contracheques_por_mes", "SELECT mes_ano, count(*) AS quantidade FROM b_contracheque GROUP BY 1 ORDER BY 1")
+def q_contracheques_por_mes(spark, sf_dir):
+    return Q.contracheques_por_mes(Validation(spark, sf_dir).contracheques)
+
+
+@register("media_itens", "SELECT * FROM q_media")
+def q_media_itens(spark, sf_dir):
+    return Q.media_itens(Validation(spark, sf_dir).itens)
+
+
+@register("folha_month_profile", """
+SELECT count(*) AS total_meses, count(*) FILTER (WHERE quantidade_folhas = 1) AS meses_folha_unica,
+       count(*) FILTER (WHERE quantidade_folhas > 1) AS meses_multiplas_folhas FROM q_fmonths""")
+def q_folha_month_profile(spark, sf_dir):
+    return Q.folha_month_profile(Validation(spark, sf_dir).folhas)
+
+
+@register("folha_multi_months", """
+SELECT mes_ano, quantidade_folhas, array_to_string(num_folhas, '|') AS num_folhas,
+       array_to_string(descricoes, '|') AS descricoes
+FROM q_fmonths WHERE quantidade_folhas > 1 ORDER BY mes_ano""")
+def q_folha_multi_months(spark, sf_dir):
+    x = Q.folha_multi_months(Validation(spark, sf_dir).folhas)
+    return x.select("mes_ano", "quantidade_folhas",
+                    F.array_join(F.col("num_folhas").cast("array<string>"), "|").alias("num_folhas"),
+                    F.array_join("descricoes", "|").alias("descricoes"))
+
+
+@register("folhas_por_mes", "SELECT mes_ano_folha, count(*) AS quantidade FROM b_folha GROUP BY 1")
+def q_folhas_por_mes(spark, sf_dir):
+    return Q.folhas_por_mes(Validation(spark, sf_dir).folhas)
+
+
+@register("dry_run_counts", """
+SELECT 'servidor' AS entidade, count(*) AS quantidade FROM b_servidor
+UNION ALL SELECT 'servidor_vinculo', count(*) FROM b_vinculo
+UNION ALL SELECT 'rubrica', count(*) FROM b_rubrica
+UNION ALL SELECT 'contracheque', count(*) FROM b_contracheque
+UNION ALL SELECT 'contracheque_snapshot_funcional', count(*) FROM b_snapshot
+UNION ALL SELECT 'contracheque_item', count(*) FROM b_item""")
+def q_dry_run_counts(spark, sf_dir):
+    w = wide(spark, sf_dir)
+    return Q.dry_run_counts({
+        "servidor": E.servidores(w), "servidor_vinculo": E.vinculos(w), "rubrica": E.rubricas(w),
+        "contracheque": E.contracheques(w), "contracheque_snapshot_funcional": E.snapshots(w),
+        "contracheque_item": E.itens(w)})
+
+
+@register("validation_alerts", "SELECT * FROM q_alerts")
+def q_validation_alerts(spark, sf_dir):
+    v = Validation(spark, sf_dir)
+    return Q.validation_alerts(v.summary(), v.rubricas())
+
+
+@register("validation_report", "\nUNION ALL\n".join([
+    O.long_sql("mapeamento", "q_summary", SUMMARY_COLS),
+    O.long_sql("servidor_vinculo", "q_entities", ENT_COLS),
+    O.long_sql("rubrica", "q_rubq", RUBQ_COLS),
+    O.long_sql("distribuicao", "q_media", ["media_itens_por_contracheque"]),
+]))
+def q_validation_report(spark, sf_dir):
+    v = Validation(spark, sf_dir)
+    return Q.validation_report({
+        "mapeamento": v.summary(), "servidor_vinculo": v.entities(), "rubrica": v.rubricas(),
+        "distribuicao": Q.media_itens(v.itens)})

@@ -308,3 +308,67 @@ SELECT 'contracheque_snapshot_funcional', concat_ws(':', numfunc, numvinc, mes_a
 FROM s_tag WHERE _erro IS NOT NULL
 UNION ALL
 SELECT 'contracheque_item', item_hash, _erro FROM i_tag WHERE _erro IS NOT NULL""", ["v_tag", "c_tag", "s_tag", "i_tag"])
+
+
+# --- validation metrics -----------------------------------------------------------
+
+
+def percent_sql(v: str, t: str) -> str:
+    return (f"CAST(CASE WHEN {t} = 0 THEN 0 ELSE round_even(CAST({v} AS DECIMAL(38,10)) * 100 "
+            f"/ CAST({t} AS DECIMAL(38,10)), 2) END AS DECIMAL(7,2))")
+
+
+cte("q_status", f"""
+SELECT c.*, CASE WHEN d.fd_mes IS NOT NULL THEN 'DESCRICAO' WHEN m.fm_runs = 1 THEN 'FALLBACK'
+                 ELSE 'NAO_MAPEADO' END AS forma_mapeamento
+FROM b_contracheque c
+LEFT JOIN (SELECT DISTINCT mes_ano_folha AS fd_mes, {folha_desc_sql('descricao_folha')} AS fd_desc FROM b_folha) d
+  ON c.mes_ano = d.fd_mes AND {folha_desc_sql('c.folha_descricao_origem')} IS NOT DISTINCT FROM d.fd_desc
+LEFT JOIN (SELECT mes_ano_folha AS fm_mes, count(*) AS fm_runs FROM b_folha GROUP BY 1) m ON c.mes_ano = m.fm_mes
+""", ["b_contracheque", "b_folha"])
+
+cte("q_summary", f"""
+SELECT total_contracheques, mapeados_por_descricao, mapeados_por_fallback, nao_mapeados,
+  {percent_sql('mapeados_por_descricao + mapeados_por_fallback', 'total_contracheques')} AS taxa_sucesso,
+  {percent_sql('mapeados_por_fallback', 'total_contracheques')} AS taxa_fallback,
+  {percent_sql('nao_mapeados', 'total_contracheques')} AS taxa_erro
+FROM (SELECT count(*) AS total_contracheques,
+        count(*) FILTER (WHERE forma_mapeamento = 'DESCRICAO') AS mapeados_por_descricao,
+        count(*) FILTER (WHERE forma_mapeamento = 'FALLBACK') AS mapeados_por_fallback,
+        count(*) FILTER (WHERE forma_mapeamento = 'NAO_MAPEADO') AS nao_mapeados
+      FROM q_status) s""", ["q_status"])
+
+cte("q_rubq", """
+SELECT
+  (SELECT count(*) FROM (SELECT rubrica FROM wn WHERE rubrica IS NOT NULL GROUP BY rubrica
+                         HAVING count(nome_rubrica) > 0)) AS rubricas_distintas,
+  (SELECT count(*) FROM b_item WHERE codigo_rubrica_origem IS NULL) AS rubricas_nulas,
+  (SELECT count(*) FROM (SELECT rubrica FROM wn WHERE rubrica IS NOT NULL GROUP BY rubrica
+                         HAVING count(*) FILTER (WHERE nome_rubrica IS NULL) > 0)) AS nomes_rubrica_vazios""",
+    ["wn", "b_item"])
+
+cte("q_entities", """
+SELECT (SELECT count(*) FROM b_servidor) AS servidores_unicos, (SELECT count(*) FROM b_vinculo) AS vinculos_unicos,
+       (SELECT count(*) FROM b_rubrica) AS rubricas_unicas, (SELECT count(*) FROM b_contracheque) AS contracheques_unicos""",
+    ["b_servidor", "b_vinculo", "b_rubrica", "b_contracheque"])
+
+cte("q_media", f"""
+SELECT CAST(CASE WHEN k = 0 THEN 0 ELSE round_even(CAST(n AS DECIMAL(38,10)) / k, 2) END AS DECIMAL(12,2))
+         AS media_itens_por_contracheque
+FROM (SELECT count(*) AS n, count(DISTINCT ({KEY4})) AS k FROM b_item) x""", ["b_item"])
+
+cte("q_fmonths", """
+SELECT mes_ano_folha AS mes_ano, count(*) AS quantidade_folhas,
+       list_sort(list_distinct(list(num_folha))) AS num_folhas,
+       list_sort(list_distinct(list(descricao_folha) FILTER (WHERE descricao_folha IS NOT NULL))) AS descricoes
+FROM b_folha GROUP BY 1""", ["b_folha"])
+
+cte("q_alerts", """
+SELECT s.nao_mapeados = 0 AS mapeamento_ok, s.taxa_fallback >= 10 AS fallback_alto,
+       (r.rubricas_nulas = 0 AND r.nomes_rubrica_vazios = 0) AS rubricas_consistentes
+FROM q_summary s, q_rubq r""", ["q_summary", "q_rubq"])
+
+
+def long_sql(section: str, cte_name: str, cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{section}' AS secao, '{c}' AS metrica, CAST({c} AS VARCHAR) AS valor FROM {cte_name}" for c in cols)
