@@ -329,3 +329,108 @@ def q_validation_report(spark, sf_dir):
     return Q.validation_report({
         "mapeamento": v.summary(), "servidor_vinculo": v.entities(), "rubrica": v.rubricas(),
         "distribuicao": Q.media_itens(v.itens)})
+
+
+# --- 2.D D12-D15 / 2.F F4-F5 / 2.I I11-I16: documents ------------------------------------
+
+from paygrid.operators import documents as D  # noqa: E402
+
+CAND_COLS = ["id_contracheque", "numfunc", "nome", "cpf", "pis_pasep", "identidade", "id_funcional",
+             "vinc_regime_juridico", "vinc_tipo_vinculo", "ano", "mes", "competencia", "folha_descricao_origem",
+             "dt_lib_c_cheque", "data_consolidacao", "numero", "num_folha", "descricao_folha", "orgao", "cargo",
+             "ref_cargo", "funcao", "ref_funcao", "municipio", "setor", "snap_regime_juridico",
+             "snap_tipo_vinculo", "banco", "agencia", "conta", "carga_horaria"]
+
+
+def doc_inputs(spark, sf_dir, **scope):
+    m = migration(spark, sf_dir)
+    cands = D.candidates(m.contracheque, m.vinculo, m.servidor, m.folha, m.snapshot, **scope)
+    return m, cands
+
+
+@register("cache_candidates", f"SELECT {', '.join(CAND_COLS)} FROM d_cand")
+def q_cache_candidates(spark, sf_dir):
+    return doc_inputs(spark, sf_dir)[1].select(*CAND_COLS)
+
+
+@register("cache_scope", f"SELECT {', '.join(CAND_COLS)} FROM d_cand WHERE ano = 1997 AND mes = 3")
+def q_cache_scope(spark, sf_dir):
+    """Candidates of one competência (year 1997, month 3)."""
+    return doc_inputs(spark, sf_dir, year=1997, month=3)[1].select(*CAND_COLS)
+
+
+@register("cache_candidate_count", "SELECT count(*) AS total FROM d_cand")
+def q_cache_candidate_count(spark, sf_dir):
+    return doc_inputs(spark, sf_dir)[1].agg(F.count(F.lit(1)).alias("total"))
+
+
+@register("cache_items", "SELECT * FROM d_items")
+def q_cache_items(spark, sf_dir):
+    m, c = doc_inputs(spark, sf_dir)
+    return m.item.join(c.select("id_contracheque"), "id_contracheque", "left_semi").select(
+        "id_contracheque", "codigo_rubrica_origem", "nome_rubrica_origem", "tipo_rubrica_origem",
+        "valor_vantagem", "valor_desconto", "valor_auxiliar")
+
+
+@register("item_classes", "SELECT id_contracheque, id_contracheque_item, tipo, valor FROM d_class")
+def q_item_classes(spark, sf_dir):
+    m, c = doc_inputs(spark, sf_dir)
+    items = m.item.join(c.select("id_contracheque"), "id_contracheque", "left_semi")
+    return D.classified_items(items).select("id_contracheque", "id_contracheque_item", "tipo", "valor")
+
+
+@register("folha_numero", "SELECT * FROM d_num")
+def q_folha_numero(spark, sf_dir):
+    return D.folha_numbers(doc_inputs(spark, sf_dir)[1])
+
+
+@register("cache_resumo", "SELECT * FROM d_tot")
+def q_cache_resumo(spark, sf_dir):
+    m, c = doc_inputs(spark, sf_dir)
+    items = m.item.join(c.select("id_contracheque"), "id_contracheque", "left_semi")
+    return D.document_totals(D.classified_items(items)).withColumnRenamed("total_rubricas", "total_rubricas")
+
+
+@register("folha_tipo", "SELECT id_contracheque, competencia_folha_descricao AS folha_descricao, folha_tipo FROM d_payload")
+def q_folha_tipo(spark, sf_dir):
+    m, c = doc_inputs(spark, sf_dir)
+    p = D.payloads(c, m.item)
+    return p.select("id_contracheque", F.col("contracheque.competencia.folha_descricao").alias("folha_descricao"),
+                    "folha_tipo")
+
+
+@register("cache_payload", "SELECT * FROM d_payload")
+def q_cache_payload(spark, sf_dir):
+    m, c = doc_inputs(spark, sf_dir)
+    p = D.payloads(c, m.item)
+    d = F.col("contracheque")
+    return p.select(
+        "id_contracheque", "matricula", "cpf", "ano", "mes", "folha_numero", "folha_tipo", "folha_descricao",
+        d["servidor"]["nome"].alias("nome"), d["servidor"]["regime_juridico"].alias("regime_juridico"),
+        d["servidor"]["tipo_vinculo"].alias("tipo_vinculo"), d["servidor"]["carga_horaria"].alias("carga_horaria"),
+        d["competencia"]["descricao"].alias("competencia_descricao"),
+        d["competencia"]["data_liberacao"].alias("data_liberacao"),
+        d["competencia"]["folha_descricao"].alias("competencia_folha_descricao"),
+        d["resumo"]["bruto"].alias("resumo_bruto"), d["resumo"]["descontos"].alias("resumo_descontos"),
+        d["resumo"]["liquido"].alias("resumo_liquido"),
+        F.size(d["rubricas"]).cast("int").alias("n_rubricas"))
+
+
+@register("cache_documents")
+def q_cache_documents(spark, sf_dir):
+    """Cache rows with the JSON document (checked by rows; JSON number text differs by engine)."""
+    m, c = doc_inputs(spark, sf_dir)
+    return D.to_cache_rows(D.payloads(c, m.item))
+
+
+@register("cache_summary", """
+SELECT (SELECT count(*) FROM d_cand) AS elegiveis, count(*) AS processados,
+       CAST(sum(n_rubricas) AS BIGINT) AS total_rubricas FROM d_payload""")
+def q_cache_summary(spark, sf_dir):
+    """E13 (fresh store: nothing removed, every document inserted)."""
+    m, c = doc_inputs(spark, sf_dir)
+    p = D.payloads(c, m.item)
+    u = c.select(F.lit(1).alias("e"), F.lit(0).alias("p"), F.lit(0).alias("r")).unionByName(
+        p.select(F.lit(0).alias("e"), F.lit(1).alias("p"), F.size("contracheque.rubricas").alias("r")))
+    return u.agg(F.sum("e").cast("bigint").alias("elegiveis"), F.sum("p").cast("bigint").alias("processados"),
+                 F.sum("r").cast("bigint").alias("total_rubricas"))

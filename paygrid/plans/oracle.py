@@ -372,3 +372,84 @@ FROM q_summary s, q_rubq r""", ["q_summary", "q_rubq"])
 def long_sql(section: str, cte_name: str, cols: list[str]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{section}' AS secao, '{c}' AS metrica, CAST({c} AS VARCHAR) AS valor FROM {cte_name}" for c in cols)
+
+
+# --- documents (cache) ---------------------------------------------------------------
+
+cte("d_cand", """
+SELECT c.id_contracheque, s.numfunc, s.nome, s.cpf, s.pis_pasep, s.identidade, v.id_funcional,
+  v.regime_juridico AS vinc_regime_juridico, v.tipo_vinculo AS vinc_tipo_vinculo, c.ano, c.mes,
+  c.competencia, c.folha_descricao_origem, c.dt_lib_c_cheque, c.data_consolidacao, c.numero,
+  fr.num_folha, fr.descricao_folha, csf.orgao, csf.cargo, csf.ref_cargo, csf.funcao, csf.ref_funcao,
+  csf.municipio, csf.setor, csf.regime_juridico AS snap_regime_juridico, csf.tipo_vinculo AS snap_tipo_vinculo,
+  csf.banco, csf.agencia, csf.conta, csf.carga_horaria
+FROM t_cc c
+JOIN t_vinculo v ON v.id_vinculo = c.id_vinculo
+JOIN t_servidor s ON s.id_servidor = v.id_servidor
+LEFT JOIN t_folha fr ON fr.id_folha_referencia = c.id_folha_referencia
+LEFT JOIN t_snapshot csf ON csf.id_contracheque = c.id_contracheque
+QUALIFY row_number() OVER (PARTITION BY c.id_contracheque
+                           ORDER BY s.numfunc, c.ano, c.mes, fr.num_folha NULLS LAST, c.numero) = 1""",
+    ["t_cc", "t_vinculo", "t_servidor", "t_folha", "t_snapshot"])
+
+_ORD5 = "num_folha ASC NULLS LAST, numero ASC NULLS LAST, id_contracheque"
+cte("d_num", f"""
+SELECT unnest(ids) AS id_contracheque, CAST(unnest(used) AS INTEGER) AS folha_numero FROM (
+  SELECT list(id_contracheque ORDER BY {_ORD5}) AS ids,
+    list_reduce(list([num_folha, numero, id_contracheque] ORDER BY {_ORD5}),
+      lambda acc, x: list_append(acc, coalesce(
+        list_filter(x, lambda v: v IS NOT NULL AND v > 0 AND NOT list_contains(acc, v))[1],
+        list_filter(range(greatest(900000000, x[3]), greatest(900000000, x[3]) + len(acc) + 1),
+                    lambda v: NOT list_contains(acc, v))[1])), []::BIGINT[]) AS used
+  FROM d_cand GROUP BY numfunc, ano, mes) g""", ["d_cand"])
+
+cte("d_items", """
+SELECT id_contracheque, codigo_rubrica_origem, nome_rubrica_origem, tipo_rubrica_origem,
+       valor_vantagem, valor_desconto, valor_auxiliar
+FROM t_item WHERE id_contracheque IN (SELECT id_contracheque FROM d_cand)""", ["t_item", "d_cand"])
+
+cte("d_class", """
+SELECT * FROM (
+  SELECT id_contracheque, id_contracheque_item, sequencia_item, codigo_rubrica_origem, nome_rubrica_origem,
+    CASE WHEN coalesce(valor_desconto, 0) > 0 THEN 'DESCONTO'
+         WHEN coalesce(valor_vantagem, 0) + coalesce(valor_auxiliar, 0) > 0 THEN 'VANTAGEM' END AS tipo,
+    CAST(CASE WHEN coalesce(valor_desconto, 0) > 0 THEN coalesce(valor_desconto, 0)
+              WHEN coalesce(valor_vantagem, 0) + coalesce(valor_auxiliar, 0) > 0
+              THEN coalesce(valor_vantagem, 0) + coalesce(valor_auxiliar, 0) ELSE 0 END AS DECIMAL(15,2)) AS valor
+  FROM t_item WHERE id_contracheque IN (SELECT id_contracheque FROM d_cand)) x
+WHERE tipo IS NOT NULL AND valor > 0""", ["t_item", "d_cand"])
+
+cte("d_tot", """
+SELECT id_contracheque,
+  CAST(coalesce(sum(valor) FILTER (WHERE tipo = 'VANTAGEM'), 0) AS DECIMAL(15,2)) AS bruto,
+  CAST(coalesce(sum(valor) FILTER (WHERE tipo = 'DESCONTO'), 0) AS DECIMAL(15,2)) AS descontos,
+  CAST(coalesce(sum(valor) FILTER (WHERE tipo = 'VANTAGEM'), 0) - coalesce(sum(valor) FILTER (WHERE tipo = 'DESCONTO'), 0)
+       AS DECIMAL(15,2)) AS liquido,
+  count(*) AS total_rubricas
+FROM d_class GROUP BY id_contracheque""", ["d_class"])
+
+
+def _t(c: str) -> str:
+    return f"coalesce({_strip(c)}, '')"
+
+
+FOLHA_DESC = f"coalesce({_strip('d.descricao_folha')}, {_strip('d.folha_descricao_origem')}, '')"
+cte("d_payload", f"""
+SELECT d.id_contracheque, CAST(d.numfunc AS VARCHAR) AS matricula, {_t('d.cpf')} AS cpf,
+  CAST(d.ano AS INTEGER) AS ano, CAST(d.mes AS INTEGER) AS mes, n.folha_numero,
+  {folha_tipo_sql(FOLHA_DESC)} AS folha_tipo,
+  coalesce({folha_desc_sql(FOLHA_DESC)}, {FOLHA_DESC}) AS folha_descricao,
+  {_t('d.nome')} AS nome,
+  coalesce({_strip('d.snap_regime_juridico')}, {_strip('d.vinc_regime_juridico')}, '') AS regime_juridico,
+  coalesce({_strip('d.snap_tipo_vinculo')}, {_strip('d.vinc_tipo_vinculo')}, '') AS tipo_vinculo,
+  CAST(coalesce(d.carga_horaria, 0) AS DOUBLE) AS carga_horaria,
+  coalesce({_strip('d.folha_descricao_origem')}, {_strip('d.competencia')},
+           lpad(CAST(d.mes AS VARCHAR), 2, '0') || '/' || CAST(d.ano AS VARCHAR)) AS competencia_descricao,
+  coalesce(strftime(d.dt_lib_c_cheque, '%Y-%m-%d'), '') AS data_liberacao,
+  {FOLHA_DESC} AS competencia_folha_descricao,
+  CAST(coalesce(t.bruto, 0) AS DOUBLE) AS resumo_bruto,
+  CAST(coalesce(t.descontos, 0) AS DOUBLE) AS resumo_descontos,
+  CAST(coalesce(t.bruto, 0) - coalesce(t.descontos, 0) AS DOUBLE) AS resumo_liquido,
+  CAST(coalesce(t.total_rubricas, 0) AS INTEGER) AS n_rubricas
+FROM d_cand d JOIN d_num n USING (id_contracheque) LEFT JOIN d_tot t USING (id_contracheque)""",
+    ["d_cand", "d_num", "d_tot"])
