@@ -434,3 +434,235 @@ def q_cache_summary(spark, sf_dir):
         p.select(F.lit(0).alias("e"), F.lit(1).alias("p"), F.size("contracheque.rubricas").alias("r")))
     return u.agg(F.sum("e").cast("bigint").alias("elegiveis"), F.sum("p").cast("bigint").alias("processados"),
                  F.sum("r").cast("bigint").alias("total_rubricas"))
+
+
+# --- 2.A sources and sinks ------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from paygrid.functions import normalize as N  # noqa: E402
+from paygrid.operators import sinks as S  # noqa: E402
+from paygrid.operators.dedupe import surrogate_keys  # noqa: E402
+from paygrid.sources import period as P  # noqa: E402
+
+RAW37 = list(E.CHECK_COLUMNS)
+FOLHA5 = ["MES_ANO_FOLHA", "NUM_FOLHA", "FOLHA", "DATA_CONSOLIDACAO", "DT_LIB_C_CHEQUE"]
+CUT = _dt.date(1998, 1, 1)
+
+
+@register("period_filter", """
+SELECT NUMFUNC, NUMVINC, MES_ANO, NUMERO, RUBRICA FROM w
+WHERE MES_ANO >= DATE '1996-12-01' AND MES_ANO < DATE '1997-01-01'""")
+def q_period_filter(spark, sf_dir):
+    """December window (the year rolls over at the upper bound)."""
+    w = T.payroll_checks(spark, sf_dir)
+    return P.filter_period(w, "MES_ANO", 1996, 12).select("NUMFUNC", "NUMVINC", "MES_ANO", "NUMERO", "RUBRICA")
+
+
+@register("period_range", """
+SELECT NUMFUNC, NUMVINC, MES_ANO, NUMERO, RUBRICA FROM w
+WHERE MES_ANO >= DATE '1997-02-01' AND MES_ANO < DATE '1997-03-02'""")
+def q_period_range(spark, sf_dir):
+    """A1: explicit inclusive date range wins over the month."""
+    w = T.payroll_checks(spark, sf_dir)
+    return P.filter_period(w, "MES_ANO", 1997, 2, _dt.date(1997, 2, 1), _dt.date(1997, 3, 1)).select(
+        "NUMFUNC", "NUMVINC", "MES_ANO", "NUMERO", "RUBRICA")
+
+
+@register("scan_folhas", f"""
+SELECT {', '.join(FOLHA5)} FROM fsrc WHERE MES_ANO_FOLHA >= DATE '1997-01-01' AND MES_ANO_FOLHA < DATE '1998-01-01'""")
+def q_scan_folhas(spark, sf_dir):
+    return P.scan_folhas(T.payroll_folhas(spark, sf_dir), 1997).drop("SRC_ORDER")
+
+
+@register("scan_contracheques", f"""
+SELECT {', '.join(RAW37)} FROM w WHERE MES_ANO >= DATE '1997-01-01' AND MES_ANO < DATE '1998-01-01'""")
+def q_scan_contracheques(spark, sf_dir):
+    return P.scan_contracheques(T.payroll_checks(spark, sf_dir), 1997).select(*RAW37)
+
+
+@register("source_counts", """
+SELECT (SELECT count(*) FROM fsrc WHERE MES_ANO_FOLHA >= DATE '1997-01-01' AND MES_ANO_FOLHA < DATE '1998-01-01')
+         AS qtd_folhas,
+       (SELECT count(*) FROM w WHERE MES_ANO >= DATE '1997-01-01' AND MES_ANO < DATE '1998-01-01')
+         AS qtd_linhas_contracheque""")
+def q_source_counts(spark, sf_dir):
+    return P.source_counts(T.payroll_checks(spark, sf_dir), T.payroll_folhas(spark, sf_dir), 1997)
+
+
+def _b3_sql(pred: str) -> str:
+    return (f"SELECT numfunc, cpf, nome, pis_pasep, identidade FROM wn WHERE numfunc IS NOT NULL AND nome IS NOT NULL "
+            f"AND {pred} QUALIFY row_number() OVER (PARTITION BY numfunc ORDER BY src_order DESC) = 1")
+
+
+@register("upsert", f"""
+SELECT CASE WHEN t.numfunc IS NOT NULL THEN t.id_servidor
+            ELSE (SELECT count(*) FROM ({_b3_sql("mes_ano < DATE '1998-01-01'")}) q0)
+                 + row_number() OVER (PARTITION BY t.numfunc IS NULL ORDER BY s.numfunc) END AS id_servidor,
+       coalesce(t.numfunc, s.numfunc) AS numfunc,
+       CASE WHEN s.numfunc IS NOT NULL THEN s.cpf ELSE t.cpf END AS cpf,
+       CASE WHEN s.numfunc IS NOT NULL THEN s.nome ELSE t.nome END AS nome,
+       CASE WHEN s.numfunc IS NOT NULL THEN s.pis_pasep ELSE t.pis_pasep END AS pis_pasep,
+       CASE WHEN s.numfunc IS NOT NULL THEN s.identidade ELSE t.identidade END AS identidade
+FROM (SELECT row_number() OVER (ORDER BY numfunc) AS id_servidor, *
+      FROM ({_b3_sql("mes_ano < DATE '1998-01-01'")}) a) t
+FULL OUTER JOIN ({_b3_sql("mes_ano >= DATE '1998-01-01'")}) s ON t.numfunc = s.numfunc""")
+def q_upsert(spark, sf_dir):
+    """Employees loaded up to 1997, then the 1998+ batch upserted on numfunc."""
+    w = wide(spark, sf_dir)
+    old = surrogate_keys(E.servidores(w.filter(F.col("mes_ano") < F.lit(CUT))), ["numfunc"], "id_servidor")
+    new = E.servidores(w.filter(F.col("mes_ano") >= F.lit(CUT)))
+    keys, upd = S.UPSERT_CONTRACTS["servidor"]
+    return S.upsert(old.select("id_servidor", "numfunc", "cpf", "nome", "pis_pasep", "identidade"), new,
+                    keys, [c for c in upd if c != "updated_at"], id_col="id_servidor")
+
+
+ITEM_HASH_SQL = O.hash_sql("id_contracheque", "codigo_rubrica_origem", "complemento", "info",
+                           f"coalesce(valor_vantagem, {O.Z})", f"coalesce(valor_desconto, {O.Z})",
+                           f"coalesce(valor_auxiliar, {O.Z})")
+
+
+@register("stable_hash", f"SELECT id_contracheque_item, {ITEM_HASH_SQL} AS hash_conteudo FROM t_item")
+def q_stable_hash(spark, sf_dir):
+    """Content hash of the stored lines."""
+    it = migration(spark, sf_dir).item
+    return it.select("id_contracheque_item", S.content_hash(it).alias("hash_conteudo"))
+
+
+ITEM_COLS = ["id_contracheque_item", "id_contracheque", "id_rubrica", "sequencia_item", "codigo_rubrica_origem",
+             "nome_rubrica_origem", "tipo_rubrica_origem", "complemento", "info", "valor_vantagem",
+             "valor_desconto", "valor_auxiliar", "valor_total_item"]
+
+
+@register("append_new_items", f"""
+SELECT {', '.join(ITEM_COLS)} FROM t_item i
+WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT s.id_contracheque, {ITEM_HASH_SQL.replace('id_contracheque', 's.id_contracheque')} AS h
+                 FROM t_item s JOIN t_cc c ON c.id_contracheque = s.id_contracheque WHERE c.ano < 1998) st
+  WHERE st.id_contracheque = i.id_contracheque AND st.h = {ITEM_HASH_SQL})""")
+def q_append_new_items(spark, sf_dir):
+    """Lines of payslips stored up to 1997 are skipped, the rest are appended."""
+    m = migration(spark, sf_dir)
+    stored = m.item.join(m.contracheque.filter(F.col("ano") < 1998).select("id_contracheque"),
+                         "id_contracheque", "left_semi")
+    return S.append_if_absent(stored, m.item).select(*ITEM_COLS)
+
+
+def _cache_rows(spark, sf_dir):
+    m, c = doc_inputs(spark, sf_dir)
+    return D.payloads(c, m.item).select("matricula", "ano", "mes", "folha_numero")
+
+
+@register("scoped_delete", """
+SELECT matricula, ano, mes, folha_numero FROM d_payload WHERE NOT (ano = 1997 AND mes = 3)""")
+def q_scoped_delete(spark, sf_dir):
+    """The cache after removing competência 03/1997."""
+    remaining, _ = S.scoped_delete(_cache_rows(spark, sf_dir), 1997, 3)
+    return remaining
+
+
+@register("scoped_delete_count", "SELECT count(*) AS removidos FROM d_payload WHERE ano = 1997")
+def q_scoped_delete_count(spark, sf_dir):
+    """Rows removed by a whole-year refresh (1997)."""
+    return S.scoped_delete(_cache_rows(spark, sf_dir), 1997)[1]
+
+
+@register("cache_upsert_counts", """
+SELECT count(*) AS processados, count(*) FILTER (WHERE ano > 1997) AS inseridos,
+       count(*) FILTER (WHERE ano = 1997) AS atualizados
+FROM d_payload WHERE ano >= 1997""")
+def q_cache_upsert_counts(spark, sf_dir):
+    """A refresh of 1997+ over a cache that holds documents up to 1997."""
+    rows = _cache_rows(spark, sf_dir)
+    return S.cache_upsert_counts(rows.filter(F.col("ano") <= 1997), rows.filter(F.col("ano") >= 1997))
+
+
+LOAD_SUMMARY_SQL = """
+SELECT (SELECT count(*) FROM w) AS linhas_brutas, (SELECT count(*) FROM b_servidor) AS servidores_unicos,
+  (SELECT count(*) FROM b_vinculo) AS vinculos_unicos, (SELECT count(*) FROM b_rubrica) AS rubricas_unicas,
+  (SELECT count(*) FROM b_contracheque) AS contracheques_unicos_processados,
+  (SELECT count(*) FROM b_snapshot) AS snapshots_processados, (SELECT count(*) FROM b_item) AS itens_processados,
+  (SELECT count(*) FROM t_item) AS itens_inseridos,
+  (SELECT count(*) FROM t_consolidado WHERE divergencia_bruto <> 0 OR divergencia_descontos <> 0
+                                         OR divergencia_liquido <> 0) AS divergencias_encontradas,
+  (SELECT count(*) FROM fsrc) AS folhas_lidas, (SELECT count(*) FROM t_errors) AS erros"""
+
+
+def _load_counts(spark, sf_dir):
+    from paygrid.operators import reconcile as R
+
+    checks = T.payroll_checks(spark, sf_dir)
+    folhas_raw = T.payroll_folhas(spark, sf_dir)
+    m = Migration(checks, folhas_raw)
+    return S.counts_row({
+        "linhas_brutas": checks, "servidores_unicos": m.servidor_src, "vinculos_unicos": m.vinculo_src,
+        "rubricas_unicas": m.rubrica_src, "contracheques_unicos_processados": m.contracheque_src,
+        "snapshots_processados": m.snapshot_src, "itens_processados": m.item_src, "itens_inseridos": m.item,
+        "divergencias_encontradas": R.divergent(m.consolidado), "folhas_lidas": folhas_raw,
+        "erros": m.rejects(with_payload=False)})
+
+
+@register("load_summary", LOAD_SUMMARY_SQL)
+def q_load_summary(spark, sf_dir):
+    """Counts of a full load."""
+    return _load_counts(spark, sf_dir)
+
+
+@register("load_audit", f"""
+SELECT 'ORACLE' AS tipo_origem, 'TODOS' AS referencia,
+  CASE WHEN erros > 0 THEN 'SUCESSO_PARCIAL' ELSE 'SUCESSO' END AS status,
+  folhas_lidas + linhas_brutas AS qtd_registros_lidos,
+  contracheques_unicos_processados + itens_processados AS qtd_registros_processados,
+  erros AS qtd_registros_erro, 'Execucao concluida.' AS observacao
+FROM ({LOAD_SUMMARY_SQL}) s""")
+def q_load_audit(spark, sf_dir):
+    """The closing audit row of a full load."""
+    c = _load_counts(spark, sf_dir).withColumnRenamed("contracheques_unicos_processados", "contracheques_unicos")
+    return S.load_audit(c, "ORACLE", "TODOS", "Execucao concluida.")
+
+
+# --- 2.I scalar functions over whole source columns -------------------------------------------
+
+@register("norm_string", f"SELECT DISTINCT NOME AS nome_origem, {O._strip('NOME')} AS nome FROM w")
+def q_norm_string(spark, sf_dir):
+    w = T.payroll_checks(spark, sf_dir)
+    return w.select(F.col("NOME").alias("nome_origem"), N.norm_string("NOME").alias("nome")).distinct()
+
+
+@register("norm_folha_desc", f"SELECT DISTINCT FOLHA AS folha_origem, {O.folha_desc_sql('FOLHA')} AS folha_normalizada FROM w")
+def q_norm_folha_desc(spark, sf_dir):
+    w = T.payroll_checks(spark, sf_dir)
+    return w.select(F.col("FOLHA").alias("folha_origem"),
+                    N.norm_folha_desc("FOLHA").alias("folha_normalizada")).distinct()
+
+
+@register("norm_token", f"""
+SELECT DISTINCT FOLHA AS folha_origem, {O.token_sql('FOLHA')} AS token, {O.folha_tipo_sql('FOLHA')} AS folha_tipo FROM w""")
+def q_norm_token(spark, sf_dir):
+    w = T.payroll_checks(spark, sf_dir)
+    return w.select(F.col("FOLHA").alias("folha_origem"), N.norm_token("FOLHA").alias("token"),
+                    N.folha_tipo("FOLHA").alias("folha_tipo")).distinct()
+
+
+@register("norm_decimal", f"""
+SELECT DISTINCT l_extendedprice * l_discount AS valor_origem,
+       {O._norm('money', 'l_extendedprice * l_discount')} AS valor FROM lineitem""")
+def q_norm_decimal(spark, sf_dir):
+    li = T.read_table(spark, sf_dir, "lineitem")
+    v = F.col("l_extendedprice") * F.col("l_discount")
+    return li.select(v.alias("valor_origem"), N.norm_decimal(v).alias("valor")).distinct()
+
+
+@register("norm_int", """
+SELECT DISTINCT ' ' || substr(o_orderpriority, 1, 1) || ' ' AS texto_origem,
+       CAST(nullif(trim(' ' || substr(o_orderpriority, 1, 1) || ' '), '') AS BIGINT) AS valor FROM orders""")
+def q_norm_int(spark, sf_dir):
+    o = T.read_table(spark, sf_dir, "orders")
+    t = F.concat(F.lit(" "), F.substring("o_orderpriority", 1, 1), F.lit(" "))
+    return o.select(t.alias("texto_origem"), N.norm_int(t, is_text=True).alias("valor")).distinct()
+
+
+@register("norm_date", "SELECT CAST(o_orderdate AS DATE) AS data, count(*) AS quantidade FROM orders GROUP BY 1")
+def q_norm_date(spark, sf_dir):
+    o = T.read_table(spark, sf_dir, "orders")
+    return o.groupBy(N.norm_date("o_orderdate").alias("data")).agg(F.count(F.lit(1)).alias("quantidade"))
