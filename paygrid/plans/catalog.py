@@ -666,3 +666,35 @@ def q_norm_int(spark, sf_dir):
 def q_norm_date(spark, sf_dir):
     o = T.read_table(spark, sf_dir, "orders")
     return o.groupBy(N.norm_date("o_orderdate").alias("data")).agg(F.count(F.lit(1)).alias("quantidade"))
+
+
+# --- 2.L integrity checks -------------------------------------------------------------------------
+
+from paygrid.operators import integrity as IG  # noqa: E402
+
+
+def model_tables(spark, sf_dir) -> dict:
+    m = migration(spark, sf_dir)
+    return {"servidor": m.servidor, "servidor_vinculo": m.vinculo, "folha_referencia": m.folha,
+            "contracheque": m.contracheque, "contracheque_snapshot_funcional": m.snapshot,
+            "rubrica": m.rubrica, "contracheque_item": m.item, "contracheque_consolidado": m.consolidado}
+
+
+@register("check_unique", O.unique_sql())
+def q_check_unique(spark, sf_dir):
+    return IG.check_unique(model_tables(spark, sf_dir))
+
+
+@register("check_fk", O.fk_sql())
+def q_check_fk(spark, sf_dir):
+    return IG.check_fk(model_tables(spark, sf_dir))
+
+
+@register("check_not_null", O.not_null_sql())
+def q_check_not_null(spark, sf_dir):
+    return IG.check_not_null(model_tables(spark, sf_dir))
+
+
+@register("check_domain", O.domain_sql())
+def q_check_domain(spark, sf_dir):
+    return IG.check_domain(model_tables(spark, sf_dir))

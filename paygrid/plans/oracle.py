@@ -453,3 +453,60 @@ SELECT d.id_contracheque, CAST(d.numfunc AS VARCHAR) AS matricula, {_t('d.cpf')}
   CAST(coalesce(t.total_rubricas, 0) AS INTEGER) AS n_rubricas
 FROM d_cand d JOIN d_num n USING (id_contracheque) LEFT JOIN d_tot t USING (id_contracheque)""",
     ["d_cand", "d_num", "d_tot"])
+
+
+# --- integrity checks (generated from paygrid.schemas) -----------------------------------
+
+from paygrid import schemas as _SC  # noqa: E402
+
+TABLE_CTE = {"servidor": "t_servidor", "servidor_vinculo": "t_vinculo", "folha_referencia": "t_folha",
+             "contracheque": "t_cc", "contracheque_snapshot_funcional": "t_snapshot", "rubrica": "t_rubrica",
+             "contracheque_item": "t_item", "contracheque_consolidado": "t_consolidado"}
+
+
+def _u(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def unique_sql() -> str:
+    out = []
+    for t, keys in _SC.UNIQUE.items():
+        if t not in TABLE_CTE:
+            continue
+        k = ", ".join(keys)
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+        out.append(f"SELECT '{t}' AS tabela, 'unique({','.join(keys)})' AS restricao, "
+                   f"CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS violacoes "
+                   f"FROM (SELECT count(*) AS n FROM {TABLE_CTE[t]} WHERE {nn} GROUP BY {k}) g")
+    return _u(out)
+
+
+def fk_sql() -> str:
+    out = []
+    for child, col, parent, pcol in _SC.FOREIGN_KEYS:
+        out.append(f"SELECT '{child}' AS tabela, 'fk({col})->{parent}' AS restricao, CAST(count(*) AS BIGINT) AS violacoes "
+                   f"FROM {TABLE_CTE[child]} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM {TABLE_CTE[parent]} p WHERE p.{pcol} = c.{col})")
+    return _u(out)
+
+
+def not_null_sql() -> str:
+    out = []
+    for t, cols in _SC.NOT_NULL.items():
+        for c in cols:
+            out.append(f"SELECT '{t}' AS tabela, 'not_null({c})' AS restricao, "
+                       f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violacoes FROM {TABLE_CTE[t]}")
+    return _u(out)
+
+
+def domain_sql() -> str:
+    out = []
+    for t in sorted(set(_SC.VARCHAR) | set(_SC.NUMERIC)):
+        for c, n in _SC.VARCHAR.get(t, {}).items():
+            out.append(f"SELECT '{t}' AS tabela, 'varchar({c},{n})' AS restricao, "
+                       f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violacoes FROM {TABLE_CTE[t]}")
+        for c, (p, s) in _SC.NUMERIC.get(t, {}).items():
+            out.append(f"SELECT '{t}' AS tabela, 'numeric({c},{p},{s})' AS restricao, "
+                       f"CAST(count(*) FILTER (WHERE abs({c}) >= {10 ** (p - s)}) AS BIGINT) AS violacoes "
+                       f"FROM {TABLE_CTE[t]}")
+    return _u(out)
