@@ -21,9 +21,21 @@ def _c(col: Column | str) -> Column:
 
 # --- I1..I4: normalisers -------------------------------------------------------
 
+# Characters removed by the source's strip(): every code point whose str.isspace() is
+# true (derived from the rule, so it matches the source exactly).
+WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+# The same set as a regex character class (Java syntax), for whitespace runs.
+WS_CLASS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in WHITESPACE) + "]"
+
+
+def strip_ws(col: Column | str) -> Column:
+    """Strip leading/trailing whitespace (no regex: a plain trim over a character set)."""
+    return F.trim(_c(col).cast("string"), F.lit(WHITESPACE))
+
+
 def norm_string(col: Column | str) -> Column:
     """NULL -> NULL; Unicode strip; empty -> NULL."""
-    return F.nullif(F.regexp_replace(_c(col).cast("string"), r"(?U)^\s+|\s+$", ""), F.lit(""))
+    return F.nullif(strip_ws(col), F.lit(""))
 
 
 def norm_int(col: Column | str, is_text: bool = False) -> Column:
@@ -55,7 +67,7 @@ def item_total(vantagem: Column | str, auxiliar: Column | str, desconto: Column
 
 def stable_hash(*parts: Column | str) -> Column:
     """I8: SHA-256 hex of the parts as text, each stripped, NULL as '', joined by '||'."""
-    texts = [F.coalesce(F.trim(_c(p).cast("string")), F.lit("")) for p in parts]
+    texts = [F.coalesce(strip_ws(p), F.lit("")) for p in parts]
     return F.sha2(F.concat_ws("||", *texts), 256)
 
 
@@ -86,7 +98,7 @@ def norm_folha_desc(col: Column | str) -> Column:
     known alias; a lone digit before ``/yyyy`` is zero-padded. Tokens are whole
     letter runs, so ``FOLHAJAN/2026`` stays as it is.
     """
-    out = F.upper(F.regexp_replace(norm_string(col), r"(?U)\s+", " "))
+    out = F.upper(F.regexp_replace(norm_string(col), WS_CLASS + "+", " "))
     for number, aliases in MONTH_ALIASES.items():
         alt = "|".join(sorted(aliases, key=len, reverse=True))
         out = F.regexp_replace(out, rf"(?<![A-ZÇ])({alt})/([0-9]{{4}})", rf"{number}/$2")
@@ -104,7 +116,7 @@ def norm_token(col: Column | str) -> Column:
     folded = F.translate(base, _ACCENTED, _PLAIN)
     # Anything still outside ASCII has no ASCII decomposition: dropped, as NFKD+ascii does.
     ascii_only = F.regexp_replace(folded, r"[^\x00-\x7F]", "")
-    return F.trim(F.regexp_replace(ascii_only, r"\s+", " "))
+    return strip_ws(F.regexp_replace(ascii_only, WS_CLASS + "+", " "))
 
 
 def folha_tipo(col: Column | str) -> Column:

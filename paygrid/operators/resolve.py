@@ -48,9 +48,10 @@ def folha_maps(folha: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("mes_ano_folha").alias("fd_mes"),
         N.norm_folha_desc("descricao_folha").alias("fd_desc"),
         F.col("id_folha_referencia").alias("fd_id"),
-        ORDER_COL,
+        F.struct("mes_ano_folha", "num_folha").alias("_ord"),
     )
-    by_desc = keep_last(by_desc, ["fd_mes", "fd_desc"], ORDER_COL)
+    # Last run (in run-key order) wins when two runs of a month share a description.
+    by_desc = keep_last(by_desc, ["fd_mes", "fd_desc"], "_ord")
     by_month = (
         folha.groupBy(F.col("mes_ano_folha").alias("fm_mes"))
         .agg(F.count_distinct("id_folha_referencia").alias("_n"), F.min("id_folha_referencia").alias("fm_id"))
@@ -89,10 +90,24 @@ class Migration:
     """
 
     def __init__(self, checks: DataFrame, folhas_src: DataFrame, load_ts=None,
-                 normalized: DataFrame | None = None):
+                 normalized: DataFrame | None = None, existing: dict[str, DataFrame] | None = None):
         self.w = normalized if normalized is not None else E.normalize_checks(checks)
         self.nf = E.normalize_folhas(folhas_src)
         self.load_ts = load_ts
+        # Stored target tables: when present, each table is upserted into its stored
+        # version (ids kept, new keys after the stored maximum) instead of built fresh.
+        self.existing = existing or {}
+
+    def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+        """Fresh ids in key order, or an upsert into the stored table."""
+        from paygrid.operators.sinks import UPSERT_CONTRACTS, upsert
+
+        old = self.existing.get(table)
+        if old is None:
+            return surrogate_keys(src, keys, id_col)
+        _, upd = UPSERT_CONTRACTS[table]
+        src = src.select(*[c for c in src.columns if c in old.columns])
+        return upsert(old, src, keys, [c for c in upd if c in old.columns], id_col=id_col)
 
     def _ts(self) -> Column:
         if self.load_ts is None:
@@ -131,17 +146,18 @@ class Migration:
     # -- dimensions with ids ----------------------------------------------------
     @cached_property
     def folha(self) -> DataFrame:
-        return surrogate_keys(self.folha_src, ["mes_ano_folha", "num_folha"], "id_folha_referencia")
+        src = self.folha_src.drop(ORDER_COL)
+        return self._dim("folha_referencia", src, ["mes_ano_folha", "num_folha"], "id_folha_referencia")
 
     @cached_property
     def servidor(self) -> DataFrame:
-        s = surrogate_keys(self.servidor_src, ["numfunc"], "id_servidor")
-        return s.withColumn("updated_at", self._ts())
+        src = self.servidor_src.withColumn("updated_at", self._ts())
+        return self._dim("servidor", src, ["numfunc"], "id_servidor")
 
     @cached_property
     def rubrica(self) -> DataFrame:
-        r = surrogate_keys(self.rubrica_src, ["codigo_rubrica"], "id_rubrica")
-        return r.withColumn("updated_at", self._ts())
+        src = self.rubrica_src.withColumn("updated_at", self._ts())
+        return self._dim("rubrica", src, ["codigo_rubrica"], "id_rubrica")
 
     # -- D2: vinculo -> servidor --------------------------------------------------
     @cached_property
@@ -152,9 +168,13 @@ class Migration:
 
     @cached_property
     def vinculo(self) -> DataFrame:
+        """Links with ids (plus ``numfunc`` of their employee, used to resolve payslips)."""
         ok, _ = reject_split(self.vinculo_tagged)
-        v = surrogate_keys(ok, ["id_servidor", "numvinc"], "id_vinculo")
-        return v.withColumn("updated_at", self._ts())
+        ok = ok.withColumn("updated_at", self._ts())
+        if "servidor_vinculo" not in self.existing:
+            return surrogate_keys(ok, ["id_servidor", "numvinc"], "id_vinculo")
+        v = self._dim("servidor_vinculo", ok.drop("numfunc"), ["id_servidor", "numvinc"], "id_vinculo")
+        return v.join(self.servidor.select("id_servidor", "numfunc"), "id_servidor", "left")
 
     @cached_property
     def vinculo_rejects(self) -> DataFrame:
@@ -178,19 +198,31 @@ class Migration:
             (F.col("id_folha_referencia").isNull(), MSG_CC_SEM_FOLHA),
         ))
 
+    CC_COLUMNS = ["id_contracheque", "id_vinculo", "id_folha_referencia", "mes_ano", "numero",
+                  "folha_descricao_origem", "competencia", "bruto", "descontos", "liquido",
+                  "data_consolidacao", "dt_lib_c_cheque", "ano", "mes", "hash_origem", "updated_at"]
+
     @cached_property
-    def contracheque_full(self) -> DataFrame:
-        """Accepted payslips with their id and business key (internal)."""
+    def contracheque_ok(self) -> DataFrame:
         ok, _ = reject_split(self.contracheque_tagged)
-        return surrogate_keys(ok, ["id_vinculo", "mes_ano", "numero"], "id_contracheque")
+        return ok.withColumn("ano", F.col("ano").cast("int")).withColumn("mes", F.col("mes").cast("int")) \
+            .withColumn("updated_at", self._ts())
+
+    @cached_property
+    def contracheque_full(self) -> DataFrame:
+        """Accepted payslips of this batch with their id and business key (internal)."""
+        ok = self.contracheque_ok
+        if "contracheque" not in self.existing:
+            return surrogate_keys(ok, ["id_vinculo", "mes_ano", "numero"], "id_contracheque")
+        ids = self.contracheque.select("id_vinculo", "mes_ano", "numero", "id_contracheque")
+        return ok.join(ids, ["id_vinculo", "mes_ano", "numero"], "inner")
 
     @cached_property
     def contracheque(self) -> DataFrame:
-        return self.contracheque_full.select(
-            "id_contracheque", "id_vinculo", "id_folha_referencia", "mes_ano", "numero",
-            "folha_descricao_origem", "competencia", "bruto", "descontos", "liquido",
-            "data_consolidacao", "dt_lib_c_cheque", F.col("ano").cast("int").alias("ano"),
-            F.col("mes").cast("int").alias("mes"), "hash_origem", self._ts().alias("updated_at"))
+        if "contracheque" not in self.existing:
+            return self.contracheque_full.select(*self.CC_COLUMNS)
+        src = self.contracheque_ok.select(*[c for c in self.CC_COLUMNS if c != "id_contracheque"])
+        return self._dim("contracheque", src, ["id_vinculo", "mes_ano", "numero"], "id_contracheque")
 
     @cached_property
     def contracheque_rejects(self) -> DataFrame:
@@ -223,7 +255,7 @@ class Migration:
     @cached_property
     def snapshot(self) -> DataFrame:
         ok, _ = reject_split(self.snapshot_tagged)
-        s = surrogate_keys(ok.drop(*PAYSLIP_KEY), ["id_contracheque"], "id_snapshot")
+        s = self._dim("contracheque_snapshot_funcional", ok.drop(*PAYSLIP_KEY), ["id_contracheque"], "id_snapshot")
         return s.select("id_snapshot", "id_contracheque", "orgao", "cargo", "ref_cargo", "funcao",
                         "ref_funcao", "municipio", "setor", "regime_juridico", "tipo_vinculo",
                         "banco", "agencia", "conta", "carga_horaria")
@@ -242,17 +274,40 @@ class Migration:
     def item_tagged(self) -> DataFrame:
         return self._child_tagged(self.item_src, MSG_ITEM_SEM_VINCULO, MSG_ITEM_SEM_CC)
 
+    ITEM_COLUMNS = ["id_contracheque_item", "id_contracheque", "id_rubrica", "sequencia_item",
+                    "codigo_rubrica_origem", "nome_rubrica_origem", "tipo_rubrica_origem", "complemento",
+                    "info", "valor_vantagem", "valor_desconto", "valor_auxiliar", "valor_total_item",
+                    "item_hash"]
+
     @cached_property
     def item(self) -> DataFrame:
         ok, _ = reject_split(self.item_tagged)
         codes = self.rubrica.select(F.col("codigo_rubrica").alias("codigo_rubrica_origem"), "id_rubrica")
         x = ok.join(codes, "codigo_rubrica_origem", "left")
+        old = self.existing.get("contracheque_item")
+        if old is not None:
+            return self._append_items(old, x)
         x = surrogate_keys(x, ["id_contracheque", "sequencia_item"], "id_contracheque_item")
         return x.select("id_contracheque_item", "id_contracheque", "id_rubrica", "sequencia_item",
                         "codigo_rubrica_origem", "nome_rubrica_origem", "tipo_rubrica_origem",
                         "complemento", "info", "valor_vantagem", "valor_desconto", "valor_auxiliar",
                         "valor_total_item", "item_hash")
 
+    def _append_items(self, old: DataFrame, batch: DataFrame) -> DataFrame:
+        """Append only lines not stored yet; numbering continues after the stored maximum."""
+        from pyspark.sql import Window
+
+        from paygrid.operators.sinks import append_if_absent
+
+        new = append_if_absent(old, batch)
+        base = old.groupBy("id_contracheque").agg(F.max("sequencia_item").alias("_base"))
+        w = Window.partitionBy("id_contracheque").orderBy("sequencia_item")
+        new = new.join(base, "id_contracheque", "left").withColumn(
+            "sequencia_item", (F.coalesce("_base", F.lit(0)) + F.row_number().over(w)).cast("int")).drop("_base")
+        max_id = old.agg(F.max("id_contracheque_item")).first()[0] or 0
+        new = surrogate_keys(new, ["id_contracheque", "sequencia_item"], "id_contracheque_item", start=max_id + 1)
+        return old.select(*self.ITEM_COLUMNS).unionByName(new.select(*self.ITEM_COLUMNS))
+
     @cached_property
     def item_rejects(self) -> DataFrame:
         _, bad = reject_split(self.item_tagged)
@@ -273,10 +328,19 @@ class Migration:
 
 
 def _consolidado(m: Migration) -> DataFrame:
+    """D8/E2 over every stored line of the batch's payslips, so any batch split converges."""
     from paygrid.operators import reconcile as R
 
-    c = R.consolidate(m.contracheque_full, m.item, ["id_contracheque"])
-    return surrogate_keys(c, ["id_contracheque"], "id_contracheque_consolidado")
+    touched = m.contracheque_full
+    items = m.item
+    if "contracheque_item" in m.existing:
+        items = items.join(touched.select("id_contracheque"), "id_contracheque", "left_semi")
+    c = R.consolidate(touched, items, ["id_contracheque"])
+    if "contracheque_consolidado" not in m.existing and "contracheque" not in m.existing:
+        # Fresh load: one row per accepted payslip and payslip ids are dense 1..n,
+        # so the rank of id_contracheque is id_contracheque itself (no range shuffle).
+        return c.withColumn("id_contracheque_consolidado", F.col("id_contracheque"))
+    return m._dim("contracheque_consolidado", c, ["id_contracheque"], "id_contracheque_consolidado")
 
 
 Migration.consolidado = cached_property(_consolidado)

@@ -175,3 +175,15 @@ def error_rows(rejects: DataFrame, id_carga: int | Column) -> DataFrame:
     return rejects.select(idc.cast("bigint").alias("id_carga"), "chave_origem",
                           F.coalesce("mensagem_erro", F.lit("Erro nao informado")).alias("mensagem_erro"),
                           "payload_origem")
+
+
+def merge_rows(frames: list[DataFrame]) -> DataFrame:
+    """One-row frames of bigint metrics side by side (long union + one pivot aggregate, no join)."""
+    names: list[str] = []
+    u = None
+    for df in frames:
+        names += df.columns
+        pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("bigint").alias("v")) for c in df.columns])
+        part = df.select(F.explode(pairs).alias("p")).select("p.k", "p.v")
+        u = part if u is None else u.unionByName(part)
+    return u.agg(*[F.max(F.when(F.col("k") == n, F.col("v"))).alias(n) for n in names])

@@ -15,8 +15,18 @@ from paygrid.operators.entities import CHECK_COLUMNS, FOLHA_COLUMNS
 KEY4 = "numfunc, numvinc, mes_ano, numero"
 
 
+from paygrid.functions.normalize import WHITESPACE  # noqa: E402
+
+WS_SQL = "(" + " || ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
+WS_RE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
+
+
+def _trim(x: str) -> str:
+    return f"trim(CAST({x} AS VARCHAR), {WS_SQL})"
+
+
 def _strip(x: str) -> str:
-    return f"nullif(regexp_replace(CAST({x} AS VARCHAR), '^\\s+|\\s+$', '', 'g'), '')"
+    return f"nullif({_trim(x)}, '')"
 
 
 def _norm(kind: str, x: str) -> str:
@@ -35,7 +45,7 @@ def _norm(kind: str, x: str) -> str:
 
 def folha_desc_sql(x: str) -> str:
     """Run-description canonical form (same rules as ``norm_folha_desc``; RE2 has no look-behind)."""
-    out = f"upper(regexp_replace({_strip(x)}, '\\s+', ' ', 'g'))"
+    out = f"upper(regexp_replace({_strip(x)}, '{WS_RE}', ' ', 'g'))"
     for number, aliases in MONTH_ALIASES.items():
         alt = "|".join(sorted(aliases, key=len, reverse=True))
         out = f"regexp_replace({out}, '(^|[^A-ZÇ])({alt})/([0-9]{{4}})', '\\1{number}/\\3', 'g')"
@@ -44,7 +54,7 @@ def folha_desc_sql(x: str) -> str:
 
 def token_sql(x: str) -> str:
     base = f"upper(coalesce({_strip(x)}, ''))"
-    return f"trim(regexp_replace(strip_accents({base}), '\\s+', ' ', 'g'))"
+    return _trim(f"regexp_replace(strip_accents({base}), '{WS_RE}', ' ', 'g')")
 
 
 def folha_tipo_sql(x: str) -> str:
@@ -55,7 +65,7 @@ def folha_tipo_sql(x: str) -> str:
 
 
 def hash_sql(*parts: str) -> str:
-    texts = ", ".join(f"coalesce(trim(CAST({p} AS VARCHAR)), '')" for p in parts)
+    texts = ", ".join(f"coalesce({_trim(p)}, '')" for p in parts)
     return f"sha256(concat_ws('||', {texts}))"
 
 
