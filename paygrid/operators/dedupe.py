@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paygrid.session import ensure_checkpoint_dir
+from paygrid.session import materialize
 
 ORDER_COL = "src_order"
 
@@ -61,11 +61,12 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     in the low bits) and shifted by the number of rows in earlier partitions.
     Same ids as ``row_number() over (order by key)``, without the single task.
 
-    The numbered frame is checkpointed (eagerly, to the shared checkpoint
-    folder): range bounds come from sampling, so the count branch and the id
-    branch must read the very same partitions; two independent exchanges may
-    sample different bounds. The checkpoint also cuts the lineage, leaves nothing
-    in the cache, and a lost executor re-reads files instead of re-sampling.
+    The numbered frame is written (parquet, under the shared checkpoint folder)
+    and read back: range bounds come from sampling, so the counts and the
+    positions must come from the very same partitioning; two independent
+    exchanges may sample different bounds. Once written, partition index and
+    position are plain columns. This also cuts the lineage, leaves nothing in
+    the cache, and a lost executor re-reads files instead of re-sampling.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -73,8 +74,7 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-    ensure_checkpoint_dir(spark)
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged, "ids")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: cumulative offsets over at most n rows.
     offsets = counts.select(

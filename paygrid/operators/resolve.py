@@ -91,13 +91,23 @@ class Migration:
 
     def __init__(self, checks: DataFrame, folhas_src: DataFrame, load_ts=None,
                  normalized: DataFrame | None = None, existing: dict[str, DataFrame] | None = None):
-        self.w = normalized if normalized is not None else E.normalize_checks(checks)
+        self._checks = checks
+        self._normalized = normalized
         self.nf = E.normalize_folhas(folhas_src)
         self.load_ts = load_ts
         # Stored target tables: when present, each table is upserted into its stored
         # version (ids kept, new keys after the stored maximum) instead of built fresh.
         self.existing = existing or {}
 
+    @cached_property
+    def w(self) -> DataFrame:
+        """The normalised wide source, written once (bronze) and shared by every entity."""
+        if self._normalized is not None:
+            return self._normalized
+        from paygrid.session import materialize
+
+        return materialize(E.normalize_checks(self._checks), "bronze")
+
     def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str) -> DataFrame:
         """Fresh ids in key order, or an upsert into the stored table."""
         from paygrid.operators.sinks import UPSERT_CONTRACTS, upsert

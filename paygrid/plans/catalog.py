@@ -746,3 +746,75 @@ def q_incremental_load(spark, sf_dir):
     return (k.join(c, "id_contracheque").join(v, "id_vinculo").join(s, "id_servidor")
             .select("numfunc", "numvinc", "mes_ano", "numero", "total_vantagens", "total_descontos_itens",
                     "total_itens", "divergencia_bruto", "divergencia_descontos", "divergencia_liquido"))
+
+
+# --- remaining inventory keys: F1, F2, G1, I7, A11, I20 ---------------------------------------------
+
+@register("keep_last", f"""
+SELECT {O.KEY4}, src_order.l_orderkey AS origem_orderkey, src_order.l_linenumber AS origem_linenumber
+FROM wn WHERE numfunc IS NOT NULL AND numvinc IS NOT NULL AND mes_ano IS NOT NULL AND numero IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY {O.KEY4} ORDER BY src_order DESC) = 1""")
+def q_keep_last(spark, sf_dir):
+    """which source line survives per payslip key (max_by over the source order, map-side partial)."""
+    from paygrid.operators.dedupe import keep_last
+
+    w = wide(spark, sf_dir).dropna(subset=E.PAYSLIP_KEY)
+    k = keep_last(w.select(*E.PAYSLIP_KEY, "src_order"), E.PAYSLIP_KEY, "src_order", keep_order=True)
+    return k.select(*E.PAYSLIP_KEY, F.col("src_order.l_orderkey").alias("origem_orderkey"),
+                    F.col("src_order.l_linenumber").alias("origem_linenumber"))
+
+
+@register("item_sequence", f"SELECT {O.KEY4}, item_hash, sequencia_item FROM b_item")
+def q_item_sequence(spark, sf_dir):
+    """line number inside the payslip, in source order of the surviving lines."""
+    return E.itens(wide(spark, sf_dir)).select(*E.PAYSLIP_KEY, "item_hash", "sequencia_item")
+
+
+@register("item_total", "SELECT item_hash, valor_vantagem, valor_auxiliar, valor_desconto, valor_total_item FROM b_item")
+def q_item_total(spark, sf_dir):
+    """Vantagem + auxiliar - desconto with NULL as 0.00."""
+    return E.itens(wide(spark, sf_dir)).select("item_hash", "valor_vantagem", "valor_auxiliar", "valor_desconto",
+                                               "valor_total_item")
+
+
+@register("cache_page", f"""
+SELECT {', '.join(CAND_COLS)} FROM d_cand
+ORDER BY id_contracheque, numfunc, ano, mes, num_folha NULLS LAST, numero OFFSET 1000 LIMIT 1000""")
+def q_cache_page(spark, sf_dir):
+    """G1: the second 1,000-payslip page in the reference's candidate order (OFFSET/LIMIT is the feature)."""
+    c = doc_inputs(spark, sf_dir)[1].select(*CAND_COLS)
+    return c.orderBy("id_contracheque", "numfunc", "ano", "mes", F.col("num_folha").asc_nulls_last(),
+                     "numero").offset(1000).limit(1000)
+
+
+def _b5_sql(pred: str) -> str:
+    return (f"SELECT rubrica AS codigo_rubrica, nome_rubrica, tipo_rubrica, 'S' AS ativa FROM wn "
+            f"WHERE rubrica IS NOT NULL AND nome_rubrica IS NOT NULL AND {pred} "
+            f"QUALIFY row_number() OVER (PARTITION BY rubrica ORDER BY src_order DESC) = 1")
+
+
+@register("upsert_rubrica", f"""
+SELECT CASE WHEN t.codigo_rubrica IS NOT NULL THEN t.id_rubrica
+            ELSE (SELECT count(*) FROM ({_b5_sql("mes_ano < DATE '1998-01-01'")}) q0)
+                 + row_number() OVER (PARTITION BY t.codigo_rubrica IS NULL ORDER BY s.codigo_rubrica) END AS id_rubrica,
+       coalesce(t.codigo_rubrica, s.codigo_rubrica) AS codigo_rubrica,
+       CASE WHEN s.codigo_rubrica IS NOT NULL THEN s.nome_rubrica ELSE t.nome_rubrica END AS nome_rubrica,
+       CASE WHEN s.codigo_rubrica IS NOT NULL THEN s.tipo_rubrica ELSE t.tipo_rubrica END AS tipo_rubrica,
+       CASE WHEN s.codigo_rubrica IS NOT NULL THEN s.ativa ELSE t.ativa END AS ativa
+FROM (SELECT row_number() OVER (ORDER BY codigo_rubrica) AS id_rubrica, *
+      FROM ({_b5_sql("mes_ano < DATE '1998-01-01'")}) a) t
+FULL OUTER JOIN ({_b5_sql("mes_ano >= DATE '1998-01-01'")}) s ON t.codigo_rubrica = s.codigo_rubrica""")
+def q_upsert_rubrica(spark, sf_dir):
+    """Pay codes loaded up to 1997, then the 1998+ batch upserted on codigo_rubrica."""
+    w = wide(spark, sf_dir)
+    old = surrogate_keys(E.rubricas(w.filter(F.col("mes_ano") < F.lit(CUT))), ["codigo_rubrica"], "id_rubrica")
+    new = E.rubricas(w.filter(F.col("mes_ano") >= F.lit(CUT)))
+    keys, upd = S.UPSERT_CONTRACTS["rubrica"]
+    return S.upsert(old.select("id_rubrica", "codigo_rubrica", "nome_rubrica", "tipo_rubrica", "ativa"), new,
+                    keys, [c for c in upd if c != "updated_at"], id_col="id_rubrica")
+
+
+@register("load_errors_payload")
+def q_load_errors_payload(spark, sf_dir):
+    """Reject rows with the source row as JSON (checked by rows: JSON number text differs by engine)."""
+    return S.error_rows(migration(spark, sf_dir).rejects(with_payload=True), 1)
