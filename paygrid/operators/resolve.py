@@ -108,13 +108,14 @@ class Migration:
 
         return materialize(E.normalize_checks(self._checks), "bronze")
 
-    def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str, small: bool = False) -> DataFrame:
         """Fresh ids in key order, or an upsert into the stored table."""
+        from paygrid.operators.dedupe import surrogate_keys_small
         from paygrid.operators.sinks import UPSERT_CONTRACTS, upsert
 
         old = self.existing.get(table)
         if old is None:
-            return surrogate_keys(src, keys, id_col)
+            return surrogate_keys_small(src, keys, id_col) if small else surrogate_keys(src, keys, id_col)
         _, upd = UPSERT_CONTRACTS[table]
         src = src.select(*[c for c in src.columns if c in old.columns])
         return upsert(old, src, keys, [c for c in upd if c in old.columns], id_col=id_col)
@@ -157,7 +158,7 @@ class Migration:
     @cached_property
     def folha(self) -> DataFrame:
         src = self.folha_src.drop(ORDER_COL)
-        return self._dim("folha_referencia", src, ["mes_ano_folha", "num_folha"], "id_folha_referencia")
+        return self._dim("folha_referencia", src, ["mes_ano_folha", "num_folha"], "id_folha_referencia", small=True)
 
     @cached_property
     def servidor(self) -> DataFrame:
@@ -167,7 +168,7 @@ class Migration:
     @cached_property
     def rubrica(self) -> DataFrame:
         src = self.rubrica_src.withColumn("updated_at", self._ts())
-        return self._dim("rubrica", src, ["codigo_rubrica"], "id_rubrica")
+        return self._dim("rubrica", src, ["codigo_rubrica"], "id_rubrica", small=True)
 
     # -- D2: vinculo -> servidor --------------------------------------------------
     @cached_property
