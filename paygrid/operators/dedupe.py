@@ -43,12 +43,20 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: str | Column = ORDER_CO
     return out
 
 
-def sequence_in_group(df: DataFrame, keys: Sequence[str], order: str | Column = ORDER_COL,
+def sequence_in_group(df: DataFrame, keys: Sequence[str], order: str = ORDER_COL,
                       name: str = "sequencia_item") -> DataFrame:
-    """1-based line number inside each group in ``order``."""
-    order_col = F.col(order) if isinstance(order, str) else order
-    w = Window.partitionBy(*keys).orderBy(order_col)
-    return df.withColumn(name, F.row_number().over(w).cast("int"))
+    """1-based line number inside each group in ``order``, without a per-group task.
+
+    The line number is the global rank over (keys, order) minus the rank of the
+    group's first row. The global rank range-partitions on the composite key,
+    so one group holding a third of all rows is split over many partitions; the
+    group starts are a partial aggregate and the join back is one where AQE
+    splits a skewed partition. ``order`` must make (keys, order) unique.
+    """
+    ranked = surrogate_keys(df, [*keys, order], "_g")
+    starts = ranked.groupBy(*keys).agg(F.min("_g").alias("_g0"))
+    out = ranked.join(starts, list(keys), "inner")
+    return out.withColumn(name, (F.col("_g") - F.col("_g0") + 1).cast("int")).drop("_g", "_g0")
 
 
 def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,

@@ -56,3 +56,47 @@ def divergent(consolidated: DataFrame) -> DataFrame:
 def divergence_count(consolidated: DataFrame) -> DataFrame:
     """Number of payslips that do not reconcile."""
     return consolidated.agg(F.count_if(is_divergent()).alias("contracheques_divergentes"))
+
+
+def reconcile_source(w: DataFrame) -> DataFrame:
+    """Single-scan D8/E2 straight from the normalised wide source.
+
+    Same result as ``consolidate(contracheques(w), itens(w), PAYSLIP_KEY)`` with
+    one scan of the source instead of two: lines are deduplicated by content hash
+    carrying the header fields, then one per-payslip aggregate sums the lines and
+    picks the header of the last source row with ``max_by``. The last row of a
+    payslip always survives the dedupe (it is the last of its own hash group),
+    and every payslip has at least one line, so nothing is lost.
+    """
+    from paygrid.operators.dedupe import keep_last
+    from paygrid.operators.entities import PAYSLIP_KEY
+
+    z = zero()
+    x = w.dropna(subset=PAYSLIP_KEY).select(
+        *PAYSLIP_KEY, "bruto", "descontos", "liquido", "src_order",
+        F.col("vantagem").alias("valor_vantagem"), F.col("desconto").alias("valor_desconto"),
+        F.col("auxiliar").alias("valor_auxiliar"),
+        stable_hash_item(F.col("rubrica"), F.col("complemento"), F.col("info"),
+                         F.col("vantagem"), F.col("desconto"), F.col("auxiliar")).alias("item_hash"))
+    lines = keep_last(x, ["item_hash"], "src_order", keep_order=True)
+    g = lines.groupBy(*PAYSLIP_KEY).agg(
+        F.coalesce(F.sum("valor_vantagem"), z).alias("sv"), F.coalesce(F.sum("valor_auxiliar"), z).alias("sa"),
+        F.coalesce(F.sum("valor_desconto"), z).alias("sd"), F.count(F.lit(1)).alias("n"),
+        F.max_by(F.struct("bruto", "descontos", "liquido"), F.col("src_order")).alias("h"))
+    tv = (F.col("sv") + F.col("sa")).cast(MONEY)
+    td = F.col("sd").cast(MONEY)
+    return g.select(
+        *PAYSLIP_KEY, tv.alias("total_vantagens"), td.alias("total_descontos_itens"),
+        F.col("n").cast("int").alias("total_itens"),
+        (F.coalesce("h.bruto", z) - tv).cast(MONEY).alias("divergencia_bruto"),
+        (F.coalesce("h.descontos", z) - td).cast(MONEY).alias("divergencia_descontos"),
+        (F.coalesce("h.liquido", z) - (tv - td)).cast(MONEY).alias("divergencia_liquido"))
+
+
+def stable_hash_item(rubrica, complemento, info, vantagem, desconto, auxiliar) -> F.Column:
+    """I8b over the source columns (the same hash ``entities.itens`` computes)."""
+    from paygrid.functions.normalize import stable_hash
+
+    z = zero()
+    return stable_hash("numfunc", "numvinc", "mes_ano", "numero", rubrica, complemento, info,
+                       F.coalesce(vantagem, z), F.coalesce(desconto, z), F.coalesce(auxiliar, z))

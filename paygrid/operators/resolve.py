@@ -306,15 +306,14 @@ class Migration:
 
     def _append_items(self, old: DataFrame, batch: DataFrame) -> DataFrame:
         """Append only lines not stored yet; numbering continues after the stored maximum."""
-        from pyspark.sql import Window
-
+        from paygrid.operators.dedupe import sequence_in_group
         from paygrid.operators.sinks import append_if_absent
 
         new = append_if_absent(old, batch)
         base = old.groupBy("id_contracheque").agg(F.max("sequencia_item").alias("_base"))
-        w = Window.partitionBy("id_contracheque").orderBy("sequencia_item")
+        new = sequence_in_group(new, ["id_contracheque"], "sequencia_item", "_r")
         new = new.join(base, "id_contracheque", "left").withColumn(
-            "sequencia_item", (F.coalesce("_base", F.lit(0)) + F.row_number().over(w)).cast("int")).drop("_base")
+            "sequencia_item", (F.coalesce("_base", F.lit(0)) + F.col("_r")).cast("int")).drop("_base", "_r")
         max_id = old.agg(F.max("id_contracheque_item")).first()[0] or 0
         new = surrogate_keys(new, ["id_contracheque", "sequencia_item"], "id_contracheque_item", start=max_id + 1)
         return old.select(*self.ITEM_COLUMNS).unionByName(new.select(*self.ITEM_COLUMNS))

@@ -56,8 +56,7 @@ SELECT * FROM (
 ) x WHERE divergencia_bruto <> 0 OR divergencia_descontos <> 0 OR divergencia_liquido <> 0
 """)
 def q_divergent(spark, sf_dir):
-    w = wide(spark, sf_dir)
-    c = R.consolidate(E.contracheques(w), E.itens(w), E.PAYSLIP_KEY)
+    c = R.reconcile_source(wide(spark, sf_dir))
     return R.divergent(c).orderBy(F.abs("divergencia_liquido").desc(), *E.PAYSLIP_KEY)
 
 
