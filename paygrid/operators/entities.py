@@ -134,8 +134,12 @@ def snapshots(w: DataFrame) -> DataFrame:
     return _finish(df, PAYSLIP_KEY, PAYSLIP_KEY)
 
 
-def itens(w: DataFrame, with_order: bool = False) -> DataFrame:
-    """Payslip lines; identical lines of a payslip collapse (content hash)."""
+def itens(w: DataFrame, with_order: bool = False, with_sequence: bool = True) -> DataFrame:
+    """Payslip lines; identical lines of a payslip collapse (content hash).
+
+    ``with_sequence=False`` skips the line number (F2) for callers that only
+    aggregate lines; numbering is the one step here that materialises data.
+    """
     z = N.zero()
     df = w.select(
         *PAYSLIP_KEY,
@@ -153,10 +157,12 @@ def itens(w: DataFrame, with_order: bool = False) -> DataFrame:
         *PAYSLIP_KEY, "codigo_rubrica_origem", "complemento", "info",
         F.coalesce("valor_vantagem", z), F.coalesce("valor_desconto", z), F.coalesce("valor_auxiliar", z)))
     df = keep_last(df, ["item_hash"], ORDER_COL, keep_order=True)
-    df = sequence_in_group(df, PAYSLIP_KEY, ORDER_COL, "sequencia_item")
     cols = [*PAYSLIP_KEY, "codigo_rubrica_origem", "nome_rubrica_origem", "tipo_rubrica_origem",
             "complemento", "info", "valor_vantagem", "valor_desconto", "valor_auxiliar",
-            "valor_total_item", "item_hash", "sequencia_item"]
+            "valor_total_item", "item_hash"]
+    if with_sequence:
+        df = sequence_in_group(df, PAYSLIP_KEY, ORDER_COL, "sequencia_item")
+        cols.append("sequencia_item")
     if with_order:
         cols.append(ORDER_COL)
     return df.select(*cols)

@@ -7,6 +7,7 @@ whole driver tables. The oracle SQL (DuckDB) computes the same rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,7 +106,7 @@ SELECT {O.KEY4},
   CAST(count(*) AS INTEGER) AS total_itens
 FROM b_item GROUP BY ALL""")
 def q_item_totals(spark, sf_dir):
-    return R.item_totals(E.itens(wide(spark, sf_dir)), E.PAYSLIP_KEY)
+    return R.item_totals(E.itens(wide(spark, sf_dir), with_sequence=False), E.PAYSLIP_KEY)
 
 
 # --- 2.D / 2.F: resolved model ------------------------------------------------------
@@ -199,13 +200,23 @@ from paygrid.operators import quality as Q  # noqa: E402
 
 
 class Validation:
-    """Inputs of the validation run: B2-B8 frames over the whole source."""
+    """Inputs of the validation run: B2-B8 frames over the whole source (built lazily)."""
 
     def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
         self.w = wide(spark, sf_dir)
-        self.folhas = E.folhas(E.normalize_folhas(T.payroll_folhas(spark, sf_dir)))
-        self.contracheques = E.contracheques(self.w)
-        self.itens = E.itens(self.w)
+
+    @cached_property
+    def folhas(self):
+        return E.folhas(E.normalize_folhas(T.payroll_folhas(self.spark, self.sf_dir)))
+
+    @cached_property
+    def contracheques(self):
+        return E.contracheques(self.w)
+
+    @cached_property
+    def itens(self):
+        return E.itens(self.w, with_sequence=False)
 
     def status(self):
         return Q.mapping_status(self.contracheques, self.folhas)
@@ -308,7 +319,7 @@ def q_dry_run_counts(spark, sf_dir):
     return Q.dry_run_counts({
         "servidor": E.servidores(w), "servidor_vinculo": E.vinculos(w), "rubrica": E.rubricas(w),
         "contracheque": E.contracheques(w), "contracheque_snapshot_funcional": E.snapshots(w),
-        "contracheque_item": E.itens(w)})
+        "contracheque_item": E.itens(w, with_sequence=False)})
 
 
 @register("validation_alerts", "SELECT * FROM q_alerts")
@@ -772,7 +783,7 @@ def q_item_sequence(spark, sf_dir):
 @register("item_total", "SELECT item_hash, valor_vantagem, valor_auxiliar, valor_desconto, valor_total_item FROM b_item")
 def q_item_total(spark, sf_dir):
     """Vantagem + auxiliar - desconto with NULL as 0.00."""
-    return E.itens(wide(spark, sf_dir)).select("item_hash", "valor_vantagem", "valor_auxiliar", "valor_desconto",
+    return E.itens(wide(spark, sf_dir), with_sequence=False).select("item_hash", "valor_vantagem", "valor_auxiliar", "valor_desconto",
                                                "valor_total_item")
 
 

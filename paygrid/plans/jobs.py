@@ -113,7 +113,7 @@ def validate(spark: SparkSession, checks: DataFrame, folhas: DataFrame, opts: Ru
     w = E.normalize_checks(c)
     fol = E.folhas(E.normalize_folhas(f))
     cc = E.contracheques(w)
-    it = E.itens(w)
+    it = E.itens(w, with_sequence=False)
     status = Q.mapping_status(cc, fol)
     summary = Q.mapping_summary(status)
     rq = Q.rubrica_quality(w, it)
@@ -137,7 +137,7 @@ def dry_run(spark: SparkSession, checks: DataFrame, folhas: DataFrame, opts: Run
     return Q.dry_run_counts({
         "servidor": E.servidores(w), "servidor_vinculo": E.vinculos(w), "rubrica": E.rubricas(w),
         "contracheque": E.contracheques(w), "contracheque_snapshot_funcional": E.snapshots(w),
-        "contracheque_item": E.itens(w)})
+        "contracheque_item": E.itens(w, with_sequence=False)})
 
 
 def refresh_cache(spark: SparkSession, opts: RunOptions, store: Store,

@@ -55,5 +55,6 @@ def materialize(df, name: str = "tmp"):
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/paygrid-tmp/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # Scratch data is read once or twice: a light codec costs less CPU than snappy.
+    df.write.option("compression", "lz4").parquet(path)
     return spark.read.parquet(path)
