@@ -76,9 +76,10 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     position are plain columns. This also cuts the lineage, leaves nothing in
     the cache, and a lost executor re-reads files instead of re-sampling.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # Without an explicit count AQE may coalesce neighbouring ranges; coalesced
+    # partitions are still contiguous key ranges in index order.
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
