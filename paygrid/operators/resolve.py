@@ -78,6 +78,11 @@ def map_folha(df: DataFrame, folha: DataFrame, month_col: str = "mes_ano",
     )
 
 
+def _with_period(df: DataFrame) -> DataFrame:
+    """(ano, mes) of the payslip, the partition of its snapshot, lines and consolidation."""
+    return df.withColumn("ano", F.year("mes_ano")).withColumn("mes", F.month("mes_ano"))
+
+
 def _key_text(prefix_cols: list[str]) -> Column:
     return F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in prefix_cols])
 
@@ -108,8 +113,14 @@ class Migration:
 
         return materialize(E.normalize_checks(self._checks), "bronze")
 
-    def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str, small: bool = False) -> DataFrame:
-        """Fresh ids in key order, or an upsert into the stored table."""
+    def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str, small: bool = False,
+             fact: bool = False) -> DataFrame:
+        """Fresh ids in key order, or an upsert into the stored table.
+
+        For a fact table only the periods of this batch are read and returned
+        (the store rewrites just those partitions); new ids continue after the
+        maximum of the whole table.
+        """
         from paygrid.operators.dedupe import surrogate_keys_small
         from paygrid.operators.sinks import UPSERT_CONTRACTS, upsert
 
@@ -117,8 +128,25 @@ class Migration:
         if old is None:
             return surrogate_keys_small(src, keys, id_col) if small else surrogate_keys(src, keys, id_col)
         _, upd = UPSERT_CONTRACTS[table]
+        max_id = None
+        if fact:
+            max_id = old.agg(F.max(id_col)).first()[0] or 0
+            old = self.touched(old)
         src = src.select(*[c for c in src.columns if c in old.columns])
-        return upsert(old, src, keys, [c for c in upd if c in old.columns], id_col=id_col)
+        return upsert(old, src, keys, [c for c in upd if c in old.columns], id_col=id_col, max_id=max_id)
+
+    @cached_property
+    def periods(self) -> list[tuple[int, int]]:
+        """(ano, mes) of this batch's payslips: a short list (months), read to the driver."""
+        rows = self.contracheque_src.select("ano", "mes").distinct().collect()
+        return sorted((int(r["ano"]), int(r["mes"])) for r in rows)
+
+    def touched(self, df: DataFrame) -> DataFrame:
+        """Rows of the batch's periods; on a table partitioned by (ano, mes) this prunes partitions."""
+        cond = F.lit(False)
+        for a, m in self.periods:
+            cond = cond | ((F.col("ano") == a) & (F.col("mes") == m))
+        return df.filter(cond)
 
     def _ts(self) -> Column:
         if self.load_ts is None:
@@ -233,7 +261,7 @@ class Migration:
         if "contracheque" not in self.existing:
             return self.contracheque_full.select(*self.CC_COLUMNS)
         src = self.contracheque_ok.select(*[c for c in self.CC_COLUMNS if c != "id_contracheque"])
-        return self._dim("contracheque", src, ["id_vinculo", "mes_ano", "numero"], "id_contracheque")
+        return self._dim("contracheque", src, ["id_vinculo", "mes_ano", "numero"], "id_contracheque", fact=True)
 
     @cached_property
     def contracheque_rejects(self) -> DataFrame:
@@ -266,10 +294,11 @@ class Migration:
     @cached_property
     def snapshot(self) -> DataFrame:
         ok, _ = reject_split(self.snapshot_tagged)
-        s = self._dim("contracheque_snapshot_funcional", ok.drop(*PAYSLIP_KEY), ["id_contracheque"], "id_snapshot")
+        ok = _with_period(ok).drop(*PAYSLIP_KEY)
+        s = self._dim("contracheque_snapshot_funcional", ok, ["id_contracheque"], "id_snapshot", fact=True)
         return s.select("id_snapshot", "id_contracheque", "orgao", "cargo", "ref_cargo", "funcao",
                         "ref_funcao", "municipio", "setor", "regime_juridico", "tipo_vinculo",
-                        "banco", "agencia", "conta", "carga_horaria")
+                        "banco", "agencia", "conta", "carga_horaria", "ano", "mes")
 
     @cached_property
     def snapshot_rejects(self) -> DataFrame:
@@ -288,33 +317,31 @@ class Migration:
     ITEM_COLUMNS = ["id_contracheque_item", "id_contracheque", "id_rubrica", "sequencia_item",
                     "codigo_rubrica_origem", "nome_rubrica_origem", "tipo_rubrica_origem", "complemento",
                     "info", "valor_vantagem", "valor_desconto", "valor_auxiliar", "valor_total_item",
-                    "item_hash"]
+                    "item_hash", "ano", "mes"]
 
     @cached_property
     def item(self) -> DataFrame:
         ok, _ = reject_split(self.item_tagged)
         codes = self.rubrica.select(F.col("codigo_rubrica").alias("codigo_rubrica_origem"), "id_rubrica")
-        x = ok.join(codes, "codigo_rubrica_origem", "left")
+        x = _with_period(ok).join(codes, "codigo_rubrica_origem", "left")
         old = self.existing.get("contracheque_item")
         if old is not None:
             return self._append_items(old, x)
         x = surrogate_keys(x, ["id_contracheque", "sequencia_item"], "id_contracheque_item")
-        return x.select("id_contracheque_item", "id_contracheque", "id_rubrica", "sequencia_item",
-                        "codigo_rubrica_origem", "nome_rubrica_origem", "tipo_rubrica_origem",
-                        "complemento", "info", "valor_vantagem", "valor_desconto", "valor_auxiliar",
-                        "valor_total_item", "item_hash")
+        return x.select(*self.ITEM_COLUMNS)
 
     def _append_items(self, old: DataFrame, batch: DataFrame) -> DataFrame:
         """Append only lines not stored yet; numbering continues after the stored maximum."""
         from paygrid.operators.dedupe import sequence_in_group
         from paygrid.operators.sinks import append_if_absent
 
+        max_id = old.agg(F.max("id_contracheque_item")).first()[0] or 0
+        old = self.touched(old)
         new = append_if_absent(old, batch)
         base = old.groupBy("id_contracheque").agg(F.max("sequencia_item").alias("_base"))
         new = sequence_in_group(new, ["id_contracheque"], "sequencia_item", "_r")
         new = new.join(base, "id_contracheque", "left").withColumn(
             "sequencia_item", (F.coalesce("_base", F.lit(0)) + F.col("_r")).cast("int")).drop("_base", "_r")
-        max_id = old.agg(F.max("id_contracheque_item")).first()[0] or 0
         new = surrogate_keys(new, ["id_contracheque", "sequencia_item"], "id_contracheque_item", start=max_id + 1)
         return old.select(*self.ITEM_COLUMNS).unionByName(new.select(*self.ITEM_COLUMNS))
 
@@ -345,12 +372,12 @@ def _consolidado(m: Migration) -> DataFrame:
     items = m.item
     if "contracheque_item" in m.existing:
         items = items.join(touched.select("id_contracheque"), "id_contracheque", "left_semi")
-    c = R.consolidate(touched, items, ["id_contracheque"])
+    c = R.consolidate(touched, items, ["id_contracheque", "ano", "mes"])
     if "contracheque_consolidado" not in m.existing and "contracheque" not in m.existing:
         # Fresh load: one row per accepted payslip and payslip ids are dense 1..n,
         # so the rank of id_contracheque is id_contracheque itself (no range shuffle).
         return c.withColumn("id_contracheque_consolidado", F.col("id_contracheque"))
-    return m._dim("contracheque_consolidado", c, ["id_contracheque"], "id_contracheque_consolidado")
+    return m._dim("contracheque_consolidado", c, ["id_contracheque"], "id_contracheque_consolidado", fact=True)
 
 
 Migration.consolidado = cached_property(_consolidado)

@@ -58,12 +58,13 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-           id_col: str | None = None, check_unique: bool = True) -> DataFrame:
+           id_col: str | None = None, check_unique: bool = True, max_id: int | None = None) -> DataFrame:
     """The target after INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols.
 
     Key columns compare with ``=`` so a NULL key never conflicts. Empty input is
     a no-op. ``id_col`` (surrogate key) is kept for existing keys and assigned
-    ``max(id) + 1, ...`` in key order for new ones.
+    ``max(id) + 1, ...`` in key order for new ones; pass ``max_id`` when
+    ``target`` is only the touched partitions of a larger table.
     """
     if check_unique:
         assert_unique(source, keys)
@@ -87,7 +88,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     kept = merged.filter("_existing").drop("_existing")
     new = merged.filter(~F.col("_existing")).drop("_existing", id_col)
     # The next free id is one number: read it, then rank the new keys after it.
-    max_id = target.agg(F.max(id_col)).first()[0] or 0
+    if max_id is None:
+        max_id = target.agg(F.max(id_col)).first()[0] or 0
     new = surrogate_keys(new, list(keys), id_col, start=max_id + 1).select(*cols)
     return kept.select(*cols).unionByName(new)
 

@@ -164,17 +164,17 @@ def q_contracheque_resolve(spark, sf_dir):
 
 @register("snapshot_resolve", "SELECT * FROM t_snapshot")
 def q_snapshot_resolve(spark, sf_dir):
-    return migration(spark, sf_dir).snapshot
+    return migration(spark, sf_dir).snapshot.drop("ano", "mes")
 
 
 @register("item_resolve", "SELECT * FROM t_item")
 def q_item_resolve(spark, sf_dir):
-    return migration(spark, sf_dir).item
+    return migration(spark, sf_dir).item.drop("ano", "mes")
 
 
 @register("consolidado", "SELECT * FROM t_consolidado")
 def q_consolidado(spark, sf_dir):
-    return migration(spark, sf_dir).consolidado
+    return migration(spark, sf_dir).consolidado.drop("ano", "mes")
 
 
 @register("load_errors", "SELECT * FROM t_errors")

@@ -21,7 +21,7 @@ from paygrid.operators import sinks as S
 from paygrid.operators.resolve import Migration
 from paygrid.plans.options import RunOptions, refresh_scope
 from paygrid.sources import period as P
-from paygrid.sources.store import Store
+from paygrid.sources.store import FACTS, Store
 
 LOAD_ORDER = [
     ("folha_referencia", "folha"), ("servidor", "servidor"), ("rubrica", "rubrica"),
@@ -72,11 +72,17 @@ def load_tables(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store
         df = getattr(m, prop)
         if table in TABLE_COLUMNS:
             df = df.select(*TABLE_COLUMNS[table])
-        written = store.write(table, df)
+        if table in FACTS:
+            # Only the batch's periods are rewritten; children read those periods back.
+            full = store.write_periods(table, df)
+            m.existing[table] = full
+            written = m.touched(full)
+        else:
+            written = store.write(table, df)
+            m.existing[table] = written
         if table == "servidor_vinculo":
             written = written.join(m.servidor.select("id_servidor", "numfunc"), "id_servidor", "left")
         m.__dict__[prop] = written            # children read the written version
-        m.existing[table] = written
         if table == "contracheque":
             # Re-derive the batch's payslip ids from the written table.
             m.__dict__.pop("contracheque_full", None)
@@ -90,7 +96,7 @@ def load_tables(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store
         "itens_processados": m.item_src, "erros": rejects})
     audit_old = store.read("carga_importacao")
     next_id = (audit_old.agg(F.max("id_carga")).first()[0] or 0) + 1 if audit_old is not None else 1
-    store.append("carga_importacao_erro", S.error_rows(rejects, next_id))
+    store.write_periods("carga_importacao_erro", S.error_rows(rejects, next_id))
     audit = S.load_audit(counts, tipo_origem, referencia, "Execucao concluida.").select(
         F.lit(next_id).cast("bigint").alias("id_carga"), "*",
         F.lit(load_ts).cast("timestamp_ntz").alias("data_inicio"),
@@ -142,31 +148,54 @@ def dry_run(spark: SparkSession, checks: DataFrame, folhas: DataFrame, opts: Run
 
 def refresh_cache(spark: SparkSession, opts: RunOptions, store: Store,
                   updated_at: dt.datetime | None = None) -> DataFrame:
-    """Section 3.3: scoped delete, candidates -> documents -> upsert, summary row."""
+    """Section 3.3: scoped delete, candidates -> documents -> upsert, summary row.
+
+    Only the (ano, mes) partitions of the scope and of the new documents are read
+    and rewritten; a scope partition left without documents is dropped.
+    """
     opts.validated()
     scope, matricula = refresh_scope(opts)
     t = store.read_all()
-    cache = t.get("contracheque_cache")
-    removed = None
-    if cache is not None and scope is not None:
-        month = None if scope == "ano" else opts.mes
-        cache, removed = S.scoped_delete(cache, opts.ano, month, matricula)
     cands = D.candidates(t["contracheque"], t["servidor_vinculo"], t["servidor"], t["folha_referencia"],
                          t["contracheque_snapshot_funcional"], year=opts.ano, month=opts.mes,
                          matricula=matricula, start_date=opts.data_inicio, end_date=opts.data_fim)
     payload = D.payloads(cands, t["contracheque_item"])
     rows = D.to_cache_rows(payload, updated_at)
     keys, upd = S.UPSERT_CONTRACTS["contracheque_cache"]
-    if cache is None:
+    cache_all = t.get("contracheque_cache")
+    periods = {(r["ano"], r["mes"]) for r in rows.select("ano", "mes").distinct().collect()}
+    scope_periods: set = set()
+    removed = None
+    if cache_all is not None and scope is not None:
+        sp = cache_all.filter(F.col("ano") == opts.ano)
+        if scope != "ano":
+            sp = sp.filter(F.col("mes") == opts.mes)
+        scope_periods = {(r["ano"], r["mes"]) for r in sp.select("ano", "mes").distinct().collect()}
+    touched = periods | scope_periods
+    if cache_all is None:
         new_cache = rows
         counts = rows.agg(F.count(F.lit(1)).alias("processados"), F.count(F.lit(1)).alias("inseridos"),
                           F.lit(0).cast("bigint").alias("atualizados"))
     else:
+        cond = F.lit(False)
+        for a, mth in touched:
+            cond = cond | ((F.col("ano") == a) & (F.col("mes") == mth))
+        cache = cache_all.filter(cond).select(*rows.columns)
+        if scope is not None:
+            cache, removed = S.scoped_delete(cache, opts.ano, None if scope == "ano" else opts.mes, matricula)
         counts = S.cache_upsert_counts(cache, rows, keys)
-        new_cache = S.upsert(cache.select(*rows.columns), rows, keys, upd, id_col=None)
-    store.write("contracheque_cache", new_cache, partition_by=["ano", "mes"])
+        new_cache = S.upsert(cache, rows, keys, upd, id_col=None)
+    # Everything that reads the old cache is computed before its partitions are replaced.
+    from paygrid.session import materialize
+
+    staged = materialize(new_cache, "cache-stage")
     parts = [S.counts_row({"elegiveis": cands}), counts,
              payload.agg(F.coalesce(F.sum(F.size("contracheque.rubricas")), F.lit(0)).alias("total_rubricas"))]
     if removed is not None:
         parts.append(removed)
-    return S.merge_rows(parts)
+    summary = materialize(S.merge_rows(parts), "cache-summary")
+    kept = {(r["ano"], r["mes"]) for r in staged.select("ano", "mes").distinct().collect()}
+    store.write_periods("contracheque_cache", staged, staged=True)
+    for a, mth in scope_periods - kept:
+        store.drop_partition("contracheque_cache", {"ano": a, "mes": mth})
+    return summary
