@@ -73,23 +73,31 @@ def stable_hash(*parts: Column | str) -> Column:
 
 # --- I9..I11: payroll-run descriptions ------------------------------------------
 
-# Month tokens of run descriptions and their numbers (fixed values).
+# Month tokens of run descriptions and their two-digit numbers (fixed values).
 MONTH_ALIASES = {
-    "01": ["JAN", "JANEIRO"],
-    "02": ["FEB", "FEV", "FEVEREIRO"],
-    "03": ["MAR", "MARCO", "MARÇO"],
-    "04": ["APR", "ABR", "ABRIL"],
-    "05": ["MAY", "MAI", "MAIO"],
-    "06": ["JUN", "JUNHO"],
-    "07": ["JUL", "JULHO"],
-    "08": ["AUG", "AGO", "AGOSTO"],
-    "09": ["SEP", "SET", "SETEMBRO"],
-    "10": ["OCT", "OUT", "OUTUBRO"],
-    "11": ["NOV", "NOVEMBRO"],
-    "12": ["DEC", "DEZ", "DEZEMBRO"],
+    "JAN": "01", "JANEIRO": "01",
+    "FEB": "02", "FEV": "02", "FEVEREIRO": "02",
+    "MAR": "03", "MARCO": "03", "MARÇO": "03",
+    "APR": "04", "ABR": "04", "ABRIL": "04",
+    "MAY": "05", "MAI": "05", "MAIO": "05",
+    "JUN": "06", "JUNHO": "06",
+    "JUL": "07", "JULHO": "07",
+    "AUG": "08", "AGO": "08", "AGOSTO": "08",
+    "SEP": "09", "SET": "09", "SETEMBRO": "09",
+    "OCT": "10", "OUT": "10", "OUTUBRO": "10",
+    "NOV": "11", "NOVEMBRO": "11",
+    "DEC": "12", "DEZ": "12", "DEZEMBRO": "12",
 }
 
 
+def month_token_groups() -> dict[str, list[str]]:
+    """Aliases per month number, longest first (one regex alternation per month)."""
+    groups: dict[str, list[str]] = {}
+    for alias, number in MONTH_ALIASES.items():
+        groups.setdefault(number, []).append(alias)
+    return {n: sorted(a, key=len, reverse=True) for n, a in groups.items()}
+
+
 def norm_folha_desc(col: Column | str) -> Column:
     """Canonical run description.
 
@@ -99,8 +107,8 @@ def norm_folha_desc(col: Column | str) -> Column:
     letter runs, so ``FOLHAJAN/2026`` stays as it is.
     """
     out = F.upper(F.regexp_replace(norm_string(col), WS_CLASS + "+", " "))
-    for number, aliases in MONTH_ALIASES.items():
-        alt = "|".join(sorted(aliases, key=len, reverse=True))
+    for number, aliases in month_token_groups().items():
+        alt = "|".join(aliases)
         out = F.regexp_replace(out, rf"(?<![A-ZÇ])({alt})/([0-9]{{4}})", rf"{number}/$2")
     return F.regexp_replace(out, r"(?<![0-9])([0-9])/([0-9]{4})", r"0$1/$2")
 

@@ -176,7 +176,8 @@ class Migration:
 
     @cached_property
     def item_src(self) -> DataFrame:
-        return E.itens(self.w)
+        # Lines keep their source order; ids and line numbers are assigned after resolution.
+        return E.itens(self.w, with_order=True, with_sequence=False)
 
     @cached_property
     def folha_src(self) -> DataFrame:
@@ -327,7 +328,13 @@ class Migration:
         old = self.existing.get("contracheque_item")
         if old is not None:
             return self._append_items(old, x)
-        x = surrogate_keys(x, ["id_contracheque", "sequencia_item"], "id_contracheque_item")
+        # A payslip's lines are all accepted or all rejected, so ranking accepted lines
+        # by (payslip id, source order) gives the ids, and the line number is the id
+        # minus the payslip's first id: one range shuffle for both (F2 + F3).
+        x = surrogate_keys(x, ["id_contracheque", ORDER_COL], "id_contracheque_item")
+        first = x.groupBy("id_contracheque").agg(F.min("id_contracheque_item").alias("_first"))
+        x = x.join(first, "id_contracheque").withColumn(
+            "sequencia_item", (F.col("id_contracheque_item") - F.col("_first") + 1).cast("int"))
         return x.select(*self.ITEM_COLUMNS)
 
     def _append_items(self, old: DataFrame, batch: DataFrame) -> DataFrame:
@@ -339,7 +346,7 @@ class Migration:
         old = self.touched(old)
         new = append_if_absent(old, batch)
         base = old.groupBy("id_contracheque").agg(F.max("sequencia_item").alias("_base"))
-        new = sequence_in_group(new, ["id_contracheque"], "sequencia_item", "_r")
+        new = sequence_in_group(new, ["id_contracheque"], ORDER_COL, "_r")
         new = new.join(base, "id_contracheque", "left").withColumn(
             "sequencia_item", (F.coalesce("_base", F.lit(0)) + F.col("_r")).cast("int")).drop("_base", "_r")
         new = surrogate_keys(new, ["id_contracheque", "sequencia_item"], "id_contracheque_item", start=max_id + 1)
@@ -351,7 +358,8 @@ class Migration:
         return bad.select(F.lit("contracheque_item").alias("entidade"),
                           F.col("item_hash").alias("chave_origem"),
                           F.col("_erro").alias("mensagem_erro"),
-                          F.to_json(F.struct(*self.item_src.columns), {"ignoreNullFields": "false"})
+                          F.to_json(F.struct(*[c for c in self.item_src.columns if c != ORDER_COL]),
+                                    {"ignoreNullFields": "false"})
                           .alias("payload_origem"))
 
     # -- H2/A14: reject log ---------------------------------------------------------

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from paygrid.functions.normalize import MONTH_ALIASES
+from paygrid.functions.normalize import month_token_groups
 from paygrid.operators.entities import CHECK_COLUMNS, FOLHA_COLUMNS
 
 KEY4 = "numfunc, numvinc, mes_ano, numero"
@@ -46,8 +46,8 @@ def _norm(kind: str, x: str) -> str:
 def folha_desc_sql(x: str) -> str:
     """Run-description canonical form (same rules as ``norm_folha_desc``; RE2 has no look-behind)."""
     out = f"upper(regexp_replace({_strip(x)}, '{WS_RE}', ' ', 'g'))"
-    for number, aliases in MONTH_ALIASES.items():
-        alt = "|".join(sorted(aliases, key=len, reverse=True))
+    for number, aliases in month_token_groups().items():
+        alt = "|".join(aliases)
         out = f"regexp_replace({out}, '(^|[^A-ZÇ])({alt})/([0-9]{{4}})', '\\1{number}/\\3', 'g')"
     return f"regexp_replace({out}, '(^|[^0-9])([0-9])/([0-9]{{4}})', '\\10\\2/\\3', 'g')"
 
