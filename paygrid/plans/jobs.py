@@ -51,6 +51,32 @@ def write_bronze(spark: SparkSession, checks: DataFrame, store: Store, name: str
     return store.write(name, E.normalize_checks(checks))
 
 
+AUDIT_COLUMNS = ["id_carga", "tipo_origem", "referencia", "status", "qtd_registros_lidos",
+                 "qtd_registros_processados", "qtd_registros_erro", "observacao", "data_inicio", "data_fim"]
+
+
+def _audit_row(spark: SparkSession, id_carga: int, tipo_origem: str, referencia: str | None, status: str,
+               observacao: str | None, data_inicio: dt.datetime) -> DataFrame:
+    """One audit row with zero counts (a load that is open or failed)."""
+    return spark.range(1).select(
+        F.lit(id_carga).cast("bigint").alias("id_carga"), F.lit(tipo_origem).alias("tipo_origem"),
+        F.lit(referencia).cast("string").alias("referencia"), F.lit(status).alias("status"),
+        F.lit(0).cast("bigint").alias("qtd_registros_lidos"),
+        F.lit(0).cast("bigint").alias("qtd_registros_processados"),
+        F.lit(0).cast("bigint").alias("qtd_registros_erro"),
+        F.lit(observacao).cast("string").alias("observacao"),
+        F.lit(data_inicio).cast("timestamp_ntz").alias("data_inicio"),
+        F.current_timestamp().cast("timestamp_ntz").alias("data_fim"))
+
+
+def _close_audit(store: Store, id_carga: int, row: DataFrame) -> DataFrame:
+    """Replace the load's audit row (the audit table is tiny: one row per load)."""
+    old = store.read("carga_importacao")
+    keep = old.filter(F.col("id_carga") != id_carga) if old is not None else None
+    row = row.select(*AUDIT_COLUMNS)
+    return store.write("carga_importacao", row if keep is None else keep.select(*AUDIT_COLUMNS).unionByName(row))
+
+
 def load_tables(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store: Store,
                 load_ts: dt.datetime | None = None, tipo_origem: str = "ORACLE",
                 referencia: str | None = None) -> DataFrame:
@@ -58,9 +84,24 @@ def load_tables(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store
 
     Used by the batch migration and, unchanged, by the incremental stream (J1):
     stored ids are kept, lines are appended only when absent, and consolidation is
-    recomputed from every stored line of the touched payslips.
+    recomputed from every stored line of the touched payslips. The audit row is
+    opened as INICIADO, closed as SUCESSO / SUCESSO_PARCIAL, or ERRO on failure.
     """
     load_ts = load_ts or dt.datetime.now().replace(microsecond=0)
+    audit_old = store.read("carga_importacao")
+    id_carga = (audit_old.agg(F.max("id_carga")).first()[0] or 0) + 1 if audit_old is not None else 1
+    _close_audit(store, id_carga, _audit_row(spark, id_carga, tipo_origem, referencia, S.STATUS_STARTED, None,
+                                             load_ts))
+    try:
+        return _load(spark, checks, folhas, store, load_ts, tipo_origem, referencia, id_carga)
+    except Exception as exc:
+        _close_audit(store, id_carga, _audit_row(spark, id_carga, tipo_origem, referencia, S.STATUS_ERROR,
+                                                 str(exc)[:1000], load_ts))
+        raise
+
+
+def _load(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store: Store, load_ts: dt.datetime,
+          tipo_origem: str, referencia: str | None, id_carga: int) -> DataFrame:
     normalized = E.normalize_checks(checks)
     pending = store.read("_pending")
     if pending is not None:
@@ -94,14 +135,13 @@ def load_tables(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store
     counts = S.counts_row({
         "folhas_lidas": folhas, "linhas_brutas": bronze, "contracheques_unicos": m.contracheque_src,
         "itens_processados": m.item_src, "erros": rejects})
-    audit_old = store.read("carga_importacao")
-    next_id = (audit_old.agg(F.max("id_carga")).first()[0] or 0) + 1 if audit_old is not None else 1
-    store.write_periods("carga_importacao_erro", S.error_rows(rejects, next_id))
+    store.write_periods("carga_importacao_erro", S.error_rows(rejects, id_carga))
     audit = S.load_audit(counts, tipo_origem, referencia, "Execucao concluida.").select(
-        F.lit(next_id).cast("bigint").alias("id_carga"), "*",
+        F.lit(id_carga).cast("bigint").alias("id_carga"), "*",
         F.lit(load_ts).cast("timestamp_ntz").alias("data_inicio"),
         F.current_timestamp().cast("timestamp_ntz").alias("data_fim"))
-    return store.append("carga_importacao", audit)
+    _close_audit(store, id_carga, audit)
+    return store.read("carga_importacao").filter(F.col("id_carga") == id_carga)
 
 
 def migrate(spark: SparkSession, checks: DataFrame, folhas: DataFrame, opts: RunOptions, store: Store,

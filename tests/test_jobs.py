@@ -62,3 +62,14 @@ def test_incremental_equals_one_shot(spark, duck):
     drows = res.fetchall()
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest([d[0] for d in res.description], drows)[0]
+
+
+def test_failed_load_is_audited(spark):
+    import pytest
+
+    store = Store(spark, tempfile.mkdtemp(prefix="paygrid-store-", dir="/tmp"))
+    checks = T.payroll_checks(spark, SF)
+    with pytest.raises(Exception):
+        jobs.load_tables(spark, checks, checks, store, TS)     # runs source with the wrong shape
+    rows = store.read("carga_importacao").collect()
+    assert [r.status for r in rows] == ["ERRO"] and rows[0].observacao
