@@ -113,18 +113,37 @@ def norm_folha_desc(col: Column | str) -> Column:
     return F.regexp_replace(out, r"(?<![0-9])([0-9])/([0-9]{4})", r"0$1/$2")
 
 
-# Accented letters folded to ASCII by NFKD + ASCII drop (fixed values, upper case).
-_ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-_PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUY"
+def _ascii_fold_table() -> tuple[str, str]:
+    """Characters whose NFKD form keeps exactly one ASCII character, with that character.
+
+    Built by rule from the Unicode database (Latin-1 and Latin Extended blocks),
+    so ``translate`` reproduces "NFKD, then drop non-ASCII" for those letters.
+    """
+    import unicodedata
+
+    src, dst = [], []
+    for code in range(0x80, 0x250):
+        ch = chr(code)
+        folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
+        if len(folded) == 1:
+            src.append(ch)
+            dst.append(folded)
+    return "".join(src), "".join(dst)
+
+
+_FOLD_FROM, _FOLD_TO = _ascii_fold_table()
 
 
 def norm_token(col: Column | str) -> Column:
-    """Text token: strip (NULL -> ''), fold accents, collapse spaces, upper."""
-    base = F.upper(F.coalesce(norm_string(col), F.lit("")))
-    folded = F.translate(base, _ACCENTED, _PLAIN)
-    # Anything still outside ASCII has no ASCII decomposition: dropped, as NFKD+ascii does.
+    """Text token: strip (NULL -> ''), NFKD-fold to ASCII, collapse spaces, upper.
+
+    Same order as the source: fold accents, drop what has no ASCII form, then
+    upper-case (so e.g. the German sharp s is dropped, not expanded).
+    """
+    base = F.coalesce(norm_string(col), F.lit(""))
+    folded = F.translate(base, _FOLD_FROM, _FOLD_TO)
     ascii_only = F.regexp_replace(folded, r"[^\x00-\x7F]", "")
-    return strip_ws(F.regexp_replace(ascii_only, WS_CLASS + "+", " "))
+    return F.upper(strip_ws(F.regexp_replace(ascii_only, WS_CLASS + "+", " ")))
 
 
 def folha_tipo(col: Column | str) -> Column:

