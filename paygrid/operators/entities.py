@@ -2,8 +2,8 @@
 
 All share one shape: normalise each column once (``normalize_checks``), derive,
 drop rows whose required columns are NULL, then keep the last row per key. The
-wide frame is normalised once and every entity branches from it; a job persists
-or writes it (bronze) before branching so the source is scanned once.
+wide frame is normalised once and every entity branches from it; a load writes
+it (bronze) before branching so the source is scanned once.
 """
 
 from __future__ import annotations

@@ -25,8 +25,8 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 def reject_split(tagged: DataFrame, error_col: str = "_erro") -> tuple[DataFrame, DataFrame]:
     """Split a frame tagged with an error message column into (accepted, rejected).
 
-    Evaluate the join once, tag, then filter twice; a job persists ``tagged``
-    when both halves are written.
+    Evaluate the join once, tag, then filter twice; a job that writes both
+    halves writes ``tagged`` first (or reads its inputs from written tables).
     """
     ok = tagged.filter(F.col(error_col).isNull()).drop(error_col)
     bad = tagged.filter(F.col(error_col).isNotNull())
