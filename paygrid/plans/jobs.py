@@ -92,8 +92,14 @@ def load_tables(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store
     id_carga = (audit_old.agg(F.max("id_carga")).first()[0] or 0) + 1 if audit_old is not None else 1
     _close_audit(store, id_carga, _audit_row(spark, id_carga, tipo_origem, referencia, S.STATUS_STARTED, None,
                                              load_ts))
+    from paygrid.session import release_scratch, scratch_mark
+
+    mark = scratch_mark()
     try:
-        return _load(spark, checks, folhas, store, load_ts, tipo_origem, referencia, id_carga)
+        out = _load(spark, checks, folhas, store, load_ts, tipo_origem, referencia, id_carga)
+        # Every table is written; the id and staging frames of this load are not read again.
+        release_scratch(spark, mark)
+        return out
     except Exception as exc:
         _close_audit(store, id_carga, _audit_row(spark, id_carga, tipo_origem, referencia, S.STATUS_ERROR,
                                                  str(exc)[:1000], load_ts))

@@ -57,4 +57,25 @@ def materialize(df, name: str = "tmp"):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/paygrid-tmp/{name}-{uuid.uuid4().hex}"
     # Scratch data is read once or twice: a light codec costs less CPU than snappy.
     df.write.option("compression", "lz4").parquet(path)
+    _SCRATCH.append(path)
     return spark.read.parquet(path)
+
+
+# Scratch folders written by ``materialize`` in this process, oldest first.
+_SCRATCH: list[str] = []
+
+
+def scratch_mark() -> int:
+    """Position to pass to ``release_scratch`` once the frames written after it are unused."""
+    return len(_SCRATCH)
+
+
+def release_scratch(spark, mark: int) -> None:
+    """Delete the scratch folders written since ``mark`` (their frames must not be read again)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_SCRATCH) > mark:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
