@@ -6,7 +6,7 @@ Each query applies one operator, with production parameters, to its whole table.
 from __future__ import annotations
 
 
-from . import mixing, quality_rules, spotsigs, url_filter
+from . import byte_bpe, mixing, quality_rules, spotsigs, url_filter
 from .common import read_table
 from .oracle import ORACLE
 
@@ -32,6 +32,14 @@ def op6(spark, sf_dir):
     return spotsigs.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+@query("op7_byte_bpe")
+def op7(spark, sf_dir):
+    import public_tokenizers
+
+    return byte_bpe.digests(read_table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query("op9_source_mix")
 def op9(spark, sf_dir):
     m = mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -41,6 +49,3 @@ def op9(spark, sf_dir):
 @query("op10_url_filter")
 def op10(spark, sf_dir):
     return url_filter.judge(read_table(spark, sf_dir, "pages"))
-
-
-
