@@ -6,7 +6,7 @@ Each query applies one operator, with production parameters, to its whole table.
 from __future__ import annotations
 
 
-from . import byte_bpe, language_id, mixing, quality_rules, spotsigs, url_filter
+from . import byte_bpe, language_id, mixing, quality_rules, spotsigs, toxicity, url_filter
 from .common import read_table
 from .oracle import ORACLE
 
@@ -25,6 +25,11 @@ def op2(spark, sf_dir):
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
 
+@query("op3_toxicity")
+def op3(spark, sf_dir):
+    return toxicity.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op5_quality_rules")
 def op5(spark, sf_dir):
     q = quality_rules.judge(read_table(spark, sf_dir, "documents"))
