@@ -6,7 +6,7 @@ Each query applies one operator, with production parameters, to its whole table.
 from __future__ import annotations
 
 
-from . import byte_bpe, language_id, mixing, quality_rules, spotsigs, toxicity, url_filter
+from . import byte_bpe, language_id, mixing, pii, quality_rules, spotsigs, toxicity, url_filter
 from .common import read_table
 from .oracle import ORACLE
 
@@ -50,6 +50,11 @@ def op7(spark, sf_dir):
                             public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op8_pii")
+def op8(spark, sf_dir):
+    return pii.detect(read_table(spark, sf_dir, "documents"))
+
+
 @query("op9_source_mix")
 def op9(spark, sf_dir):
     m = mixing.mix(read_table(spark, sf_dir, "documents"))
