@@ -62,3 +62,38 @@ SELECT doc_id, size, source_size, target,
          (goal // source_size) * size + greatest(0, least(off + size, goal % source_size) - off) END::BIGINT AS taken
 FROM o
 """
+
+# Link counts are over rows; the components are the fixpoint of the smallest reachable id.
+ORACLE["op1_ngram_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d
+), c AS (
+  SELECT list_sort(g) AS g, min(doc_id) AS rep, count(*) AS copies, len(any_value(g)) AS n FROM s GROUP BY list_sort(g)
+), p AS (
+  SELECT rep, n, unnest(g) AS x FROM c WHERE n > 0
+), f AS (
+  SELECT x FROM p GROUP BY x HAVING count(*) > 1
+), q AS (
+  SELECT p.* FROM p JOIN f USING (x)
+), links AS (
+  SELECT a.rep AS a, b.rep AS b FROM q a JOIN q b ON a.x = b.x AND a.rep <> b.rep
+  WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach(a, b) AS (
+  SELECT rep, rep FROM c WHERE n > 0
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), comp AS (
+  SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a
+), n_links AS (
+  SELECT l.a AS rep, sum(c.copies) AS k FROM links l JOIN c ON c.rep = l.b GROUP BY l.a
+)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles,
+       CASE WHEN len(s.g) = 0 THEN s.doc_id ELSE comp.component_id END AS component_id,
+       CASE WHEN len(s.g) = 0 THEN 0 ELSE coalesce(k, 0) + copies - 1 END::BIGINT AS n_links
+FROM s JOIN c ON list_sort(s.g) = c.g LEFT JOIN comp ON comp.rep = c.rep LEFT JOIN n_links ON n_links.rep = c.rep
+"""

@@ -6,7 +6,7 @@ Each query applies one operator, with production parameters, to its whole table.
 from __future__ import annotations
 
 
-from . import byte_bpe, language_id, mixing, pii, quality_rules, spotsigs, toxicity, url_filter
+from . import byte_bpe, language_id, mixing, ngram_join, pii, quality_rules, spotsigs, toxicity, url_filter
 from .common import read_table
 from .oracle import ORACLE
 
@@ -20,6 +20,11 @@ def query(name: str):
     return add
 
 
+@query("op1_ngram_join")
+def op1(spark, sf_dir):
+    return ngram_join.join(read_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 @query("op2_language_id")
 def op2(spark, sf_dir):
     return language_id.identify(read_table(spark, sf_dir, "documents"))
