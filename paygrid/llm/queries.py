@@ -6,7 +6,7 @@ Each query applies one operator, with production parameters, to its whole table.
 from __future__ import annotations
 
 
-from . import byte_bpe, language_id, mixing, ngram_join, pii, quality_rules, spotsigs, toxicity, url_filter
+from . import byte_bpe, language_id, mixing, ngram_join, pii, quality_rules, spotsigs, suffix_dedup, toxicity, url_filter
 from .common import read_table
 from .oracle import ORACLE
 
@@ -35,6 +35,11 @@ def op3(spark, sf_dir):
     return toxicity.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query("op4_suffix_dedup")
+def op4(spark, sf_dir):
+    return suffix_dedup.remove(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op5_quality_rules")
 def op5(spark, sf_dir):
     q = quality_rules.judge(read_table(spark, sf_dir, "documents"))
