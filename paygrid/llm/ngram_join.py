@@ -11,7 +11,8 @@ shingle; no words: empty, linked with nothing). Steps:
 3. Two sets can only reach the threshold if their prefixes share a shingle. All buckets (shingle
    -> classes) with the same smallest class form one unit, so near copies that share many
    shingles meet in a few units instead of in every bucket; a pair is handled only in
-   the smallest unit it shares. Units are cut into blocks, and pairs of blocks are the
+   the smallest unit it shares. Members without a partner of fitting length leave the unit. Units are
+   cut into blocks, and pairs of blocks are the
    work items, so a hot unit spreads over many tasks and its rows stay linear per block.
 4. Inside an item: length filter, positional filter on the whole prefix, suffix filter on
    histograms of hash ranges. Classes with a surviving partner get their full sets, and the
@@ -30,6 +31,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -291,6 +293,19 @@ def _lists(t: pa.Table) -> dict[str, list]:
     return out
 
 
+def with_partner_length(members: DataFrame, percent: int) -> DataFrame:
+    """Members ``(unit, rep, size)`` whose unit holds another one that the length filter could pair them with.
+
+    Length classes grow by the threshold, so partners lie in the same or a neighbouring class; the
+    classes of a unit are counted by a pre-aggregating groupBy. Dropped members lose no pair.
+    """
+    step = math.log(100.0 / percent)
+    m = members.withColumn("cls", F.floor(F.log("size") / F.lit(step)).cast("int"))
+    near = m.select("unit", F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("cls"))
+    counts = near.groupBy("unit", "cls").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return m.join(counts.select("unit", "cls"), ["unit", "cls"], "left_semi").select("unit", "rep")
+
+
 def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs (doc_id, text)``."""
     return _join(docs, n, percent)[0]
@@ -308,7 +323,8 @@ def _join(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
 
     posts = live.select("rep", F.explode("prefix").alias("token"))
     buckets = posts.groupBy("token").agg(F.min("rep").alias("unit"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialize(posts.join(buckets.select("token", "unit"), "token").select("unit", "rep").distinct(), "ngram-units")
+    members = posts.join(buckets.select("token", "unit"), "token").select("unit", "rep").distinct()
+    members = materialize(with_partner_length(members.join(live.select("rep", "size"), "rep"), percent), "ngram-units")
     blocks = members.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
     units = members.groupBy("rep").agg(F.sort_array(F.collect_set("unit")).alias("units"))
     placed = members.join(blocks, "unit").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
