@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -38,23 +39,33 @@ def norm_string(col: Column | str) -> Column:
     return F.nullif(strip_ws(col), F.lit(""))
 
 
-def norm_int(col: Column | str, is_text: bool = False) -> Column:
-    """NULL/'' -> NULL; integer value (bad text raises under ANSI, like the source)."""
+def norm_int(col: Column | str, dtype: str = "bigint") -> Column:
+    """NULL, NaN and '' -> NULL; else the integer value (other text that is no number raises).
+
+    ``dtype`` is the column's type: only text can be empty, only floating point can be NaN.
+    """
     c = _c(col)
-    if is_text:
-        c = F.nullif(F.trim(c), F.lit(""))
+    if dtype == "string":
+        c = F.nullif(c, F.lit(""))
+    elif dtype in ("double", "float"):
+        c = F.nanvl(c, F.lit(None).cast(dtype))
     return c.cast("bigint")
 
 
 def norm_decimal(col: Column | str, dtype: str = MONEY) -> Column:
-    """Quantise to 0.01 half-even; unparsable -> NULL (no error)."""
-    c = _c(col)
-    return F.bround(c.try_cast("decimal(38,10)"), 2).cast(dtype)
+    """Quantise to 0.01 half-even in one step; unparsable -> NULL (no error).
+
+    Digits after the 19th decimal only matter as "more than a tie": they are kept as one
+    final 1, so the conversion to a fixed scale cannot round a value onto a tie first.
+    """
+    text = F.regexp_replace(_c(col).cast("string"), r"(\.[0-9]{19})0*[1-9][0-9]*", "$1" + "1")
+    return F.bround(text.try_cast("decimal(38,20)"), 2).try_cast(dtype)
 
 
-def norm_date(col: Column | str) -> Column:
-    """I4: date part of a date / timestamp / ISO text."""
-    return _c(col).cast("date")
+def norm_date(col: Column | str, dtype: str = "date") -> Column:
+    """I4: date part of a date, timestamp or ISO text; '' -> NULL, other bad text raises."""
+    c = _c(col)
+    return (F.nullif(c, F.lit("")) if dtype == "string" else c).cast("date")
 
 
 # --- I7, I8: item total, stable hash --------------------------------------------
@@ -113,35 +124,42 @@ def norm_folha_desc(col: Column | str) -> Column:
     return F.regexp_replace(out, r"(?<![0-9])([0-9])/([0-9]{4})", r"0$1/$2")
 
 
-def _ascii_fold_table() -> tuple[str, str]:
-    """Characters whose NFKD form keeps exactly one ASCII character, with that character.
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """What "NFKD, then drop non-ASCII" makes of every non-ASCII character, built by rule.
 
-    Built by rule from the Unicode database (Latin-1 and Latin Extended blocks),
-    so ``translate`` reproduces "NFKD, then drop non-ASCII" for those letters.
+    Returns the characters that become one ASCII character with those characters (for
+    ``translate``), and the characters that become several (ligatures, fractions, numerals).
     """
-    import unicodedata
-
-    src, dst = [], []
-    for code in range(0x80, 0x250):
+    one, to, many = [], [], {}
+    for code in range(0x80, 0x110000):
         ch = chr(code)
-        folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
-        if len(folded) == 1:
-            src.append(ch)
-            dst.append(folded)
-    return "".join(src), "".join(dst)
+        folded = unicodedata.normalize("NFKD", ch)
+        if folded == ch:
+            continue
+        ascii_text = folded.encode("ascii", "ignore").decode("ascii")
+        if len(ascii_text) == 1:
+            one.append(ch)
+            to.append(ascii_text)
+        elif ascii_text:
+            many[ch] = ascii_text
+    return "".join(one), "".join(to), many
 
 
-_FOLD_FROM, _FOLD_TO = _ascii_fold_table()
+_FOLD_FROM, _FOLD_TO, _FOLD_MANY = _fold_tables()
+_MANY_CLASS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in _FOLD_MANY) + "]"
 
 
 def norm_token(col: Column | str) -> Column:
     """Text token: strip (NULL -> ''), NFKD-fold to ASCII, collapse spaces, upper.
 
-    Same order as the source: fold accents, drop what has no ASCII form, then
-    upper-case (so e.g. the German sharp s is dropped, not expanded).
+    Same order as the source: fold, drop what has no ASCII form, then upper-case (so e.g. the
+    German sharp s is dropped, not expanded). Characters that unfold to several are rare; only
+    texts that hold one go character by character.
     """
-    base = F.coalesce(norm_string(col), F.lit(""))
-    folded = F.translate(base, _FOLD_FROM, _FOLD_TO)
+    base = F.translate(F.coalesce(norm_string(col), F.lit("")), _FOLD_FROM, _FOLD_TO)
+    table = F.map_from_arrays(F.array(*[F.lit(k) for k in _FOLD_MANY]), F.array(*[F.lit(v) for v in _FOLD_MANY.values()]))
+    unfolded = F.array_join(F.transform(F.split(base, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
+    folded = F.when(base.rlike(_MANY_CLASS), unfolded).otherwise(base)
     ascii_only = F.regexp_replace(folded, r"[^\x00-\x7F]", "")
     return F.upper(strip_ws(F.regexp_replace(ascii_only, WS_CLASS + "+", " ")))
 
@@ -187,17 +205,3 @@ def percent(value: Column | str, total: Column | str) -> Column:
 def iso_date_or_empty(col: Column | str) -> Column:
     """I18."""
     return F.coalesce(F.date_format(_c(col), "yyyy-MM-dd"), F.lit(""))
-
-
-def payslip_key_text(numfunc, numvinc, mes_ano, numero) -> Column:
-    """``numfunc:numvinc:mes_ano:numero`` (NULL parts print as 'None' in the source)."""
-    parts = [F.coalesce(_c(p).cast("string"), F.lit("None")) for p in (numfunc, numvinc, mes_ano, numero)]
-    return F.concat_ws(":", *parts)
-
-
-def first_non_empty(*cols: Column | str, default: Column | None = None) -> Column:
-    """First of several columns whose normalised text is not empty."""
-    out = [norm_string(c) for c in cols]
-    if default is not None:
-        out.append(default)
-    return F.coalesce(*out)

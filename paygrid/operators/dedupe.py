@@ -94,25 +94,3 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     out = tagged.join(F.broadcast(offsets), "_pid", "left").withColumn(
         id_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + start_col).cast("bigint"))
     return out.drop("_mid", "_pid", "_pos", "_off")
-
-
-def reserve_ids(existing: DataFrame, id_col: str) -> Column:
-    """Next free id after the ids already stored (for appending new keys)."""
-    return F.coalesce(F.max(id_col), F.lit(0)) + 1
-
-
-SMALL_DIM_MAX_ROWS = 200_000
-
-
-def surrogate_keys_small(df: DataFrame, order_cols: Sequence[str], id_col: str,
-                         max_rows: int = SMALL_DIM_MAX_ROWS) -> DataFrame:
-    """F3 for dimensions bounded by their domain (payroll runs, pay codes).
-
-    When the frame provably has at most ``max_rows`` rows (checked by reading at
-    most ``max_rows + 1``), one task numbers it with ``row_number`` over the key;
-    otherwise the distributed ``surrogate_keys`` is used.
-    """
-    if df.limit(max_rows + 1).count() > max_rows:
-        return surrogate_keys(df, order_cols, id_col)
-    w = Window.orderBy(*order_cols)
-    return df.withColumn(id_col, F.row_number().over(w).cast("bigint"))

@@ -68,19 +68,27 @@ def first_per_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def folha_numbers(cands: DataFrame) -> DataFrame:
-    """unique run number per (numfunc, ano, mes), greedy in (num_folha, numero, id) order.
+    """unique run number (bigint) per (numfunc, ano, mes), greedy in (num_folha, numero, id) order.
 
     Each payslip takes the first of its num_folha / numero / id that is > 0 and
     not yet used in its person-month; else the first free number from
-    max(900000000, id). Only three numbers per payslip are collected per group,
-    then folded with ``aggregate``; the used-number list lines up with the
-    sorted rows, so zipping the two gives the result.
+    max(900000000, id). The payslip id is a legal number, so the result is as wide as ids.
+    A payslip alone in its person-month, the usual case, takes its first positive number
+    without a fold; only groups of several are collected and folded with ``aggregate``.
     """
-    rows = F.array_sort(F.collect_list(F.struct(
+    me = ["numfunc", "ano", "mes"]
+    slim = cands.select(*me, "num_folha", "numero", "id_contracheque")
+    sizes = slim.groupBy(*[F.col(k).alias(f"_{k}") for k in me]).agg(F.count(F.lit(1)).alias("_n"))
+    x = slim.join(sizes, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in me]).drop(*[f"_{k}" for k in me])
+    pick = lambda c: F.when(F.col(c) > 0, F.col(c).cast("bigint"))
+    alone = x.filter("_n = 1").select("id_contracheque", F.coalesce(
+        pick("num_folha"), pick("numero"), pick("id_contracheque"),
+        F.lit(FOLHA_NUMBER_BASE).cast("bigint")).alias("folha_numero"))
+    rows = F.sort_array(F.collect_list(F.struct(
         F.col("num_folha").isNull().alias("n1"), F.col("num_folha").alias("v1"),
         F.col("numero").isNull().alias("n2"), F.col("numero").alias("v2"),
         F.col("id_contracheque").alias("id"))))
-    g = cands.groupBy("numfunc", "ano", "mes").agg(rows.alias("rows"))
+    g = x.filter("_n > 1").groupBy(*me).agg(rows.alias("rows"))
     fold = F.expr(f"""
       aggregate(rows, cast(array() as array<bigint>),
         (used, r) -> array_append(used, coalesce(
@@ -88,7 +96,7 @@ def folha_numbers(cands: DataFrame) -> DataFrame:
           get(filter(sequence(greatest({FOLHA_NUMBER_BASE}L, r.id), greatest({FOLHA_NUMBER_BASE}L, r.id) + size(used)),
                      v -> NOT array_contains(used, v)), 0))))""")
     z = g.select(F.explode(F.arrays_zip(F.col("rows.id").alias("id"), fold.alias("num"))).alias("p"))
-    return z.select(F.col("p.id").alias("id_contracheque"), F.col("p.num").cast("int").alias("folha_numero"))
+    return alone.unionByName(z.select(F.col("p.id").alias("id_contracheque"), F.col("p.num").alias("folha_numero")))
 
 
 def classified_items(items: DataFrame) -> DataFrame:

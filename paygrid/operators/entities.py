@@ -8,6 +8,8 @@ it (bronze) before branching so the source is scanned once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +39,13 @@ FOLHA_COLUMNS = {
 }
 
 
-def _normaliser(kind: str, col, is_text: bool):
+def _normaliser(kind: str, col, dtype: str):
     if kind == "str":
         return N.norm_string(col)
     if kind == "int":
-        return N.norm_int(col, is_text)
+        return N.norm_int(col, dtype)
     if kind == "date":
-        return N.norm_date(col)
+        return N.norm_date(col, dtype)
     if kind == "money":
         return N.norm_decimal(col)
     if kind == "hours":
@@ -51,25 +53,34 @@ def _normaliser(kind: str, col, is_text: bool):
     raise ValueError(kind)
 
 
-def _normalize(df: DataFrame, spec: dict[str, str]) -> DataFrame:
-    """B1 + per-column normalisers; output names are lower case."""
+def _normalize(df: DataFrame, spec: dict[str, str], order: Sequence[str] | None) -> DataFrame:
+    """B1 + per-column normalisers; output names are lower case.
+
+    "Last row" needs a total order. It is the struct of the ``order`` columns where the caller
+    names some, else a column ``SRC_ORDER`` where the source has one, else the struct of all
+    source columns (rows equal in all of them are the same row).
+    """
     upper = df.toDF(*[c.upper() for c in df.columns])
     types = dict(upper.dtypes)
     cols = [
-        _normaliser(kind, F.col(name), types[name] == "string").alias(name.lower())
+        _normaliser(kind, F.col(name), types[name]).alias(name.lower())
         for name, kind in spec.items()
     ]
-    if "SRC_ORDER" in upper.columns:
-        cols.append(F.col("SRC_ORDER").alias(ORDER_COL))
-    return upper.select(*cols)
+    if order:
+        by = F.struct(*[F.col(c.upper()) for c in order])
+    elif "SRC_ORDER" in upper.columns:
+        by = F.col("SRC_ORDER")
+    else:
+        by = F.struct(*[F.col(c) for c in upper.columns])
+    return upper.select(*cols, by.alias(ORDER_COL))
 
 
-def normalize_checks(df: DataFrame) -> DataFrame:
-    return _normalize(df, CHECK_COLUMNS)
+def normalize_checks(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    return _normalize(df, CHECK_COLUMNS, order)
 
 
-def normalize_folhas(df: DataFrame) -> DataFrame:
-    return _normalize(df, FOLHA_COLUMNS)
+def normalize_folhas(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    return _normalize(df, FOLHA_COLUMNS, order)
 
 
 def _finish(df: DataFrame, required: list[str], keys: list[str], keep_order: bool = False) -> DataFrame:

@@ -1,32 +1,15 @@
-"""Join helpers: size-checked broadcast and the reject-split join."""
+"""The reject-split join: tag every row with its first failing rule, then filter twice."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we hint as broadcast; above it the planner's shuffle join is used.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows of the (small, aggregated)
-    dimension; when it is larger the frame is returned unchanged and Spark / AQE
-    choose a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def reject_split(tagged: DataFrame, error_col: str = "_erro") -> tuple[DataFrame, DataFrame]:
     """Split a frame tagged with an error message column into (accepted, rejected).
 
-    Evaluate the join once, tag, then filter twice; a job that writes both
-    halves writes ``tagged`` first (or reads its inputs from written tables).
+    Pass a written frame, so that the join behind the tag runs once for both halves.
     """
     ok = tagged.filter(F.col(error_col).isNull()).drop(error_col)
     bad = tagged.filter(F.col(error_col).isNotNull())
@@ -39,11 +22,3 @@ def first_error(*checks: tuple[Column, str]) -> Column:
     for cond, msg in checks:
         out = F.when(cond, F.lit(msg)) if out is None else out.when(cond, F.lit(msg))
     return out
-
-
-def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    cond = None
-    for lc, rc in pairs:
-        c = left[lc].eqNullSafe(right[rc])
-        cond = c if cond is None else cond & c
-    return cond

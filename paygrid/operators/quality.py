@@ -1,23 +1,20 @@
 """Validation metrics and data-quality checks.
 
 Every metric is an aggregate over the whole input (partial aggregation,
-no driver-side accumulators); examples are ``orderBy(...).limit(50)``
-(TakeOrderedAndProject: each task keeps its own top 50, the driver merges
-at most 50 x tasks rows).
+no driver-side accumulators). Defect frames hold every defect row; a caller that
+shows examples asks for the first ``n``.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paygrid.functions import normalize as N
 from paygrid.operators.entities import PAYSLIP_KEY
-from paygrid.operators.joins import checked_broadcast
 
-EXAMPLE_CAP = 50               # examples per defect class (fixed value)
 FALLBACK_ALERT_PERCENT = 10    # fallback rate that raises the alert (fixed value)
 
 
@@ -32,8 +29,7 @@ def mapping_status(contracheques: DataFrame, folhas: DataFrame) -> DataFrame:
     desc = folhas.select(F.col("mes_ano_folha").alias("fd_mes"),
                          N.norm_folha_desc("descricao_folha").alias("fd_desc")).distinct()
     months = folhas.groupBy(F.col("mes_ano_folha").alias("fm_mes")).agg(F.count(F.lit(1)).alias("fm_runs"))
-    desc = checked_broadcast(desc.withColumn("_hit", F.lit(True)))
-    months = checked_broadcast(months)
+    desc = desc.withColumn("_hit", F.lit(True))
     x = contracheques.withColumn("_ndesc", N.norm_folha_desc("folha_descricao_origem"))
     x = x.join(desc, (x.mes_ano == desc.fd_mes) & x._ndesc.eqNullSafe(desc.fd_desc), "left")
     x = x.join(months, x.mes_ano == months.fm_mes, "left")
@@ -61,11 +57,10 @@ def mapping_summary(status: DataFrame) -> DataFrame:
     )
 
 
-def mapping_failures(status: DataFrame, n: int = EXAMPLE_CAP) -> DataFrame:
-    """First ``n`` unmapped payslips in key order."""
-    return (status.filter(F.col("forma_mapeamento") == "NAO_MAPEADO")
-            .select(*PAYSLIP_KEY, "folha_descricao_origem")
-            .orderBy(*PAYSLIP_KEY).limit(n))
+def mapping_failures(status: DataFrame, n: int | None = None) -> DataFrame:
+    """Every unmapped payslip, or the first ``n`` in key order."""
+    bad = status.filter(F.col("forma_mapeamento") == "NAO_MAPEADO").select(*PAYSLIP_KEY, "folha_descricao_origem")
+    return bad if n is None else bad.orderBy(*PAYSLIP_KEY).limit(n)
 
 
 # --- E4 / D16: distinct entities, payslips without a link -------------------------
@@ -113,11 +108,11 @@ def rubrica_quality(w: DataFrame, itens: DataFrame) -> DataFrame:
                  F.coalesce(F.sum("b"), F.lit(0)).alias("nomes_rubrica_vazios"))
 
 
-def rubrica_null_examples(itens: DataFrame, n: int = EXAMPLE_CAP) -> DataFrame:
-    """First ``n`` lines without a pay code (key order, ties by content hash)."""
-    return (itens.filter(F.col("codigo_rubrica_origem").isNull())
-            .orderBy(*PAYSLIP_KEY, "item_hash").limit(n)
-            .select(*PAYSLIP_KEY, "codigo_rubrica_origem", "nome_rubrica_origem"))
+def rubrica_null_lines(itens: DataFrame, n: int | None = None) -> DataFrame:
+    """Every line without a pay code, or the first ``n`` (key order, ties by content hash)."""
+    bad = itens.filter(F.col("codigo_rubrica_origem").isNull())
+    bad = bad if n is None else bad.orderBy(*PAYSLIP_KEY, "item_hash").limit(n)
+    return bad.select(*PAYSLIP_KEY, "codigo_rubrica_origem", "nome_rubrica_origem")
 
 
 # --- E7 / E8: distribution --------------------------------------------------------
@@ -202,14 +197,17 @@ def long_metrics(section: str, one_row: DataFrame) -> DataFrame:
         F.lit(section).alias("secao"), "m.metrica", "m.valor")
 
 
-def validation_report(sections: dict[str, DataFrame]) -> DataFrame:
-    """Every metric section as rows (secao, metrica, valor), ready for parquet/JSON."""
-    out = None
-    for name, df in sections.items():
-        part = long_metrics(name, df)
-        out = part if out is None else out.unionByName(part)
-    return out
-
+def validation_report(sections: dict[str, DataFrame], by_month: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Every metric section as rows (secao, metrica, valor), ready for parquet/JSON.
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    ``sections`` are one-row frames; ``by_month`` are (month, value) frames, one metric per month.
+    """
+    parts = [long_metrics(name, df) for name, df in sections.items()]
+    for name, df in (by_month or {}).items():
+        month, value = df.columns
+        parts.append(df.select(F.lit(name).alias("secao"), F.date_format(month, "yyyy-MM").alias("metrica"),
+                               F.col(value).cast("string").alias("valor")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

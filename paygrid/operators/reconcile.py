@@ -53,11 +53,6 @@ def divergent(consolidated: DataFrame) -> DataFrame:
     return consolidated.filter(is_divergent())
 
 
-def divergence_count(consolidated: DataFrame) -> DataFrame:
-    """Number of payslips that do not reconcile."""
-    return consolidated.agg(F.count_if(is_divergent()).alias("contracheques_divergentes"))
-
-
 def reconcile_source(w: DataFrame) -> DataFrame:
     """Single-scan D8/E2 straight from the normalised wide source.
 

@@ -7,8 +7,7 @@ DuckDB oracle can reproduce them with ``row_number() over (order by key)``.
 
 Join plan (for 100 TB): payslip header, snapshot and line all join on the
 4-part payslip key; ids are resolved once per payslip (``payslip_ids``) and
-reused. The folha maps are bounded by the number of payroll runs and are
-broadcast after a size check; every other join is left to the planner/AQE.
+reused. Every join is left to the planner and AQE, which broadcast by real size.
 """
 
 from __future__ import annotations
@@ -21,7 +20,8 @@ from pyspark.sql import functions as F
 from paygrid.functions import normalize as N
 from paygrid.operators import entities as E
 from paygrid.operators.dedupe import ORDER_COL, keep_last, surrogate_keys
-from paygrid.operators.joins import checked_broadcast, first_error, reject_split
+from paygrid.operators.joins import first_error, reject_split
+from paygrid.session import materialize
 
 PAYSLIP_KEY = E.PAYSLIP_KEY
 
@@ -65,8 +65,6 @@ def map_folha(df: DataFrame, folha: DataFrame, month_col: str = "mes_ano",
               desc_col: str = "folha_descricao_origem") -> DataFrame:
     """Add ``id_folha_por_descricao``, ``id_folha_por_mes`` and ``id_folha_referencia``."""
     by_desc, by_month = folha_maps(folha)
-    by_desc = checked_broadcast(by_desc)
-    by_month = checked_broadcast(by_month)
     x = df.withColumn("_ndesc", N.norm_folha_desc(desc_col))
     x = x.join(by_desc, (x[month_col] == by_desc.fd_mes) & x["_ndesc"].eqNullSafe(by_desc.fd_desc), "left")
     x = x.join(by_month, x[month_col] == by_month.fm_mes, "left")
@@ -109,11 +107,9 @@ class Migration:
         """The normalised wide source, written once (bronze) and shared by every entity."""
         if self._normalized is not None:
             return self._normalized
-        from paygrid.session import materialize
-
         return materialize(E.normalize_checks(self._checks), "bronze")
 
-    def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str, small: bool = False,
+    def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str,
              fact: bool = False) -> DataFrame:
         """Fresh ids in key order, or an upsert into the stored table.
 
@@ -121,12 +117,11 @@ class Migration:
         (the store rewrites just those partitions); new ids continue after the
         maximum of the whole table.
         """
-        from paygrid.operators.dedupe import surrogate_keys_small
         from paygrid.operators.sinks import UPSERT_CONTRACTS, upsert
 
         old = self.existing.get(table)
         if old is None:
-            return surrogate_keys_small(src, keys, id_col) if small else surrogate_keys(src, keys, id_col)
+            return surrogate_keys(src, keys, id_col)
         _, upd = UPSERT_CONTRACTS[table]
         max_id = None
         if fact:
@@ -187,7 +182,7 @@ class Migration:
     @cached_property
     def folha(self) -> DataFrame:
         src = self.folha_src.drop(ORDER_COL)
-        return self._dim("folha_referencia", src, ["mes_ano_folha", "num_folha"], "id_folha_referencia", small=True)
+        return self._dim("folha_referencia", src, ["mes_ano_folha", "num_folha"], "id_folha_referencia")
 
     @cached_property
     def servidor(self) -> DataFrame:
@@ -197,14 +192,15 @@ class Migration:
     @cached_property
     def rubrica(self) -> DataFrame:
         src = self.rubrica_src.withColumn("updated_at", self._ts())
-        return self._dim("rubrica", src, ["codigo_rubrica"], "id_rubrica", small=True)
+        return self._dim("rubrica", src, ["codigo_rubrica"], "id_rubrica")
 
     # -- D2: vinculo -> servidor --------------------------------------------------
     @cached_property
     def vinculo_tagged(self) -> DataFrame:
         ids = self.servidor.select("numfunc", "id_servidor")
         x = self.vinculo_src.join(ids, "numfunc", "left")
-        return x.withColumn("_erro", first_error((F.col("id_servidor").isNull(), MSG_VINCULO_SEM_SERVIDOR)))
+        return materialize(x.withColumn("_erro", first_error((F.col("id_servidor").isNull(), MSG_VINCULO_SEM_SERVIDOR))),
+                           "vinculo")
 
     @cached_property
     def vinculo(self) -> DataFrame:
@@ -233,10 +229,10 @@ class Migration:
     def contracheque_tagged(self) -> DataFrame:
         x = self.contracheque_src.join(self._link_ids(), ["numfunc", "numvinc"], "left")
         x = map_folha(x, self.folha)
-        return x.withColumn("_erro", first_error(
+        return materialize(x.withColumn("_erro", first_error(
             (F.col("id_vinculo").isNull(), MSG_CC_SEM_VINCULO),
             (F.col("id_folha_referencia").isNull(), MSG_CC_SEM_FOLHA),
-        ))
+        )), "contracheque")
 
     CC_COLUMNS = ["id_contracheque", "id_vinculo", "id_folha_referencia", "mes_ano", "numero",
                   "folha_descricao_origem", "competencia", "bruto", "descontos", "liquido",
@@ -282,10 +278,10 @@ class Migration:
         links = self._link_ids().select("numfunc", "numvinc", F.lit(True).alias("_has_link"))
         x = child.join(links, ["numfunc", "numvinc"], "left")
         x = x.join(self.payslip_ids.drop("id_vinculo"), PAYSLIP_KEY, "left")
-        return x.withColumn("_erro", first_error(
+        return materialize(x.withColumn("_erro", first_error(
             (F.col("_has_link").isNull(), msg_link),
             (F.col("id_contracheque").isNull(), msg_cc),
-        )).drop("_has_link")
+        )).drop("_has_link"), "child")
 
     # -- D5: snapshot ---------------------------------------------------------------
     @cached_property
@@ -324,7 +320,10 @@ class Migration:
     def item(self) -> DataFrame:
         ok, _ = reject_split(self.item_tagged)
         codes = self.rubrica.select(F.col("codigo_rubrica").alias("codigo_rubrica_origem"), "id_rubrica")
-        x = _with_period(ok).join(codes, "codigo_rubrica_origem", "left")
+        # Lines without a code match nothing; they stay out of the join, where one task would get them all.
+        ok = _with_period(ok)
+        x = ok.filter("codigo_rubrica_origem is not null").join(codes, "codigo_rubrica_origem", "left")
+        x = x.unionByName(ok.filter("codigo_rubrica_origem is null").withColumn("id_rubrica", F.lit(None).cast("bigint")))
         old = self.existing.get("contracheque_item")
         if old is not None:
             return self._append_items(old, x)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paygrid.operators.dedupe import surrogate_keys
+from paygrid.session import materialize
 
 STATUS_OK = "SUCESSO"
 STATUS_PARTIAL = "SUCESSO_PARCIAL"
@@ -85,6 +86,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     merged = j.select(*out, F.col("t._t").isNotNull().alias("_existing"))
     if id_col is None:
         return merged.drop("_existing")
+    # Written once: the stored and the new rows below are two readers of the join.
+    merged = materialize(merged, "upsert")
     kept = merged.filter("_existing").drop("_existing")
     new = merged.filter(~F.col("_existing")).drop("_existing", id_col)
     # The next free id is one number: read it, then rank the new keys after it.

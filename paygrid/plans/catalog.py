@@ -16,6 +16,7 @@ from paygrid.operators import entities as E
 from paygrid.operators import reconcile as R
 from paygrid.operators.resolve import Migration
 from paygrid.plans import oracle as O
+from paygrid.session import materialize
 from paygrid.sources import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,8 +58,7 @@ SELECT * FROM (
 ) x WHERE divergencia_bruto <> 0 OR divergencia_descontos <> 0 OR divergencia_liquido <> 0
 """)
 def q_divergent(spark, sf_dir):
-    c = R.reconcile_source(wide(spark, sf_dir))
-    return R.divergent(c).orderBy(F.abs("divergencia_liquido").desc(), *E.PAYSLIP_KEY)
+    return R.divergent(R.reconcile_source(wide(spark, sf_dir)))
 
 
 # --- 2.B entity projections --------------------------------------------------------
@@ -204,7 +204,11 @@ class Validation:
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
-        self.w = wide(spark, sf_dir)
+
+    @cached_property
+    def w(self):
+        """The normalised source, written once for all metrics."""
+        return materialize(wide(self.spark, self.sf_dir), "validate")
 
     @cached_property
     def folhas(self):
@@ -212,11 +216,11 @@ class Validation:
 
     @cached_property
     def contracheques(self):
-        return E.contracheques(self.w)
+        return materialize(E.contracheques(self.w), "validate-cc")
 
     @cached_property
     def itens(self):
-        return E.itens(self.w, with_sequence=False)
+        return materialize(E.itens(self.w, with_sequence=False), "validate-itens")
 
     def status(self):
         return Q.mapping_status(self.contracheques, self.folhas)
@@ -245,7 +249,15 @@ def q_mapping_summary(spark, sf_dir):
 @register("mapping_failures_top50", f"""
 SELECT {O.KEY4}, folha_descricao_origem FROM q_status WHERE forma_mapeamento = 'NAO_MAPEADO'
 ORDER BY {O.KEY4} LIMIT 50""")
+def q_mapping_failures_top50(spark, sf_dir):
+    """The report's first 50 examples."""
+    return Q.mapping_failures(Validation(spark, sf_dir).status(), 50)
+
+
+@register("mapping_failures", f"""
+SELECT {O.KEY4}, folha_descricao_origem FROM q_status WHERE forma_mapeamento = 'NAO_MAPEADO'""")
 def q_mapping_failures(spark, sf_dir):
+    """Every unmapped payslip."""
     return Q.mapping_failures(Validation(spark, sf_dir).status())
 
 
@@ -271,7 +283,24 @@ def q_rubrica_quality(spark, sf_dir):
 SELECT {O.KEY4}, codigo_rubrica_origem, nome_rubrica_origem FROM b_item WHERE codigo_rubrica_origem IS NULL
 ORDER BY {O.KEY4}, item_hash LIMIT 50""")
 def q_rubrica_nula_top50(spark, sf_dir):
-    return Q.rubrica_null_examples(Validation(spark, sf_dir).itens)
+    """The report's first 50 examples."""
+    return Q.rubrica_null_lines(Validation(spark, sf_dir).itens, 50)
+
+
+@register("rubrica_nula", f"""
+SELECT {O.KEY4}, codigo_rubrica_origem, nome_rubrica_origem FROM b_item WHERE codigo_rubrica_origem IS NULL""")
+def q_rubrica_nula(spark, sf_dir):
+    """Every line without a pay code."""
+    return Q.rubrica_null_lines(Validation(spark, sf_dir).itens)
+
+
+@register("sem_vinculo_ate_1997", f"""
+SELECT {O.KEY4} FROM b_contracheque c WHERE NOT EXISTS (
+  SELECT 1 FROM wn v WHERE v.mes_ano < DATE '1998-01-01' AND v.numfunc = c.numfunc AND v.numvinc = c.numvinc)""")
+def q_sem_vinculo_ate_1997(spark, sf_dir):
+    """D16 where it finds something: payslips whose link is not among those stored up to 1997."""
+    v = Validation(spark, sf_dir)
+    return Q.sem_vinculo(v.contracheques, E.vinculos(v.w.filter(F.col("mes_ano") < F.lit("1998-01-01").cast("date"))))
 
 
 @register("contracheques_por_mes", "SELECT mes_ano, count(*) AS quantidade FROM b_contracheque GROUP BY 1 ORDER BY 1")
@@ -315,7 +344,7 @@ UNION ALL SELECT 'contracheque', count(*) FROM b_contracheque
 UNION ALL SELECT 'contracheque_snapshot_funcional', count(*) FROM b_snapshot
 UNION ALL SELECT 'contracheque_item', count(*) FROM b_item""")
 def q_dry_run_counts(spark, sf_dir):
-    w = wide(spark, sf_dir)
+    w = Validation(spark, sf_dir).w
     return Q.dry_run_counts({
         "servidor": E.servidores(w), "servidor_vinculo": E.vinculos(w), "rubrica": E.rubricas(w),
         "contracheque": E.contracheques(w), "contracheque_snapshot_funcional": E.snapshots(w),
@@ -333,12 +362,17 @@ def q_validation_alerts(spark, sf_dir):
     O.long_sql("servidor_vinculo", "q_entities", ENT_COLS),
     O.long_sql("rubrica", "q_rubq", RUBQ_COLS),
     O.long_sql("distribuicao", "q_media", ["media_itens_por_contracheque"]),
+    O.long_sql("folhas", "(SELECT count(*) AS total_meses, count(*) FILTER (WHERE quantidade_folhas = 1) AS meses_folha_unica, "
+               "count(*) FILTER (WHERE quantidade_folhas > 1) AS meses_multiplas_folhas FROM q_fmonths) f",
+               ["total_meses", "meses_folha_unica", "meses_multiplas_folhas"]),
+    "SELECT 'contracheques_por_mes', strftime(mes_ano, '%Y-%m'), CAST(count(*) AS VARCHAR) FROM b_contracheque GROUP BY mes_ano",
 ]))
 def q_validation_report(spark, sf_dir):
     v = Validation(spark, sf_dir)
     return Q.validation_report({
         "mapeamento": v.summary(), "servidor_vinculo": v.entities(), "rubrica": v.rubricas(),
-        "distribuicao": Q.media_itens(v.itens)})
+        "distribuicao": Q.media_itens(v.itens), "folhas": Q.folha_month_profile(v.folhas)},
+        {"contracheques_por_mes": Q.contracheques_por_mes(v.contracheques)})
 
 
 # --- 2.D D12-D15 / 2.F F4-F5 / 2.I I11-I16: documents ------------------------------------
@@ -664,12 +698,52 @@ def q_norm_decimal(spark, sf_dir):
 
 
 @register("norm_int", """
-SELECT DISTINCT ' ' || substr(o_orderpriority, 1, 1) || ' ' AS texto_origem,
-       CAST(nullif(trim(' ' || substr(o_orderpriority, 1, 1) || ' '), '') AS BIGINT) AS valor FROM orders""")
+SELECT DISTINCT CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE ' ' || CAST(o_custkey * 7 AS VARCHAR) || ' ' END AS texto_origem,
+       CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_custkey * 7 AS BIGINT) END AS valor FROM orders""")
 def q_norm_int(spark, sf_dir):
     o = T.read_table(spark, sf_dir, "orders")
-    t = F.concat(F.lit(" "), F.substring("o_orderpriority", 1, 1), F.lit(" "))
-    return o.select(t.alias("texto_origem"), N.norm_int(t, is_text=True).alias("valor")).distinct()
+    t = F.when(F.col("o_orderkey") % 9 == 0, F.lit("")).otherwise(
+        F.concat(F.lit(" "), (F.col("o_custkey") * 7).cast("string"), F.lit(" ")))
+    return o.select(t.alias("texto_origem"), N.norm_int(t, "string").alias("valor")).distinct()
+
+
+@register("norm_decimal_text", """
+SELECT DISTINCT t AS texto_origem, CASE WHEN t = '' THEN NULL ELSE CAST((c + CASE WHEN b > 5 OR (b = 5 AND (z OR c % 2 = 1))
+         THEN 1 ELSE 0 END) / 100.0 AS DECIMAL(15,2)) END AS valor
+FROM (SELECT l_orderkey % 1000 * 100 + l_linenumber AS c, l_suppkey % 10 AS b, l_partkey % 2 = 1 AS z,
+        CASE WHEN l_orderkey % 11 = 0 THEN '' ELSE CAST(l_orderkey % 1000 AS VARCHAR) || '.0' || CAST(l_linenumber AS VARCHAR)
+          || CAST(l_suppkey % 10 AS VARCHAR) || CASE WHEN l_partkey % 2 = 1 THEN '00000000000000000000001' ELSE '' END END AS t
+      FROM lineitem) x""")
+def q_norm_decimal_text(spark, sf_dir):
+    """I3 on texts with many decimals: half-even once, from the whole text."""
+    li = T.read_table(spark, sf_dir, "lineitem")
+    s = lambda c: c.cast("string")
+    t = F.when(F.col("l_orderkey") % 11 == 0, F.lit("")).otherwise(F.concat(
+        s(F.col("l_orderkey") % 1000), F.lit(".0"), s(F.col("l_linenumber")), s(F.col("l_suppkey") % 10),
+        F.when(F.col("l_partkey") % 2 == 1, F.lit("00000000000000000000001")).otherwise(F.lit(""))))
+    return li.select(t.alias("texto_origem"), N.norm_decimal(t).alias("valor")).distinct()
+
+
+@register("norm_date_text", """
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d 10:11:12') END AS texto_origem,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS data, count(*) AS quantidade
+FROM orders GROUP BY 1, 2""")
+def q_norm_date_text(spark, sf_dir):
+    """I4 on timestamp texts and empty texts."""
+    o = T.read_table(spark, sf_dir, "orders")
+    t = F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 10:11:12")))
+    return o.groupBy(t.alias("texto_origem"), N.norm_date(t, "string").alias("data")).agg(
+        F.count(F.lit(1)).alias("quantidade"))
+
+
+@register("norm_token_text", """
+SELECT DISTINCT p_name AS texto_origem, 'A ' || upper(p_name) || ' FI 12 A ACAO' AS token FROM part""")
+def q_norm_token_text(spark, sf_dir):
+    """I10 on wide spaces, full-width letters, ligatures, numerals and accents around table values."""
+    p = T.read_table(spark, sf_dir, "part")
+    t = F.concat(F.lit("\u2003\uff41\u2003"), F.col("p_name"), F.lit("  \ufb01 \u246b \u1ea5 a\u00e7\u00e3o\u00df "))
+    return p.select(F.col("p_name").alias("texto_origem"), N.norm_token(t).alias("token")).distinct()
 
 
 @register("norm_date", "SELECT CAST(o_orderdate AS DATE) AS data, count(*) AS quantidade FROM orders GROUP BY 1")
@@ -695,6 +769,30 @@ def q_check_unique(spark, sf_dir):
     return IG.check_unique(model_tables(spark, sf_dir))
 
 
+def broken_tables(spark, sf_dir) -> dict:
+    """The model with planted defects: employees repeated, payslips after 1997 missing, links without a flag."""
+    t = model_tables(spark, sf_dir)
+    return t | {
+        "servidor": t["servidor"].unionByName(t["servidor"].filter(F.col("numfunc") % 10 == 0)),
+        "contracheque": t["contracheque"].filter(F.col("ano") <= 1997),
+        "servidor_vinculo": t["servidor_vinculo"].withColumn("ativo", F.when(F.col("numvinc") != 2, F.col("ativo")))}
+
+
+@register("check_unique_defects", O.unique_sql(O.BROKEN))
+def q_check_unique_defects(spark, sf_dir):
+    return IG.check_unique(broken_tables(spark, sf_dir))
+
+
+@register("check_fk_defects", O.fk_sql(O.BROKEN))
+def q_check_fk_defects(spark, sf_dir):
+    return IG.check_fk(broken_tables(spark, sf_dir))
+
+
+@register("check_not_null_defects", O.not_null_sql(O.BROKEN))
+def q_check_not_null_defects(spark, sf_dir):
+    return IG.check_not_null(broken_tables(spark, sf_dir))
+
+
 @register("check_fk", O.fk_sql())
 def q_check_fk(spark, sf_dir):
     return IG.check_fk(model_tables(spark, sf_dir))
@@ -712,7 +810,7 @@ def q_check_domain(spark, sf_dir):
 
 # --- 2.J incremental load --------------------------------------------------------------------------
 
-ROWS_PER_BATCH = 2_000_000
+STREAM_FILES = 4
 
 
 @register("incremental_load", """
@@ -720,12 +818,11 @@ SELECT c.numfunc, c.numvinc, c.mes_ano, c.numero, k.total_vantagens, k.total_des
        k.divergencia_bruto, k.divergencia_descontos, k.divergencia_liquido
 FROM t_consolidado k JOIN t_cc c USING (id_contracheque)""")
 def q_incremental_load(spark, sf_dir):
-    """The source streamed as consecutive order-key ranges converges to the one-shot load.
+    """The source streamed as files of whole months converges to the one-shot load.
 
-    The source is written as micro-batch files of consecutive ``l_orderkey``
-    ranges (one file per batch, written in order, so the file source replays them
-    in source order); ``foreachBatch`` upserts each into the store. The result is
-    the stored consolidation with its business key.
+    The source is written in one job, range-partitioned by month, and replayed file by file;
+    ``foreachBatch`` upserts each into the store. The result is the stored consolidation with its
+    business key.
     """
     import uuid
 
@@ -736,14 +833,7 @@ def q_incremental_load(spark, sf_dir):
 
     root = f"{ensure_checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}"
     checks = T.payroll_checks(spark, sf_dir)
-    key = F.col("SRC_ORDER.l_orderkey")
-    stats = checks.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    batches = max(3, -(-stats["n"] // ROWS_PER_BATCH))
-    step = (stats["hi"] - stats["lo"]) // batches + 1
-    for i in range(batches):
-        lo = stats["lo"] + i * step
-        part = checks.filter((key >= lo) & (key < lo + step))
-        part.coalesce(1).write.mode("append").parquet(f"{root}/source")
+    checks.repartitionByRange(STREAM_FILES, "MES_ANO").write.parquet(f"{root}/source")
     from pyspark.sql import types as TT
 
     schema = TT.StructType(list(PAYROLL_CHECKS_SCHEMA.fields) + [checks.schema["SRC_ORDER"]])
@@ -774,6 +864,34 @@ def q_keep_last(spark, sf_dir):
                     F.col("src_order.l_linenumber").alias("origem_linenumber"))
 
 
+@register("keep_last_default_order", f"""
+SELECT {O.KEY4}, nome_rubrica, info, vantagem, desconto, auxiliar FROM wd
+WHERE numfunc IS NOT NULL AND numvinc IS NOT NULL AND mes_ano IS NOT NULL AND numero IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY {O.KEY4} ORDER BY from_last) = 1""")
+def q_keep_last_default_order(spark, sf_dir):
+    """F1 on a source without an order column: the struct of all its columns orders the rows."""
+    from paygrid.operators.dedupe import keep_last
+
+    w = E.normalize_checks(T.payroll_checks(spark, sf_dir).drop("SRC_ORDER")).dropna(subset=E.PAYSLIP_KEY)
+    cols = [*E.PAYSLIP_KEY, "nome_rubrica", "info", "vantagem", "desconto", "auxiliar"]
+    return keep_last(w.select(*cols, "src_order"), E.PAYSLIP_KEY).select(*cols)
+
+
+@register("fact_item_default_order", f"""
+SELECT {O.KEY4}, codigo_rubrica_origem, complemento, info, valor_total_item,
+       CAST(row_number() OVER (PARTITION BY {O.KEY4} ORDER BY from_last DESC) AS INTEGER) AS sequencia_item
+FROM (SELECT {O.KEY4}, rubrica AS codigo_rubrica_origem, complemento, info, vantagem, desconto, auxiliar, from_last,
+        CAST(coalesce(vantagem, 0) + coalesce(auxiliar, 0) - coalesce(desconto, 0) AS DECIMAL(15,2)) AS valor_total_item
+      FROM wd WHERE numfunc IS NOT NULL AND numvinc IS NOT NULL AND mes_ano IS NOT NULL AND numero IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY {O.KEY4}, rubrica, coalesce(complemento, ''), coalesce(info, ''),
+        coalesce(vantagem, 0), coalesce(desconto, 0), coalesce(auxiliar, 0) ORDER BY from_last) = 1) x""")
+def q_fact_item_default_order(spark, sf_dir):
+    """B8/F2 on a source without an order column."""
+    w = E.normalize_checks(T.payroll_checks(spark, sf_dir).drop("SRC_ORDER"))
+    return E.itens(w).select(*E.PAYSLIP_KEY, "codigo_rubrica_origem", "complemento", "info", "valor_total_item",
+                             "sequencia_item")
+
+
 @register("item_sequence", f"SELECT {O.KEY4}, item_hash, sequencia_item FROM b_item")
 def q_item_sequence(spark, sf_dir):
     """line number inside the payslip, in source order of the surviving lines."""

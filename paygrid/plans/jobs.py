@@ -1,9 +1,13 @@
 """Run flows: migrate, validate only, dry run, cache refresh.
 
 One lazy plan per output, no chunk loop: the wide source is normalised once
-and written as a bronze table (scanned once, lineage cut), every target table
-is written as a new store version in dependency order and read back before its
-children use it.
+and written (scanned once, lineage cut), every target table is written in
+dependency order and read back before its children use it. A finished or failed
+load deletes its scratch data and superseded table versions.
+
+A payslip without a description match falls back to the only run of its month. "Only" refers to
+all stored runs, those of earlier loads included, so the result of a load does not depend
+on how its source was cut into batches.
 """
 
 from __future__ import annotations
@@ -19,8 +23,9 @@ from paygrid.operators import quality as Q
 from paygrid.operators import reconcile as R
 from paygrid.operators import sinks as S
 from paygrid.operators.resolve import Migration
-from paygrid.plans.options import RunOptions, refresh_scope
+from paygrid.plans.options import RunOptions, Scope, refresh_scope
 from paygrid.sources import period as P
+from paygrid.session import materialize, release_scratch, scratch_mark
 from paygrid.sources.store import FACTS, Store
 
 LOAD_ORDER = [
@@ -46,10 +51,8 @@ def _scan(checks: DataFrame, folhas: DataFrame, o: RunOptions) -> tuple[DataFram
     return c, f
 
 
-def write_bronze(spark: SparkSession, checks: DataFrame, store: Store, name: str = "_bronze") -> DataFrame:
-    """Normalise the wide source once and persist it as a table (scan once, cut lineage)."""
-    return store.write(name, E.normalize_checks(checks))
-
+# Tables that only live during a load.
+SCRATCH = ("_bronze", "_rejects")
 
 AUDIT_COLUMNS = ["id_carga", "tipo_origem", "referencia", "status", "qtd_registros_lidos",
                  "qtd_registros_processados", "qtd_registros_erro", "observacao", "data_inicio", "data_fim"]
@@ -92,18 +95,17 @@ def load_tables(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store
     id_carga = (audit_old.agg(F.max("id_carga")).first()[0] or 0) + 1 if audit_old is not None else 1
     _close_audit(store, id_carga, _audit_row(spark, id_carga, tipo_origem, referencia, S.STATUS_STARTED, None,
                                              load_ts))
-    from paygrid.session import release_scratch, scratch_mark
-
     mark = scratch_mark()
     try:
-        out = _load(spark, checks, folhas, store, load_ts, tipo_origem, referencia, id_carga)
-        # Every table is written; the id and staging frames of this load are not read again.
-        release_scratch(spark, mark)
-        return out
+        return _load(spark, checks, folhas, store, load_ts, tipo_origem, referencia, id_carga)
     except Exception as exc:
         _close_audit(store, id_carga, _audit_row(spark, id_carga, tipo_origem, referencia, S.STATUS_ERROR,
-                                                 str(exc)[:1000], load_ts))
+                                                 str(exc), load_ts))
         raise
+    finally:
+        # Every table is written or the load has failed: nothing reads this load's scratch data again.
+        release_scratch(spark, mark)
+        store.prune(SCRATCH)
 
 
 def _load(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store: Store, load_ts: dt.datetime,
@@ -153,39 +155,48 @@ def _load(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store: Stor
 def migrate(spark: SparkSession, checks: DataFrame, folhas: DataFrame, opts: RunOptions, store: Store,
             load_ts: dt.datetime | None = None) -> DataFrame:
     """Section 3.1: the real migration of one period."""
-    opts.validated()
+    opts = opts.validated()
     c, f = _scan(checks, folhas, opts)
     return load_tables(spark, c, f, store, load_ts, "ORACLE", f"ANO={opts.ano}")
 
 
 def validate(spark: SparkSession, checks: DataFrame, folhas: DataFrame, opts: RunOptions) -> dict[str, DataFrame]:
-    """Section 3.2: validation only; nothing is written. Returns the metric frames."""
-    opts.validated()
+    """Section 3.2: validation only; no table is written. Returns the metric frames, defects in full."""
+    opts = opts.validated()
     c, f = _scan(checks, folhas, opts)
-    w = E.normalize_checks(c)
+    # Written once: every metric below is one more reader.
+    w = materialize(E.normalize_checks(c), "validate")
     fol = E.folhas(E.normalize_folhas(f))
-    cc = E.contracheques(w)
-    it = E.itens(w, with_sequence=False)
-    status = Q.mapping_status(cc, fol)
+    cc = materialize(E.contracheques(w), "validate-cc")
+    it = materialize(E.itens(w, with_sequence=False), "validate-itens")
+    status = materialize(Q.mapping_status(cc, fol), "validate-status")
     summary = Q.mapping_summary(status)
     rq = Q.rubrica_quality(w, it)
-    ent = Q.entity_counts(E.servidores(w), E.vinculos(w), E.rubricas(w), cc)
+    servers = E.servidores(w)
+    links = E.vinculos(w)
+    ent = Q.entity_counts(servers, links, E.rubricas(w), cc)
+    # A link counts when its employee is a usable one, as in the load.
+    without = Q.sem_vinculo(cc, links.join(servers.select("numfunc"), "numfunc", "left_semi"))
+    unlinked = without.agg(F.count(F.lit(1)).alias("contracheques_sem_vinculo"))
+    runs = Q.folha_month_profile(fol)
     return {
-        "folhas_por_mes": Q.folha_month_profile(fol), "meses_multiplos": Q.folha_multi_months(fol),
-        "mapeamento": summary, "exemplos_falha": Q.mapping_failures(status),
-        "servidor_vinculo": ent, "rubrica": rq, "exemplos_rubrica_nula": Q.rubrica_null_examples(it),
+        "folhas_por_mes": runs, "meses_multiplos": Q.folha_multi_months(fol),
+        "mapeamento": summary, "falhas_mapeamento": Q.mapping_failures(status),
+        "servidor_vinculo": ent, "rubrica": rq, "rubricas_nulas": Q.rubrica_null_lines(it),
+        "sem_vinculo": without,
         "contracheques_por_mes": Q.contracheques_por_mes(cc), "media_itens": Q.media_itens(it),
         "alertas": Q.validation_alerts(summary, rq),
-        "relatorio": Q.validation_report({"mapeamento": summary, "servidor_vinculo": ent, "rubrica": rq,
-                                          "distribuicao": Q.media_itens(it)}),
+        "relatorio": Q.validation_report({"mapeamento": summary, "servidor_vinculo": ent, "sem_vinculo": unlinked,
+                                          "rubrica": rq, "distribuicao": Q.media_itens(it), "folhas": runs},
+                                         {"contracheques_por_mes": Q.contracheques_por_mes(cc)}),
     }
 
 
 def dry_run(spark: SparkSession, checks: DataFrame, folhas: DataFrame, opts: RunOptions) -> DataFrame:
     """Section 3.2 (dry run): rows of the six entity frames, nothing written."""
-    opts.validated()
+    opts = opts.validated()
     c, _ = _scan(checks, folhas, opts)
-    w = E.normalize_checks(c)
+    w = materialize(E.normalize_checks(c), "dry-run")
     return Q.dry_run_counts({
         "servidor": E.servidores(w), "servidor_vinculo": E.vinculos(w), "rubrica": E.rubricas(w),
         "contracheque": E.contracheques(w), "contracheque_snapshot_funcional": E.snapshots(w),
@@ -199,7 +210,7 @@ def refresh_cache(spark: SparkSession, opts: RunOptions, store: Store,
     Only the (ano, mes) partitions of the scope and of the new documents are read
     and rewritten; a scope partition left without documents is dropped.
     """
-    opts.validated()
+    opts = opts.validated()
     scope, matricula = refresh_scope(opts)
     t = store.read_all()
     cands = D.candidates(t["contracheque"], t["servidor_vinculo"], t["servidor"], t["folha_referencia"],
@@ -212,9 +223,9 @@ def refresh_cache(spark: SparkSession, opts: RunOptions, store: Store,
     periods = {(r["ano"], r["mes"]) for r in rows.select("ano", "mes").distinct().collect()}
     scope_periods: set = set()
     removed = None
-    if cache_all is not None and scope is not None:
+    if cache_all is not None and scope is not Scope.NONE:
         sp = cache_all.filter(F.col("ano") == opts.ano)
-        if scope != "ano":
+        if scope is not Scope.YEAR:
             sp = sp.filter(F.col("mes") == opts.mes)
         scope_periods = {(r["ano"], r["mes"]) for r in sp.select("ano", "mes").distinct().collect()}
     touched = periods | scope_periods
@@ -227,13 +238,11 @@ def refresh_cache(spark: SparkSession, opts: RunOptions, store: Store,
         for a, mth in touched:
             cond = cond | ((F.col("ano") == a) & (F.col("mes") == mth))
         cache = cache_all.filter(cond).select(*rows.columns)
-        if scope is not None:
-            cache, removed = S.scoped_delete(cache, opts.ano, None if scope == "ano" else opts.mes, matricula)
+        if scope is not Scope.NONE:
+            cache, removed = S.scoped_delete(cache, opts.ano, None if scope is Scope.YEAR else opts.mes, matricula)
         counts = S.cache_upsert_counts(cache, rows, keys)
         new_cache = S.upsert(cache, rows, keys, upd, id_col=None)
     # Everything that reads the old cache is computed before its partitions are replaced.
-    from paygrid.session import materialize
-
     staged = materialize(new_cache, "cache-stage")
     parts = [S.counts_row({"elegiveis": cands}), counts,
              payload.agg(F.coalesce(F.sum(F.size("contracheque.rubricas")), F.lit(0)).alias("total_rubricas"))]

@@ -9,16 +9,36 @@ from __future__ import annotations
 
 import re
 
-from paygrid.functions.normalize import month_token_groups
-from paygrid.operators.entities import CHECK_COLUMNS, FOLHA_COLUMNS
-
+# The oracle spells out its own fixed values: nothing here comes from the code under test.
 KEY4 = "numfunc, numvinc, mes_ano, numero"
 
-
-from paygrid.functions.normalize import WHITESPACE  # noqa: E402
-
-WS_SQL = "(" + " || ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
-WS_RE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
+# Code points that the source's strip() removes.
+WHITESPACE = [0x9, 0xa, 0xb, 0xc, 0xd, 0x1c, 0x1d, 0x1e, 0x1f, 0x20, 0x85, 0xa0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003,
+              0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200a, 0x2028, 0x2029, 0x202f, 0x205f, 0x3000]
+
+# Month names of run descriptions by number.
+MONTHS = {
+    "01": ["JANEIRO", "JAN"], "02": ["FEVEREIRO", "FEV", "FEB"], "03": ["MARCO", "MARÇO", "MAR"],
+    "04": ["ABRIL", "ABR", "APR"], "05": ["MAIO", "MAI", "MAY"], "06": ["JUNHO", "JUN"], "07": ["JULHO", "JUL"],
+    "08": ["AGOSTO", "AGO", "AUG"], "09": ["SETEMBRO", "SET", "SEP"], "10": ["OUTUBRO", "OUT", "OCT"],
+    "11": ["NOVEMBRO", "NOV"], "12": ["DEZEMBRO", "DEZ", "DEC"],
+}
+
+# Kind of every column of the two sources, in source order.
+CHECK_COLUMNS = {
+    "MES_ANO": "date", "NUMERO": "int", "NUMFUNC": "int", "NUMVINC": "int", "DATA_CONSOLIDACAO": "date",
+    "DT_LIB_C_CHEQUE": "date", "CPF": "str", "NOME": "str", "PIS_PASEP": "str", "IDENTIDADE": "str",
+    "ID_FUNCIONAL": "str", "REGIME_JURIDICO": "str", "TIPO_VINCULO": "str", "FOLHA": "str", "COMPETENCIA": "str",
+    "ORGAO": "str", "CARGO": "str", "REF_CARGO": "str", "FUNCAO": "str", "REF_FUNCAO": "str", "MUNICIPIO": "str",
+    "SETOR": "str", "BANCO": "str", "AGENCIA": "str", "CONTA": "str", "CARGA_HORARIA": "hours", "BRUTO": "money",
+    "DESCONTOS": "money", "LIQUIDO": "money", "RUBRICA": "int", "NOME_RUBRICA": "str", "TIPO_RUBRICA": "str",
+    "COMPLEMENTO": "str", "INFO": "str", "VANTAGEM": "money", "DESCONTO": "money", "AUXILIAR": "money",
+}
+FOLHA_COLUMNS = {"MES_ANO_FOLHA": "date", "NUM_FOLHA": "int", "FOLHA": "str", "DATA_CONSOLIDACAO": "date",
+                 "DT_LIB_C_CHEQUE": "date"}
+
+WS_SQL = "(" + " || ".join(f"chr({c})" for c in WHITESPACE) + ")"
+WS_RE = "[" + "".join(f"\\x{{{c:x}}}" for c in WHITESPACE) + "]+"
 
 
 def _trim(x: str) -> str:
@@ -37,16 +57,16 @@ def _norm(kind: str, x: str) -> str:
     if kind == "date":
         return f"CAST({x} AS DATE)"
     if kind == "money":
-        return f"CAST(round_even(TRY_CAST({x} AS DECIMAL(38,10)), 2) AS DECIMAL(15,2))"
+        return f"CAST(round_even(TRY_CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), 2) AS DECIMAL(15,2))"
     if kind == "hours":
-        return f"CAST(round_even(TRY_CAST({x} AS DECIMAL(38,10)), 2) AS DECIMAL(10,2))"
+        return f"CAST(round_even(TRY_CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), 2) AS DECIMAL(10,2))"
     raise ValueError(kind)
 
 
 def folha_desc_sql(x: str) -> str:
     """Run-description canonical form (same rules as ``norm_folha_desc``; RE2 has no look-behind)."""
     out = f"upper(regexp_replace({_strip(x)}, '{WS_RE}', ' ', 'g'))"
-    for number, aliases in month_token_groups().items():
+    for number, aliases in MONTHS.items():
         alt = "|".join(aliases)
         out = f"regexp_replace({out}, '(^|[^A-ZÇ])({alt})/([0-9]{{4}})', '\\1{number}/\\3', 'g')"
     return f"regexp_replace({out}, '(^|[^0-9])([0-9])/([0-9]{{4}})', '\\10\\2/\\3', 'g')"
@@ -75,7 +95,7 @@ def _folha_text(m: str, p: str) -> str:
 
 
 M0 = "CAST(date_trunc('month', o.o_orderdate) AS DATE)"
-PRIO = "CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT)"
+PRIO = "CAST(split_part(o.o_orderpriority, '-', 1) AS BIGINT)"
 BRUTO = "CAST(o.o_totalprice AS DECIMAL(15,2))"
 DESC10 = f"CAST(round_even({BRUTO} * 0.10, 2) AS DECIMAL(15,2))"
 PRICE = "CAST(l.l_extendedprice AS DECIMAL(15,2))"
@@ -197,6 +217,11 @@ SELECT {KEY4}, orgao, cargo, ref_cargo, funcao, ref_funcao, municipio, setor, re
 FROM wn WHERE numfunc IS NOT NULL AND numvinc IS NOT NULL AND mes_ano IS NOT NULL AND numero IS NOT NULL
 {_last(KEY4)}""", ["wn"])
 
+# Source order where no order column is given: all columns in order, NULL smallest.
+DEFAULT_LAST = ", ".join(f"{c} DESC NULLS LAST" for c in CHECK_COLUMNS)
+cte("wd", "SELECT " + ",\n  ".join([f"{_norm(kind, name)} AS {name.lower()}" for name, kind in CHECK_COLUMNS.items()])
+    + f",\n  row_number() OVER (ORDER BY {DEFAULT_LAST}) AS from_last\nFROM w", ["w"])
+
 Z = "CAST(0 AS DECIMAL(15,2))"
 cte("b_item0", f"""
 SELECT {KEY4}, rubrica AS codigo_rubrica_origem, nome_rubrica AS nome_rubrica_origem,
@@ -404,7 +429,7 @@ QUALIFY row_number() OVER (PARTITION BY c.id_contracheque
 
 _ORD5 = "num_folha ASC NULLS LAST, numero ASC NULLS LAST, id_contracheque"
 cte("d_num", f"""
-SELECT unnest(ids) AS id_contracheque, CAST(unnest(used) AS INTEGER) AS folha_numero FROM (
+SELECT unnest(ids) AS id_contracheque, unnest(used) AS folha_numero FROM (
   SELECT list(id_contracheque ORDER BY {_ORD5}) AS ids,
     list_reduce(list([num_folha, numero, id_contracheque] ORDER BY {_ORD5}),
       lambda acc, x: list_append(acc, coalesce(
@@ -478,40 +503,54 @@ def _u(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def unique_sql() -> str:
+# Tables with planted defects: employees repeated, payslips after 1997 missing, links without a flag.
+BROKEN = TABLE_CTE | {
+    "servidor": "(SELECT * FROM t_servidor UNION ALL SELECT * FROM t_servidor WHERE numfunc % 10 = 0)",
+    "contracheque": "(SELECT * FROM t_cc WHERE ano <= 1997)",
+    "servidor_vinculo": "(SELECT * REPLACE (CASE WHEN numvinc = 2 THEN NULL ELSE ativo END AS ativo) FROM t_vinculo)",
+}
+
+
+def unique_sql(tables: dict[str, str] = TABLE_CTE) -> str:
     out = []
     for t, keys in _SC.UNIQUE.items():
-        if t not in TABLE_CTE:
+        if t not in tables:
             continue
         k = ", ".join(keys)
         nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
         out.append(f"SELECT '{t}' AS tabela, 'unique({','.join(keys)})' AS restricao, "
                    f"CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS violacoes "
-                   f"FROM (SELECT count(*) AS n FROM {TABLE_CTE[t]} WHERE {nn} GROUP BY {k}) g")
+                   f"FROM (SELECT count(*) AS n FROM {tables[t]} x WHERE {nn} GROUP BY {k}) g")
     return _u(out)
 
 
-def fk_sql() -> str:
+def fk_sql(tables: dict[str, str] = TABLE_CTE) -> str:
     out = []
     for child, col, parent, pcol in _SC.FOREIGN_KEYS:
+        if child not in tables or parent not in tables:
+            continue
         out.append(f"SELECT '{child}' AS tabela, 'fk({col})->{parent}' AS restricao, CAST(count(*) AS BIGINT) AS violacoes "
-                   f"FROM {TABLE_CTE[child]} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
-                   f"(SELECT 1 FROM {TABLE_CTE[parent]} p WHERE p.{pcol} = c.{col})")
+                   f"FROM {tables[child]} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM {tables[parent]} p WHERE p.{pcol} = c.{col})")
     return _u(out)
 
 
-def not_null_sql() -> str:
+def not_null_sql(tables: dict[str, str] = TABLE_CTE) -> str:
     out = []
     for t, cols in _SC.NOT_NULL.items():
+        if t not in tables:
+            continue
         for c in cols:
             out.append(f"SELECT '{t}' AS tabela, 'not_null({c})' AS restricao, "
-                       f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violacoes FROM {TABLE_CTE[t]}")
+                       f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violacoes FROM {tables[t]} x")
     return _u(out)
 
 
 def domain_sql() -> str:
     out = []
     for t in sorted(set(_SC.VARCHAR) | set(_SC.NUMERIC)):
+        if t not in TABLE_CTE:
+            continue
         for c, n in _SC.VARCHAR.get(t, {}).items():
             out.append(f"SELECT '{t}' AS tabela, 'varchar({c},{n})' AS restricao, "
                        f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violacoes FROM {TABLE_CTE[t]}")

@@ -31,18 +31,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, set as the checkpoint folder.
 
-    On a cluster this setting points at shared storage and is only read here.
-    When it is unset (local tests), a fresh scratch folder is created for it.
+    Only a local master (tests) may leave it unset and gets a fresh scratch folder; elsewhere a
+    driver-local folder would be invisible to the executors, so that is an error.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="paygrid-ckpt-", dir=os.environ.get("PAYGRID_SCRATCH", "/tmp"))
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="paygrid-ckpt-", dir=os.environ.get("PAYGRID_SCRATCH")))
+    return sc.getCheckpointDir()
 
 
 def materialize(df, name: str = "tmp"):

@@ -55,8 +55,41 @@ def test_norm_string(spark, raw, expected):
 
 
 def test_norm_int_text(spark):
-    assert one(spark, lambda c: N.norm_int(c, is_text=True), " 12 ") == 12
-    assert one(spark, lambda c: N.norm_int(c, is_text=True), "") is None
+    assert one(spark, lambda c: N.norm_int(c, "string"), " 12 ") == 12
+    assert one(spark, lambda c: N.norm_int(c, "string"), "") is None
+    with pytest.raises(Exception):      # white space alone is no number
+        one(spark, lambda c: N.norm_int(c, "string"), "  ")
+
+
+def test_norm_int_nan(spark):
+    assert one(spark, lambda c: N.norm_int(c, "double"), float("nan"), "v double") is None
+    assert one(spark, lambda c: N.norm_int(c, "double"), 7.0, "v double") == 7
+
+
+@pytest.mark.parametrize("raw", ["2.66500000000001", "2.665", "2.675", "-2.665", "0.005", "0.015", "1e3", "12.34499999999999999999999",
+                                 "2.66500000000000000000000000000001", "999999.994999", "7"])
+def test_norm_decimal_rounds_once(spark, raw):
+    assert one(spark, N.norm_decimal, raw) == Decimal(raw).quantize(Decimal("0.01"))
+
+
+@pytest.mark.parametrize("raw,expected", [("", None), (None, None), ("2026-01-02", dt.date(2026, 1, 2)),
+                                          ("2026-01-02 10:11:12", dt.date(2026, 1, 2))])
+def test_norm_date_text(spark, raw, expected):
+    assert one(spark, lambda c: N.norm_date(c, "string"), raw) == expected
+
+
+def test_norm_date_raises_on_bad_text(spark):
+    with pytest.raises(Exception):
+        one(spark, lambda c: N.norm_date(c, "string"), "amanha")
+
+
+@pytest.mark.parametrize("raw", ["A\u2003B", "\uff21\uff22 \u1ea5 \ufb01 \u216b \u00bd", "stra\u00dfe \u00c7\u00e3o", "\u338f\u2460 x", " e\u0301 ", ""])
+def test_norm_token_is_nfkd(spark, raw):
+    import re
+    import unicodedata
+
+    want = re.sub(r"\s+", " ", unicodedata.normalize("NFKD", raw.strip()).encode("ascii", "ignore").decode()).strip().upper()
+    assert one(spark, N.norm_token, raw) == want
 
 
 def test_stable_hash(spark):
