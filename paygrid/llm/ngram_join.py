@@ -300,7 +300,7 @@ def with_partner_length(members: DataFrame, percent: int) -> DataFrame:
     classes of a unit are counted by a pre-aggregating groupBy. Dropped members lose no pair.
     """
     step = math.log(100.0 / percent)
-    m = members.withColumn("cls", F.floor(F.log("size") / F.lit(step)).cast("int"))
+    m = members.withColumn("cls", F.floor(F.log("size") / F.lit(step * 1.000001)).cast("int"))
     near = m.select("unit", F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("cls"))
     counts = near.groupBy("unit", "cls").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return m.join(counts.select("unit", "cls"), ["unit", "cls"], "left_semi").select("unit", "rep")
