@@ -36,11 +36,14 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: str | Column = ORDER_CO
         payload.append(order)
     if not payload:
         return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), order_col).alias("_row"))
-    out = picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
+    # The order column already holds every field that decides; carried once, it is also the row's order.
+    rest = [c for c in payload if c != order]
+    picked = df.groupBy(*keys).agg(F.max(F.struct(order_col.alias("_order"), *rest)).alias("_row"))
+    out = picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest],
+                        *([F.col("_row._order").alias(order)] if isinstance(order, str) and order in payload else []))
     if isinstance(order, str) and not keep_order and order in out.columns:
         out = out.drop(order)
-    return out
+    return out.select(*[c for c in [*keys, *payload] if c in out.columns])
 
 
 def sequence_in_group(df: DataFrame, keys: Sequence[str], order: str = ORDER_COL,

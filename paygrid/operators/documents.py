@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paygrid.functions import normalize as N
+from paygrid.session import materialize
 
 FOLHA_NUMBER_BASE = 900000000   # first fallback run number (fixed value)
 
@@ -119,8 +120,12 @@ def document_totals(classified: DataFrame) -> DataFrame:
                     (F.col("bruto") - F.col("descontos")).cast(N.MONEY).alias("liquido"), "total_rubricas")
 
 
-def document_lines(classified: DataFrame) -> DataFrame:
-    """Ordered list of line objects per payslip (sequencia_item NULLS LAST, id)."""
+def document_bodies(classified: DataFrame) -> DataFrame:
+    """E14 + E15 in one aggregate: totals and the ordered list of line objects per payslip.
+
+    Lines go by sequencia_item (NULLS LAST), then id. The list is the document itself, so one payslip's
+    lines meet in one task by definition of the output.
+    """
     line = F.struct(
         F.col("sequencia_item").isNull().alias("o1"), F.col("sequencia_item").alias("o2"),
         F.col("id_contracheque_item").alias("o3"),
@@ -128,10 +133,15 @@ def document_lines(classified: DataFrame) -> DataFrame:
         F.coalesce(N.norm_string("nome_rubrica_origem"), F.lit("")).alias("descricao"),
         F.col("tipo").alias("tipo"),
         F.col("valor").cast("double").alias("valor"))
-    g = classified.groupBy("id_contracheque").agg(F.array_sort(F.collect_list(line)).alias("_l"))
-    return g.select("id_contracheque", F.transform("_l", lambda e: F.struct(
-        e["codigo"].alias("codigo"), e["descricao"].alias("descricao"), e["tipo"].alias("tipo"),
-        e["valor"].alias("valor"))).alias("rubricas"))
+    z = N.zero()
+    g = classified.groupBy("id_contracheque").agg(
+        F.coalesce(F.sum(F.when(F.col("tipo") == "VANTAGEM", F.col("valor"))), z).alias("bruto"),
+        F.coalesce(F.sum(F.when(F.col("tipo") == "DESCONTO", F.col("valor"))), z).alias("descontos"),
+        F.sort_array(F.collect_list(line)).alias("_l"))
+    return g.select("id_contracheque", F.col("bruto").cast(N.MONEY).alias("bruto"), F.col("descontos").cast(N.MONEY).alias("descontos"),
+                    F.transform("_l", lambda e: F.struct(
+                        e["codigo"].alias("codigo"), e["descricao"].alias("descricao"), e["tipo"].alias("tipo"),
+                        e["valor"].alias("valor"))).alias("rubricas"))
 
 
 def _txt(c: str) -> Column:
@@ -140,13 +150,11 @@ def _txt(c: str) -> Column:
 
 def payloads(cands: DataFrame, items: DataFrame) -> DataFrame:
     """B9 + I14-I16 + I18 + I21: the cache rows with the nested document."""
+    # Written once: the semi join, the numbering and the document read the candidates.
+    cands = materialize(cands, "candidates")
     classified = classified_items(items.join(cands.select("id_contracheque"), "id_contracheque", "left_semi"))
-    totals = document_totals(classified)
-    lines = document_lines(classified)
-    nums = folha_numbers(cands)
-    x = (cands.join(nums, "id_contracheque", "inner")
-         .join(totals, "id_contracheque", "left")
-         .join(lines, "id_contracheque", "left"))
+    x = (cands.join(folha_numbers(cands), "id_contracheque", "inner")
+         .join(document_bodies(classified), "id_contracheque", "left"))
     z = N.zero()
     folha_desc = F.coalesce(N.norm_string("descricao_folha"), N.norm_string("folha_descricao_origem"), F.lit(""))
     tipo = N.folha_tipo(folha_desc)

@@ -467,6 +467,45 @@ def q_cache_documents(spark, sf_dir):
     return D.to_cache_rows(D.payloads(c, m.item))
 
 
+DOC_KEY = "CAST(d.numfunc AS VARCHAR) AS matricula, CAST(d.ano AS INTEGER) AS ano, CAST(d.mes AS INTEGER) AS mes, n.folha_numero"
+DOC_TEXTS = {"nome": "nome", "cpf": "cpf", "id_funcional": "id_funcional", "orgao": "orgao", "cargo": "cargo",
+             "referencia_cargo": "ref_cargo", "funcao": "funcao", "referencia_funcao": "ref_funcao",
+             "municipio": "municipio", "setor": "setor", "banco": "banco", "agencia": "agencia", "conta": "conta",
+             "pis_pasep": "pis_pasep", "identidade": "identidade"}
+
+
+def _parsed_documents(spark, sf_dir):
+    """The cache rows with their JSON text parsed again."""
+    m, c = doc_inputs(spark, sf_dir)
+    texts = ", ".join(f"{k}: string" for k in DOC_TEXTS)
+    schema = (f"servidor struct<{texts}>, resumo struct<bruto: double, descontos: double, liquido: double>, "
+              "rubricas array<struct<codigo: bigint, descricao: string, tipo: string, valor: double>>")
+    rows = D.to_cache_rows(D.payloads(c, m.item))
+    return rows.select("matricula", "ano", "mes", "folha_numero", F.from_json("contracheque_json", schema).alias("d"))
+
+
+@register("cache_document_lines", f"""
+SELECT {DOC_KEY}, CAST(row_number() OVER (PARTITION BY x.id_contracheque ORDER BY x.sequencia_item NULLS LAST,
+         x.id_contracheque_item) - 1 AS INTEGER) AS posicao, coalesce(x.codigo_rubrica_origem, 0) AS codigo,
+       coalesce({O._strip('x.nome_rubrica_origem')}, '') AS descricao, x.tipo, CAST(x.valor AS DOUBLE) AS valor
+FROM d_class x JOIN d_cand d USING (id_contracheque) JOIN d_num n USING (id_contracheque)""")
+def q_cache_document_lines(spark, sf_dir):
+    """The lines of every JSON document, in order, read back from its text."""
+    return _parsed_documents(spark, sf_dir).select(
+        "matricula", "ano", "mes", "folha_numero", F.posexplode("d.rubricas").alias("posicao", "r")).select(
+        "matricula", "ano", "mes", "folha_numero", "posicao", "r.*")
+
+
+@register("cache_document_fields", f"""
+SELECT {DOC_KEY}, {', '.join(f"coalesce({O._strip('d.' + c)}, '') AS {k}" for k, c in DOC_TEXTS.items())},
+       CAST(coalesce(t.bruto, 0) AS DOUBLE) AS bruto, CAST(coalesce(t.descontos, 0) AS DOUBLE) AS descontos,
+       CAST(coalesce(t.bruto, 0) - coalesce(t.descontos, 0) AS DOUBLE) AS liquido
+FROM d_cand d JOIN d_num n USING (id_contracheque) LEFT JOIN d_tot t USING (id_contracheque)""")
+def q_cache_document_fields(spark, sf_dir):
+    """The text fields and totals of every JSON document, read back from its text."""
+    return _parsed_documents(spark, sf_dir).select("matricula", "ano", "mes", "folha_numero", "d.servidor.*", "d.resumo.*")
+
+
 @register("cache_summary", """
 SELECT (SELECT count(*) FROM d_cand) AS elegiveis, count(*) AS processados,
        CAST(sum(n_rubricas) AS BIGINT) AS total_rubricas FROM d_payload""")
@@ -946,3 +985,21 @@ def q_upsert_rubrica(spark, sf_dir):
 def q_load_errors_payload(spark, sf_dir):
     """Reject rows with the source row as JSON (checked by rows: JSON number text differs by engine)."""
     return S.error_rows(migration(spark, sf_dir).rejects(with_payload=True), 1)
+
+
+def _reject_sql(entity: str, key: str, tag: str, number: str) -> str:
+    return (f"SELECT '{entity}' AS entidade, {key} AS chave_origem, _erro AS mensagem_erro, numfunc, numvinc, "
+            f"{number} AS numero FROM {tag} WHERE _erro IS NOT NULL")
+
+
+@register("load_errors_fields", "\nUNION ALL\n".join([
+    _reject_sql("servidor_vinculo", "concat_ws(':', numfunc, numvinc)", "v_tag", "CAST(NULL AS BIGINT)"),
+    _reject_sql("contracheque", "concat_ws(':', numfunc, numvinc, mes_ano, numero)", "c_tag", "numero"),
+    _reject_sql("contracheque_snapshot_funcional", "concat_ws(':', numfunc, numvinc, mes_ano, numero)", "s_tag", "numero"),
+    _reject_sql("contracheque_item", "item_hash", "i_tag", "numero")]))
+def q_load_errors_fields(spark, sf_dir):
+    """Key fields of the rejected source rows, read back from their JSON text."""
+    r = migration(spark, sf_dir).rejects(with_payload=True)
+    p = F.from_json("payload_origem", "numfunc bigint, numvinc bigint, numero bigint")
+    return r.select("entidade", "chave_origem", "mensagem_erro", p.alias("p")).select(
+        "entidade", "chave_origem", "mensagem_erro", "p.*")
