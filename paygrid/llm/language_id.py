@@ -2,7 +2,7 @@
 
 The model counts character 1- to 3-grams per language, hashed into a fixed table, over a
 bounded sample of the training rows (``MAX_TRAIN`` documents, chosen by a hash of their
-text). A word's score under a language is its mean log-probability per gram times a
+id). A word's score under a language is its mean log-probability per gram times a
 capped gram count. The scripts that a language uses are learned from the same sample: a
 word in a script that some learned language uses is scored only under those languages.
 A Viterbi path over the words of a text, with a penalty for switching languages, labels
@@ -184,16 +184,17 @@ class Model:
 
 
 def train(docs: DataFrame, max_docs: int = MAX_TRAIN) -> Model:
-    """Fit the model on at most about ``max_docs`` rows of ``text, lang`` (both non-null)."""
-    rows = docs.select("text", "lang").filter("text is not null and lang is not null")
-    count = rows.groupBy("lang").count().collect()      # one row per language
+    """Fit the model on at most about ``max_docs`` rows of ``doc_id, text, lang`` (text and lang non-null)."""
+    rows = docs.filter("lang is not null").select("doc_id", "text", "lang")
+    count = rows.groupBy("lang").count().collect()      # one row per language; texts are not read
     langs = sorted(r["lang"] for r in count)
     total = sum(r["count"] for r in count)
     if not langs:
         return Model([], np.zeros((0, 1 << TABLE_BITS)), np.zeros((0, len(NAMES))))
     if total > max_docs:
         keep = int(max_docs / total * (1 << 20))
-        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < keep)
+        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < keep)
+    rows = rows.filter("text is not null").select("text", "lang")
     index = {x: i for i, x in enumerate(langs)}
 
     def count_grams(batches):
@@ -211,8 +212,8 @@ def train(docs: DataFrame, max_docs: int = MAX_TRAIN) -> Model:
                     scripts[k] += np.bincount(script[script >= 0], weights=(times * letters)[script >= 0], minlength=len(NAMES))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((counts, scripts))], pa.binary())], ["part"])
 
-    # Eight tasks of bounded input, one fixed-size table each.
-    parts = rows.coalesce(8).mapInArrow(count_grams, "part binary").collect()
+    # The sample is bounded, so it is counted in eight tasks, one fixed-size table each.
+    parts = rows.repartition(8).mapInArrow(count_grams, "part binary").collect()
     tables = [pickle.loads(p["part"]) for p in parts]
     return Model(langs, sum(t[0].astype(np.float64) for t in tables), sum(t[1] for t in tables))
 

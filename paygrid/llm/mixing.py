@@ -134,15 +134,14 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     A pass that covers at least half of a document keeps that copy, whole; documents that the
     mix leaves out, and those without words, are not part of it. Columns are those of ``docs``.
     """
-    cols = docs.columns
-    ident = F.xxhash64(*[c for c in cols if c != "doc_id"])
-    keyed = docs.withColumn("_key", ident)
-    plan = mix(keyed, ("doc_id", "_key"))
+    others = [c for c in docs.columns if c != "doc_id"]
+    # The row travels as one struct, so its column names cannot clash with those used here.
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"), F.xxhash64(*others).alias("key"))
+    plan = mix(rows, ("doc_id", "key"))
     copies = (plan.filter("taken > 0")
-                  .withColumn("copies", F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)))
-                  .groupBy("doc_id", "_key").agg(F.sum("copies").alias("_copies")))
-    rows = keyed.dropDuplicates(["doc_id", "_key"])
-    same = rows["doc_id"].eqNullSafe(copies["doc_id"]) & (rows["_key"] == copies["_key"])
-    out = rows.join(copies.select("doc_id", "_key", "_copies"), same)
-    out = out.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return out.select(*[rows[c] for c in cols])
+                  .withColumn("n", F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)))
+                  .groupBy(F.col("doc_id").alias("id"), F.col("key").alias("k")).agg(F.sum("n").alias("n")).filter("n > 0"))
+    # Equal rows share their copies: one of them stands for all.
+    one = rows.select("doc_id", "key", "row").dropDuplicates(["doc_id", "key"])
+    out = one.join(copies, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k")))
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("row.*")

@@ -3,7 +3,7 @@
 The base patterns (email, ip, card, phone) always stand. The field labels every token that
 holds a digit or ``@``: node potentials are smoothed log-probabilities of a label given the
 token's shape, chain potentials those of neighbouring labels, both learned from the base
-labels of a bounded sample (at most about ``MAX_TRAIN`` documents that hold such a token). Distant
+labels of a bounded sample (at most about ``MAX_TRAIN`` documents, chosen by a hash of their id). Distant
 tokens that repeat or resemble each other (same text, or same last digits) share a skip
 potential that favours one label for both. Damped loopy belief propagation runs over all
 documents of a slice at once; tokens whose marginal for one kind reaches ``CERTAIN`` add
@@ -30,7 +30,7 @@ from .arrow import map_slices, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-MAX_TRAIN = 20_000          # documents with a candidate token that the potentials are learned on
+MAX_TRAIN = 50_000          # documents that the potentials are learned on, at most (in expectation)
 SMOOTH = 5.0                # pseudo-counts of the coarser distribution
 SKIP = 2.0                  # potential of equal labels across a skip edge
 CLAMP = 30.0                # potential of a known label
@@ -245,11 +245,12 @@ def _candidates(b: pa.RecordBatch) -> list[int]:
 
 
 def fit(docs: DataFrame, max_docs: int = MAX_TRAIN) -> Model:
-    """Learn the potentials on a sample of at most about ``max_docs`` documents with a candidate token."""
-    rows = docs.select("text").filter(F.col("text").rlike("[0-9@]"))
-    n = rows.count()
+    """Learn the potentials on a sample of at most about ``max_docs`` documents."""
+    rows = docs.select("doc_id", "text")
+    n = docs.select("doc_id").count()
     if n > max_docs:
-        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(max_docs / n * (1 << 20)))
+        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(max_docs / n * (1 << 20)))
+    rows = rows.filter(F.col("text").rlike("[0-9@]")).select("text")
 
     def run(batches):
         c: Counter = Counter()

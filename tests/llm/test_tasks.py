@@ -112,8 +112,8 @@ def test_language_held_out_accuracy(spark):
 def test_language_edges(spark):
     train = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     greek = spark.createDataFrame([("αβγ δεζ ηθι " * 20, "el")] * 3, "text string, lang string")
-    model = language_id.train(train.select("text", "lang").unionByName(greek).unionByName(
-        spark.createDataFrame([(None, "en"), ("text", None)], "text string, lang string")))
+    more = greek.unionByName(spark.createDataFrame([(None, "en"), ("text", None)], "text string, lang string"))
+    model = language_id.train(train.select("doc_id", "text", "lang").unionByName(more, allowMissingColumns=True))
     en, de = [train.filter(F.col("lang") == x).orderBy("doc_id").first().text.split()[:60] for x in ("en", "de")]
     rows = list(enumerate(ODD)) + [(100, " ".join(en + de)), (101, "ζηθ " * 5), (102, "漢字"), (None, " ".join(de)), (103, "12 34 !!")]
     got = {r.doc_id: r for r in language_id.predict(frame(spark, rows), model).collect()}
