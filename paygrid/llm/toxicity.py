@@ -13,7 +13,9 @@ the best hit of every family of terms (terms with the same first letters, which
 occur together).
 
 Fitting reads a bounded sample: at most about ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` clean
-labelled rows, chosen by a hash of the id. Scoring reads every word of every text.
+labelled rows, chosen by a hash of the id. Of copies and near copies in the sample (equal in
+one of a few minimum hashes) one is kept, so a text that occurs often does not make its
+words look telling. Scoring reads every word of every text.
 
 Defined cases: null and empty texts have no hit and get the score of a text without hits.
 Without training rows of both classes nothing is known: every score is the prior (0.5
@@ -36,6 +38,7 @@ from paygrid.session import materialize
 from .arrow import map_slices, text_slices
 from .common import crc_mod
 from .language_id import split_words
+from .ngram_join import _mix, shingle_sets
 
 MAX_TOXIC = 6_000
 MAX_CLEAN = 14_000
@@ -44,6 +47,8 @@ MIN_SHARE = 0.015           # share of toxic training rows that a term occurs in
 MIN_ROWS = 4                # and their number, at least
 MIN_ODDS = 3.0              # cautious log-odds of a lexicon term between the classes, at least
 LEVELS = 3                  # occurrences of a term that are told apart
+COPY_HASHES = 4             # minimum hashes of a text; sharing one makes two texts copies of each other
+MIN_WEIGHT = 1.5            # weaker evidence does not count
 GAIN = 1.0                  # log-odds that a longer stem must add to replace a shorter one
 FAMILY = 5                  # terms that share so many first letters count once per text
 MISSPELLED = 0.05           # prior share of a term's toxic rows that misspell it
@@ -208,7 +213,7 @@ class Model:
             best: dict[str, tuple[float, str]] = {}
             for key, factor in levels(hits).items():
                 w, text = self.weights.get(key, 0.0) * factor, self.automaton.terms[key[0]][0]
-                if w > best.get(text[:FAMILY], (0.0, ""))[0]:
+                if w >= MIN_WEIGHT and w > best.get(text[:FAMILY], (0.0, ""))[0]:
                     best[text[:FAMILY]] = (w, text)
             z = self.prior + min(sum(w for w, _ in best.values()), WORST) if best else self.without
             out.append(1.0 / (1.0 + math.exp(-z)))
@@ -279,6 +284,29 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
     return sorted(terms)
 
 
+def without_copies(rows: DataFrame) -> DataFrame:
+    """``text, toxic`` of the rows that share no minimum hash with a row of their class and a smaller id."""
+    names = [f"k{i}" for i in range(COPY_HASHES)]
+
+    def hashes(batches):
+        for whole in batches:
+            for b in text_slices(whole):
+                sets = shingle_sets(b.column("text").to_pylist(), 5)
+                keys = [[int(_mix(s ^ np.uint64(i * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).min()) >> 1 if len(s) else i
+                         for s in sets] for i in range(COPY_HASHES)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), *[pa.array(k, pa.int64()) for k in keys]],
+                                                 ["doc_id", "toxic", *names])
+
+    slim = rows.mapInArrow(hashes, "doc_id long, toxic boolean, " + ", ".join(f"{k} long" for k in names))
+    slim = materialize(slim.dropDuplicates(["doc_id"]), "toxic-hashes")
+    copies = None
+    for k in names:
+        first = slim.groupBy(k, "toxic").agg(F.min("doc_id").alias("first"))
+        later = slim.join(first, [k, "toxic"]).filter("doc_id > first").select("doc_id")
+        copies = later if copies is None else copies.unionByName(later)
+    return rows.dropDuplicates(["doc_id"]).join(copies.distinct(), "doc_id", "left_anti").select("text", "toxic")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn lexicon and weights from ``docs (doc_id, text)`` joined with ``labels (doc_id, toxic)``."""
     lab = (labels.select("doc_id", "toxic").filter("doc_id is not null and toxic is not null")
@@ -294,7 +322,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = lab.filter(draw < F.when(F.col("toxic"), F.lit(int(min(1.0, MAX_TOXIC / n_toxic) * grain)))
                         .otherwise(F.lit(int(min(1.0, MAX_CLEAN / n_clean) * grain))))
     # About MAX_TOXIC + MAX_CLEAN rows of two short columns, whatever the size of the corpus.
-    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic"), "toxic-sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+    rows = materialize(without_copies(materialize(rows, "toxic-sample")), "toxic-sample")
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     nt, nn = n.get(True, 0), n.get(False, 0)
     if not nt or not nn:
