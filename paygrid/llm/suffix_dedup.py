@@ -7,10 +7,12 @@ occur once cannot repeat. Where all occurrences of an anchor have the same conte
 that its windows span), all their windows repeat. Only the distinct contexts of the
 remaining anchors are sorted: they are dealt out by anchor and by the part of the
 context that all windows of a role hold, and each task sorts the suffixes of one bucket block at a time
-with a difference cover (see ``difference_cover``).
+with a difference cover (see ``difference_cover``). A bucket with more contexts than a task should
+hold (a line in a third of all texts, say) is split further: its windows are dealt out one by
+one, by their own digest, and counted with pre-aggregation.
 
 Hashes of anchors and contexts have 64 bits; the windows themselves are compared by their bytes,
-except where whole contexts are equal by hash.
+except where whole contexts are equal by hash and in the buckets that are split (128-bit digests).
 
 Defined cases: null text is empty; texts under 200 bytes keep everything. Rows that share a
 ``doc_id`` are separate documents; repeated rows and exact copies are occurrences elsewhere.
@@ -38,6 +40,7 @@ SPREAD = DEPTH - GRAM + 1       # grams of a window
 SIDE = (SPREAD - 1) // 2        # context bytes beside the gram that every window of a role holds
 BYTES = 2 << 20                 # text hashed at once
 SUFFIXES = 1 << 18              # suffixes sorted at once
+HOT_CONTEXTS = 20_000           # contexts of a bucket that one task holds (some 5 MB)
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -201,6 +204,26 @@ def repeated(parts: DataFrame) -> DataFrame:
         run, "h long, ctx long, from_off long, to_off long")
 
 
+def repeated_in_hot(parts: DataFrame) -> DataFrame:
+    """``h, ctx, from_off, to_off`` for buckets too large for a task: windows counted by their digest."""
+
+    def windows(batches):
+        for b in batches:
+            h, ctx, n, far, near, part = (b.column(k).to_pylist() for k in ("h", "ctx", "n", "far", "near", "part"))
+            for i in range(0, b.num_rows, 1000):
+                rows = [(h[k], ctx[k], n[k], f, hashlib.blake2b(part[k][far[k] - f:far[k] - f + DEPTH], digest_size=16).digest())
+                        for k in range(i, min(i + 1000, b.num_rows)) for f in range(far[k], near[k] - 1, -1)]
+                if rows:
+                    cols = list(zip(*rows))
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())],
+                                                     ["h", "ctx", "n", "off", "digest"])
+
+    w = parts.select("h", "ctx", "n", "far", "near", "part").mapInArrow(
+        windows, "h long, ctx long, n long, off long, digest binary")
+    often = w.groupBy("digest").agg(F.sum("n").alias("times")).filter("times > 1").select("digest")
+    return w.join(often, "digest").select("h", "ctx", F.col("off").alias("from_off"), F.col("off").alias("to_off"))
+
+
 def covered(docs: DataFrame) -> DataFrame:
     """``tid, spans``: byte intervals ``(start, end)`` of repeated windows per text, overlaps included."""
     found = anchors(docs)
@@ -213,7 +236,10 @@ def covered(docs: DataFrame) -> DataFrame:
     mixed = again.filter("not plain")
     wanted = (mixed.groupBy("h", "ctx").agg(F.min(F.struct("tid", "pos", "far", "near")).alias("m"), F.count(F.lit(1)).alias("n"))
                    .select("m.*", "h", "ctx", "n"))
-    runs = materialize(repeated(_contexts(docs, wanted)), "suffix-runs")
+    parts = materialize(_contexts(docs, wanted), "suffix-contexts")
+    large = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_CONTEXTS).select("bucket")
+    runs = materialize(repeated(parts.join(large, "bucket", "left_anti")).unionByName(
+        repeated_in_hot(parts.join(large, "bucket", "left_semi"))), "suffix-runs")
     sorted_ = mixed.join(runs, ["h", "ctx"]).select(
         "tid", (F.col("pos") - F.col("from_off")).alias("a"), (F.col("pos") - F.col("to_off") + DEPTH).alias("b"))
     return plain.unionByName(sorted_).distinct().groupBy("tid").agg(F.collect_list(F.struct("a", "b")).alias("spans"))

@@ -237,7 +237,7 @@ def brute_dedup(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("kind", ["mixed", "periodic", "variants", "empty"])
+@pytest.mark.parametrize("kind", ["mixed", "periodic", "variants", "hot", "empty"])
 def test_suffix_dedup_equals_brute_force(spark, monkeypatch, kind):
     r = random.Random(6)
     p = "".join(r.choices("abcdefgh é", k=700))
@@ -250,6 +250,9 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, kind):
     elif kind == "variants":
         monkeypatch.setattr(suffix_dedup, "SUFFIXES", 500)      # buckets larger than a block
         rows = [(i, p[:k] + "#" + p[k + 1:]) for i, k in enumerate(range(5, 695, 23))]
+    elif kind == "hot":
+        monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", 3)    # buckets larger than a task
+        rows = [(i, noise(80, 150) + p[:190 + i % 15] + noise(80, 150)) for i in range(25)] + [(100, p), (101, p[:300])]
     else:
         rows = []
     got = suffix_dedup.remove(frame(spark, rows).repartition(3)).collect()
