@@ -14,9 +14,10 @@ shingle; no words: empty, linked with nothing). Steps:
    the smallest unit it shares. Members without a partner of fitting length leave the unit. Units are
    cut into blocks, and pairs of blocks are the
    work items, so a hot unit spreads over many tasks and its rows stay linear per block.
-4. Inside an item: length filter, positional filter on the whole prefix, suffix filter on
-   histograms of hash ranges. Classes with a surviving partner get their full sets, and the
-   pairs are then verified exactly, once each. Only spanning edges and link counts leave a task.
+4. Inside an item, a first look at sizes and histograms of hash ranges applies the length and the
+   suffix filter; it ships some hundred bytes a class. Classes with a surviving partner get their full
+   sets; there the positional filter on the whole prefix comes in, and the pairs that pass all three
+   are verified exactly, once each. Only spanning edges and link counts leave a task.
 5. Connected components of the spanning edges.
 
 The intersection counts are over 64-bit hashes: distinct shingles of one pair collide
@@ -47,7 +48,7 @@ from .components import connected_components
 SKETCH_BITS = 20            # hashed counters of shingle frequency, whatever the corpus
 CHUNKS = 16                 # pieces in which the counters are summed
 BLOCK = 256                 # classes of a block; a work item holds two blocks at most
-HIST = 32                   # hash ranges of the suffix filter
+HIST = 64                   # hash ranges of the suffix filter, one byte each
 WORD_BYTES = 2 << 20        # bytes of text hashed at once
 
 _WHITE = np.zeros(256, dtype=bool)
@@ -160,8 +161,9 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def histogram(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes & np.uint64(HIST - 1)).astype(np.int64), minlength=HIST)
+def histogram(hashes: np.ndarray) -> bytes:
+    """Shingles per hash range, at most 255 each: the difference of two histograms bounds that of the sets from below."""
+    return np.minimum(np.bincount((hashes & np.uint64(HIST - 1)).astype(np.int64), minlength=HIST), 255).astype(np.uint8).tobytes()
 
 
 def signatures(docs: DataFrame, n: int, percent: int, sketch) -> DataFrame:
@@ -174,7 +176,7 @@ def signatures(docs: DataFrame, n: int, percent: int, sketch) -> DataFrame:
                 size = np.array([len(s) for s in sets], dtype=np.int64)
                 key = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 prefix = [ranked(s, sketch.value)[:prefix_length(len(s), percent)].view(np.int64) if len(s) else None for s in sets]
-                hist = [np.minimum(histogram(s), 65535).astype(np.uint16).tobytes() for s in sets]
+                hist = [histogram(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), pa.array(size), pa.array(key, pa.binary()), pa.array(prefix, pa.list_(pa.int64())),
                      pa.array(hist, pa.binary())], ["doc_id", "n_shingles", "key", "prefix", "hist"])
@@ -184,35 +186,23 @@ def signatures(docs: DataFrame, n: int, percent: int, sketch) -> DataFrame:
 
 
 class Item:
-    """The classes of one work item; candidate pairs are those that pass every filter."""
+    """The classes of one work item; candidate pairs are those that pass every filter.
+
+    Without prefixes (the first look, which ships little) the positional filter is left to the second.
+    """
 
     def __init__(self, rows: dict[str, list], percent: int, sketch: np.ndarray, unit: int, cross: bool):
-        self.rows, self.percent = rows, percent
+        self.percent = percent
         size = np.array(rows["size"], dtype=np.int64)
-        prefixes = rows["prefix"]
         g = len(size)
-        own = np.repeat(np.arange(g), [len(p) for p in prefixes])
-        flat = np.concatenate(prefixes)
-        order = np.lexsort((flat, counters(sketch, flat)))
-        new = np.concatenate([[True], flat[order][1:] != flat[order][:-1]])
-        rank = np.empty(len(flat), dtype=np.int64)
-        rank[order] = np.cumsum(new) - 1
-        shared = self._common(own, rank, g)
-        last = np.maximum.reduceat(rank, np.cumsum([0] + [len(p) for p in prefixes])[:-1])
-        # Prefix shingles of i up to the smaller of the two last ranks.
-        upto = np.empty((g, g), dtype=np.int64)
-        at = 0
-        for i, p in enumerate(prefixes):
-            upto[i] = np.searchsorted(rank[at:at + len(p)], last, side="right")
-            at += len(p)
         need = -(-percent * (size[:, None] + size[None, :]) // (100 + percent))
-        rest = np.minimum(size[:, None] - upto, size[None, :] - upto.T)
-        ok = (shared > 0) & (shared + rest >= need)                                          # positional filter
-        ok &= 100 * np.minimum(size[:, None], size[None, :]) >= percent * np.maximum(size[:, None], size[None, :])  # length
-        side = np.array(rows["block"], dtype=np.int64)
+        ok = 100 * np.minimum(size[:, None], size[None, :]) >= percent * np.maximum(size[:, None], size[None, :])     # length
         ok &= np.triu(np.ones((g, g), dtype=bool), 1)
         if cross:
+            side = np.array(rows["block"], dtype=np.int64)
             ok &= side[:, None] != side[None, :]
+        if "prefix" in rows and ok.any():
+            ok &= self._positional(rows["prefix"], size, need, sketch)
         if ok.any():
             smaller = [(i, p) for i, ps in enumerate(rows["units"]) for p in ps if p < unit]
             if smaller:
@@ -220,14 +210,30 @@ class Item:
                 ok &= self._common(np.array([i for i, _ in smaller]), names, g) == 0        # a smaller unit has the pair
         i, j = np.nonzero(ok)
         if len(i):                                                                           # suffix filter
-            hist = np.array([np.frombuffer(h, dtype=np.uint16) for h in rows["hist"]], dtype=np.int32)
+            hist = np.array([np.frombuffer(h, dtype=np.uint8) for h in rows["hist"]], dtype=np.int16)
             keep = np.zeros(len(i), dtype=bool)
-            for k in range(0, len(i), 1 << 16):
-                a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
-                keep[k:k + (1 << 16)] = (np.abs(hist[a] - hist[b]).sum(axis=1)
-                                         <= size[a] + size[b] - 2 * need[a, b])
+            for k in range(0, len(i), 1 << 14):
+                a, b = i[k:k + (1 << 14)], j[k:k + (1 << 14)]
+                keep[k:k + (1 << 14)] = np.abs(hist[a] - hist[b]).sum(axis=1) <= size[a] + size[b] - 2 * need[a, b]
             i, j = i[keep], j[keep]
-        self.size, self.need, self.i, self.j = size, need, i, j
+        self.size, self.i, self.j = size, i, j
+
+    def _positional(self, prefixes: list[np.ndarray], size: np.ndarray, need: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+        """Pairs that share a prefix shingle and enough of the prefixes to reach the overlap that they need."""
+        g = len(size)
+        lens = [len(p) for p in prefixes]
+        own, flat = np.repeat(np.arange(g), lens), np.concatenate(prefixes)
+        order = np.lexsort((flat, counters(sketch, flat)))
+        new = np.concatenate([[True], flat[order][1:] != flat[order][:-1]])
+        rank = np.empty(len(flat), dtype=np.int64)
+        rank[order] = np.cumsum(new) - 1
+        start = np.cumsum([0] + lens)[:-1]
+        last = np.maximum.reduceat(rank, start)
+        # Prefix shingles of i up to the smaller of the two last ranks: all that the pair shares there is in
+        # both prefixes, so beyond it at most the rest of the smaller set can be shared.
+        upto = np.array([np.searchsorted(rank[a:a + n], last, side="right") for a, n in zip(start, lens)])
+        shared = self._common(own, rank, g)
+        return (shared > 0) & (shared + np.minimum(size[:, None] - upto, size[None, :] - upto.T) >= need)
 
     @staticmethod
     def _common(own: np.ndarray, name: np.ndarray, g: int) -> np.ndarray:
@@ -283,16 +289,6 @@ def _items(rows: DataFrame, work, schema: str) -> DataFrame:
     return rows.select(*names).repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(run, schema)
 
 
-def _lists(t: pa.Table) -> dict[str, list]:
-    """Columns of an item as Python lists of numpy arrays."""
-    c = t.combine_chunks()
-    out = {"size": c["size"].to_pylist(), "block": c["block"].to_pylist(), "units": c["units"].to_pylist(),
-           "hist": c["hist"].to_pylist() if "hist" in c.column_names else None}
-    if "prefix" in c.column_names:
-        out["prefix"] = [np.array(p, dtype=np.int64).view(np.uint64) for p in c["prefix"].to_pylist()]
-    return out
-
-
 def with_partner_length(members: DataFrame, percent: int) -> DataFrame:
     """Members ``(unit, rep, size)`` whose unit holds another one that the length filter could pair them with.
 
@@ -331,10 +327,11 @@ def _join(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     placed = (placed.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
                     .select("unit", "lo", "hi", "rep", "block").join(units, "rep"))
-    first = placed.join(live.select("rep", "size", "prefix", "hist"), "rep")
+    first = placed.join(live.select("rep", "size", "hist"), "rep")
 
     def partners(key, t):
-        item = Item(_lists(t), percent, sketch.value, key[0], key[1] != key[2])
+        rows = {k: t[k].to_pylist() for k in ("size", "block", "units", "hist")}
+        item = Item(rows, percent, sketch.value, key[0], key[1] != key[2])
         used = np.unique(np.concatenate([item.i, item.j]))
         if len(used):
             yield pa.RecordBatch.from_pydict({
@@ -358,7 +355,7 @@ def _join(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
         c = t.combine_chunks()
         whole = [np.frombuffer(s, dtype=np.uint64) for s in c["set"].to_pylist()]
         rows = {"size": [len(s) for s in whole], "block": c["block"].to_pylist(), "units": c["units"].to_pylist(),
-                "hist": [np.minimum(histogram(s), 65535).astype(np.uint16).tobytes() for s in whole],
+                "hist": [histogram(s) for s in whole],
                 "prefix": [ranked(s, sketch.value)[:prefix_length(len(s), percent)] for s in whole]}
         i, j = Item(rows, percent, sketch.value, key[0], key[1] != key[2]).links(whole)
         if not len(i):
