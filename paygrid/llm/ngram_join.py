@@ -15,9 +15,9 @@ shingle; no words: empty, linked with nothing). Steps:
    cut into blocks, and pairs of blocks are the
    work items, so a hot unit spreads over many tasks and its rows stay linear per block.
 4. Inside an item, a first look at sizes and histograms of hash ranges applies the length and the
-   suffix filter; it ships some hundred bytes a class. Classes with a surviving partner get their full
-   sets; there the positional filter on the whole prefix comes in, and the pairs that pass all three
-   are verified exactly, once each. Only spanning edges and link counts leave a task.
+   suffix filter; it ships some hundred bytes a class. Classes with a partner left get their prefixes
+   for the positional filter, and those with a partner left after it their full sets. Pairs that pass
+   all three filters are verified exactly, once each. Only spanning edges and link counts leave a task.
 5. Connected components of the spanning edges.
 
 The intersection counts are over 64-bit hashes: distinct shingles of one pair collide
@@ -188,7 +188,7 @@ def signatures(docs: DataFrame, n: int, percent: int, sketch) -> DataFrame:
 class Item:
     """The classes of one work item; candidate pairs are those that pass every filter.
 
-    Without prefixes (the first look, which ships little) the positional filter is left to the second.
+    Without prefixes (the first look, which ships little) the positional filter is left to the next one.
     """
 
     def __init__(self, rows: dict[str, list], percent: int, sketch: np.ndarray, unit: int, cross: bool):
@@ -327,18 +327,27 @@ def _join(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     placed = (placed.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
                     .select("unit", "lo", "hi", "rep", "block").join(units, "rep"))
-    first = placed.join(live.select("rep", "size", "hist"), "rep")
-
-    def partners(key, t):
-        rows = {k: t[k].to_pylist() for k in ("size", "block", "units", "hist")}
-        item = Item(rows, percent, sketch.value, key[0], key[1] != key[2])
-        used = np.unique(np.concatenate([item.i, item.j]))
-        if len(used):
-            yield pa.RecordBatch.from_pydict({
-                **{k: pa.array(np.full(len(used), v)) for k, v in zip(("unit", "lo", "hi"), key)},
-                "rep": t["rep"].combine_chunks().take(pa.array(used)), "block": t["block"].combine_chunks().take(pa.array(used))})
-
-    used = materialize(_items(first, partners, "unit long, lo long, hi long, rep long, block int"), "ngram-partners")
+    slim = "unit long, lo long, hi long, rep long, block int"
+
+    def look(rows: DataFrame, name: str) -> DataFrame:
+        """The classes of each item that still have a partner."""
+        names = [c for c in ("size", "block", "units", "hist", "prefix") if c in rows.columns]
+
+        def partners(key, t):
+            held = {k: t[k].to_pylist() for k in names}
+            if "prefix" in held:
+                held["prefix"] = [np.array(p, dtype=np.int64).view(np.uint64) for p in held["prefix"]]
+            item = Item(held, percent, sketch.value, key[0], key[1] != key[2])
+            used = np.unique(np.concatenate([item.i, item.j]))
+            if len(used):
+                yield pa.RecordBatch.from_pydict({
+                    **{k: pa.array(np.full(len(used), v)) for k, v in zip(("unit", "lo", "hi"), key)},
+                    **{k: t[k].combine_chunks().take(pa.array(used)) for k in ("rep", "block")}})
+
+        return materialize(_items(rows, partners, slim), name)
+
+    used = look(placed.join(live.select("rep", "size", "hist"), "rep"), "ngram-first")
+    used = look(used.join(units, "rep").join(live.select("rep", "size", "hist", "prefix"), "rep"), "ngram-second")
 
     def full(batches):
         for whole in batches:
