@@ -52,12 +52,16 @@ def norm_int(col: Column | str, dtype: str = "bigint") -> Column:
     return c.cast("bigint")
 
 
-def norm_decimal(col: Column | str, dtype: str = MONEY) -> Column:
+def norm_decimal(col: Column | str, dtype: str = MONEY, source: str = "string") -> Column:
     """Quantise to 0.01 half-even in one step; unparsable -> NULL (no error).
 
+    ``source`` is the column's type: a decimal is rounded as it is, anything else from its text.
+
     Digits after the 19th decimal only matter as "more than a tie": they are kept as one
     final 1, so the conversion to a fixed scale cannot round a value onto a tie first.
     """
+    if source.startswith("decimal"):
+        return F.bround(_c(col), 2).try_cast(dtype)
     text = F.regexp_replace(_c(col).cast("string"), r"(\.[0-9]{19})0*[1-9][0-9]*", "$1" + "1")
     return F.bround(text.try_cast("decimal(38,20)"), 2).try_cast(dtype)
 

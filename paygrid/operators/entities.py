@@ -47,9 +47,9 @@ def _normaliser(kind: str, col, dtype: str):
     if kind == "date":
         return N.norm_date(col, dtype)
     if kind == "money":
-        return N.norm_decimal(col)
+        return N.norm_decimal(col, source=dtype)
     if kind == "hours":
-        return N.norm_decimal(col, "decimal(10,2)")
+        return N.norm_decimal(col, "decimal(10,2)", source=dtype)
     raise ValueError(kind)
 
 

@@ -202,13 +202,14 @@ from paygrid.operators import quality as Q  # noqa: E402
 class Validation:
     """Inputs of the validation run: B2-B8 frames over the whole source (built lazily)."""
 
-    def __init__(self, spark, sf_dir):
+    def __init__(self, spark, sf_dir, shared=False):
+        """``shared``: several metrics read the frames, so each is written once."""
         self.spark, self.sf_dir = spark, sf_dir
+        self.once = materialize if shared else (lambda df, name: df)
 
     @cached_property
     def w(self):
-        """The normalised source, written once for all metrics."""
-        return materialize(wide(self.spark, self.sf_dir), "validate")
+        return self.once(wide(self.spark, self.sf_dir), "validate")
 
     @cached_property
     def folhas(self):
@@ -216,11 +217,11 @@ class Validation:
 
     @cached_property
     def contracheques(self):
-        return materialize(E.contracheques(self.w), "validate-cc")
+        return self.once(E.contracheques(self.w), "validate-cc")
 
     @cached_property
     def itens(self):
-        return materialize(E.itens(self.w, with_sequence=False), "validate-itens")
+        return self.once(E.itens(self.w, with_sequence=False), "validate-itens")
 
     def status(self):
         return Q.mapping_status(self.contracheques, self.folhas)
@@ -263,7 +264,7 @@ def q_mapping_failures(spark, sf_dir):
 
 @register("entity_counts", "SELECT * FROM q_entities")
 def q_entity_counts(spark, sf_dir):
-    return Validation(spark, sf_dir).entities()
+    return Validation(spark, sf_dir, shared=True).entities()
 
 
 @register("sem_vinculo", f"""
@@ -276,7 +277,7 @@ def q_sem_vinculo(spark, sf_dir):
 
 @register("rubrica_quality", "SELECT * FROM q_rubq")
 def q_rubrica_quality(spark, sf_dir):
-    return Validation(spark, sf_dir).rubricas()
+    return Validation(spark, sf_dir, shared=True).rubricas()
 
 
 @register("rubrica_nula_top50", f"""
@@ -299,7 +300,7 @@ SELECT {O.KEY4} FROM b_contracheque c WHERE NOT EXISTS (
   SELECT 1 FROM wn v WHERE v.mes_ano < DATE '1998-01-01' AND v.numfunc = c.numfunc AND v.numvinc = c.numvinc)""")
 def q_sem_vinculo_ate_1997(spark, sf_dir):
     """D16 where it finds something: payslips whose link is not among those stored up to 1997."""
-    v = Validation(spark, sf_dir)
+    v = Validation(spark, sf_dir, shared=True)
     return Q.sem_vinculo(v.contracheques, E.vinculos(v.w.filter(F.col("mes_ano") < F.lit("1998-01-01").cast("date"))))
 
 
@@ -344,7 +345,7 @@ UNION ALL SELECT 'contracheque', count(*) FROM b_contracheque
 UNION ALL SELECT 'contracheque_snapshot_funcional', count(*) FROM b_snapshot
 UNION ALL SELECT 'contracheque_item', count(*) FROM b_item""")
 def q_dry_run_counts(spark, sf_dir):
-    w = Validation(spark, sf_dir).w
+    w = Validation(spark, sf_dir, shared=True).w
     return Q.dry_run_counts({
         "servidor": E.servidores(w), "servidor_vinculo": E.vinculos(w), "rubrica": E.rubricas(w),
         "contracheque": E.contracheques(w), "contracheque_snapshot_funcional": E.snapshots(w),
@@ -353,7 +354,7 @@ def q_dry_run_counts(spark, sf_dir):
 
 @register("validation_alerts", "SELECT * FROM q_alerts")
 def q_validation_alerts(spark, sf_dir):
-    v = Validation(spark, sf_dir)
+    v = Validation(spark, sf_dir, shared=True)
     return Q.validation_alerts(v.summary(), v.rubricas())
 
 
@@ -368,7 +369,7 @@ def q_validation_alerts(spark, sf_dir):
     "SELECT 'contracheques_por_mes', strftime(mes_ano, '%Y-%m'), CAST(count(*) AS VARCHAR) FROM b_contracheque GROUP BY mes_ano",
 ]))
 def q_validation_report(spark, sf_dir):
-    v = Validation(spark, sf_dir)
+    v = Validation(spark, sf_dir, shared=True)
     return Q.validation_report({
         "mapeamento": v.summary(), "servidor_vinculo": v.entities(), "rubrica": v.rubricas(),
         "distribuicao": Q.media_itens(v.itens), "folhas": Q.folha_month_profile(v.folhas)},
