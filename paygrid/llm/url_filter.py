@@ -3,8 +3,8 @@
 Two variable-order Markov models (Witten-Bell interpolation, contexts of up to ``order``
 characters) are fitted on the URLs that the rules accept and reject. A URL without a rule
 gets the difference of its two log-likelihoods divided by its length; the threshold lies
-between the class means, nearer to the class with the smaller spread. Runs of digits count
-as one symbol, so URLs share patterns and the models work on distinct patterns with counts.
+between the class means, nearer to the class with the smaller spread. The models read whole
+URLs, case and digits kept; equal URLs are one pattern with counts.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, no rule and is
 judged as its text (null: empty) by the models; without training URLs of both classes
@@ -54,10 +54,6 @@ def match_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]
     return rule, verdict
 
 
-def pattern(url: Column) -> Column:
-    return F.regexp_replace(ascii_lower(F.coalesce(url, F.lit(""))), "[0-9]+", "9")
-
-
 def gram_scores(patterns: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, ratio``: log P(last char | rest) under the accepting minus the rejecting model.
 
@@ -93,7 +89,7 @@ def gram_scores(patterns: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def score_patterns(patterns: DataFrame, order: int = ORDER) -> DataFrame:
-    """``pattern, llr``: length-normalised log-likelihood difference of each distinct pattern."""
+    """``pattern, llr``: length-normalised log-likelihood difference of each distinct URL."""
     padded = F.concat(F.lit(START * order), F.col("pattern"), F.lit(END))
     at = patterns.select("pattern", padded.alias("p")).select(
         "pattern", F.explode(F.transform(F.sequence(F.lit(1), F.length("p") - order),
@@ -105,7 +101,7 @@ def score_patterns(patterns: DataFrame, order: int = ORDER) -> DataFrame:
 def judge(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     """``page_id, host, path, rule, verdict, llr`` for every row of ``pages``."""
     host, path = split_url(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"), pattern(F.col("url")).alias("pattern"))
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"), F.coalesce("url", F.lit("")).alias("pattern"))
     rule, says = match_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("says", says)
     patterns = materialize(rows.groupBy("pattern").agg(

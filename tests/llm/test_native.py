@@ -197,3 +197,12 @@ def test_url_model_tells_classes_apart(spark):
     rows += [(300, "http://good3.net/page/5"), (301, "http://spam2.net/de/win9")]
     got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
     assert got[300] == "allow" and got[301] == "block"
+
+
+def test_url_model_reads_digits_and_case(spark):
+    """URLs that differ only in digits or case are told apart, as the rule org/en/1 asks for."""
+    rows = [(i, f"http://example.org/en/1{i}") for i in range(40)] + [(100 + i, f"http://example.org/en/2{i}") for i in range(40)]
+    rows += [(300, "http://host.net/en/15"), (301, "http://host.net/en/25"), (302, "http://host.net/EN/25")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[0].verdict == "block" and got[100].verdict == "allow"
+    assert (got[300].verdict, got[301].verdict) == ("block", "allow") and got[301].llr != got[302].llr
