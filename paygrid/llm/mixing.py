@@ -103,7 +103,9 @@ def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), block_tokens: int
     slots = schedule(docs.sparkSession, targets, block_tokens).select("sid", F.col("rank").alias("block"), "slot")
 
     d = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    d = d.withColumn("bucket", F.substring("h", 1, 3))
+    # Rows without words do not move the offset that tells equal rows apart below, so they stay out of the aggregate.
+    empty = d.filter("size = 0").select(*keys, "size", "source", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+    d = d.filter("size > 0").withColumn("bucket", F.substring("h", 1, 3))
     # Offsets in the shuffled stream of the source: bucket sums first, then within a bucket.
     base = d.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
     base = base.withColumn("base", F.coalesce(F.sum("words").over(
@@ -114,7 +116,7 @@ def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), block_tokens: int
           .withColumn("off", F.col("base") + F.col("inner"))
           .withColumn("goal", F.floor("target")))
     # Every pass over the source that starts below the target, then every block the pass touches.
-    passes = F.when((F.col("size") > 0) & (F.col("off") < F.col("goal")), F.sequence(
+    passes = F.when(F.col("off") < F.col("goal"), F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("goal") - 1 - F.col("off")) / F.col("source_size"))))
     d = d.select("*", F.explode_outer(passes).alias("pass"))
     d = (d.withColumn("start", F.col("off") + F.col("pass") * F.col("source_size"))
@@ -124,8 +126,9 @@ def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), block_tokens: int
     j = d.join(slots, ["sid", "block"], "left")
     part = F.when(F.col("slot").isNotNull(), F.least("end", (F.col("block") + 1) * block_tokens)
                   - F.greatest("start", F.col("block") * block_tokens)).otherwise(F.lit(0))
-    return (j.groupBy(*keys, "size", "source", "source_size", "target", "off")
-             .agg(F.sum(part).cast("long").alias("taken")).drop("off"))
+    taken = (j.groupBy(*keys, "size", "source", "source_size", "target", "off")
+              .agg(F.sum(part).cast("long").alias("taken")).drop("off"))
+    return taken.unionByName(empty)
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:

@@ -148,6 +148,14 @@ def test_mix_edges(spark):
     assert out.columns == docs(spark).columns and out.filter("text is null").count() == 0
 
 
+def test_mix_keeps_repeated_empty_rows(spark):
+    rows = [(1, "", "a"), (1, "", "a"), (1, None, "a"), (None, "", "a"), (None, "", "a"), (None, " ", None), (None, None, None),
+            (2, "some words here", "a"), (2, "some words here", "a"), (3, "x y", None)]
+    got = mixing.mix(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.size, r.source) for r in got) == Counter((i, len(words(t)), s) for i, t, s in rows)
+    assert all(r.taken == 0 for r in got if not r.size) and mixing.mix(frame(spark, rows[:4])).count() == 4
+
+
 def test_url_parts_and_rules(spark):
     urls = {"http://A.Example.ORG/es/1?q#f": ("a.example.org", "/es/1", "example.org/es/", "block"),
             "https://example.org/en/12#x": ("example.org", "/en/12", "example.org/en/1", "block"),
