@@ -43,8 +43,7 @@ from .ngram_join import _mix, shingle_sets
 MAX_TOXIC = 6_000
 MAX_CLEAN = 14_000
 MIN_STEM = 4                # letters of a stem, at least
-MIN_SHARE = 0.015           # share of toxic training rows that a term occurs in, at least
-MIN_ROWS = 4                # and their number, at least
+MIN_ROWS = 4                # toxic training rows that a term occurs in, at least
 MIN_ODDS = 3.0              # cautious log-odds of a lexicon term between the classes, at least
 LEVELS = 3                  # occurrences of a term that are told apart
 COPY_HASHES = 4             # minimum hashes of a text; sharing one makes two texts copies of each other
@@ -335,8 +334,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             c.update(features(t))
         return c
 
-    least = max(MIN_ROWS, MIN_SHARE * nt)
-    # A text has a bounded number of features per word, so those in a given share of the sample are bounded too.
+    # A feature in fewer rows is not telling even if no clean row has it. Those that stay are bounded by the sample.
+    least = next((k for k in range(MIN_ROWS, nt + 1) if log_odds(k, 0, nt, nn) >= MIN_ODDS), nt + 1)
     toxic = {r["f"]: r["n"] for r in _counted(rows.filter("toxic"), of_text, "f").filter(F.col("n") >= least).collect()}
     shared = rows.sparkSession.sparkContext.broadcast(frozenset(toxic))
 

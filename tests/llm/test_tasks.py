@@ -200,6 +200,17 @@ def test_toxicity_held_out_and_misspelled(spark):
     assert all(got[20000 + i].predicted == 0 for i in range(len(ODD))) and all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_toxicity_learns_rare_terms(spark):
+    """A term in 1 % of the toxic rows and in no clean one is in the lexicon, and marks a text without other terms."""
+    rows, labels = toxic_corpus(9000)
+    rows += [(9000 + k, " ".join(rows[6 * k + 1][1].split()[::-1]) + " dunderhead") for k in range(15)]
+    labels += [(9000 + k, 1) for k in range(15)]
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert any("dunderhead".startswith(t) for t, _ in model.automaton.terms)
+    got = toxicity.score(frame(spark, [(1, rows[10][1] + " dunderhead"), (2, rows[10][1])]), model).collect()
+    assert {r.doc_id: r.predicted for r in got} == {1: 1, 2: 0}
+
+
 def test_toxicity_edges(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.judge(frame(spark, list(enumerate(ODD))), none).collect()
