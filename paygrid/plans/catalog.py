@@ -850,7 +850,7 @@ def q_check_domain(spark, sf_dir):
 
 # --- 2.J incremental load --------------------------------------------------------------------------
 
-STREAM_FILES = 4
+STREAM_ROWS = 20_000        # source rows of a file, so of a batch, at every size
 
 
 @register("incremental_load", """
@@ -858,22 +858,22 @@ SELECT c.numfunc, c.numvinc, c.mes_ano, c.numero, k.total_vantagens, k.total_des
        k.divergencia_bruto, k.divergencia_descontos, k.divergencia_liquido
 FROM t_consolidado k JOIN t_cc c USING (id_contracheque)""")
 def q_incremental_load(spark, sf_dir):
-    """The source streamed as files of whole months converges to the one-shot load.
+    """The source streamed as files of order-key ranges converges to the one-shot load.
 
-    The source is written in one job, range-partitioned by month, and replayed file by file;
-    ``foreachBatch`` upserts each into the store. The result is the stored consolidation with its
-    business key.
+    The source is written in one job, range-partitioned by order key, and replayed file by file, so
+    payslips span batches; ``foreachBatch`` upserts each into the store. The result is the stored
+    consolidation with its business key.
     """
     import uuid
 
     from paygrid.schemas import PAYROLL_CHECKS_SCHEMA
     from paygrid.session import ensure_checkpoint_dir
     from paygrid.sources.store import Store
-    from paygrid.streaming.incremental import load_stream
+    from paygrid.streaming.incremental import load_stream, write_ranges
 
     root = f"{ensure_checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}"
     checks = T.payroll_checks(spark, sf_dir)
-    checks.repartitionByRange(STREAM_FILES, "MES_ANO").write.parquet(f"{root}/source")
+    write_ranges(checks, f"{root}/source", "SRC_ORDER.l_orderkey", STREAM_ROWS)
     from pyspark.sql import types as TT
 
     schema = TT.StructType(list(PAYROLL_CHECKS_SCHEMA.fields) + [checks.schema["SRC_ORDER"]])
