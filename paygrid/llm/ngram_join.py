@@ -398,10 +398,17 @@ def _join(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest id of each component, once; documents without words stay. All columns."""
+    """One row of each component: the smallest id (null last), then text hash; all columns.
+
+    Texts are the nodes, so rows with null or shared ids are compared like any other. Documents
+    without words stay, repeated rows of them once.
+    """
     cols = docs.columns
-    found = join(docs, n, percent).groupBy("doc_id").agg(F.min("component_id").alias("_component"), F.max("n_shingles").alias("_n"))
-    kept = found.filter("doc_id is null or _component is null or doc_id = _component").select(F.col("doc_id").alias("_id"))
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"])).select(*[docs[c] for c in cols])
-    whole = out.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return whole.unionByName(out.filter("doc_id is null").dropDuplicates(["text"]))
+    marked = docs.withColumns({"_text": F.xxhash64("text"), "_row": F.xxhash64(*cols)})
+    found = (join(marked.select(F.col("_text").alias("doc_id"), "text"), n, percent).groupBy(F.col("doc_id").alias("_text"))
+             .agg(F.min("component_id").alias("_component"), F.max("n_shingles").alias("_n")))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_text", "_row")).alias("first")
+    alone = F.when(F.col("_n") == 0, F.struct("doc_id")).alias("_alone")
+    kept = marked.select("doc_id", "_text", "_row").join(found, "_text").groupBy("_component", alone).agg(first)
+    out = marked.join(kept.select("first._text", "first._row"), ["_text", "_row"], "left_semi")
+    return out.dropDuplicates(["_text", "_row"]).select(*cols)

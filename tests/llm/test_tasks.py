@@ -93,6 +93,16 @@ def test_keep_one(spark):
     assert kept.filter("doc_id is null").count() == 1
 
 
+def test_keep_one_goes_by_text(spark):
+    """Null ids and shared ids do not shield near copies, nor do they merge different texts."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (None, a), (None, a + " more"), (2, b), (2, c), (None, c + " more"), (None, "x y z"), (None, "x y z"), (None, "X  Y z"),
+            (7, None), (8, ""), (None, None)]
+    for order in (rows, rows[::-1]):
+        got = Counter((r.doc_id, r.text if r.doc_id else None) for r in ngram_join.keep_one(frame(spark, order)).collect())
+        assert got == Counter([(1, a), (2, b), (2, c), (None, None), (7, None), (8, ""), (None, None)])
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, r.randint(101, 160)) for _ in range(40)] + [(7, 7)]
