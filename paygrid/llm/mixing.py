@@ -95,7 +95,11 @@ def schedule(spark: SparkSession, targets: DataFrame, block_tokens: int = BLOCK_
 
 def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), block_tokens: int = BLOCK_TOKENS,
         max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """Per document: ``keys, size, source, source_size, target, taken`` (words taken, repeats counted)."""
+    """Per document: ``keys, size, source, source_size, target, taken, slots``.
+
+    ``taken``: words taken, repeats counted; ``slots``: for every pass that takes from the document, its
+    first slot in the schedule and where it starts in the stream of the source (the order within a slot).
+    """
     sized = docs.select(*keys, "source", n_words(F.col("text")).alias("size"))
     # Written once: the totals, the prefix sums and the join below read the sizes, not the texts.
     sized = materialize(sized.withColumn("h", F.md5(F.coalesce(F.col(keys[0]).cast("string"), F.lit("")))), "mix-sizes")
@@ -104,7 +108,8 @@ def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), block_tokens: int
 
     d = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     # Rows without words do not move the offset that tells equal rows apart below, so they stay out of the aggregate.
-    empty = d.filter("size = 0").select(*keys, "size", "source", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+    empty = d.filter("size = 0").select(*keys, "size", "source", "source_size", "target", F.lit(0).cast("long").alias("taken"),
+                                       F.array().cast("array<struct<slot:bigint,start:bigint>>").alias("slots"))
     d = d.filter("size > 0").withColumn("bucket", F.substring("h", 1, 3))
     # Offsets in the shuffled stream of the source: bucket sums first, then within a bucket.
     base = d.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
@@ -126,8 +131,11 @@ def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), block_tokens: int
     j = d.join(slots, ["sid", "block"], "left")
     part = F.when(F.col("slot").isNotNull(), F.least("end", (F.col("block") + 1) * block_tokens)
                   - F.greatest("start", F.col("block") * block_tokens)).otherwise(F.lit(0))
-    taken = (j.groupBy(*keys, "size", "source", "source_size", "target", "off")
-              .agg(F.sum(part).cast("long").alias("taken")).drop("off"))
+    row = [*keys, "size", "source", "source_size", "target", "off"]
+    per_pass = j.groupBy(*row, "start").agg(F.sum(part).cast("long").alias("taken"), F.min("slot").alias("slot"))
+    # A source has at most ``max_repeats`` passes, so the list of a document is short.
+    first = F.when(F.col("slot").isNotNull(), F.struct("slot", "start"))
+    taken = per_pass.groupBy(*row).agg(F.sum("taken").alias("taken"), F.sort_array(F.collect_list(first)).alias("slots")).drop("off")
     return taken.unionByName(empty)
 
 
@@ -135,16 +143,17 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every document as many times as its taken words cover it.
 
     A pass that covers at least half of a document keeps that copy, whole; documents that the
-    mix leaves out, and those without words, are not part of it. Columns are those of ``docs``.
+    mix leaves out, and those without words, are not part of it. Columns are those of ``docs``;
+    rows are in the order of the schedule, each copy at the first slot that its pass feeds.
     """
     others = [c for c in docs.columns if c != "doc_id"]
     # The row travels as one struct, so its column names cannot clash with those used here.
     rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"), F.xxhash64(*others).alias("key"))
     plan = mix(rows, ("doc_id", "key"))
-    copies = (plan.filter("taken > 0")
-                  .withColumn("n", F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)))
-                  .groupBy(F.col("doc_id").alias("id"), F.col("key").alias("k")).agg(F.sum("n").alias("n")).filter("n > 0"))
+    n = F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)).cast("int")
+    copies = plan.filter("taken > 0").select(F.col("doc_id").alias("id"), F.col("key").alias("k"),
+                                             F.explode(F.slice("slots", F.lit(1), n)).alias("at"))
     # Equal rows share their copies: one of them stands for all.
     one = rows.select("doc_id", "key", "row").dropDuplicates(["doc_id", "key"])
     out = one.join(copies, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k")))
-    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("row.*")
+    return out.select("row", "at").orderBy("at").select("row.*")

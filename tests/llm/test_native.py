@@ -156,6 +156,19 @@ def test_mix_keeps_repeated_empty_rows(spark):
     assert all(r.taken == 0 for r in got if not r.size) and mixing.mix(frame(spark, rows[:4])).count() == 4
 
 
+def test_mix_follows_the_schedule(spark):
+    rows = [(i, f"w{i} " * 512, f"s{i % 3}") for i in range(90)]
+    df = frame(spark, rows)
+    got = [r.doc_id for r in mixing.mix_documents(df).collect()]
+    plan = mixing.mix(df).collect()
+    want = sorted((slot.slot, slot.start, r.doc_id) for r in plan for slot in r.slots[:(2 * r.taken + r.size) // (2 * r.size)])
+    assert got == [i for _, _, i in want] and len(got) >= 89 and len({slot for slot, _, _ in want}) == len(want)
+    share = {s: n / len(got) for s, n in Counter(i % 3 for i in got).items()}
+    for upto in (15, 45, 75):           # any start of the mix holds each source's share, a few documents off
+        seen = Counter(i % 3 for i in got[:upto])
+        assert all(abs(seen[s] - upto * x) < 4 for s, x in share.items())
+
+
 def test_url_parts_and_rules(spark):
     urls = {"http://A.Example.ORG/es/1?q#f": ("a.example.org", "/es/1", "example.org/es/", "block"),
             "https://example.org/en/12#x": ("example.org", "/en/12", "example.org/en/1", "block"),
