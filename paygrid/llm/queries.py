@@ -6,7 +6,7 @@ Each query applies one operator, with production parameters, to its whole table.
 from __future__ import annotations
 
 
-from . import byte_bpe, language_id, mixing, ngram_join, pii, quality_rules, spotsigs, suffix_dedup, toxicity, url_filter
+from . import byte_bpe, conversation_repair, language_id, mixing, ngram_join, phrases, pii, quality_classifier, quality_rules, spotsigs, suffix_dedup, toxicity, url_filter
 from .common import read_table
 from .oracle import ORACLE
 
@@ -74,3 +74,18 @@ def op9(spark, sf_dir):
 @query("op10_url_filter")
 def op10(spark, sf_dir):
     return url_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
+@query("op11_quality_classifier")
+def op11(spark, sf_dir):
+    return quality_classifier.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op12_phrases")
+def op12(spark, sf_dir):
+    return phrases.mine(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_conversation_repair")
+def op13(spark, sf_dir):
+    return conversation_repair.repair(read_table(spark, sf_dir, "conversations"))
