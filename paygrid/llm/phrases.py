@@ -5,10 +5,12 @@ followers in the piece, padded to five lead columns. One ROLLUP over those colum
 windows to all shorter prefixes, so a single grouping gives the counts of all
 phrases of one to five words and, at the level of the language, the number of words.
 
-A phrase that occurs ``MIN_COUNT`` times holds only word pairs that occur as often. Pairs are therefore
-first counted in a table of hashed counters, and a window ends before a pair whose counter is below ``MIN_COUNT``.
-Colliding pairs only share a larger counter, so nothing that can be reported is cut, whatever the table's size. It grows with the
-input up to ``MAX_BITS``; past that more windows stay long and more rows are grouped, with the same result.
+A window need not go past its longest prefix that occurs ``MIN_COUNT`` times: longer phrases from there are not
+reported. Two passes count hashed slots, first of word pairs, then of three to five words whose pairs
+all pass; a window ends before the first prefix whose slot stays below ``MIN_COUNT``. Prefixes that
+share a slot only share a larger count, so nothing that can be reported is cut, whatever the number of slots. It
+grows with the input up to ``2**MAX_BITS`` (one bit each is broadcast, 32 MB at most); past some 50 GB of text
+windows stay longer and more rows are grouped, with the same result.
 
 Words and languages: A-Z lower-cased, pieces end at ``[.,;:!?\\x0A-\\x0D]``, words are ``[^\\x20\\x09]+``.
 
@@ -31,8 +33,9 @@ from .arrow import BLANK, BREAK, INSIDE, hashes, split_tokens, text_slices
 MIN_COUNT = 100             # occurrences of a candidate, at least
 LONGEST = 5                 # words of a candidate, at most
 TOP = 2_000                 # phrases reported for each language
-MIN_BITS, MAX_BITS = 16, 24
-CHUNK = 1 << 12             # counters summed as one row
+MIN_BITS, MAX_BITS = 16, 28
+CHUNK = 1 << 16             # slots summed at a time
+BUFFER = 1 << 22            # slots that a task holds before it sorts them and hands them on
 SPREAD = 64                 # parts in which a language's best phrases are chosen first
 
 WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
@@ -43,76 +46,147 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
-def pair_slots(langs: pa.Array, row: np.ndarray, code: np.ndarray, words: pa.Array, bits: int) -> np.ndarray:
-    """Counter of every word and its successor, per language (the last word's is meaningless)."""
-    lang = langs.dictionary_encode()
-    h = hashes(words)[code]
-    h = h * np.uint64(0x9E3779B97F4A7C15) + np.roll(h, -1) + hashes(lang.dictionary)[lang.indices.to_numpy(zero_copy_only=False)][row]
+def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+    return h ^ (h >> np.uint64(29))
 
 
-def frequent_pairs(docs: DataFrame, least: int) -> tuple[int, bytes]:
-    """Number of bits of a slot, and a bit per slot: set where its pairs occur ``least`` times or more together."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(max(int(size // 32).bit_length(), MIN_BITS), MAX_BITS)
-    full = min(least, 255)                      # a counter need not go beyond the bound: one byte is enough
+class Words:
+    """The words of a slice of texts and hashes of the phrases that start at them."""
+
+    def __init__(self, b: pa.RecordBatch):
+        self.row, self.code, self.joined, self.words = split_tokens(b.column("text"), KINDS, LOWER)
+        self.langs = b.column("lang").dictionary_encode()
+        self.lang = self.langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[self.row]
+        self.own = hashes(self.words)[self.code] if len(self.code) else np.zeros(0, np.uint64)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Words that a word of their piece follows, and the hash of each with that word."""
+        at = np.flatnonzero(self.joined)
+        of_lang = hashes(self.langs.dictionary)
+        return at, self.longer(_mix(self.own[at] + of_lang[self.lang[at]]) if len(at) else self.own[at], at, 2)
+
+    def longer(self, h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+        """Hash of the ``k`` words from each position, given that of the first ``k - 1``."""
+        return _mix(h * np.uint64(0x9E3779B97F4A7C15) + self.own[at + k - 1])
+
+
+class Kept:
+    """Slots whose phrases occur often enough together."""
+
+    def __init__(self, bits: int, packed: bytes):
+        self.shift, self.table = np.uint64(64 - bits), np.unpackbits(np.frombuffer(packed, dtype=np.uint8)).view(bool)
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        return self.table[(h >> self.shift).astype(np.int64)]
+
+
+def frequent_slots(docs: DataFrame, bits: int, least: int, phrases) -> bytes:
+    """A bit per slot, set where ``least`` or more of the phrases whose hashes ``phrases(words)`` yields fall into it.
+
+    A task hands on its slots sorted and counted, three bytes each; a range of slots is summed as it streams past.
+    """
+    full = min(least, 255)                      # a count need not go beyond the bound: one byte is enough
+
+    def counted(buffer):
+        slot, n = np.unique(np.concatenate(buffer), return_counts=True)
+        n = np.minimum(n, full).astype(np.uint8)
+        cuts = np.flatnonzero(np.diff(slot // CHUNK)) + 1
+        parts = list(zip(np.split(slot, cuts), np.split(n, cuts)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int(s[0]) // CHUNK for s, _ in parts], pa.int64()), pa.array([(s % CHUNK).astype(np.uint16).tobytes() for s, _ in parts], pa.binary()),
+             pa.array([c.tobytes() for _, c in parts], pa.binary())], ["chunk", "slots", "counts"])
 
     def count(batches):
-        table = np.zeros(1 << bits, dtype=np.uint32)
+        buffer, held = [], 0
         for whole in batches:
             for b in text_slices(whole):
-                row, code, joined, words = split_tokens(b.column("text"), KINDS, LOWER)
-                if len(row):
-                    np.add.at(table, pair_slots(b.column("lang"), row, code, words, bits)[joined], 1)
-        for k in range(0, 1 << bits, CHUNK):
-            part = table[k:k + CHUNK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([np.minimum(part, full).astype(np.uint8).tobytes()])],
-                                                 ["at", "counts"])
-
-    def add(group: pa.Table) -> pa.Table:
-        total = np.zeros(CHUNK, dtype=np.uint32)
-        for c in group.column("counts"):
-            total += np.frombuffer(c.as_buffer(), dtype=np.uint8)
-        return pa.table({"at": group.column("at")[:1], "kept": pa.array([np.packbits(total >= full).tobytes()])})
-
-    parts = docs.select("lang", "text").mapInArrow(count, "at long, counts binary")
-    kept = bytearray((1 << bits) // 8)          # 2 MB at most
-    for r in parts.groupBy("at").applyInArrow(add, "at long, kept binary").toLocalIterator():
-        kept[r["at"] // 8:r["at"] // 8 + CHUNK // 8] = r["kept"]
-    return bits, bytes(kept)
+                for h in phrases(Words(b)):
+                    buffer.append((h >> np.uint64(64 - bits)).astype(np.uint32))
+                    held += len(h)
+                if held > BUFFER:
+                    yield from counted(buffer)
+                    buffer, held = [], 0
+        if held:
+            yield from counted(buffer)
+
+    def add(batches):
+        at, total = -1, np.zeros(CHUNK, dtype=np.int64)
+        for b in batches:
+            for chunk, slots, n in zip(b.column("chunk").to_pylist(), b.column("slots"), b.column("counts")):
+                if chunk != at:
+                    if at >= 0:
+                        yield kept_row(at, total)
+                    at, total = chunk, np.zeros(CHUNK, dtype=np.int64)
+                total[np.frombuffer(slots.as_buffer(), dtype=np.uint16)] += np.frombuffer(n.as_buffer(), dtype=np.uint8)
+        if at >= 0:
+            yield kept_row(at, total)
+
+    def kept_row(at, total):
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([np.packbits(total >= full).tobytes()])], ["chunk", "kept"])
+
+    parts = docs.select("lang", "text").mapInArrow(count, "chunk long, slots binary, counts binary")
+    kept = bytearray((1 << bits) // 8)
+    for r in parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, "chunk long, kept binary").toLocalIterator():
+        kept[r["chunk"] * CHUNK // 8:(r["chunk"] + 1) * CHUNK // 8] = r["kept"]
+    return bytes(kept)
 
 
 def windows(docs: DataFrame, least: int) -> DataFrame:
     """``lang, w1 .. w5, n``: padded longest windows with how often each slice of texts holds them."""
-    bits, kept = frequent_pairs(docs, least)
-    shared = docs.sparkSession.sparkContext.broadcast(kept)
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(max(int(size // 32).bit_length(), MIN_BITS), MAX_BITS)
+    pairs = spark.sparkContext.broadcast(frequent_slots(docs, bits, least, lambda w: [w.pairs()[1]]))
+
+    def followed(w: Words, keeps: Kept):
+        """Whether a frequent pair starts at each word, and the words where one does with the pairs' hashes."""
+        at, h = w.pairs()
+        ok = keeps(h)
+        goes_on = np.zeros(len(w.code) + 1, dtype=bool)
+        goes_on[at[ok]] = True
+        return goes_on, at[ok], h[ok]
+
+    memo: dict[str, Kept] = {}
+
+    def long_phrases(w: Words):
+        if not memo:
+            memo["pairs"] = Kept(bits, pairs.value)     # unpacked once in a task
+        goes_on, at, h = followed(w, memo["pairs"])
+        for k in range(3, LONGEST + 1):
+            on = goes_on[at + k - 2]
+            at, h = at[on], h[on]
+            h = w.longer(h, at, k)
+            yield h
+
+    longer = spark.sparkContext.broadcast(frequent_slots(docs, bits, least, long_phrases))
 
     def run(batches):
-        table = np.unpackbits(np.frombuffer(shared.value, dtype=np.uint8)).view(bool)
+        of_pairs, of_longer = Kept(bits, pairs.value), Kept(bits, longer.value)
         for whole in batches:
             for b in text_slices(whole):
-                row, code, joined, words = split_tokens(b.column("text"), KINDS, LOWER)
-                if not len(row):
+                w = Words(b)
+                if not len(w.code):
                     continue
-                goes_on = joined & table[pair_slots(b.column("lang"), row, code, words, bits)]
-                pad = len(words)
-                words = pa.concat_arrays([words, pa.array([""], pa.string())])
-                lang = b.column("lang").dictionary_encode()
-                of_row = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
+                goes_on, at, h = followed(w, of_pairs)
+                pad = len(w.words)
+                words = pa.concat_arrays([w.words, pa.array([""], pa.string())])
                 # Windows of one word: counted here, there are few different ones.
-                alone = np.flatnonzero(~goes_on)
-                key, n = np.unique(of_row[alone] * pad + code[alone], return_counts=True)
-                cols = [key % pad] + [np.full(len(key), pad)] * (LONGEST - 1)
-                yield _rows(lang.dictionary, words, key // pad, cols, n)
-                at = np.flatnonzero(goes_on)
-                live = np.ones(len(at), dtype=bool)
-                cols = [code[at]]
-                for k in range(1, LONGEST):
-                    live &= goes_on[np.minimum(at + k - 1, len(code) - 1)]      # the last word never goes on
-                    cols.append(np.where(live, code[np.minimum(at + k, len(code) - 1)], pad))
-                yield _rows(lang.dictionary, words, of_row[at], cols, np.ones(len(at), np.int64))
+                alone = np.flatnonzero(~goes_on[:-1])
+                key, n = np.unique(w.lang[alone] * pad + w.code[alone], return_counts=True)
+                yield _rows(w.langs.dictionary, words, key // pad, [key % pad] + [np.full(len(key), pad)] * (LONGEST - 1), n)
+                first, alive = at, np.arange(len(at))
+                cols = [w.code[at], w.code[at + 1]]
+                for k in range(3, LONGEST + 1):
+                    on = goes_on[at + k - 2]
+                    at, alive = at[on], alive[on]
+                    h = w.longer(h[on], at, k)
+                    on = of_longer(h)
+                    at, alive, h = at[on], alive[on], h[on]
+                    col = np.full(len(first), pad)
+                    col[alive] = w.code[at + k - 1]
+                    cols.append(col)
+                yield _rows(w.langs.dictionary, words, w.lang[first], cols, np.ones(len(first), np.int64))
 
     return docs.select("lang", "text").mapInArrow(run, f"lang string, {', '.join(w + ' string' for w in WORDS)}, n long")
 

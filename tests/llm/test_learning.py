@@ -74,8 +74,8 @@ def test_phrases_equal_brute_force(spark, least, top):
 
 def test_colliding_pairs_change_nothing(spark, monkeypatch):
     rows = texts_in_four_languages()[:-2]
-    monkeypatch.setattr(phrases, "MIN_BITS", 12)
-    monkeypatch.setattr(phrases, "MAX_BITS", 12)        # hardly any pair has a counter of its own
+    for name, value in (("MIN_BITS", 4), ("MAX_BITS", 4), ("CHUNK", 8), ("BUFFER", 1000)):      # all phrases share a few slots
+        monkeypatch.setattr(phrases, name, value)
     df = spark.createDataFrame(rows * 3, "lang string, text string")
     assert sorted(tuple(r) for r in phrases.mine(df, 4, 500).collect()) == brute_phrases(rows * 3, 4, 500)
 
