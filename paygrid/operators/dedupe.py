@@ -13,7 +13,7 @@ task or on the driver:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,8 +62,9 @@ def sequence_in_group(df: DataFrame, keys: Sequence[str], order: str = ORDER_COL
     return out.withColumn(name, (F.col("_g") - F.col("_g0") + 1).cast("int")).drop("_g", "_g0")
 
 
-def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
-                   start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
+def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str, start: int | Column = 1,
+                   num_partitions: int | None = None, within: Sequence[str] = (),
+                   watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """dense ids ``start, start+1, ...`` in the order of ``order_cols``.
 
     ``order_cols`` must be unique in ``df`` (a business key). The frame is
@@ -72,6 +73,10 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     in the low bits) and shifted by the number of rows in earlier partitions.
     Same ids as ``row_number() over (order by key)``, without the single task.
 
+    ``within`` names leading ``order_cols`` of few distinct values: ids start anew for each of them, so several
+    tables, or accepted and rejected rows, are ranked and written by one job. ``watch`` is applied to the frame that
+    is written, to count rows while they are written.
+
     The numbered frame is written (parquet, under the shared checkpoint folder)
     and read back: range bounds come from sampling, so the counts and the
     positions must come from the very same partitioning; two independent
@@ -79,21 +84,23 @@ def surrogate_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     position are plain columns. This also cuts the lineage, leaves nothing in
     the cache, and a lost executor re-reads files instead of re-sampling.
     """
+    if list(within) != list(order_cols)[:len(within)]:
+        raise ValueError("within must be the first order columns")
     # Without an explicit count AQE may coalesce neighbouring ranges; coalesced
     # partitions are still contiguous key ranges in index order.
     ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
               else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
-        "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-    tagged = materialize(tagged, "ids")
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: cumulative offsets over at most n rows.
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, subset=["_off"])
+        "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).drop("_mid")
+    tagged = materialize(watch(tagged) if watch else tagged, "ids")
+    # One row per partition and group: rows of a group are a run inside a partition.
+    runs = tagged.groupBy("_pid", *within).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_pid", "_lo").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select("_pid", *within, "_lo", before.alias("_off"))
+    if within:
+        runs = runs.withColumn("_off", F.col("_off") - F.min("_off").over(Window.partitionBy(*within)))
     start_col = start if isinstance(start, Column) else F.lit(start)
-    out = tagged.join(F.broadcast(offsets), "_pid", "left").withColumn(
-        id_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + start_col).cast("bigint"))
-    return out.drop("_mid", "_pid", "_pos", "_off")
+    out = tagged.join(F.broadcast(runs), ["_pid", *within], "left").withColumn(
+        id_col, (F.col("_off") + F.col("_pos") - F.col("_lo") + start_col).cast("bigint"))
+    return out.drop("_pid", "_pos", "_lo", "_off")

@@ -121,28 +121,31 @@ def rubricas(w: DataFrame) -> DataFrame:
     return _finish(df, ["codigo_rubrica", "nome_rubrica"], ["codigo_rubrica"])
 
 
+# Columns of the payslip header and of the position snapshot (fixed by the target model).
+HEADER_COLUMNS = ["folha_descricao_origem", "competencia", "bruto", "descontos", "liquido", "data_consolidacao",
+                  "dt_lib_c_cheque", "ano", "mes", "hash_origem"]
+SNAPSHOT_COLUMNS = ["orgao", "cargo", "ref_cargo", "funcao", "ref_funcao", "municipio", "setor", "regime_juridico",
+                    "tipo_vinculo", "banco", "agencia", "conta", "carga_horaria"]
+
+
+def _headers(w: DataFrame) -> DataFrame:
+    return w.withColumns({"folha_descricao_origem": F.col("folha"), "ano": F.year("mes_ano"), "mes": F.month("mes_ano"),
+                          "hash_origem": N.stable_hash(*PAYSLIP_KEY)})
+
+
 def contracheques(w: DataFrame) -> DataFrame:
     """Payslip headers (hash_origem is a hash of the key, not of the content)."""
-    df = w.select(
-        *PAYSLIP_KEY,
-        F.col("folha").alias("folha_descricao_origem"),
-        "competencia", "bruto", "descontos", "liquido", "data_consolidacao", "dt_lib_c_cheque",
-        F.year("mes_ano").alias("ano"),
-        F.month("mes_ano").alias("mes"),
-        N.stable_hash(*PAYSLIP_KEY).alias("hash_origem"),
-        ORDER_COL,
-    )
-    return _finish(df, PAYSLIP_KEY, PAYSLIP_KEY)
+    return _finish(_headers(w).select(*PAYSLIP_KEY, *HEADER_COLUMNS, ORDER_COL), PAYSLIP_KEY, PAYSLIP_KEY)
 
 
 def snapshots(w: DataFrame) -> DataFrame:
     """Position of the employee at the time of the payslip."""
-    df = w.select(
-        *PAYSLIP_KEY, "orgao", "cargo", "ref_cargo", "funcao", "ref_funcao", "municipio",
-        "setor", "regime_juridico", "tipo_vinculo", "banco", "agencia", "conta",
-        "carga_horaria", ORDER_COL,
-    )
-    return _finish(df, PAYSLIP_KEY, PAYSLIP_KEY)
+    return _finish(w.select(*PAYSLIP_KEY, *SNAPSHOT_COLUMNS, ORDER_COL), PAYSLIP_KEY, PAYSLIP_KEY)
+
+
+def payslips(w: DataFrame) -> DataFrame:
+    """B6 and B7 in one aggregate: both keep the last source row of the payslip key."""
+    return _finish(_headers(w).select(*PAYSLIP_KEY, *HEADER_COLUMNS, *SNAPSHOT_COLUMNS, ORDER_COL), PAYSLIP_KEY, PAYSLIP_KEY)
 
 
 def itens(w: DataFrame, with_order: bool = False, with_sequence: bool = True) -> DataFrame:

@@ -7,7 +7,8 @@ DuckDB oracle can reproduce them with ``row_number() over (order by key)``.
 
 Join plan (for 100 TB): payslip header, snapshot and line all join on the
 4-part payslip key; ids are resolved once per payslip (``payslip_ids``) and
-reused. Every join is left to the planner and AQE, which broadcast by real size.
+reused: a line joins the outcome map of the payslips once, which gives its id or the reason it has none.
+Every join is left to the planner and AQE, which broadcast by real size.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from paygrid.functions import normalize as N
 from paygrid.operators import entities as E
+from paygrid.operators.counts import Counts, rows
 from paygrid.operators.dedupe import ORDER_COL, keep_last, surrogate_keys
 from paygrid.operators.joins import first_error, reject_split
 from paygrid.session import materialize
@@ -85,33 +87,45 @@ def _key_text(prefix_cols: list[str]) -> Column:
     return F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in prefix_cols])
 
 
+# Tables that a fresh load ranks in one job, and the key that orders each.
+RANKED = {"folha_referencia": ["mes_ano_folha", "num_folha"], "servidor": ["numfunc"], "rubrica": ["codigo_rubrica"],
+          "servidor_vinculo": ["numfunc", "numvinc"]}
+
+
 class Migration:
     """All target tables of one load, as lazy DataFrames.
 
     ``checks`` / ``folhas_src`` are the raw sources (upper-case columns).
     ``load_ts`` stamps ``updated_at`` (a fixed value keeps results comparable).
+    Counts are taken by the writes (``counts``); ``counted`` also writes the payroll runs to count them.
     """
 
     def __init__(self, checks: DataFrame, folhas_src: DataFrame, load_ts=None,
-                 normalized: DataFrame | None = None, existing: dict[str, DataFrame] | None = None):
+                 normalized: DataFrame | None = None, existing: dict[str, DataFrame] | None = None,
+                 counts: Counts | None = None, counted: bool = False):
         self._checks = checks
         self._normalized = normalized
+        self.counts = counts or Counts()
         self.nf = E.normalize_folhas(folhas_src)
+        if counted:
+            self.nf = materialize(self.counts.watch(folhas_lidas=rows())(self.nf), "folhas")
         self.load_ts = load_ts
         # Stored target tables: when present, each table is upserted into its stored
         # version (ids kept, new keys after the stored maximum) instead of built fresh.
         self.existing = existing or {}
+        # Tables that were stored when the load began; a load adds the others to ``existing`` as it writes them.
+        self._stored = frozenset(self.existing)
 
     @cached_property
     def w(self) -> DataFrame:
         """The normalised wide source, written once (bronze) and shared by every entity."""
         if self._normalized is not None:
             return self._normalized
-        return materialize(E.normalize_checks(self._checks), "bronze")
+        return materialize(self.counts.watch(linhas_brutas=rows())(E.normalize_checks(self._checks)), "bronze")
 
     def _dim(self, table: str, src: DataFrame, keys: list[str], id_col: str,
              fact: bool = False) -> DataFrame:
-        """Fresh ids in key order, or an upsert into the stored table.
+        """An upsert into the stored table (A7/A11), or fresh ids in key order.
 
         For a fact table only the periods of this batch are read and returned
         (the store rewrites just those partitions); new ids continue after the
@@ -133,8 +147,8 @@ class Migration:
     @cached_property
     def periods(self) -> list[tuple[int, int]]:
         """(ano, mes) of this batch's payslips: a short list (months), read to the driver."""
-        rows = self.contracheque_src.select("ano", "mes").distinct().collect()
-        return sorted((int(r["ano"]), int(r["mes"])) for r in rows)
+        found = self.payslips.select("ano", "mes").distinct().collect()
+        return sorted((int(r["ano"]), int(r["mes"])) for r in found)
 
     def touched(self, df: DataFrame) -> DataFrame:
         """Rows of the batch's periods; on a table partitioned by (ano, mes) this prunes partitions."""
@@ -162,12 +176,8 @@ class Migration:
         return E.rubricas(self.w)
 
     @cached_property
-    def contracheque_src(self) -> DataFrame:
-        return E.contracheques(self.w)
-
-    @cached_property
-    def snapshot_src(self) -> DataFrame:
-        return E.snapshots(self.w)
+    def payslip_src(self) -> DataFrame:
+        return E.payslips(self.w)
 
     @cached_property
     def item_src(self) -> DataFrame:
@@ -179,60 +189,121 @@ class Migration:
         return E.folhas(self.nf)
 
     # -- dimensions with ids ----------------------------------------------------
+    @cached_property
+    def _ranked(self) -> DataFrame:
+        """The rows of all dimensions that are not stored yet, ranked by one range exchange and one write.
+
+        Rejected links are in it as well, ranked by themselves. A fresh link id follows the order of
+        (employee, link), which is that of their source numbers.
+        """
+        known = self.servidor_src.select("numfunc", F.lit(True).alias("_known"))
+        links = self.vinculo_src.join(known, "numfunc", "left").withColumn(
+            "_erro", first_error((F.col("_known").isNull(), MSG_VINCULO_SEM_SERVIDOR))).drop("_known")
+        frames = {"folha_referencia": self.folha_src.drop(ORDER_COL), "servidor": self.servidor_src,
+                  "rubrica": self.rubrica_src, "servidor_vinculo": links}
+        union = None
+        for table, df in frames.items():
+            if table in self._stored or (table == "servidor_vinculo" and not self._fresh_links):
+                continue
+            keys = [F.unix_date(k) if dict(df.dtypes)[k] == "date" else F.col(k) for k in RANKED[table]] + [F.lit(0)]
+            bad = F.col("_erro").isNotNull() if "_erro" in df.columns else F.lit(False)
+            part = df.select(F.lit(table).alias("_table"), bad.alias("_bad"),
+                             *[k.cast("bigint").alias(f"_k{i}") for i, k in enumerate(keys[:2])], *df.columns)
+            union = part if union is None else union.unionByName(part, allowMissingColumns=True)
+
+        def n(table: str, bad: Column = F.lit(True)) -> Column:
+            return F.count_if((F.col("_table") == table) & bad)
+
+        watch = self.counts.watch(servidores_unicos=n("servidor"), vinculos_unicos=n("servidor_vinculo"),
+                                  rubricas_unicas=n("rubrica"), erros_vinculo=n("servidor_vinculo", F.col("_bad")))
+        return surrogate_keys(union, ["_table", "_bad", "_k0", "_k1"], "_id", within=["_table", "_bad"], watch=watch)
+
+    @property
+    def _fresh_links(self) -> bool:
+        """Links are ranked with the dimensions when neither they nor the employees are stored."""
+        return not {"servidor", "servidor_vinculo"} & self._stored
+
+    def _fresh(self, table: str, id_col: str, columns: list[str]) -> DataFrame:
+        return self._ranked.filter((F.col("_table") == table) & ~F.col("_bad")).select(F.col("_id").alias(id_col), *columns)
+
     @cached_property
     def folha(self) -> DataFrame:
         src = self.folha_src.drop(ORDER_COL)
-        return self._dim("folha_referencia", src, ["mes_ano_folha", "num_folha"], "id_folha_referencia")
+        if "folha_referencia" not in self._stored:
+            return self._fresh("folha_referencia", "id_folha_referencia", src.columns)
+        return self._dim("folha_referencia", src, RANKED["folha_referencia"], "id_folha_referencia")
 
     @cached_property
     def servidor(self) -> DataFrame:
-        src = self.servidor_src.withColumn("updated_at", self._ts())
-        return self._dim("servidor", src, ["numfunc"], "id_servidor")
+        if "servidor" not in self._stored:
+            return self._fresh("servidor", "id_servidor", self.servidor_src.columns).withColumn("updated_at", self._ts())
+        return self._dim("servidor", self.servidor_src.withColumn("updated_at", self._ts()), ["numfunc"], "id_servidor")
 
     @cached_property
     def rubrica(self) -> DataFrame:
-        src = self.rubrica_src.withColumn("updated_at", self._ts())
-        return self._dim("rubrica", src, ["codigo_rubrica"], "id_rubrica")
+        if "rubrica" not in self._stored:
+            return self._fresh("rubrica", "id_rubrica", self.rubrica_src.columns).withColumn("updated_at", self._ts())
+        return self._dim("rubrica", self.rubrica_src.withColumn("updated_at", self._ts()), ["codigo_rubrica"], "id_rubrica")
 
     # -- D2: vinculo -> servidor --------------------------------------------------
     @cached_property
     def vinculo_tagged(self) -> DataFrame:
-        ids = self.servidor.select("numfunc", "id_servidor")
-        x = self.vinculo_src.join(ids, "numfunc", "left")
-        return materialize(x.withColumn("_erro", first_error((F.col("id_servidor").isNull(), MSG_VINCULO_SEM_SERVIDOR))),
-                           "vinculo")
+        """Links with the first rule they fail; read from the ranked dimensions in a fresh load."""
+        if self._fresh_links:
+            return self._ranked.filter(F.col("_table") == "servidor_vinculo")
+        x = self.vinculo_src.join(self.servidor.select("numfunc", "id_servidor"), "numfunc", "left")
+        x = x.withColumn("_erro", first_error((F.col("id_servidor").isNull(), MSG_VINCULO_SEM_SERVIDOR)))
+        return materialize(self.counts.watch(erros_vinculo=F.count_if(F.col("_erro").isNotNull()))(x), "vinculo")
 
     @cached_property
     def vinculo(self) -> DataFrame:
         """Links with ids (plus ``numfunc`` of their employee, used to resolve payslips)."""
+        ids = self.servidor.select("id_servidor", "numfunc")
+        if self._fresh_links:
+            return self._fresh("servidor_vinculo", "id_vinculo", self.vinculo_src.columns).join(ids, "numfunc").withColumn(
+                "updated_at", self._ts())
         ok, _ = reject_split(self.vinculo_tagged)
-        ok = ok.withColumn("updated_at", self._ts())
-        if "servidor_vinculo" not in self.existing:
-            return surrogate_keys(ok, ["id_servidor", "numvinc"], "id_vinculo")
-        v = self._dim("servidor_vinculo", ok.drop("numfunc"), ["id_servidor", "numvinc"], "id_vinculo")
-        return v.join(self.servidor.select("id_servidor", "numfunc"), "id_servidor", "left")
+        v = self._dim("servidor_vinculo", ok.withColumn("updated_at", self._ts()).drop("numfunc"), ["id_servidor", "numvinc"],
+                      "id_vinculo")
+        return v.join(ids, "id_servidor", "left")
 
     @cached_property
     def vinculo_rejects(self) -> DataFrame:
         _, bad = reject_split(self.vinculo_tagged)
-        return bad.select(F.lit("servidor_vinculo").alias("entidade"),
-                          _key_text(["numfunc", "numvinc"]).alias("chave_origem"),
-                          F.col("_erro").alias("mensagem_erro"),
-                          F.to_json(F.struct(*self.vinculo_src.columns), {"ignoreNullFields": "false"})
-                          .alias("payload_origem"))
+        return self._reject_rows(bad, "servidor_vinculo", _key_text(["numfunc", "numvinc"]), F.col("_erro"),
+                                 self.vinculo_src.columns)
+
+    @staticmethod
+    def _reject_rows(bad: DataFrame, table: str, key: Column, message: Column, columns: list[str]) -> DataFrame:
+        return bad.select(F.lit(table).alias("entidade"), key.alias("chave_origem"), message.alias("mensagem_erro"),
+                          F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("payload_origem"))
 
     def _link_ids(self) -> DataFrame:
         return self.vinculo.select("numfunc", "numvinc", "id_servidor", "id_vinculo")
 
-    # -- D3/D4: contracheque -> vinculo, folha ------------------------------------
+    # -- D3/D4/D5: payslip (header and snapshot) -> vinculo, folha ------------------
     @cached_property
-    def contracheque_tagged(self) -> DataFrame:
-        x = self.contracheque_src.join(self._link_ids(), ["numfunc", "numvinc"], "left")
-        x = map_folha(x, self.folha)
-        return materialize(x.withColumn("_erro", first_error(
+    def payslips(self) -> DataFrame:
+        """Every payslip of the batch with its links, the first rule it fails and, in a fresh load, its id.
+
+        Header and snapshot of a payslip come from one source row and stand or fall together, so the
+        snapshot needs no join of its own. Ranking and tagging share one write.
+        """
+        x = self.payslip_src.join(self._link_ids(), ["numfunc", "numvinc"], "left")
+        x = map_folha(x, self.folha).withColumn("_erro", first_error(
             (F.col("id_vinculo").isNull(), MSG_CC_SEM_VINCULO),
             (F.col("id_folha_referencia").isNull(), MSG_CC_SEM_FOLHA),
-        )), "contracheque")
+        ))
+        watch = self.counts.watch(contracheques_unicos=rows(), erros_contracheque=F.count_if(F.col("_erro").isNotNull()))
+        if "contracheque" in self._stored:
+            return materialize(watch(x), "payslips")
+        x = surrogate_keys(x.withColumn("_bad", F.col("_erro").isNotNull()), ["_bad", "id_vinculo", "mes_ano", "numero"],
+                           "_id", within=["_bad"], watch=watch)
+        return x.withColumn("id_contracheque", F.when(~F.col("_bad"), F.col("_id"))).drop("_bad", "_id")
+
+    @cached_property
+    def contracheque_tagged(self) -> DataFrame:
+        return self.payslips
 
     CC_COLUMNS = ["id_contracheque", "id_vinculo", "id_folha_referencia", "mes_ano", "numero",
                   "folha_descricao_origem", "competencia", "bruto", "descontos", "liquido",
@@ -240,7 +311,7 @@ class Migration:
 
     @cached_property
     def contracheque_ok(self) -> DataFrame:
-        ok, _ = reject_split(self.contracheque_tagged)
+        ok, _ = reject_split(self.payslips)
         return ok.withColumn("ano", F.col("ano").cast("int")).withColumn("mes", F.col("mes").cast("int")) \
             .withColumn("updated_at", self._ts())
 
@@ -248,68 +319,70 @@ class Migration:
     def contracheque_full(self) -> DataFrame:
         """Accepted payslips of this batch with their id and business key (internal)."""
         ok = self.contracheque_ok
-        if "contracheque" not in self.existing:
-            return surrogate_keys(ok, ["id_vinculo", "mes_ano", "numero"], "id_contracheque")
+        if "id_contracheque" in ok.columns:
+            return ok
         ids = self.contracheque.select("id_vinculo", "mes_ano", "numero", "id_contracheque")
         return ok.join(ids, ["id_vinculo", "mes_ano", "numero"], "inner")
 
     @cached_property
     def contracheque(self) -> DataFrame:
-        if "contracheque" not in self.existing:
+        if "contracheque" not in self._stored:
             return self.contracheque_full.select(*self.CC_COLUMNS)
         src = self.contracheque_ok.select(*[c for c in self.CC_COLUMNS if c != "id_contracheque"])
         return self._dim("contracheque", src, ["id_vinculo", "mes_ano", "numero"], "id_contracheque", fact=True)
 
     @cached_property
     def contracheque_rejects(self) -> DataFrame:
-        _, bad = reject_split(self.contracheque_tagged)
-        return bad.select(F.lit("contracheque").alias("entidade"),
-                          _key_text(PAYSLIP_KEY).alias("chave_origem"),
-                          F.col("_erro").alias("mensagem_erro"),
-                          F.to_json(F.struct(*self.contracheque_src.columns), {"ignoreNullFields": "false"})
-                          .alias("payload_origem"))
+        _, bad = reject_split(self.payslips)
+        return self._reject_rows(bad, "contracheque", _key_text(PAYSLIP_KEY), F.col("_erro"), [*PAYSLIP_KEY, *E.HEADER_COLUMNS])
 
     @cached_property
-    def payslip_ids(self) -> DataFrame:
-        """Business key -> (id_vinculo, id_contracheque), shared by snapshot/item/consolidado."""
-        return self.contracheque_full.select(*PAYSLIP_KEY, "id_vinculo", "id_contracheque")
-
-    def _child_tagged(self, child: DataFrame, msg_link: str, msg_cc: str) -> DataFrame:
-        links = self._link_ids().select("numfunc", "numvinc", F.lit(True).alias("_has_link"))
-        x = child.join(links, ["numfunc", "numvinc"], "left")
-        x = x.join(self.payslip_ids.drop("id_vinculo"), PAYSLIP_KEY, "left")
-        return materialize(x.withColumn("_erro", first_error(
-            (F.col("_has_link").isNull(), msg_link),
-            (F.col("id_contracheque").isNull(), msg_cc),
-        )).drop("_has_link"), "child")
+    def outcomes(self) -> DataFrame:
+        """D3-D6 outcome map: every payslip key of the batch -> its id, or whether its link is missing."""
+        x = self.payslips
+        if "id_contracheque" not in x.columns:
+            ids = self.contracheque.select("id_vinculo", "mes_ano", "numero", "id_contracheque")
+            x = x.join(ids, ["id_vinculo", "mes_ano", "numero"], "left")
+        return x.select(*PAYSLIP_KEY, "id_contracheque", F.col("id_vinculo").isNull().alias("_no_link"))
 
     # -- D5: snapshot ---------------------------------------------------------------
-    @cached_property
-    def snapshot_tagged(self) -> DataFrame:
-        return self._child_tagged(self.snapshot_src, MSG_SNAP_SEM_VINCULO, MSG_SNAP_SEM_CC)
-
     @cached_property
     def snapshot(self) -> DataFrame:
-        ok, _ = reject_split(self.snapshot_tagged)
-        ok = _with_period(ok).drop(*PAYSLIP_KEY)
-        s = self._dim("contracheque_snapshot_funcional", ok, ["id_contracheque"], "id_snapshot", fact=True)
-        return s.select("id_snapshot", "id_contracheque", "orgao", "cargo", "ref_cargo", "funcao",
-                        "ref_funcao", "municipio", "setor", "regime_juridico", "tipo_vinculo",
-                        "banco", "agencia", "conta", "carga_horaria", "ano", "mes")
+        ok = self.contracheque_full.select("id_contracheque", *E.SNAPSHOT_COLUMNS, "ano", "mes")
+        if "contracheque_snapshot_funcional" not in self._stored and "id_contracheque" in self.payslips.columns:
+            # One snapshot per accepted payslip, in its order: the ids are those of the payslips.
+            s = ok.withColumn("id_snapshot", F.col("id_contracheque"))
+        else:
+            s = self._dim("contracheque_snapshot_funcional", ok, ["id_contracheque"], "id_snapshot", fact=True)
+        return s.select("id_snapshot", "id_contracheque", *E.SNAPSHOT_COLUMNS, "ano", "mes")
 
     @cached_property
     def snapshot_rejects(self) -> DataFrame:
-        _, bad = reject_split(self.snapshot_tagged)
-        return bad.select(F.lit("contracheque_snapshot_funcional").alias("entidade"),
-                          _key_text(PAYSLIP_KEY).alias("chave_origem"),
-                          F.col("_erro").alias("mensagem_erro"),
-                          F.to_json(F.struct(*self.snapshot_src.columns), {"ignoreNullFields": "false"})
-                          .alias("payload_origem"))
+        _, bad = reject_split(self.payslips)
+        message = F.when(F.col("id_vinculo").isNull(), F.lit(MSG_SNAP_SEM_VINCULO)).otherwise(F.lit(MSG_SNAP_SEM_CC))
+        return self._reject_rows(bad, "contracheque_snapshot_funcional", _key_text(PAYSLIP_KEY), message,
+                                 [*PAYSLIP_KEY, *E.SNAPSHOT_COLUMNS])
 
     # -- D6/D7: item ------------------------------------------------------------------
     @cached_property
     def item_tagged(self) -> DataFrame:
-        return self._child_tagged(self.item_src, MSG_ITEM_SEM_VINCULO, MSG_ITEM_SEM_CC)
+        """Lines with payslip id, pay code id and the first rule they fail; with their own id in a fresh load."""
+        x = self.item_src.join(self.outcomes, PAYSLIP_KEY, "left").withColumn("_erro", first_error(
+            (F.col("_no_link"), MSG_ITEM_SEM_VINCULO),
+            (F.col("id_contracheque").isNull(), MSG_ITEM_SEM_CC),
+        )).drop("_no_link")
+        # Lines without a code match nothing; a key of their own spreads them, where NULL would send all to one task.
+        codes = self.rubrica.select(F.col("codigo_rubrica").cast("string").alias("_code"), "id_rubrica")
+        code = F.coalesce(F.col("codigo_rubrica_origem").cast("string"), F.concat(F.lit("~"), F.col("item_hash")))
+        x = _with_period(x.withColumn("_code", code).join(codes, "_code", "left").drop("_code"))
+        watch = self.counts.watch(itens_processados=rows(), erros_item=F.count_if(F.col("_erro").isNotNull()),
+                                  itens_inseridos=F.count_if(F.col("_erro").isNull()))
+        if "contracheque_item" in self._stored:
+            return materialize(watch(x), "items")
+        # Accepted lines in the order of (payslip id, source order); rejected ones are ranked by themselves.
+        x = surrogate_keys(x.withColumn("_bad", F.col("_erro").isNotNull()), ["_bad", "id_contracheque", ORDER_COL], "_id",
+                           within=["_bad"], watch=watch)
+        return x.withColumn("id_contracheque_item", F.when(~F.col("_bad"), F.col("_id"))).drop("_bad", "_id")
 
     ITEM_COLUMNS = ["id_contracheque_item", "id_contracheque", "id_rubrica", "sequencia_item",
                     "codigo_rubrica_origem", "nome_rubrica_origem", "tipo_rubrica_origem", "complemento",
@@ -319,20 +392,13 @@ class Migration:
     @cached_property
     def item(self) -> DataFrame:
         ok, _ = reject_split(self.item_tagged)
-        codes = self.rubrica.select(F.col("codigo_rubrica").alias("codigo_rubrica_origem"), "id_rubrica")
-        # Lines without a code match nothing; they stay out of the join, where one task would get them all.
-        ok = _with_period(ok)
-        x = ok.filter("codigo_rubrica_origem is not null").join(codes, "codigo_rubrica_origem", "left")
-        x = x.unionByName(ok.filter("codigo_rubrica_origem is null").withColumn("id_rubrica", F.lit(None).cast("bigint")))
         old = self.existing.get("contracheque_item")
         if old is not None:
-            return self._append_items(old, x)
-        # A payslip's lines are all accepted or all rejected, so ranking accepted lines
-        # by (payslip id, source order) gives the ids, and the line number is the id
-        # minus the payslip's first id: one range shuffle for both (F2 + F3).
-        x = surrogate_keys(x, ["id_contracheque", ORDER_COL], "id_contracheque_item")
-        first = x.groupBy("id_contracheque").agg(F.min("id_contracheque_item").alias("_first"))
-        x = x.join(first, "id_contracheque").withColumn(
+            return self._append_items(old, ok)
+        # A payslip's lines are all accepted or all rejected, and their ids follow one another: the line number
+        # is the id minus the payslip's first id (F2 + F3 share one range shuffle).
+        first = ok.groupBy("id_contracheque").agg(F.min("id_contracheque_item").alias("_first"))
+        x = ok.join(first, "id_contracheque").withColumn(
             "sequencia_item", (F.col("id_contracheque_item") - F.col("_first") + 1).cast("int"))
         return x.select(*self.ITEM_COLUMNS)
 
@@ -354,12 +420,8 @@ class Migration:
     @cached_property
     def item_rejects(self) -> DataFrame:
         _, bad = reject_split(self.item_tagged)
-        return bad.select(F.lit("contracheque_item").alias("entidade"),
-                          F.col("item_hash").alias("chave_origem"),
-                          F.col("_erro").alias("mensagem_erro"),
-                          F.to_json(F.struct(*[c for c in self.item_src.columns if c != ORDER_COL]),
-                                    {"ignoreNullFields": "false"})
-                          .alias("payload_origem"))
+        return self._reject_rows(bad, "contracheque_item", F.col("item_hash"), F.col("_erro"),
+                                 [c for c in self.item_src.columns if c != ORDER_COL])
 
     # -- H2/A14: reject log ---------------------------------------------------------
     def rejects(self, with_payload: bool = True) -> DataFrame:
@@ -371,6 +433,13 @@ class Migration:
         return out if with_payload else out.drop("payload_origem")
 
 
+    def n_rejects(self) -> int:
+        """Rejected rows, from the counts of the writes; a rejected payslip loses its header and its snapshot."""
+        for prop in ("vinculo_tagged", "payslips", "item_tagged"):
+            getattr(self, prop)
+        return self.counts["erros_vinculo"] + 2 * self.counts["erros_contracheque"] + self.counts["erros_item"]
+
+
 def _consolidado(m: Migration) -> DataFrame:
     """D8/E2 over every stored line of the batch's payslips, so any batch split converges."""
     from paygrid.operators import reconcile as R
@@ -380,7 +449,7 @@ def _consolidado(m: Migration) -> DataFrame:
     if "contracheque_item" in m.existing:
         items = items.join(touched.select("id_contracheque"), "id_contracheque", "left_semi")
     c = R.consolidate(touched, items, ["id_contracheque", "ano", "mes"])
-    if "contracheque_consolidado" not in m.existing and "contracheque" not in m.existing:
+    if "contracheque_consolidado" not in m.existing and "id_contracheque" in m.payslips.columns:
         # Fresh load: one row per accepted payslip and payslip ids are dense 1..n,
         # so the rank of id_contracheque is id_contracheque itself (no range shuffle).
         return c.withColumn("id_contracheque_consolidado", F.col("id_contracheque"))

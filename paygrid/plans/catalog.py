@@ -189,7 +189,7 @@ JOIN t_vinculo v USING (numfunc, numvinc)""")
 def q_key_lookup(spark, sf_dir):
     """Distinct link keys of the payslips -> stored ids (inner join, no IN blocks)."""
     m = migration(spark, sf_dir)
-    keys = m.contracheque_src.select("numfunc", "numvinc").distinct()
+    keys = m.payslip_src.select("numfunc", "numvinc").distinct()
     return keys.join(m.vinculo.select("numfunc", "numvinc", "id_servidor", "id_vinculo"),
                      ["numfunc", "numvinc"], "inner")
 
@@ -272,7 +272,7 @@ SELECT {O.KEY4} FROM b_contracheque c
 WHERE NOT EXISTS (SELECT 1 FROM t_vinculo v WHERE v.numfunc = c.numfunc AND v.numvinc = c.numvinc)""")
 def q_sem_vinculo(spark, sf_dir):
     m = migration(spark, sf_dir)
-    return Q.sem_vinculo(m.contracheque_src, m.vinculo)
+    return Q.sem_vinculo(m.payslip_src, m.vinculo)
 
 
 @register("rubrica_quality", "SELECT * FROM q_rubq")
@@ -673,17 +673,15 @@ SELECT (SELECT count(*) FROM w) AS linhas_brutas, (SELECT count(*) FROM b_servid
 
 
 def _load_counts(spark, sf_dir):
-    from paygrid.operators import reconcile as R
-
-    checks = T.payroll_checks(spark, sf_dir)
-    folhas_raw = T.payroll_folhas(spark, sf_dir)
-    m = Migration(checks, folhas_raw)
-    return S.counts_row({
-        "linhas_brutas": checks, "servidores_unicos": m.servidor_src, "vinculos_unicos": m.vinculo_src,
-        "rubricas_unicas": m.rubrica_src, "contracheques_unicos_processados": m.contracheque_src,
-        "snapshots_processados": m.snapshot_src, "itens_processados": m.item_src, "itens_inseridos": m.item,
-        "divergencias_encontradas": R.divergent(m.consolidado), "folhas_lidas": folhas_raw,
-        "erros": m.rejects(with_payload=False)})
+    """Every count comes from the job that writes the rows; no frame is read to be counted."""
+    m = Migration(T.payroll_checks(spark, sf_dir), T.payroll_folhas(spark, sf_dir), counted=True)
+    erros = m.n_rejects()
+    materialize(m.counts.watch(divergencias_encontradas=F.count_if(R.is_divergent()))(m.consolidado), "consolidado")
+    names = ["linhas_brutas", "servidores_unicos", "vinculos_unicos", "rubricas_unicas", "itens_processados", "itens_inseridos",
+             "divergencias_encontradas", "folhas_lidas"]
+    # A payslip is a header and a snapshot.
+    payslips = m.counts["contracheques_unicos"]
+    return m.counts.row(spark, names, contracheques_unicos_processados=payslips, snapshots_processados=payslips, erros=erros)
 
 
 @register("load_summary", LOAD_SUMMARY_SQL)

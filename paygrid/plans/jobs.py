@@ -22,6 +22,7 @@ from paygrid.operators import entities as E
 from paygrid.operators import quality as Q
 from paygrid.operators import reconcile as R
 from paygrid.operators import sinks as S
+from paygrid.operators.counts import Counts, rows
 from paygrid.operators.resolve import Migration
 from paygrid.plans.options import RunOptions, Scope, refresh_scope
 from paygrid.sources import period as P
@@ -110,13 +111,15 @@ def load_tables(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store
 
 def _load(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store: Store, load_ts: dt.datetime,
           tipo_origem: str, referencia: str | None, id_carga: int) -> DataFrame:
-    normalized = E.normalize_checks(checks)
+    counts = Counts()
+    # Retried rows were counted as read by the load that they came with.
+    normalized = counts.watch(linhas_brutas=rows())(E.normalize_checks(checks))
     pending = store.read("_pending")
     if pending is not None:
         # Rows whose link could not be resolved in an earlier batch are retried.
         normalized = normalized.unionByName(pending)
     bronze = store.write("_bronze", normalized)
-    m = Migration(None, folhas, load_ts=load_ts, normalized=bronze, existing=store.read_all())
+    m = Migration(None, folhas, load_ts=load_ts, normalized=bronze, existing=store.read_all(), counts=counts, counted=True)
     for table, prop in LOAD_ORDER:
         df = getattr(m, prop)
         if table in TABLE_COLUMNS:
@@ -132,19 +135,13 @@ def _load(spark: SparkSession, checks: DataFrame, folhas: DataFrame, store: Stor
         if table == "servidor_vinculo":
             written = written.join(m.servidor.select("id_servidor", "numfunc"), "id_servidor", "left")
         m.__dict__[prop] = written            # children read the written version
-        if table == "contracheque":
-            # Re-derive the batch's payslip ids from the written table.
-            m.__dict__.pop("contracheque_full", None)
-            m.__dict__.pop("payslip_ids", None)
     rejects = store.write("_rejects", m.rejects(with_payload=True))
     # Retry queue: rows without a resolvable link wait for their parent in a later batch.
     links = m.vinculo.select("numfunc", "numvinc")
     store.write("_pending", bronze.dropna(subset=["numfunc", "numvinc"]).join(links, ["numfunc", "numvinc"], "left_anti"))
-    counts = S.counts_row({
-        "folhas_lidas": folhas, "linhas_brutas": bronze, "contracheques_unicos": m.contracheque_src,
-        "itens_processados": m.item_src, "erros": rejects})
     store.write_periods("carga_importacao_erro", S.error_rows(rejects, id_carga))
-    audit = S.load_audit(counts, tipo_origem, referencia, "Execucao concluida.").select(
+    found = counts.row(spark, ["folhas_lidas", "linhas_brutas", "contracheques_unicos", "itens_processados"], erros=m.n_rejects())
+    audit = S.load_audit(found, tipo_origem, referencia, "Execucao concluida.").select(
         F.lit(id_carga).cast("bigint").alias("id_carga"), "*",
         F.lit(load_ts).cast("timestamp_ntz").alias("data_inicio"),
         F.current_timestamp().cast("timestamp_ntz").alias("data_fim"))
