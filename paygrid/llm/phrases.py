@@ -36,7 +36,7 @@ TOP = 2_000                 # phrases reported for each language
 MIN_BITS, MAX_BITS = 16, 28
 CHUNK = 1 << 16             # slots summed at a time
 BUFFER = 1 << 22            # slots that a task holds before it sorts them and hands them on
-SPREAD = 64                 # parts in which a language's best phrases are chosen first
+SPREAD = 64                 # parts of a language's phrases, each with its own best ones
 
 WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 KINDS = np.full(256, INSIDE, dtype=np.uint8)
@@ -222,25 +222,26 @@ def mine(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> DataFrame:
     cand = f.filter("k >= 2")
     parts = F.split("phrase", " ")
     # Cutting after each word; both parts occur at least as often as the phrase, so the joins find them.
-    cuts = cand.select("lang", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"), parts.alias("p"))
-    cuts = cuts.select("lang", "phrase", "a", "cut", F.array_join(F.slice("p", 1, F.col("cut")), " ").alias("head"),
+    part = F.pmod(F.xxhash64("phrase"), F.lit(SPREAD)).alias("_part")
+    cuts = cand.select("lang", "phrase", part, F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"), parts.alias("p"))
+    cuts = cuts.select("lang", "phrase", "_part", "a", "cut", F.array_join(F.slice("p", 1, F.col("cut")), " ").alias("head"),
                        F.array_join(F.slice("p", F.col("cut") + 1, LONGEST), " ").alias("tail"))
     of_head = f.filter("k >= 1").select("lang", F.col("phrase").alias("head"), F.col("f").alias("l"))
     of_tail = f.filter("k >= 1").select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r"))
-    total = f.filter("k = 0").select("lang", F.col("f").alias("n"))
-    cuts = cuts.join(of_head, ["lang", "head"]).join(of_tail, ["lang", "tail"]).join(total, "lang")
+    # A language's total once for each part of its phrases, so that a frequent language is not one join key.
+    total = f.filter("k = 0").select("lang", F.col("f").alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))).alias("_part"))
+    cuts = cuts.join(of_head, ["lang", "head"]).join(of_tail, ["lang", "tail"]).join(total, ["lang", "_part"])
     cuts = cuts.withColumn("score", _floor_score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
-    best = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("b"))
+    best = cuts.groupBy("lang", "phrase", "_part", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("b"))
     # A longer phrase around this one that is as frequent implies one that is longer by one word.
     around = cand.filter("k >= 3").select("lang", "f", F.explode(F.array(
         F.array_join(F.slice(parts, 1, F.col("k") - 1), " "), F.array_join(F.slice(parts, 2, F.col("k")), " "))).alias("phrase"))
     around = around.groupBy("lang", "phrase").agg(F.max("f").alias("outer"))
     best = best.join(around, ["lang", "phrase"], "left").filter("outer is null or outer < a")
-    best = best.select("lang", "phrase", "a", "n", "b.score", "b.l", "b.r")
+    best = best.select("lang", "phrase", "_part", "a", "n", "b.score", "b.l", "b.r")
     # The best of each part of a language first: its last window sees a bounded number of rows.
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    part = F.pmod(F.xxhash64("phrase"), F.lit(SPREAD))
-    best = best.withColumn("_part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order)))
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order)))
     best = best.filter(F.col("rank") <= top)
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
