@@ -52,18 +52,49 @@ def norm_int(col: Column | str, dtype: str = "bigint") -> Column:
     return c.cast("bigint")
 
 
-def norm_decimal(col: Column | str, dtype: str = MONEY, source: str = "string") -> Column:
-    """Quantise to 0.01 half-even in one step; unparsable -> NULL (no error).
+WIDE = "decimal(38,2)"      # money before it is known to fit
+
+
+def norm_decimal_wide(col: Column | str, source: str = "string") -> Column:
+    """I3 without a target type: quantised to 0.01 half-even in one step; unparsable -> NULL (no error).
 
-    ``source`` is the column's type: a decimal is rounded as it is, anything else from its text.
+    ``source`` is the column's type: a decimal is rounded as it is, anything else from its text. Every number of up to
+    28 integer digits keeps its value; a longer one is an error.
 
     Digits after the 19th decimal only matter as "more than a tie": they are kept as one
     final 1, so the conversion to a fixed scale cannot round a value onto a tie first.
     """
     if source.startswith("decimal"):
-        return F.bround(_c(col), 2).try_cast(dtype)
-    text = F.regexp_replace(_c(col).cast("string"), r"(\.[0-9]{19})0*[1-9][0-9]*", "$1" + "1")
-    return F.bround(text.try_cast("decimal(38,20)"), 2).try_cast(dtype)
+        return F.bround(_c(col), 2).cast(WIDE)
+    raw = _c(col).cast("string")
+    text = F.regexp_replace(raw, r"(\.[0-9]{19})0*[1-9][0-9]*", "$1" + "1")
+    # Beyond 18 integer digits there is room for ten decimals; what follows the ninth is again kept as a final 1.
+    long_text = F.regexp_replace(raw, r"(\.[0-9]{9})0*[1-9][0-9]*", "$1" + "1")
+    number = F.coalesce(F.bround(text.try_cast("decimal(38,20)"), 2).cast(WIDE), F.bround(long_text.try_cast("decimal(38,10)"), 2).cast(WIDE))
+    return F.when(number.isNotNull(), number).when(
+        raw.rlike(r"^\s*[+-]?[0-9]{29,}(\.[0-9]*)?\s*$"), F.raise_error(F.concat(F.lit("number too long: "), raw)))
+
+
+def _integer_digits(dtype: str) -> int:
+    p, s = dtype[dtype.index("(") + 1:-1].split(",")
+    return int(p) - int(s)
+
+
+def fits(wide: Column, dtype: str = MONEY) -> Column:
+    """Whether a number has room in ``dtype`` (NULL where there is no number)."""
+    return F.abs(wide) < F.lit(Decimal(10) ** _integer_digits(dtype)).cast("decimal(38,0)")
+
+
+def norm_decimal(col: Column | str, dtype: str = MONEY, source: str = "string") -> Column:
+    """I3 as ``dtype``: a number without room in it is an error, as in the target database, and never NULL.
+
+    ``integrity.check_source_domain`` finds such values beforehand.
+    """
+    if source.startswith("decimal") and _integer_digits(source) < _integer_digits(dtype) + (int(source[:-1].split(",")[1]) <= 2):
+        return F.bround(_c(col), 2).cast(dtype)
+    wide = norm_decimal_wide(col, source)
+    error = F.raise_error(F.concat(F.lit(f"no room in {dtype}: "), wide.cast("string")))
+    return F.when(wide.isNull() | fits(wide, dtype), wide.cast("decimal(38,2)").try_cast(dtype)).otherwise(error)
 
 
 def norm_date(col: Column | str, dtype: str = "date") -> Column:

@@ -59,6 +59,25 @@ def candidates(contracheque: DataFrame, vinculo: DataFrame, servidor: DataFrame,
     return first_per_key(x, "id_contracheque")
 
 
+def pages(cands: DataFrame, size: int = 1_000) -> DataFrame:
+    """G1: all pages of the candidates in id order: ``pagina, primeiro_id, ultimo_id, linhas``.
+
+    Page bounds come from the distributed rank of the ids, one aggregate for all pages, without OFFSET; a page is
+    then read by its bounds (``page``), so no page walks over the ones before it.
+    """
+    from paygrid.operators.dedupe import surrogate_keys
+
+    ranked = surrogate_keys(cands.select("id_contracheque"), ["id_contracheque"], "_rank")
+    return ranked.groupBy(F.floor((F.col("_rank") - 1) / size).alias("pagina")).agg(
+        F.min("id_contracheque").alias("primeiro_id"), F.max("id_contracheque").alias("ultimo_id"),
+        F.count(F.lit(1)).alias("linhas"))
+
+
+def page(cands: DataFrame, first_id: int, last_id: int) -> DataFrame:
+    """The candidates of one page by its bounds (a range filter that reaches the scan)."""
+    return cands.filter(F.col("id_contracheque").between(first_id, last_id))
+
+
 def first_per_key(df: DataFrame, key: str) -> DataFrame:
     """DISTINCT ON (key) ... ORDER BY numfunc, ano, mes, num_folha NULLS LAST, numero."""
     order = F.struct(F.col("numfunc"), F.col("ano"), F.col("mes"), F.col("num_folha").isNull(),

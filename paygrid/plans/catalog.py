@@ -23,11 +23,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def register(name: str, oracle_final: str | None = None):
+def register(name: str, oracle_final: str | None = None, planted: dict[str, str] | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if oracle_final is not None:
-            ORACLE[name] = O.sql(oracle_final)
+            ORACLE[name] = O.sql(oracle_final, planted)
         return fn
     return deco
 
@@ -795,8 +795,8 @@ def q_norm_date(spark, sf_dir):
 from paygrid.operators import integrity as IG  # noqa: E402
 
 
-def model_tables(spark, sf_dir) -> dict:
-    m = migration(spark, sf_dir)
+def model_tables(spark, sf_dir, m: Migration | None = None) -> dict:
+    m = m or migration(spark, sf_dir)
     return {"servidor": m.servidor, "servidor_vinculo": m.vinculo, "folha_referencia": m.folha,
             "contracheque": m.contracheque, "contracheque_snapshot_funcional": m.snapshot,
             "rubrica": m.rubrica, "contracheque_item": m.item, "contracheque_consolidado": m.consolidado}
@@ -1002,3 +1002,143 @@ def q_load_errors_fields(spark, sf_dir):
     p = F.from_json("payload_origem", "numfunc bigint, numvinc bigint, numero bigint")
     return r.select("entidade", "chave_origem", "mensagem_erro", p.alias("p")).select(
         "entidade", "chave_origem", "mensagem_erro", "p.*")
+
+
+# --- sources with planted faults: every reject message, and every constraint, finds something -----------
+
+def planted_migration(spark, sf_dir) -> Migration:
+    """Employees whose number 13 divides have no name anywhere, and no May has a payroll run."""
+    checks = T.payroll_checks(spark, sf_dir).withColumn("NOME", F.when(F.col("NUMFUNC") % 13 != 0, F.col("NOME")))
+    return Migration(checks, T.payroll_folhas(spark, sf_dir).filter(F.month("MES_ANO_FOLHA") != 5))
+
+
+@register("load_errors_planted", "SELECT * FROM t_errors", O.PLANTED)
+def q_load_errors_planted(spark, sf_dir):
+    """All seven reject messages occur."""
+    return planted_migration(spark, sf_dir).rejects(with_payload=False)
+
+
+@register("vinculo_rejects_planted", "SELECT * FROM t_errors WHERE entidade = 'servidor_vinculo'", O.PLANTED)
+def q_vinculo_rejects_planted(spark, sf_dir):
+    return planted_migration(spark, sf_dir).vinculo_rejects.drop("payload_origem")
+
+
+@register("sem_vinculo_planted", f"""
+SELECT {O.KEY4} FROM b_contracheque c
+WHERE NOT EXISTS (SELECT 1 FROM t_vinculo v WHERE v.numfunc = c.numfunc AND v.numvinc = c.numvinc)""", O.PLANTED)
+def q_sem_vinculo_planted(spark, sf_dir):
+    """D16 on links that are really missing."""
+    m = planted_migration(spark, sf_dir)
+    return Q.sem_vinculo(m.payslip_src, m.vinculo).select(*E.PAYSLIP_KEY)
+
+
+def _twice(df: DataFrame, key: str) -> DataFrame:
+    return df.unionByName(df.filter(F.col(key) % 7 == 0))
+
+
+@register("check_unique_all_defects", O.unique_sql(O.REPEATED))
+def q_check_unique_all_defects(spark, sf_dir):
+    """L1: every unique key is violated, that of the cached documents included."""
+    m, c = doc_inputs(spark, sf_dir)
+    t = model_tables(spark, sf_dir, m) | {"contracheque_cache": D.payloads(c, m.item).drop("contracheque", "id_contracheque")}
+    keys = {"servidor": "numfunc", "servidor_vinculo": "id_vinculo", "folha_referencia": "id_folha_referencia", "rubrica": "id_rubrica",
+            "contracheque": "id_contracheque", "contracheque_snapshot_funcional": "id_contracheque",
+            "contracheque_consolidado": "id_contracheque", "contracheque_cache": "folha_numero"}
+    return IG.check_unique({name: _twice(t[name], key) for name, key in keys.items()})
+
+
+@register("check_fk_all_defects", O.fk_sql(O.ORPHANED))
+def q_check_fk_all_defects(spark, sf_dir):
+    """L2: every foreign key is violated, that of the load errors included."""
+    m = migration(spark, sf_dir)
+    t = model_tables(spark, sf_dir, m)
+    for name, key in (("servidor", "id_servidor"), ("servidor_vinculo", "id_vinculo"), ("folha_referencia", "id_folha_referencia"),
+                      ("contracheque", "id_contracheque"), ("rubrica", "id_rubrica")):
+        t[name] = t[name].filter(F.col(key) % 7 != 0)
+    t["carga_importacao"] = spark.range(1, 2).withColumnRenamed("id", "id_carga")
+    t["carga_importacao_erro"] = S.error_rows(m.rejects(), 1 + F.length("chave_origem") % 2)
+    return IG.check_fk(t)
+
+
+@register("check_domain_defects", O.domain_sql(O.TOO_WIDE))
+def q_check_domain_defects(spark, sf_dir):
+    """L4: values that are too wide for their VARCHAR or NUMERIC column, before they are cast to it."""
+    m = migration(spark, sf_dir)
+    wide_money = lambda c: F.col(c).cast("decimal(28,2)")
+    return IG.check_domain({
+        "contracheque": m.contracheque.withColumns({
+            "bruto": F.when(F.col("numero") == 1, wide_money("bruto") * 100000000).otherwise(wide_money("bruto")),
+            "competencia": F.repeat("competencia", F.lit(2))}),
+        "contracheque_item": m.item.withColumn("valor_vantagem", wide_money("valor_vantagem") * 1000000000),
+        "servidor": m.servidor.withColumn("cpf", F.concat("cpf", F.lit("x")))})
+
+
+@register("check_source_domain", """
+SELECT 'carga_horaria' AS coluna, 'decimal(10,2)' AS tipo, count(*) FILTER (WHERE NUMFUNC % 2 = 0) AS violacoes FROM w
+UNION ALL SELECT 'bruto', 'decimal(15,2)', count(*) FILTER (WHERE NUMERO = 1) FROM w
+UNION ALL SELECT 'descontos', 'decimal(15,2)', count(*) FILTER (WHERE abs(DESCONTOS * 1000000000) >= 10000000000000) FROM w
+UNION ALL SELECT unnest(['liquido', 'vantagem', 'desconto', 'auxiliar']), 'decimal(15,2)', 0""")
+def q_check_source_domain(spark, sf_dir):
+    """L4/I3 on the source: text and wide money that the target has no room for."""
+    w = T.payroll_checks(spark, sf_dir)
+    return IG.check_source_domain(w.withColumns({
+        "BRUTO": F.when(F.col("NUMERO") == 1, F.concat(F.lit("9876543210123456"), F.col("BRUTO").cast("string")))
+        .otherwise(F.col("BRUTO").cast("string")),
+        "DESCONTOS": F.col("DESCONTOS").cast("decimal(28,2)") * 1000000000,
+        "CARGA_HORARIA": F.when(F.col("NUMFUNC") % 2 == 0, F.lit("123456789.00")).otherwise(F.lit("40.00"))}))
+
+
+@register("norm_decimal_long", """
+SELECT DISTINCT t AS texto_origem, CAST(n * CAST('1' || repeat('0', z) AS DECIMAL(38,0)) AS DECIMAL(38,2)) AS valor, length(CAST(n AS VARCHAR)) + z <= 13 AS cabe
+FROM (SELECT *, CAST(n AS VARCHAR) || repeat('0', z) || '.00' AS t
+      FROM (SELECT l_orderkey + 1 AS n, CAST(8 + l_linenumber * 2 AS INTEGER) AS z FROM lineitem) a) b""")
+def q_norm_decimal_long(spark, sf_dir):
+    """Numbers of 10 to 28 integer digits keep their value, and say whether the target has room."""
+    li = T.read_table(spark, sf_dir, "lineitem")
+    zeros = F.repeat(F.lit("0"), (8 + F.col("l_linenumber") * 2).cast("int"))
+    t = F.concat((F.col("l_orderkey") + 1).cast("string"), zeros, F.lit(".00"))
+    v = N.norm_decimal_wide("texto_origem")
+    return li.select(t.alias("texto_origem")).distinct().select("texto_origem", v.alias("valor"), N.fits(v).alias("cabe"))
+
+
+# --- A4 chunked scan, G1 pages, C3 scopes ---------------------------------------------------------------
+
+@register("chunked_scan", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS data FROM orders
+WHERE CAST(o_orderdate AS DATE) >= DATE '1996-03-15' AND CAST(o_orderdate AS DATE) < DATE '1998-02-01'""")
+def q_chunked_scan(spark, sf_dir):
+    """A4: one partition per month window; the period filter leaves the windows it touches."""
+    from paygrid.sources import chunks
+
+    chunks.register(spark)
+    o = spark.read.format(chunks.FORMAT).option("path", f"{sf_dir}/orders.parquet").option("column", "o_orderdate").load()
+    kind = o.schema["o_orderdate"].dataType
+    lo, hi = (F.lit(d).cast(kind) for d in (_dt.date(1996, 3, 15), _dt.date(1998, 2, 1)))
+    o = o.filter((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
+    return o.select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("data"))
+
+
+@register("cache_pages", """
+SELECT CAST((rk - 1) // 1000 AS BIGINT) AS pagina, min(id_contracheque) AS primeiro_id, max(id_contracheque) AS ultimo_id, count(*) AS linhas
+FROM (SELECT id_contracheque, row_number() OVER (ORDER BY id_contracheque) AS rk FROM d_cand WHERE ano >= 1995) x GROUP BY 1""")
+def q_cache_pages(spark, sf_dir):
+    """G1: every page of the candidates from 1995 on, by its key bounds."""
+    return D.pages(doc_inputs(spark, sf_dir)[1].filter(F.col("ano") >= 1995))
+
+
+@register("cache_scope_matricula", """
+SELECT id_contracheque, numfunc, ano, mes FROM d_cand WHERE ano = 1996 AND CAST(numfunc AS VARCHAR) LIKE '%7'""")
+def q_cache_scope_matricula(spark, sf_dir):
+    """C3 by matrícula, for all employees whose number ends in 7."""
+    m, c = doc_inputs(spark, sf_dir, year=1996)
+    ids = m.servidor.filter(F.col("numfunc") % 10 == 7).select("numfunc")
+    return c.join(ids, "numfunc", "left_semi").select("id_contracheque", "numfunc", "ano", "mes")
+
+
+@register("cache_scope_range", """
+SELECT id_contracheque, numfunc, ano, mes FROM d_cand JOIN (SELECT id_contracheque, mes_ano FROM t_cc) k USING (id_contracheque)
+WHERE mes_ano >= DATE '1995-11-01' AND mes_ano <= DATE '1996-02-01'""")
+def q_cache_scope_range(spark, sf_dir):
+    """C3 by date range, its end included."""
+    c = doc_inputs(spark, sf_dir, start_date=_dt.date(1995, 11, 1), end_date=_dt.date(1996, 2, 1))[1]
+    return c.select("id_contracheque", "numfunc", "ano", "mes")

@@ -16,13 +16,23 @@ KEY4 = "numfunc, numvinc, mes_ano, numero"
 WHITESPACE = [0x9, 0xa, 0xb, 0xc, 0xd, 0x1c, 0x1d, 0x1e, 0x1f, 0x20, 0x85, 0xa0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003,
               0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200a, 0x2028, 0x2029, 0x202f, 0x205f, 0x3000]
 
-# Month names of run descriptions by number.
-MONTHS = {
-    "01": ["JANEIRO", "JAN"], "02": ["FEVEREIRO", "FEV", "FEB"], "03": ["MARCO", "MARÇO", "MAR"],
-    "04": ["ABRIL", "ABR", "APR"], "05": ["MAIO", "MAI", "MAY"], "06": ["JUNHO", "JUN"], "07": ["JULHO", "JUL"],
-    "08": ["AGOSTO", "AGO", "AUG"], "09": ["SETEMBRO", "SET", "SEP"], "10": ["OUTUBRO", "OUT", "OCT"],
-    "11": ["NOVEMBRO", "NOV"], "12": ["DEZEMBRO", "DEZ", "DEC"],
+# Month tokens of run descriptions and their two-digit numbers (fixed values).
+MONTH_TOKENS = {
+    "JAN": "01", "JANEIRO": "01",
+    "FEB": "02", "FEV": "02", "FEVEREIRO": "02",
+    "MAR": "03", "MARCO": "03", "MARÇO": "03",
+    "APR": "04", "ABR": "04", "ABRIL": "04",
+    "MAY": "05", "MAI": "05", "MAIO": "05",
+    "JUN": "06", "JUNHO": "06",
+    "JUL": "07", "JULHO": "07",
+    "AUG": "08", "AGO": "08", "AGOSTO": "08",
+    "SEP": "09", "SET": "09", "SETEMBRO": "09",
+    "OCT": "10", "OUT": "10", "OUTUBRO": "10",
+    "NOV": "11", "NOVEMBRO": "11",
+    "DEC": "12", "DEZ": "12", "DEZEMBRO": "12",
 }
+# One replacement per month, the longest token first.
+MONTHS = {n: sorted((t for t, m in MONTH_TOKENS.items() if m == n), key=len, reverse=True) for n in sorted(set(MONTH_TOKENS.values()))}
 
 # Kind of every column of the two sources, in source order.
 CHECK_COLUMNS = {
@@ -254,11 +264,19 @@ def _deps(names: list[str]) -> list[str]:
     return seen
 
 
-def sql(final: str) -> str:
-    """WITH <needed CTEs> <final>; CTE names are found in ``final`` by word match."""
+# Planted faults of the source: employees without any name, and months without a payroll run.
+PLANTED = {"w": "SELECT * REPLACE (CASE WHEN NUMFUNC % 13 = 0 THEN NULL ELSE NOME END AS NOME) FROM ({}) x",
+           "fsrc": "SELECT * FROM ({}) x WHERE month(MES_ANO_FOLHA) <> 5"}
+
+
+def sql(final: str, planted: dict[str, str] | None = None) -> str:
+    """WITH <needed CTEs> <final>; CTE names are found in ``final`` by word match.
+
+    ``planted`` wraps the named CTEs (``{}`` stands for their own text).
+    """
     used = [n for n in CTES if re.search(rf"\b{re.escape(n)}\b", final)]
     order = _deps(used)
-    body = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
+    body = ",\n".join(f"{n} AS ({(planted or {}).get(n, '{}').replace('{}', CTES[n])})" for n in order)
     return f"WITH {body}\n{final}" if order else final
 
 
@@ -546,16 +564,42 @@ def not_null_sql(tables: dict[str, str] = TABLE_CTE) -> str:
     return _u(out)
 
 
-def domain_sql() -> str:
+def domain_sql(tables: dict[str, str] = TABLE_CTE) -> str:
     out = []
     for t in sorted(set(_SC.VARCHAR) | set(_SC.NUMERIC)):
-        if t not in TABLE_CTE:
+        if t not in tables:
             continue
         for c, n in _SC.VARCHAR.get(t, {}).items():
             out.append(f"SELECT '{t}' AS tabela, 'varchar({c},{n})' AS restricao, "
-                       f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violacoes FROM {TABLE_CTE[t]}")
+                       f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violacoes FROM {tables[t]} x")
         for c, (p, s) in _SC.NUMERIC.get(t, {}).items():
             out.append(f"SELECT '{t}' AS tabela, 'numeric({c},{p},{s})' AS restricao, "
                        f"CAST(count(*) FILTER (WHERE abs({c}) >= {10 ** (p - s)}) AS BIGINT) AS violacoes "
-                       f"FROM {TABLE_CTE[t]}")
+                       f"FROM {tables[t]} x")
     return _u(out)
+
+
+# One planted fault for every unique key, foreign key and kind of domain.
+CACHE = "(SELECT matricula, cpf, ano, mes, folha_numero, folha_tipo, folha_descricao FROM d_payload)"
+
+
+def _twice(table: str, key: str) -> str:
+    return f"(SELECT * FROM {table} a UNION ALL SELECT * FROM {table} b WHERE {key} % 7 = 0)"
+
+
+REPEATED = {"servidor": _twice("t_servidor", "numfunc"), "servidor_vinculo": _twice("t_vinculo", "id_vinculo"),
+            "folha_referencia": _twice("t_folha", "id_folha_referencia"), "contracheque": _twice("t_cc", "id_contracheque"),
+            "contracheque_snapshot_funcional": _twice("t_snapshot", "id_contracheque"), "rubrica": _twice("t_rubrica", "id_rubrica"),
+            "contracheque_consolidado": _twice("t_consolidado", "id_contracheque"), "contracheque_cache": _twice(CACHE, "folha_numero")}
+ORPHANED = {"servidor": "(SELECT * FROM t_servidor WHERE id_servidor % 7 <> 0)", "servidor_vinculo": "(SELECT * FROM t_vinculo WHERE id_vinculo % 7 <> 0)",
+            "folha_referencia": "(SELECT * FROM t_folha WHERE id_folha_referencia % 7 <> 0)",
+            "contracheque": "(SELECT * FROM t_cc WHERE id_contracheque % 7 <> 0)", "rubrica": "(SELECT * FROM t_rubrica WHERE id_rubrica % 7 <> 0)",
+            "contracheque_snapshot_funcional": "t_snapshot", "contracheque_item": "t_item", "contracheque_consolidado": "t_consolidado",
+            "carga_importacao": "(SELECT 1 AS id_carga)",
+            "carga_importacao_erro": "(SELECT 1 + length(chave_origem) % 2 AS id_carga FROM t_errors)"}
+TOO_WIDE = {
+    "contracheque": "(SELECT * REPLACE (CASE WHEN numero = 1 THEN CAST(bruto AS DECIMAL(38,2)) * 100000000 ELSE bruto END AS bruto, "
+                    "repeat(competencia, 2) AS competencia) FROM t_cc)",
+    "contracheque_item": "(SELECT * REPLACE (CAST(valor_vantagem AS DECIMAL(38,2)) * 1000000000 AS valor_vantagem) FROM t_item)",
+    "servidor": "(SELECT * REPLACE (cpf || 'x' AS cpf) FROM t_servidor)"}
+

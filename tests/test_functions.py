@@ -136,3 +136,24 @@ def test_norm_token_matches_nfkd(spark, raw):
         assert got in (expected, "M")
     else:
         assert got == expected
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("12345678901234.50", "12345678901234.50"), ("99999999999999999999.00", "99999999999999999999.00"), ("-1e15", "-1000000000000000.00"),
+    ("1234567890123456789012345678.005", "1234567890123456789012345678.00"), ("12345678901234567890.0150000000000001", "12345678901234567890.02"),
+    ("abc", None), ("", None), (None, None), ("9999999999999.994", "9999999999999.99")])
+def test_wide_money_keeps_its_value(spark, raw, expected):
+    assert one(spark, N.norm_decimal_wide, raw) == (expected and Decimal(expected))
+
+
+@pytest.mark.parametrize("raw", ["12345678901234.50", "9999999999999.995", "99999999999999999999.00", "9" * 29])
+def test_money_without_room_is_an_error(spark, raw):
+    with pytest.raises(Exception, match="no room in|number too long"):
+        one(spark, N.norm_decimal, raw)
+
+
+def test_wide_source_columns(spark):
+    assert one(spark, lambda c: N.norm_decimal(c, source="decimal(20,4)"), Decimal("1234567890123.4550"), "v decimal(20,4)") == Decimal("1234567890123.46")
+    with pytest.raises(Exception, match="no room in"):
+        one(spark, lambda c: N.norm_decimal(c, source="decimal(20,4)"), Decimal("1234567890123456.0000"), "v decimal(20,4)")
+    assert one(spark, lambda c: N.norm_decimal(c, source="decimal(15,2)"), Decimal("9999999999999.99"), "v decimal(15,2)") == Decimal("9999999999999.99")

@@ -133,3 +133,34 @@ def test_reconcile_source_equals_two_branch(spark):
     b = R.consolidate(E.contracheques(w), E.itens(w), E.PAYSLIP_KEY)
     cols = sorted(a.columns)
     assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+
+
+def test_ranks_within_groups(spark):
+    rows = [(g, k) for g in ("a", "b", "c") for k in range(0, 900 if g == "b" else 40)]
+    df = spark.createDataFrame(rows, "g string, k int").repartition(5)
+    for n in (1, 3, 8):
+        got = dedupe.surrogate_keys(df, ["g", "k"], "id", num_partitions=n, within=["g"]).collect()
+        assert len(got) == len(rows) and all(r.id == r.k + 1 for r in got)
+    with pytest.raises(ValueError):
+        dedupe.surrogate_keys(df, ["k", "g"], "id", within=["g"])
+
+
+def test_counts_of_writes(spark):
+    from paygrid.operators.counts import Counts, rows
+    from paygrid.session import materialize
+
+    c = Counts()
+    materialize(c.watch(n=rows(), even=F.count_if(F.col("id") % 2 == 0))(spark.range(101).repartition(4)), "counted")
+    materialize(c.watch(none=rows())(spark.range(0)), "counted-empty")
+    assert (c["n"], c["even"], c["none"]) == (101, 51, 0) and "n" in c and "other" not in c
+    assert c.row(spark, ["n", "even"], more=7).first().asDict() == {"n": 101, "even": 51, "more": 7}
+
+
+def test_pages_are_read_by_their_bounds(spark):
+    from paygrid.operators import documents as D
+
+    c = spark.range(3, 2600, 2).withColumnRenamed("id", "id_contracheque")
+    p = sorted(D.pages(c, 500).collect())
+    assert [(r.pagina, r.linhas) for r in p] == [(0, 500), (1, 500), (2, 299)]
+    got = [x.id_contracheque for r in p for x in D.page(c, r.primeiro_id, r.ultimo_id).orderBy("id_contracheque").collect()]
+    assert got == list(range(3, 2600, 2))

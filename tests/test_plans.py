@@ -29,3 +29,38 @@ def test_flagship_prunes_and_shuffles_little(spark):
     # the join key + keep-last + per-payslip aggregate
     assert text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning") <= 4
     assert "PushedFilters: [IsNotNull(l_orderkey)]" in text or "IsNotNull(l_orderkey)" in text
+
+
+def scratch_writes(spark, name) -> int:
+    from paygrid import session
+
+    before = len(session._SCRATCH)
+    ent.queries()[name](spark, SF)
+    return len(session._SCRATCH) - before
+
+
+@pytest.mark.parametrize("name,most", [("consolidado", 4), ("load_errors", 4), ("cache_payload", 5), ("load_audit", 6)])
+def test_few_scratch_writes(spark, name, most):
+    assert scratch_writes(spark, name) <= most
+
+
+@pytest.mark.parametrize("name", ["load_audit", "load_summary"])
+def test_counts_come_from_the_writes(spark, name):
+    """What is left to run holds the counts as literals: no frame is read to be counted."""
+    text = plan_text(ent.queries()[name](spark, SF))
+    assert "FileScan" not in text and "Exchange" not in text and "Join" not in text
+
+
+def test_a_line_joins_its_payslip_once(spark, monkeypatch):
+    from paygrid.operators import resolve
+    from paygrid.plans.catalog import migration
+
+    seen = []
+    real = resolve.surrogate_keys
+    monkeypatch.setattr(resolve, "surrogate_keys", lambda df, *a, **k: (seen.append(df), real(df, *a, **k))[1])
+    m = migration(spark, SF)
+    m.item_tagged, m.snapshot, m.rejects()
+    ranked = [df._jdf.queryExecution().optimizedPlan().toString() for df in seen]
+    lines = [p for df, p in zip(seen, ranked) if "item_hash" in df.columns]
+    assert len(seen) == 3 and len(lines) == 1               # dimensions, payslips, lines
+    assert sum("Join" in x and "numfunc" in x for x in lines[0].splitlines()) == 1          # the outcome map alone
