@@ -72,7 +72,8 @@ def base_spans(text: str) -> tuple[list[Span], list[Span]]:
             end = m.end()
         at = text.find("@", max(at + 1, end))
     for m in IP.finditer(text):
-        ok = all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]        # digit runs of any length: int() refuses long ones
+        ok = all(len(p) <= 3 and int(p) <= 255 for p in parts)
         (good if ok else bad).append(("ip", m.start(), m.end()))
     for m in CARD.finditer(text):
         digits = re.sub(r"[ -]", "", m[0])

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from paygrid.llm import conversation_repair, phrases, quality_classifier
+from paygrid.llm import conversation_repair, phrases, pii, quality_classifier
 from paygrid.llm.common import crc_mod
 from paygrid.llm.queries import ORACLE, QUERIES
 from tools.oracle_check import digest
@@ -29,6 +29,15 @@ def test_query_matches_sql(spark, duck, name):
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(cols, res.fetchall())[0]
 
 
+def test_long_digit_runs_are_no_crash(spark):
+    run = "0" * 6000
+    good, _ = pii.base_spans(f"at {run}1.2.3.4 end")
+    assert good == [("ip", 3, 3 + 6000 + 7)]
+    texts = [f"{run}1.2.3.4", f"1.{run}.3.4", "9" * 6000 + ".1.1.1", "1" * 200_000, f"+{'5' * 6000}", f"a@b.{run}"]
+    got = pii.detect(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_ip for r in got] == [1, 1, 0, 0, 0, 0]
+
+
 # --- phrases ---------------------------------------------------------------------------------------
 
 
