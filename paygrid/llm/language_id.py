@@ -119,7 +119,7 @@ class Model:
 
     def paths(self, n: np.ndarray, codes: np.ndarray, scores: np.ndarray) -> np.ndarray:
         """Best language of every word: one Viterbi step for all texts of a block at a time."""
-        best = np.zeros(len(codes), dtype=np.int8)
+        best = np.zeros(len(codes), dtype=np.int16)
         starts = np.cumsum(n) - n
         order = np.argsort(n, kind="stable")
         order = order[n[order] > 0]
@@ -133,18 +133,18 @@ class Model:
             lens, width = n[rows], int(n[order[j - 1]])
             cell = np.minimum(np.arange(width)[:, None], lens[None, :] - 1) + starts[rows][None, :]     # step x text
             live = np.arange(width)[:, None] < lens[None, :]
-            back = np.zeros((width, len(rows), k), dtype=np.int8)
+            back = np.zeros((width, len(rows), k), dtype=np.int16)
             v = scores[codes[cell[0]]].copy()
-            same = np.arange(k, dtype=np.int8)[None, :]
+            same = np.arange(k, dtype=np.int16)[None, :]
             for t in range(1, width):
                 top = v.argmax(axis=1)
                 jump = v[np.arange(len(rows)), top] - SWITCH
                 moved = jump[:, None] > v
-                back[t] = np.where(moved, top[:, None].astype(np.int8), same)
+                back[t] = np.where(moved, top[:, None].astype(np.int16), same)
                 step = np.where(moved, jump[:, None], v) + scores[codes[cell[t]]]
                 v = np.where(live[t][:, None], step, v)
                 back[t][~live[t]] = same
-            state = v.argmax(axis=1).astype(np.int8)
+            state = v.argmax(axis=1).astype(np.int16)
             for t in range(width - 1, -1, -1):
                 on = live[t]
                 best[cell[t][on]] = state[on]

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from paygrid.llm import conversation_repair, phrases, pii, quality_classifier
+from paygrid.llm import conversation_repair, language_id, phrases, pii, quality_classifier
 from paygrid.llm.common import crc_mod
 from paygrid.llm.queries import ORACLE, QUERIES
 from tools.oracle_check import digest
@@ -38,6 +38,16 @@ def test_long_digit_runs_are_no_crash(spark):
     assert [r.n_ip for r in got] == [1, 1, 0, 0, 0, 0]
 
 
+def test_more_languages_than_a_byte_holds():
+    """The path names the best language beyond the 127th too."""
+    model = language_id.Model.__new__(language_id.Model)
+    model.langs = [f"l{i}" for i in range(300)]
+    scores = np.zeros((2, 300))
+    scores[0, 299], scores[1, 200] = 50.0, 50.0
+    got = model.paths(np.array([3, 2]), np.array([0, 0, 0, 1, 1]), scores)
+    assert got.tolist() == [299, 299, 299, 200, 200]
+
+
 # --- phrases ---------------------------------------------------------------------------------------
 
 
