@@ -1,14 +1,21 @@
 """Personal data: fixed patterns plus a skip-chain conditional random field.
 
 The base patterns (email, ip, card, phone) always stand. The field labels every token that
-holds a digit or ``@``: node potentials are smoothed log-probabilities of a label given the
-token's shape, chain potentials those of neighbouring labels, both learned from the base
-labels of a bounded sample (at most about ``MAX_TRAIN`` documents, chosen by a hash of their id). Distant
-tokens that repeat or resemble each other (same text, or same last digits) share a skip
-potential that favours one label for both. Damped loopy belief propagation runs over all
-documents of a slice at once; tokens whose marginal for one kind reaches ``CERTAIN`` add
-spans, so a number written another way elsewhere in the document is found too. Tokens of
-base spans are clamped to their kind, tokens of matches that failed a check to no kind.
+holds a digit or ``@`` with a kind, ``secret`` or ``none``. Its potentials are weights of hashed
+features (shape, checksums, the word and the ``=`` or ``:`` before the token), of
+neighbouring labels and of equal labels across skip edges: distant tokens that repeat or resemble each
+other (same text, or same last digits) share one. All weights are learned together by pseudo-likelihood on a
+bounded sample (at most about ``MAX_TRAIN`` documents, chosen by a hash of their id): each token is hidden in
+turn and predicted from its features and its neighbours' labels. Labels to learn from are the base
+matches, values assigned to a name of ``SECRET``, and ``none`` for matches that failed a check and for
+other tokens, unless they resemble a found value.
+
+Damped loopy belief propagation runs over all documents of a slice at once; tokens whose marginal
+for one kind reaches ``CERTAIN`` add spans. So a number written another way elsewhere, a number
+that a pattern lost because its match ran on into the next one, and a secret are found too. Tokens of
+base spans are clamped to their kind, tokens of matches with a wrong checksum or value to none; matches
+that are only too long say nothing about the tokens inside. An added card, phone or address
+must pass the check of its kind (a phone may lack its prefix: 7 digits).
 
 Defined cases: null text is empty and has no span. Without any training token nothing is added.
 Repeated rows are kept; an empty table gives an empty result; other columns are ignored.
@@ -16,8 +23,10 @@ Repeated rows are kept; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
+import ast
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -29,10 +38,11 @@ from pyspark.sql import functions as F
 from .arrow import map_slices, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("none", *KINDS)
+LABELS = ("none", *KINDS, "secret")
 MAX_TRAIN = 50_000          # documents that the potentials are learned on, at most (in expectation)
-SMOOTH = 5.0                # pseudo-counts of the coarser distribution
-SKIP = 2.0                  # potential of equal labels across a skip edge
+HASHED = 1 << 11            # features
+PENALTY, STEPS, RATE = 0.3, 400, 0.1        # L2 penalty, steps and rate of the fit
+NEAR = 3                    # skip neighbours of one label that a hidden token sees, at most
 CLAMP = 30.0                # potential of a known label
 ROUNDS, DAMP = 12, 0.5
 CERTAIN = 0.9
@@ -44,6 +54,10 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+SECRET = re.compile(r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?[\x20\t]?[:=][\x20\t]?[\"']?([A-Za-z0-9+/_-]{16,})")
+VALUE = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+HEX = re.compile(r"[0-9a-fA-F]+")
+CUE = 48                    # characters before a token in which its cue is looked for
 MARK = re.compile(r"[0-9@]")
 EDGES = ".,;:!?\"'[]{}<>«»“”"
 Span = tuple[str, int, int]
@@ -58,7 +72,10 @@ def luhn(digits: str) -> bool:
 
 
 def base_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Spans of the base patterns by kind and start, and the matches dropped by a check."""
+    """Spans of the base patterns by kind and start, and the matches dropped by a check.
+
+    Dropped matches that are too long have the kind ``long``: they may have run over several values.
+    """
     good: list[Span] = []
     bad: list[Span] = []
     end, at = 0, text.find("@")
@@ -79,10 +96,10 @@ def base_spans(text: str) -> tuple[list[Span], list[Span]]:
         digits = re.sub(r"[ -]", "", m[0])
         ok = 13 <= len(digits) <= 19 and luhn(digits)
         if ok or len(digits) >= 13:
-            (good if ok else bad).append(("card", m.start(), m.end()))
+            (good if ok else bad).append(("card" if len(digits) <= 19 else "long", m.start(), m.end()))
     for m in PHONE.finditer(text):
-        ok = 9 <= sum(ch.isdigit() for ch in m[0]) <= 15
-        (good if ok else bad).append(("phone", m.start(), m.end()))
+        n = sum(ch.isdigit() for ch in m[0])
+        (good if 9 <= n <= 15 else bad).append(("phone" if n <= 15 else "long", m.start(), m.end()))
     return good, bad
 
 
@@ -107,13 +124,34 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def shape(token: str) -> tuple[str, str]:
-    """Fine shape (runs of letters as ``a``, of digits as 9 and their length) and coarse shape."""
-    fine = re.sub(r"[0-9]+", lambda m: f"9{len(m[0])}." if len(m[0]) < 20 else "9+.", re.sub(r"[^\W\d_]+", "a", token))
-    digits = sum(ch.isdigit() for ch in token)
-    coarse = (f"{min(digits, 20) // 3}{'@' * ('@' in token)}{'+' * token.startswith('+')}{'(' * ('(' in token)}"
-              f"{min(token.count('.'), 3)}{min(token.count('-'), 3)}{'a' * any(ch.isalpha() for ch in token)}")
-    return (fine if len(fine) <= 60 else "long"), coarse
+def features(text: str, a: int, b: int) -> tuple[int, ...]:
+    """Hashed features of the token ``text[a:b]`` and of the words before it."""
+    token = text[a:b]
+    digits = re.sub(r"[^0-9]", "", token)
+    core = max(re.findall(r"[A-Za-z0-9]+", token), key=len, default="")
+    made = "digits" if core.isdigit() else "hex" if HEX.fullmatch(core) else "mixed" if re.search("[0-9]", core) else "word"
+    marks = (f"{'@' * ('@' in token)}{'+' * token.startswith('+')}{'(' * ('(' in token)}"
+             f"{min(token.count('.'), 3)}{min(token.count('-'), 3)}{'a' * any(ch.isalpha() for ch in token)}")
+    before = text[max(0, a - CUE):a].rstrip(" \t\"'")
+    given = before[-1:] in ("=", ":") and before[-1:]
+    word = (before[:-1] if given else before).split()[-1:] or [""]
+    names = [f"n{min(len(digits), 20)}", f"m{marks}", f"k{made}{min(len(core), 64) // 8}", f"s{made}{len(digits)}{marks}" if len(digits) <= 20 else "s+",
+             f"l{13 <= len(digits) <= 19 and luhn(digits)}{made}", f"i{valid('ip', token)}", f"e{token.count('@') == 1 and '.' in token.split('@')[1]}",
+             f"g{given}{made}{len(core) >= 16}", f"w{given}{zlib.crc32(word[0].strip(EDGES).lower().encode()) % 64}"]
+    return tuple(zlib.crc32(x.encode()) % HASHED for x in names)
+
+
+def valid(kind: str, value: str) -> bool:
+    """The check that a value of a kind has to pass."""
+    digits = re.sub(r"[^0-9]", "", value)
+    if kind == "ip":
+        parts = value.split(".")
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        return TAIL_DIGITS <= len(digits) <= 15
+    return bool(VALUE.search(value)) if kind == "secret" else "@" in value
 
 
 def key_of(token: str) -> str:
@@ -125,30 +163,34 @@ def key_of(token: str) -> str:
 
 
 class Graph:
-    """Candidate tokens of several texts with their labels from the base patterns."""
+    """Candidate tokens of several texts with their labels: ``known`` (clamped, else -1) and ``taught`` (to learn from, else -1)."""
 
     def __init__(self, texts: list[str]):
-        self.text, self.start, self.end, self.known, self.shapes = [], [], [], [], []
+        self.text, self.start, self.end, self.known, self.taught, self.features = [], [], [], [], [], []
         chain, skip = [], []
         self.base: list[list[Span]] = []
         for t, text in enumerate(texts):
             good, bad = base_spans(text)
             self.base.append(good)
-            marks = sorted([(a, b, 1 + KINDS.index(k)) for k, a, b in good] + [(a, b, 0) for _, a, b in bad],
-                           key=lambda x: -x[2])
+            # A token takes the largest label of the spans it overlaps: kinds, then failures, then matches that are too long.
+            spans = sorted([(a, b, 1 + KINDS.index(k)) for k, a, b in good] + [(a, b, -2 if k == "long" else 0) for k, a, b in bad])
+            secret = [m.span(1) for m in SECRET.finditer(text)]
             at: dict[str, int] = {}
-            before = None
-            # Spans are few; a token takes the label of the first span it overlaps, kinds before failures.
-            spans = sorted(marks)
-            lo = 0
+            before, lo, sec = None, 0, 0
             for a, b in tokens(text):
                 node = len(self.text)
-                while lo < len(spans) and spans[lo][1] <= a and all(s[1] <= a for s in spans[lo:lo + 4]):
+                while lo < len(spans) and all(s[1] <= a for s in spans[lo:lo + 4]):
                     lo += 1
-                over = [s for s in spans[lo:lo + 16] if s[0] < b and s[1] > a]
-                self.known.append(max((s[2] for s in over), default=-1))
+                while sec < len(secret) and secret[sec][1] <= a:
+                    sec += 1
+                over = [s[2] for s in spans[lo:lo + 16] if s[0] < b and s[1] > a
+                        and (s[2] != 0 or 2 * (min(s[1], b) - max(s[0], a)) >= b - a)]
+                label = max(over, default=0)
+                self.known.append(max(label, -1) if over else -1)
+                named = sec < len(secret) and secret[sec][0] < b
+                self.taught.append(LABELS.index("secret") if not label and named else max(label, -1))
                 self.text.append(t), self.start.append(a), self.end.append(b)
-                self.shapes.append(shape(text[a:b]))
+                self.features.append(features(text, a, b))
                 if before is not None and a - before == 1:
                     chain.append((node - 1, node))
                 before = b
@@ -160,52 +202,54 @@ class Graph:
                     at[key] = node
         self.chain = np.array(chain, dtype=np.int64).reshape(-1, 2)
         self.skip = np.array(skip, dtype=np.int64).reshape(-1, 2)
+        kinds = np.array(self.taught, dtype=np.int64) > 0
+        for i, j in np.concatenate([self.skip, self.skip[:, ::-1]]).tolist():
+            if kinds[j] and not kinds[i] and self.known[i] < 0:
+                self.taught[i] = -1         # resembles a found value, but no pattern speaks for or against it
+
+    def examples(self) -> Counter:
+        """Each taught token hidden in turn: (label, features, labels of its left and right neighbour, skip neighbours by label)."""
+        n, k = len(self.text), len(LABELS)
+        left, right, near = np.full(n, -1), np.full(n, -1), np.zeros((n, k), dtype=np.int64)
+        label = np.array(self.taught, dtype=np.int64)
+        left[self.chain[:, 1]] = label[self.chain[:, 0]]
+        right[self.chain[:, 0]] = label[self.chain[:, 1]]
+        for i, j in np.concatenate([self.skip, self.skip[:, ::-1]]).tolist():
+            if label[j] >= 0:
+                near[i, label[j]] += 1
+        near = np.minimum(near, NEAR)
+        return Counter((int(label[i]), self.features[i], int(left[i]), int(right[i]), tuple(near[i].tolist()))
+                       for i in np.flatnonzero(label >= 0).tolist())
 
 
 class Model:
-    def __init__(self, counts: Counter):
-        k = len(LABELS)
-        self.total = np.ones(k)
-        self.fine: dict[str, np.ndarray] = {}
-        self.coarse: dict[str, np.ndarray] = {}
-        pairs = np.ones((k, k))
-        for key, n in counts.items():
-            what, rest = key[0], key[1:]
-            if what == "p":
-                pairs[int(rest[0]), int(rest[1])] += n
-            else:
-                table = self.fine if what == "f" else self.coarse
-                table.setdefault(rest[1:], np.zeros(k))[int(rest[0])] += n
-        for c in self.coarse.values():
-            self.total += c
-        self.prior = self.total / self.total.sum()
-        independent = pairs.sum(axis=1, keepdims=True) * pairs.sum(axis=0, keepdims=True) / pairs.sum()
-        self.pair = np.log(pairs / independent)
-        self.empty = not self.coarse
-
-    def node(self, fine: str, coarse: str) -> np.ndarray:
-        zero = np.zeros(len(LABELS))
-        c = self.coarse.get(coarse, zero)
-        p = (c + SMOOTH * self.prior) / (c.sum() + SMOOTH)
-        f = self.fine.get(fine, zero)
-        return np.log((f + SMOOTH * p) / (f.sum() + SMOOTH))
+    """``weights`` (feature, label), ``pair`` (label, next label) and ``skip`` (equal labels): log-potentials."""
+
+    def __init__(self, weights: np.ndarray, pair: np.ndarray, skip: float, empty: bool = False):
+        self.weights, self.pair, self.skip, self.empty = weights, pair, skip, empty
+
+    def node(self, features: tuple[int, ...]) -> np.ndarray:
+        return self.weights[list(features)].sum(axis=0)
 
     def marginals(self, g: Graph) -> np.ndarray:
         """Label marginals of every token by damped loopy belief propagation."""
-        cache: dict[tuple[str, str], np.ndarray] = {}
-        phi = np.array([cache.setdefault(s, self.node(*s)) for s in g.shapes]).reshape(-1, len(LABELS))
+        cache: dict[tuple[int, ...], np.ndarray] = {}
+        k = len(LABELS)
+        for f in set(g.features):
+            cache[f] = self.node(f)
+        phi = np.array([cache[f] for f in g.features]).reshape(-1, k)
         known = np.array(g.known)
         at = np.flatnonzero(known >= 0)
         phi[at, known[at]] += CLAMP
         edges = np.concatenate([g.chain, g.skip])
         if len(edges):
-            potential = np.concatenate([np.broadcast_to(self.pair, (len(g.chain), *self.pair.shape)),
-                                        np.broadcast_to(SKIP * np.eye(len(LABELS)), (len(g.skip), *self.pair.shape))])
+            potential = np.concatenate([np.broadcast_to(self.pair, (len(g.chain), k, k)),
+                                        np.broadcast_to(self.skip * np.eye(k), (len(g.skip), k, k))])
             src = np.concatenate([edges[:, 0], edges[:, 1]])
             dst = np.concatenate([edges[:, 1], edges[:, 0]])
             both = np.concatenate([potential, potential.transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-            message = np.zeros((len(src), len(LABELS)))
+            message = np.zeros((len(src), k))
             for _ in range(ROUNDS):
                 belief = phi.copy()
                 np.add.at(belief, dst, message)
@@ -219,9 +263,52 @@ class Model:
         return p / p.sum(axis=1, keepdims=True) if len(phi) else p
 
 
+def learn(examples: dict[tuple, int]) -> Model:
+    """Pseudo-likelihood: softmax regression of each hidden label on its features and its neighbours' labels (Adam)."""
+    k = len(LABELS)
+    weights, pair, skip = np.zeros((HASHED, k)), np.zeros((k, k)), np.zeros(1)
+    rows = sorted(examples)
+    if not rows:
+        return Model(weights, pair, 0.0, empty=True)
+    n = np.array([examples[r] for r in rows], dtype=np.float64)
+    y = np.array([r[0] for r in rows])
+    f = np.array([r[1] for r in rows])
+    side = np.eye(k + 1)[:, :k]                 # label -1 (no neighbour, or an untaught one) is a row of zeros
+    left, right = side[[r[2] for r in rows]], side[[r[3] for r in rows]]
+    near = np.array([r[4] for r in rows], dtype=np.float64)
+    params = [weights, pair, skip]
+    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    for t in range(1, STEPS + 1):
+        z = weights[f].sum(axis=1) + left @ pair + right @ pair.T + skip[0] * near
+        z -= z.max(axis=1, keepdims=True)
+        d = np.exp(z)
+        d /= d.sum(axis=1, keepdims=True)
+        d[np.arange(len(y)), y] -= 1.0
+        d *= n[:, None]
+        of_weights = PENALTY * weights
+        for c in range(f.shape[1]):
+            np.add.at(of_weights, f[:, c], d)
+        grads = [of_weights, left.T @ d + d.T @ right + PENALTY * pair, np.array([(d * near).sum()]) + PENALTY * skip]
+        for p, g, m, v in zip(params, grads, first, second):
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            p -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+    return Model(weights, pair, float(skip[0]))
+
+
+def refined(kind: str, text: str, a: int, b: int) -> Span | None:
+    """The span of an added value, or None where it fails the check of its kind."""
+    if not valid(kind, text[a:b]):
+        return None
+    if kind == "secret":
+        m = max(VALUE.finditer(text, a, b), key=lambda m: m.end() - m.start())
+        a, b = m.span()
+    return kind, a, b
+
+
 def find(texts: list[str], model: Model) -> list[tuple[list[Span], list[Span]]]:
     """Per text: base spans and all spans, each sorted by kind and start."""
-    order = lambda s: (KINDS.index(s[0]), s[1], s[2])
+    order = lambda s: (LABELS.index(s[0]), s[1], s[2])
     g = Graph(texts)
     added: list[list[Span]] = [[] for _ in texts]
     if g.text and not model.empty:
@@ -232,9 +319,14 @@ def find(texts: list[str], model: Model) -> list[tuple[list[Span], list[Span]]]:
         while i < len(label):
             j = i
             if label[i]:
-                while j in linked and label[j + 1] == label[i]:
+                kind, text = LABELS[label[i]], texts[g.text[i]]
+                # A value ends where it passes its check; a phone where it would no longer pass with the next token.
+                while j in linked and label[j + 1] == label[i] and (
+                        not valid(kind, text[g.start[i]:g.end[j]]) or kind == "phone" and valid(kind, text[g.start[i]:g.end[j + 1]])):
                     j += 1
-                added[g.text[i]].append((LABELS[label[i]], g.start[i], g.end[j]))
+                span = refined(kind, text, g.start[i], g.end[j])
+                if span:
+                    added[g.text[i]].append(span)
             i = j + 1
     return [(sorted(b, key=order), sorted(b + a, key=order)) for b, a in zip(g.base, added)]
 
@@ -257,19 +349,12 @@ def fit(docs: DataFrame, max_docs: int = MAX_TRAIN) -> Model:
         c: Counter = Counter()
         for whole in batches:
             for b in text_slices(whole):
-                g = Graph(b.column("text").to_pylist())
-                label = np.maximum(np.array(g.known, dtype=np.int64), 0)
-                for (fine, coarse), k in zip(g.shapes, label.tolist()):
-                    c[f"f{k}{fine}"] += 1
-                    c[f"c{k}{coarse}"] += 1
-                for i, j in g.chain.tolist():
-                    c[f"p{label[i]}{label[j]}"] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["key", "n"])
-
-    # Shapes of a bounded sample; single ones say no more than their coarse shape does.
-    found = rows.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(
-        (F.col("n") > 1) | ~F.col("key").startswith("f")).collect()
-    return Model(Counter({r["key"]: r["n"] for r in found}))
+                c.update(Graph(b.column("text").to_pylist()).examples())
+        yield pa.RecordBatch.from_arrays([pa.array([repr(x) for x in c], pa.string()), pa.array(list(c.values()), pa.int64())], ["key", "n"])
+
+    # Distinct examples of a bounded sample.
+    found = rows.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    return learn({ast.literal_eval(r["key"]): r["n"] for r in found})
 
 
 def written(spans: list[Span]) -> str:

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -381,20 +382,72 @@ def test_without_training_nothing_is_added(spark):
     assert [r.spans for r in pii.detect(df).collect()] == ["", ""]
 
 
-def test_messages_on_a_chain_give_exact_marginals():
-    """On a graph without cycles loopy propagation equals enumeration."""
+def enumerated(model, g):
+    """Label marginals of every token from all labellings."""
     import itertools
 
-    model = pii.Model(Counter({"c0x": 5, "c1y": 5, "f1b": 3, "p01": 4, "p11": 2}))
-    g = pii.Graph([""])
-    g.shapes = [("a", "x"), ("b", "y"), ("z", "x")]
-    g.known, g.chain, g.skip = [-1, -1, -1], np.array([[0, 1]]), np.array([[1, 2]])
-    k = len(pii.LABELS)
-    phi = np.array([model.node(*s) for s in g.shapes])
-    total = np.zeros((3, k))
-    for a, b, c in itertools.product(range(k), repeat=3):
-        w = np.exp(phi[0, a] + phi[1, b] + phi[2, c] + model.pair[a, b] + pii.SKIP * (b == c))
-        for i, x in enumerate((a, b, c)):
+    n, k = len(g.features), len(pii.LABELS)
+    phi = np.array([model.node(f) for f in g.features])
+    total = np.zeros((n, k))
+    for labels in itertools.product(range(k), repeat=n):
+        w = np.exp(sum(phi[i, x] for i, x in enumerate(labels)) + sum(model.pair[labels[i], labels[j]] for i, j in g.chain)
+                   + sum(model.skip * (labels[i] == labels[j]) for i, j in g.skip))
+        for i, x in enumerate(labels):
             total[i, x] += w
-    want = total / total.sum(axis=1, keepdims=True)
-    assert np.allclose(model.marginals(g), want, atol=2e-3)
+    return total / total.sum(axis=1, keepdims=True)
+
+
+def test_messages_give_enumerated_marginals():
+    """Exact without cycles; close to enumeration with a cycle of chain and skip edges."""
+    rng = np.random.default_rng(5)
+    model = pii.Model(rng.normal(size=(pii.HASHED, len(pii.LABELS))), 0.5 * rng.normal(size=(len(pii.LABELS),) * 2), 0.7)
+    g = pii.Graph([""])
+    g.features, g.known = [(1, 2), (3, 4), (5, 2)], [-1, -1, -1]
+    g.chain, g.skip = np.array([[0, 1]]), np.array([[1, 2]])
+    assert np.allclose(model.marginals(g), enumerated(model, g), atol=2e-3)
+    g.features, g.known = [*g.features, (6, 7)], [-1] * 4
+    g.chain, g.skip = np.array([[0, 1], [1, 2], [2, 3]]), np.array([[0, 3]])
+    assert np.allclose(model.marginals(g), enumerated(model, g), atol=0.05)
+
+
+def test_pseudo_likelihood_learns_features_neighbours_and_repeats():
+    none, phone = 0, pii.LABELS.index("phone")
+    zero, two = (0,) * len(pii.LABELS), tuple(2 * (i == phone) for i in range(len(pii.LABELS)))
+    m = pii.learn({(none, (1,), -1, -1, zero): 50, (phone, (2,), phone, -1, zero): 50, (phone, (3,), -1, -1, two): 20, (none, (3,), -1, -1, zero): 20})
+    assert m.node((2,))[phone] > m.node((1,))[phone] and m.pair[phone, phone] > 0 and m.skip > 0
+    assert pii.learn({}).empty
+
+
+def test_field_finds_hidden_labels_and_adds_spans():
+    """Fit on even documents; base labels of odd ones hidden in turn must come back, failed checks must not."""
+    d = duckdb.sql("select doc_id, text from '/root/testdata/sf0.1/documents.parquet' where regexp_matches(text, '[0-9@]')").fetchall()
+    counts = Counter()
+    for i, t in d:
+        if i % 2 == 0:
+            counts.update(pii.Graph([t]).examples())
+    model, odd = pii.learn(counts), [t for i, t in d if i % 2]
+    g = pii.Graph(odd)
+    taught, known = np.array(g.taught), np.array(g.known)
+    hidden = np.zeros(len(known), dtype=np.int64)
+    for fold in range(5):
+        pick = np.arange(len(known)) % 5 == fold
+        g.known = np.where(pick, -1, known).tolist()
+        p = model.marginals(g)
+        hidden[pick] = np.where(p.max(axis=1) >= pii.CERTAIN, p.argmax(axis=1), 0)[pick]
+    kinds = taught > 0
+    assert (hidden[kinds] == taught[kinds]).mean() >= 0.98 and not hidden[taught == 0].any()
+    added = [s for b, w in pii.find(odd, model) for s in w if s not in b]
+    assert len(added) > 50 and {k for k, _, _ in added} >= {"secret", "phone"}
+
+    text = "+1 (269) 555-3296 10.0.0.1 and 4845168114407329 4929348385146306 or 4845168114407328, TOKEN = \"9233A8ECF7C5B09FE594\"### v2.0"
+    base, spans = pii.find([text], model)[0]
+    assert base == [("ip", 18, 26)]
+    assert [(k, text[a:b]) for k, a, b in spans] == [
+        ("ip", "10.0.0.1"), ("card", "4845168114407329"), ("card", "4929348385146306"), ("phone", "+1 (269) 555-3296"),
+        ("secret", "9233A8ECF7C5B09FE594")]
+
+
+def test_very_long_tokens_are_read_in_linear_time():
+    m = pii.learn({(0, (1,), -1, -1, (0,) * len(pii.LABELS)): 1})
+    for t in ("9" * 200_000, "a@" + "." * 200_000 + "@", "token=" + "a1" * 100_000, "(1-" * 60_000, "+1" + " 2" * 100_000):
+        assert pii.find([t], m)[0][0] == pii.base_spans(t)[0]
