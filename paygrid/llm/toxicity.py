@@ -14,13 +14,13 @@ occur together).
 
 Fitting reads a bounded sample: at most about ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` clean
 labelled rows, chosen by a hash of the id. Of copies and near copies in the sample (equal in
-one of a few minimum hashes) one is kept, so a text that occurs often does not make its
+one of a few bands of minimum hashes) one is kept, so a text that occurs often does not make its
 words look telling. Scoring reads every word of every text.
 
 Defined cases: null and empty texts have no hit and get the score of a text without hits.
 Without training rows of both classes nothing is known: every score is the prior (0.5
-without any row). A label of a repeated id counts once, as its maximum; null labels are left
-out. Repeated rows are kept, an empty table gives an empty result, other columns are ignored.
+without any row). A label of a repeated id counts once, as its maximum, for the text with the smallest
+hash; null labels are left out. Words may be of any length: memory is linear in the letters of a text. Repeated rows are kept, an empty table gives an empty result, other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,18 +35,18 @@ from pyspark.sql import functions as F
 
 from paygrid.session import materialize
 
+from . import stems
 from .arrow import map_slices, text_slices
 from .common import crc_mod
 from .language_id import split_words
 from .ngram_join import _mix, shingle_sets
+from .stems import EDGES, LEVELS
 
 MAX_TOXIC = 6_000
 MAX_CLEAN = 14_000
-MIN_STEM = 4                # letters of a stem, at least
 MIN_ROWS = 4                # toxic training rows that a term occurs in, at least
 MIN_ODDS = 3.0              # cautious log-odds of a lexicon term between the classes, at least
-LEVELS = 3                  # occurrences of a term that are told apart
-COPY_HASHES = 4             # minimum hashes of a text; sharing one makes two texts copies of each other
+COPY_BANDS, BAND_HASHES = 4, 4      # bands of minimum hashes of a text; agreeing in one makes two texts copies of each other
 MIN_WEIGHT = 1.5            # weaker evidence does not count
 GAIN = 1.0                  # log-odds that a longer stem must add to replace a shorter one
 FAMILY = 5                  # terms that share so many first letters count once per text
@@ -56,7 +56,6 @@ QUOTED, REPORTED, ADDRESSED = 0.5, 0.75, 1.25       # factors of a hit's weight
 WORST = 12.0                # cap of the summed weights
 THRESHOLD = 0.7
 
-EDGES = ".,;:!?\"'()[]{}«»“”„‘’…-_*#|<>/\\&%$~`"
 QUOTES = set("\"«»“”„")
 # Words of reported speech and of direct address in the four languages of the corpus.
 REPORT_WORDS = set("said says called calls quoted quote wrote word words sagte sagt nannte nennt wort zitat dit disait "
@@ -220,20 +219,6 @@ class Model:
         return np.array(out, dtype=np.float64), found
 
 
-def features(text: str | None) -> set[str]:
-    """Words (marked by a final space) and stems of a text; ``#m`` marks those that occur m times."""
-    count: Counter = Counter()
-    for w, k in Counter(x.strip(EDGES) for x in (text or "").lower().split()).items():
-        if w.isalpha():
-            count[w + " "] += k
-            for n in range(MIN_STEM, len(w)):
-                count[w[:n]] += k
-    out = set(count)
-    for f, k in count.items():
-        out.update(f"{f}#{m}" for m in range(2, min(k, LEVELS) + 1))
-    return out
-
-
 def _counted(rows: DataFrame, of_batch, name: str) -> DataFrame:
     """Sum over all tasks of the counters that ``of_batch`` returns for a batch."""
 
@@ -253,57 +238,69 @@ def log_odds(toxic: float, clean: float, n_toxic: int, n_clean: int) -> float:
     return math.log(max(toxic - math.sqrt(toxic), 0.1) / n_toxic) - math.log((clean + 1.0) / n_clean)
 
 
-def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> list[tuple[str, bool]]:
+def choose_terms(toxic: dict[int, stems.Node], clean: dict[int, stems.Node], least: int, n_toxic: int,
+                 n_clean: int) -> list[tuple[str, bool]]:
     """Lexicon: (text, is_stem) of the shortest telling stems.
 
     A stem is lengthened as long as a longer one occurs in the same toxic rows, and gives way to
     its longer forms where those are clearly more telling.
     """
-    odds: dict[str, float] = {}
-    for key, n in toxic.items():
-        f = key.split("#")[0]
-        odds[f] = max(odds.get(f, -99.0), log_odds(n, clean.get(key, 0), n_toxic, n_clean))
-    telling = {f for f, o in odds.items() if o >= MIN_ODDS}
-    longer: dict[str, list[str]] = {}       # a stem and the next longer telling ones
-    for f in telling:
-        shorter = (f[:k] for k in range(len(f) - 1, MIN_STEM - 1, -1))
-        longer.setdefault(next((x for x in shorter if x in telling), ""), []).append(f)
+    none = stems.Node((0,) * (LEVELS + 1), 0, "")
+    odds = {h: max(log_odds(node.n[m], clean.get(h, none).n[m], n_toxic, n_clean) for m in range(1, LEVELS + 1) if node.n[m] >= least)
+            for h, node in toxic.items() if node.n[1] >= least}
+    telling = {h for h, o in odds.items() if o >= MIN_ODDS}
+    above: dict[int, int] = {0: 0}          # a node and the longest telling stem shorter than it
+    longer: dict[int, list[int]] = {}       # a stem and the next longer telling ones
+    for h in telling:
+        path = [h]
+        while path[-1] not in above:
+            path.append(toxic[path[-1]].parent)
+        for x, up in zip(path[-2::-1], path[:0:-1]):
+            above[x] = up if up in telling else above[up]
+        longer.setdefault(above[h], []).append(h)
     terms = set()
-    todo = longer.get("", [])[:]
+    todo = longer.get(0, [])[:]
     while todo:
-        f = todo.pop()
-        forms = longer.get(f, [])
-        same = [g for g in forms if toxic[g] == toxic[f]]
+        h = todo.pop()
+        forms = longer.get(h, [])
+        same = [g for g in forms if toxic[g].n[1] == toxic[h].n[1]]
         if same:
-            todo.append(min(same))
-        elif forms and max(odds[g] for g in forms) >= odds[f] + GAIN:
+            todo.append(same[0] if len(same) == 1 else min(same, key=lambda g: stems.text_of(toxic, g)))
+        elif forms and max(odds[g] for g in forms) >= odds[h] + GAIN:
             todo.extend(forms)
         else:
-            terms.add((f.rstrip(" "), not f.endswith(" ")))
+            text = stems.text_of(toxic, h)
+            terms.add((text.rstrip(" "), not text.endswith(" ")))
     return sorted(terms)
 
 
 def without_copies(rows: DataFrame) -> DataFrame:
-    """``text, toxic`` of the rows that share no minimum hash with a row of their class and a smaller id."""
-    names = [f"k{i}" for i in range(COPY_HASHES)]
+    """``text, toxic`` of the rows that agree in no band of minimum hashes with a row of their class and a smaller id.
+
+    Of rows with one id the text with the smallest hash counts.
+    """
+    names = [f"k{i}" for i in range(COPY_BANDS)]
+    salts = [np.uint64((i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for i in range(COPY_BANDS * BAND_HASHES)]
 
     def hashes(batches):
         for whole in batches:
             for b in text_slices(whole):
-                sets = shingle_sets(b.column("text").to_pylist(), 5)
-                keys = [[int(_mix(s ^ np.uint64(i * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).min()) >> 1 if len(s) else i
-                         for s in sets] for i in range(COPY_HASHES)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), *[pa.array(k, pa.int64()) for k in keys]],
-                                                 ["doc_id", "toxic", *names])
-
-    slim = rows.mapInArrow(hashes, "doc_id long, toxic boolean, " + ", ".join(f"{k} long" for k in names))
-    slim = materialize(slim.dropDuplicates(["doc_id"]), "toxic-hashes")
+                keys = np.zeros((b.num_rows, COPY_BANDS), dtype=np.uint64)
+                for r, s in enumerate(shingle_sets(b.column("text").to_pylist(), 5)):
+                    for i, salt in enumerate(salts):
+                        least = _mix(s ^ salt).min() if len(s) else salt
+                        keys[r, i // BAND_HASHES] = _mix(keys[r, i // BAND_HASHES:i // BAND_HASHES + 1] * salts[0] + least)[0]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"),
+                                                  *[pa.array(keys[:, i].view(np.int64)) for i in range(COPY_BANDS)]], ["doc_id", "toxic", *names])
+
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    slim = materialize(rows.mapInArrow(hashes, "doc_id long, toxic boolean, " + ", ".join(f"{k} long" for k in names)), "toxic-hashes")
     copies = None
     for k in names:
         first = slim.groupBy(k, "toxic").agg(F.min("doc_id").alias("first"))
         later = slim.join(first, [k, "toxic"]).filter("doc_id > first").select("doc_id")
         copies = later if copies is None else copies.unionByName(later)
-    return rows.dropDuplicates(["doc_id"]).join(copies.distinct(), "doc_id", "left_anti").select("text", "toxic")
+    return rows.join(copies.distinct(), "doc_id", "left_anti").select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -328,25 +325,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not nt or not nn:
         return Model(TermAutomaton([]), {}, prior, prior)
 
-    def of_text(b):
-        c: Counter = Counter()
-        for t in b.column("text").to_pylist():
-            c.update(features(t))
-        return c
-
     # A feature in fewer rows is not telling even if no clean row has it. Those that stay are bounded by the sample.
     least = next((k for k in range(MIN_ROWS, nt + 1) if log_odds(k, 0, nt, nn) >= MIN_ODDS), nt + 1)
-    toxic = {r["f"]: r["n"] for r in _counted(rows.filter("toxic"), of_text, "f").filter(F.col("n") >= least).collect()}
-    shared = rows.sparkSession.sparkContext.broadcast(frozenset(toxic))
-
-    def of_clean(b):
-        c: Counter = Counter()
-        for t in b.column("text").to_pylist():
-            c.update(features(t) & shared.value)
-        return c
-
-    clean = {r["f"]: r["n"] for r in _counted(rows.filter("not toxic"), of_clean, "f").collect()}
-    automaton = TermAutomaton(choose_terms(toxic, clean, nt, nn))
+    toxic = stems.count(rows.filter("toxic"), least)
+    clean = stems.count(rows.filter("not toxic"), 1, np.array(sorted(toxic), dtype=np.int64).view(np.uint64))
+    automaton = TermAutomaton(choose_terms(toxic, clean, least, nt, nn))
 
     def of_hits(b):
         c: Counter = Counter()

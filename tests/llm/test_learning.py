@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from paygrid.llm import conversation_repair, language_id, phrases, pii, quality_classifier
+from paygrid.llm import conversation_repair, language_id, phrases, pii, quality_classifier, stems, toxicity
 from paygrid.llm.common import crc_mod
 from paygrid.llm.queries import ORACLE, QUERIES
 from tools.oracle_check import digest
@@ -297,3 +297,50 @@ def test_scores_are_sparse_dot_products():
 
 def test_forms():
     assert [quality_classifier.form(w) for w in ("Rewh.###", "THE!!", "éa12", "|", "aB", "")] == ["Aa.#", "A!", "a9", "|", "aA", ""]
+
+
+def brute_stems(texts):
+    """Per word (final space) and stem: texts that hold it, and those that hold it 1, 2, 3 times or more."""
+    held, out = Counter(), {}
+    for t in texts:
+        count = Counter()
+        seen = set()
+        for w in (t or "").lower().split():
+            w = w.strip(stems.EDGES)
+            if w.isalpha():
+                count[w + " "] += 1
+                count.update(w[:n] for n in range(stems.MIN_STEM, len(w)))
+                seen.update([w + " ", *(w[:n] for n in range(stems.MIN_STEM, len(w) + 1))])
+        held.update(seen)
+        for f in seen:
+            row = out.setdefault(f, [0] * stems.LEVELS)
+            for m in range(stems.LEVELS):
+                row[m] += count[f] > m
+    return {f: (held[f], *out[f]) for f in held}
+
+
+def test_stem_counts_equal_brute_force(spark):
+    d = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(60).collect()]
+    texts = [*d, None, "", "a ab abc abcd abcde abcde, abcdef", "Straße ÉÉÉÉÉ ééééé x1y 日本語日本語", "abcd abcd abcd abcd"]
+    got = stems.count(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), 2)
+    want = {f: n for f, n in brute_stems(texts).items() if n[0] >= 2}
+    assert {stems.text_of(got, h): node.n for h, node in got.items()} == want
+    some = sorted(got)[::3]
+    again = stems.count(spark.createDataFrame([(t,) for t in texts], "text string"), 1, np.array(some, dtype=np.int64).view(np.uint64))
+    assert sorted(again) == some and all(again[h].n == got[h].n for h in some)
+
+
+def test_toxicity_of_very_long_words_and_repeated_ids(spark):
+    """Words of 200,000 letters in labelled rows; rows with one id and different texts learn the same one on each run."""
+    long = "".join(chr(97 + (i * i // 7) % 26) for i in range(200_000))
+    rows = [(i, f"nasty{'x' * (i % 3)} thing number {'abcdefghij'[i % 10]} {'klmnopqrst'[i // 10 % 10]} {long[:200_000 - i] if i < 8 else ''}", 1) for i in range(40)]
+    rows += [(100 + i, f"plain words {'abcdefghij'[i % 10]} and {'klmnopqrst'[i // 10 % 10]} more {long if i == 3 else ''}", 0) for i in range(60)]
+    rows += [(100, "another text of this id", 0), (101, None, 0)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame(sorted({(i, y) for i, _, y in rows}), "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    again = toxicity.fit(docs.repartition(7), labels)
+    assert model.automaton.terms == again.automaton.terms and model.weights == again.weights
+    assert any(t[0].startswith("nast") for t in model.automaton.terms)
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect() if r.doc_id < 40 or r.doc_id > 101}
+    assert all(found[i] == (i < 40) for i in found)
