@@ -24,8 +24,8 @@ The intersection counts are over 64-bit hashes: distinct shingles of one pair co
 with a chance of about 2**-64 per pair of shingles.
 
 Defined cases: null text has no words. Rows that share a ``doc_id`` count as one document.
-A row with null id belongs to its class; a class of null ids alone links with nothing and has a
-null component. Repeated rows are kept; an empty table gives an empty result; other columns
+Rows with null id link like any other; their component is null where no document with an id is
+reachable. Repeated rows are kept; an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -302,6 +302,22 @@ def with_partner_length(members: DataFrame, percent: int) -> DataFrame:
     return m.join(counts.select("unit", "cls"), ["unit", "cls"], "left_semi").select("unit", "rep")
 
 
+def name_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``key, rep``: ids, none of them a ``doc_id``, for the classes that hold null ids only.
+
+    Hashes of the key; a draw in which two are equal or one is a document's is repeated with another salt.
+    """
+    nameless = classes.filter("rep is null")
+    ids = docs.select(F.col("doc_id").alias("rep"))
+    salt = 0
+    while True:
+        named = materialize(nameless.select("key", F.xxhash64("key", F.lit(salt)).alias("rep")), "ngram-named")
+        twice = named.groupBy("rep").count().filter("count > 1").limit(1).count()
+        if not twice and not named.join(ids, "rep", "left_semi").limit(1).count():
+            return named
+        salt += 1
+
+
 def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs (doc_id, text)``."""
     return _join(docs, n, percent)[0]
@@ -315,7 +331,12 @@ def _join(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
         sigs.filter("key is not null").groupBy("key").agg(
             F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("size"),
             F.first("prefix").alias("prefix"), F.first("hist").alias("hist")), "ngram-classes")
-    live = classes.filter("rep is not null")
+    named = name_classes(classes, docs) if classes.filter("rep is null").limit(1).count() else None
+    live = classes
+    if named is not None:
+        live = (classes.join(named.withColumnRenamed("rep", "made"), "key", "left")
+                       .withColumn("rep", F.coalesce("rep", "made")).drop("made"))
+        live = materialize(live, "ngram-classes")
 
     posts = live.select("rep", F.explode("prefix").alias("token"))
     buckets = posts.groupBy("token").agg(F.min("rep").alias("unit"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -356,9 +377,14 @@ def _join(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
                 yield pa.RecordBatch.from_arrays([b.column("rep"), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "set"])
 
     wanted = used.select("rep").distinct()
-    sets = (docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep", "left_semi").mapInArrow(full, "rep long, set binary")
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").filter("rep is not null")
+    if named is not None:
+        keyed = signatures(docs.filter("doc_id is null").select(F.xxhash64("text").alias("doc_id"), "text"), n, percent, sketch)
+        keyed = keyed.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("h")).join(named, "key").select("h", "rep")
+        texts = texts.unionByName(docs.filter("doc_id is null").select(F.xxhash64("text").alias("h"), "text").join(keyed, "h").select("rep", "text"))
+    sets = (texts.join(wanted, "rep", "left_semi").mapInArrow(full, "rep long, set binary")
                 .groupBy("rep", F.xxhash64("set").alias("h")).agg(F.first("set").alias("set")).drop("h"))
-    second = (used.join(units, "rep").join(classes.groupBy("rep").agg(F.sum("copies").alias("copies")), "rep").join(sets, "rep"))
+    second = (used.join(units, "rep").join(live.groupBy("rep").agg(F.sum("copies").alias("copies")), "rep").join(sets, "rep"))
 
     def verify(key, t):
         c = t.combine_chunks()
@@ -385,10 +411,21 @@ def _join(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
 
     edges = materialize(_items(second, verify, "a long, b long, links long"), "ngram-edges")
     groups = connected_components(edges.select("a", "b"))
+    if named is not None:
+        # Made-up ids are no documents: a component is named by its smallest real one, if any.
+        made = named.select(F.col("rep").alias("node"), F.lit(True).alias("made"))
+        real = groups.join(made, "node", "left").groupBy("component").agg(
+            F.min(F.when(F.col("made").isNull(), F.col("node"))).alias("least"))
+        groups = groups.join(real, "component").select("node", F.col("least").alias("component"), F.lit(True).alias("grouped"))
+    else:
+        groups = groups.withColumn("grouped", F.lit(True))
     linked = edges.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "rep")
-    per_class = (classes.select("key", "rep", "copies").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    real_rep = F.col("rep") if named is None else F.when(F.col("made").isNull(), F.col("rep"))
+    if named is not None:
+        live = live.join(named.select("key", F.lit(True).alias("made")), "key", "left")
+    per_class = (live.select("key", "rep", "copies", real_rep.alias("own")).join(groups.withColumnRenamed("node", "rep"), "rep", "left")
                         .join(linked, "rep", "left")
-                        .select("key", F.coalesce("component", "rep").alias("component_id"),
+                        .select("key", F.when(F.col("grouped"), F.col("component")).otherwise(F.col("own")).alias("component_id"),
                                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     out = sigs.select("doc_id", "n_shingles", "key").join(per_class, "key", "left")
     empty = F.col("key").isNull()
