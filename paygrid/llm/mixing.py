@@ -8,7 +8,7 @@ Golden-ratio points mapped through the cumulative slot shares say which source f
 slot; the slot's rank within its source names the block it takes.
 
 Defined cases: null text or no word: size 0, never taken. Null source: a source of its own,
-ordered last. Null ids sort first in the shuffle. Repeated rows are separate documents.
+ordered last. Null ids are shuffled by text. Repeated rows are separate documents.
 An empty table gives an empty result. Columns other than those read are ignored.
 """
 
@@ -100,9 +100,11 @@ def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), block_tokens: int
     ``taken``: words taken, repeats counted; ``slots``: for every pass that takes from the document, its
     first slot in the schedule and where it starts in the stream of the source (the order within a slot).
     """
-    sized = docs.select(*keys, "source", n_words(F.col("text")).alias("size"))
+    # Rows without id are shuffled by their text, so that they spread over the buckets below.
+    shuffled = F.md5(F.coalesce(F.col(keys[0]).cast("string"), F.col("text"), F.lit("")))
+    sized = docs.select(*keys, "source", n_words(F.col("text")).alias("size"), shuffled.alias("h"))
     # Written once: the totals, the prefix sums and the join below read the sizes, not the texts.
-    sized = materialize(sized.withColumn("h", F.md5(F.coalesce(F.col(keys[0]).cast("string"), F.lit("")))), "mix-sizes")
+    sized = materialize(sized, "mix-sizes")
     targets = materialize(source_targets(sized, max_repeats).coalesce(1), "mix-targets")
     slots = schedule(docs.sparkSession, targets, block_tokens).select("sid", F.col("rank").alias("block"), "slot")
 

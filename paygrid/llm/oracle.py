@@ -36,7 +36,7 @@ FROM b
 ORACLE["op9_source_mix"] = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+         md5(coalesce(doc_id::VARCHAR, text, '')) AS h, row_number() OVER () AS rid FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid
   FROM d GROUP BY source
@@ -49,18 +49,39 @@ WITH d AS (
 ), lv AS (
   SELECT rest, rest_weight FROM r WHERE rest * weight <= cap * rest_weight ORDER BY cap / weight, sid LIMIT 1
 ), t AS (
-  SELECT source, source_size, least(cap::DOUBLE, coalesce(lv.rest * weight / lv.rest_weight, cap::DOUBLE)) AS target
+  SELECT sid, source, source_size, least(cap::DOUBLE, coalesce(lv.rest * weight / lv.rest_weight, cap::DOUBLE)) AS target
   FROM c LEFT JOIN lv ON true
 ), o AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target)::BIGINT AS goal,
-         (sum(d.size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, d.size
+  SELECT d.rid, t.sid, d.doc_id, d.size, t.source_size, t.target, floor(t.target)::BIGINT AS goal,
+         (sum(d.size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, d.size, rid
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size)::BIGINT AS off
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), need AS (
+  SELECT *, (upto - n_slots)::DOUBLE / total AS lo, upto::DOUBLE / total AS hi FROM (
+    SELECT *, (sum(n_slots) OVER (ORDER BY sid))::BIGINT AS upto, (sum(n_slots) OVER ())::BIGINT AS total
+    FROM (SELECT sid, (floor(target)::BIGINT + 511) // 512 AS n_slots FROM t) WHERE n_slots > 0)
+), points AS (
+  SELECT slot, (slot % 2147483648 * 1327217885 % 2147483648) / 2147483648::DOUBLE AS u
+  FROM (SELECT unnest(range((SELECT coalesce(max(total), 0)::BIGINT FROM need))) AS slot)
+), hit AS (
+  SELECT sid, n_slots, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS block FROM points JOIN need ON u >= lo AND u < hi
+), slots AS (
+  SELECT sid, slot, block FROM hit WHERE block < n_slots
+  UNION ALL
+  SELECT sid, total + upto - n_slots + block, block
+  FROM (SELECT need.*, unnest(range((SELECT count(*) FROM hit WHERE hit.sid = need.sid), n_slots)) AS block FROM need)
+), passes AS (
+  SELECT rid, sid, size, goal, off + source_size * unnest(range((goal - 1 - off) // source_size + 1)) AS start
+  FROM o WHERE size > 0 AND off < goal
+), blocks AS (
+  SELECT rid, sid, unnest(range(start // 512, (least(start + size, goal) - 1) // 512 + 1)) AS block FROM passes
+), firsts AS (
+  SELECT rid, min(slot) AS first_slot FROM blocks JOIN slots USING (sid, block) GROUP BY rid
 )
-SELECT doc_id, size, source_size, target,
+SELECT doc_id, size, source_size, target, first_slot,
        CASE WHEN source_size = 0 THEN 0 ELSE
          (goal // source_size) * size + greatest(0, least(off + size, goal % source_size) - off) END::BIGINT AS taken
-FROM o
+FROM o LEFT JOIN firsts USING (rid)
 """
 
 # Link counts are over rows; the components are the fixpoint of the smallest reachable id.

@@ -5,6 +5,7 @@ Each query applies one operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from . import byte_bpe, conversation_repair, language_id, mixing, ngram_join, phrases, pii, quality_classifier, quality_rules, spotsigs, suffix_dedup, toxicity, url_filter
 from .common import read_table
@@ -68,7 +69,7 @@ def op8(spark, sf_dir):
 @query("op9_source_mix")
 def op9(spark, sf_dir):
     m = mixing.mix(read_table(spark, sf_dir, "documents"))
-    return m.select("doc_id", "size", "source_size", "target", "taken")
+    return m.select("doc_id", "size", "source_size", "target", "taken", F.get("slots", F.lit(0))["slot"].alias("first_slot"))
 
 
 @query("op10_url_filter")
