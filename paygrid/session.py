@@ -70,8 +70,12 @@ def scratch_mark() -> int:
     return len(_SCRATCH)
 
 
-def release_scratch(spark, mark: int) -> None:
-    """Delete the scratch folders written since ``mark`` (their frames must not be read again)."""
+def release_scratch(spark, mark: int, keep_last: bool = False) -> None:
+    """Delete the scratch folders written since ``mark`` (their frames must not be read again).
+
+    ``keep_last`` spares the newest folder.
+    """
+    newest = _SCRATCH.pop() if keep_last and len(_SCRATCH) > mark else None
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     while len(_SCRATCH) > mark:
@@ -79,3 +83,5 @@ def release_scratch(spark, mark: int) -> None:
         fs = p.getFileSystem(conf)
         if fs.exists(p):
             fs.delete(p, True)
+    if newest:
+        _SCRATCH.append(newest)
