@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paygrid.llm import byte_bpe, mixing, ngram_join, pii, toxicity
-from paygrid.session import materialize
+from paygrid.session import materialize, release_scratch, scratch_mark
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +54,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    start = scratch_mark()
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # Written as a whole: the stage's working folders and its input are not read again.
+        release_scratch(spark, start, keep_last=True)
     return docs

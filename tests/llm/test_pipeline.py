@@ -1,5 +1,6 @@
 """The pipeline on small tables: each stage against what its operator decides, and the registered queries."""
 
+import os
 from collections import Counter
 
 import pytest
@@ -10,6 +11,7 @@ import corpus_pipeline as C
 from paygrid.llm import mixing, ngram_join, pii, toxicity
 from paygrid.llm.common import n_words
 from paygrid.llm.queries import ORACLE, QUERIES
+from paygrid.session import _SCRATCH, ensure_checkpoint_dir, scratch_mark
 from tools.oracle_check import digest
 
 SF = "/root/testdata/sf0.001"
@@ -55,6 +57,14 @@ def test_stages_take_effect(spark):
     assert last.count() == four.count() and last.filter("n_tokens = 0").count() == 0
 
 
+def test_pipeline_leaves_only_its_result(spark):
+    start, folder = scratch_mark(), ensure_checkpoint_dir(spark).removeprefix("file:") + "/paygrid-tmp"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    done = C.run(spark, SF)
+    assert [os.path.basename(p) for p in _SCRATCH[start:]] == list(set(os.listdir(folder)) - before)
+    assert len(_SCRATCH) == start + 1 and done.count() > 0
+
+
 def test_pipeline_on_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
