@@ -9,8 +9,8 @@ Defined cases: null text is the empty text; a text without words has the empty s
 without any signature (no anchor, or nothing after it) uses every word as an anchor of the
 two words after it; with fewer than three words, the whole sequence is its one signature.
 Two empty sets have likeness 1, an empty and another set 0. Equal texts have equal
-fingerprints. Rows with equal ids are ordered by a hash of their text. Null ids come last in
-the descending order. A table of one row is its own next document; an empty table gives an
+fingerprints. Rows with equal ids are ordered by a hash of their text (and share a task only as
+far as they repeat one text). Null ids come last in the descending order. A table of one row is its own next document; an empty table gives an
 empty result. Columns other than ``doc_id, text`` are ignored.
 """
 
@@ -37,7 +37,8 @@ ANCHORS = (
 ).split()
 CHAIN = 2
 PUNCTUATION = ".,;:!?\"()[]{}«»“”„…|"
-CELLS = 1 << 16
+# Bounds of id ranges are searched in blocks of this many.
+BLOCK = 128
 
 
 def add_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -113,17 +114,37 @@ def near_pairs(sets: DataFrame, least: float = 0.8) -> DataFrame:
                 .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"), "likeness"))
 
 
-def _ranges(ids: DataFrame, n_ranges: int) -> tuple[DataFrame, int, int]:
-    """Ranges of about equal row counts over the ids: ``cell -> range`` for at most ``CELLS`` cells."""
-    lo, hi = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if lo is None:
-        lo = hi = 0
-    width = (hi - lo) // CELLS + 1
-    cells = ids.groupBy(F.floor((F.col("doc_id") - lo) / width).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    run = W.partitionBy(F.lit(1)).orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
-    total = F.sum("n").over(W.partitionBy(F.lit(1)))
-    return cells.select("cell", F.floor(F.coalesce(F.sum("n").over(run), F.lit(0)) * n_ranges / total)
-                        .cast("int").alias("range")), lo, width
+def _rank(cuts: list[int], before) -> Column:
+    """How many of the ascending ``cuts`` satisfy ``before``, which holds up to some cut: whole blocks of ``BLOCK`` first."""
+    if not cuts:
+        return F.lit(0)
+    array = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
+    if len(cuts) <= BLOCK:
+        return F.size(F.filter(array(cuts), before))
+    whole = F.size(F.filter(array(cuts[BLOCK - 1::BLOCK]), before)) * BLOCK
+    return whole + F.size(F.filter(F.slice(array(cuts), whole + 1, F.lit(BLOCK)), before))
+
+
+def id_ranges(docs: DataFrame, n_ranges: int) -> Column:
+    """Number of the range of a row of ``doc_id, tie``; no range holds much more than an even share.
+
+    Ranges ascend with the id and, within an id, descend with the tie. Bounds are quantiles of
+    the ids, so gaps and outliers do not matter. An id or the null that fills several ranges is
+    split among them by the tie, a hash of the text; null ids have negative ranges. The driver
+    reads ``n_ranges`` numbers, whatever the size of the table.
+    """
+    steps = [i / n_ranges for i in range(1, n_ranges)] or [0.5]
+    # The sketch errs by a twentieth of a range at most.
+    cuts, n, nulls = docs.agg(F.percentile_approx("doc_id", steps, 20 * n_ranges), F.count(F.lit(1)),
+                              F.count_if(F.col("doc_id").isNull())).first()
+    cuts = sorted(cuts or [])
+    # The upper 32 bits of the tie as a number from 0 on, in the order of the ties.
+    spread = F.shiftright("tie", 32) + (1 << 31)
+    part = lambda pieces: F.shiftright(spread * pieces, 32)
+    upto, below = _rank(cuts, lambda c: c <= F.col("doc_id")), _rank(cuts, lambda c: c < F.col("doc_id"))
+    null_pieces = max(1, math.ceil(nulls * n_ranges / max(n, 1)))
+    return F.when(F.col("doc_id").isNull(), -1 - part(F.lit(null_pieces).cast("long"))).otherwise(
+        upto - part((upto - below).cast("long"))).cast("int")
 
 
 def with_next(docs: DataFrame, n_ranges: int | None = None) -> DataFrame:
@@ -134,28 +155,22 @@ def with_next(docs: DataFrame, n_ranges: int | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     n_ranges = n_ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cells, lo, width = _ranges(d.select("doc_id"), n_ranges)
-    cells = materialize(cells.coalesce(1), "spot-cells")
-    cell = F.floor((F.col("doc_id") - lo) / width)
-
-    def placed(x: DataFrame) -> DataFrame:
-        # At most CELLS + 1 rows of two numbers: about 1 MB.
-        return (x.withColumn("cell", cell).join(F.broadcast(cells.filter("cell is not null")), "cell", "left")
-                 .withColumn("range", F.coalesce("range", F.lit(-1))).drop("cell"))
-
-    tops = placed(d.select("doc_id")).groupBy("range").agg(F.max("doc_id").alias("doc_id"))
+    tie = F.xxhash64("text")
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", tie)
+    d = d.withColumn("range", id_ranges(docs.select("doc_id"), n_ranges))
+    first = F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), "tie")
+    tops = d.groupBy("range").agg(F.min(first).alias("first"), F.min_by("doc_id", first).alias("top"))
     up = W.partitionBy(F.lit(1)).orderBy("range")
     lowest = F.min("range").over(W.partitionBy(F.lit(1)))
-    # At most n_ranges + 1 rows: each range's top document goes to the next range above, the last one's to the lowest.
-    tops = tops.withColumn("goes_to", F.coalesce(F.lead("range").over(up), lowest))
+    # At most 2 * n_ranges + 1 rows: each range's top document goes to the next range above, the last one's to the lowest.
+    tops = tops.select("top", F.col("first.tie").alias("top_tie"), F.coalesce(F.lead("range").over(up), lowest).alias("goes_to"))
     tops = materialize(tops.coalesce(1), "spot-tops")
-    tie = F.xxhash64("text")
-    heads = (d.join(F.broadcast(tops.select(F.col("doc_id").alias("top"), "goes_to")), F.col("doc_id").eqNullSafe(F.col("top")))
-              .groupBy("goes_to").agg(F.min_by("text", tie).alias("text"))
-              .select(F.lit(None).cast("long").alias("doc_id"), "text", F.col("goes_to").alias("range"), F.lit(1).alias("last")))
-    rows = placed(d).select("doc_id", "text", "range", F.lit(0).alias("last")).unionByName(heads)
-    rows = add_signatures(rows, "text", "sigs").withColumn("tie", tie)
+    heads = (d.join(F.broadcast(tops), F.col("tie").eqNullSafe(F.col("top_tie")) & F.col("doc_id").eqNullSafe(F.col("top")))
+              .groupBy("goes_to").agg(F.first("text").alias("text"))
+              .select(F.lit(None).cast("long").alias("doc_id"), "text", tie.alias("tie"), F.col("goes_to").alias("range"),
+                      F.lit(1).alias("last")))
+    rows = d.withColumn("last", F.lit(0)).unionByName(heads)
+    rows = add_signatures(rows, "text", "sigs")
     w = W.partitionBy("range").orderBy("last", F.col("doc_id").desc_nulls_last(), "tie")
     return (rows.withColumn("next_text", F.lead("text").over(w)).withColumn("next_sigs", F.lead("sigs").over(w))
                 .filter("last = 0").select("doc_id", "text", "next_text", "sigs", "next_sigs"))

@@ -92,6 +92,29 @@ def test_fingerprint_edges(spark):
     assert len(got) == len(TEXTS) + 2 and len({r.fingerprint for r in got if r.doc_id == 4}) == 1
 
 
+HOT_IDS = {
+    "outlier": list(range(3000)) + [10**12],
+    "nulls": [None] * 3000 + list(range(1500)),
+    "hot id": [5] * 2000 + list(range(2000)),
+    "ends": [-2**63, 2**63 - 1] + list(range(-1000, 1000)),
+}
+
+
+@pytest.mark.parametrize("name", HOT_IDS)
+@pytest.mark.parametrize("n_ranges", [8, 300])
+def test_next_document_in_even_ranges(spark, name, n_ranges):
+    ids = HOT_IDS[name]
+    df = spark.createDataFrame([(i, f"the cat {k} sat on mat {k * 7}") for k, i in enumerate(ids)], "doc_id long, text string")
+    tied = df.withColumn("tie", F.xxhash64("text"))
+    if n_ranges == 8:
+        sizes = [r["count"] for r in tied.withColumn("r", spotsigs.id_ranges(df, n_ranges)).groupBy("r").count().collect()]
+        assert max(sizes) <= 1.5 * len(ids) / n_ranges
+    order = sorted(tied.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.tie))
+    want = Counter((r.doc_id, r.text, order[(k + 1) % len(order)].text) for k, r in enumerate(order))
+    got = Counter((r.doc_id, r.text, r.next_text) for r in spotsigs.with_next(df, n_ranges).collect())
+    assert got == want
+
+
 def test_near_pairs(spark):
     base = [f"w{i}" for i in range(60)]
     texts = {i: " ".join("the " + w for w in base[:60 - i]) for i in range(12)} | {50: "the other words of a kind"}
