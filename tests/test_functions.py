@@ -157,3 +157,30 @@ def test_wide_source_columns(spark):
     with pytest.raises(Exception, match="no room in"):
         one(spark, lambda c: N.norm_decimal(c, source="decimal(20,4)"), Decimal("1234567890123456.0000"), "v decimal(20,4)")
     assert one(spark, lambda c: N.norm_decimal(c, source="decimal(15,2)"), Decimal("9999999999999.99"), "v decimal(15,2)") == Decimal("9999999999999.99")
+
+
+@pytest.mark.parametrize("raw", ["9" * 29 + ".005", "1" * 36 + ".125", "1" * 36 + ".135", "-" + "2" * 33 + ".0150000000000000000000000001",
+                                 "0" * 9 + "7" * 30, "8" * 36 + ".", "+" + "3" * 31 + ".99499999999999999999999999999", "4" * 35 + ".9"])
+def test_numbers_of_up_to_36_integer_digits(spark, raw):
+    from decimal import Context
+
+    assert one(spark, N.norm_decimal_wide, raw) == Context(prec=80).quantize(Decimal(raw), Decimal("0.01"))
+
+
+def test_longer_numbers_are_errors(spark):
+    with pytest.raises(Exception, match="number too long"):
+        one(spark, N.norm_decimal_wide, "1" * 37)
+
+
+@pytest.mark.parametrize("raw", [chr(c) + "a" + chr(c) for c in (9, 0x1c, 0x20, 0x85, 0xa0, 0x1680, 0x2009, 0x3000)] + ["a\u2003", "\u2003a", " \u3000 ", "a b"])
+def test_strip_is_that_of_the_source(spark, raw):
+    assert one(spark, N.norm_string, raw) == (raw.strip() or None)
+
+
+def test_tokens_are_folded_per_distinct_description(spark):
+    """The fold stands above the distinct descriptions, not in the scan of the lines."""
+    import __spark_entry__ as ent
+
+    df = ent.queries()["norm_token"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" in plan.split("Aggregate")[0] and "translate" not in plan.split("Aggregate")[1]
