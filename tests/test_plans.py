@@ -64,3 +64,28 @@ def test_a_line_joins_its_payslip_once(spark, monkeypatch):
     lines = [p for df, p in zip(seen, ranked) if "item_hash" in df.columns]
     assert len(seen) == 3 and len(lines) == 1               # dimensions, payslips, lines
     assert sum("Join" in x and "numfunc" in x for x in lines[0].splitlines()) == 1          # the outcome map alone
+
+
+def test_lines_meet_their_orders_last(spark):
+    """No joined row of the source is dealt out again: the look-ups are done on either side of the last join."""
+    from paygrid.sources import tables as T
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins = [x for x in plan_text(T.payroll_checks(spark, SF)).splitlines() if "Join" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "l_orderkey" in joins[0] and len(joins) == 4
+
+
+def test_lines_are_ranked_without_order_and_hash(spark):
+    """The written lines hold neither the source order nor what follows from other columns, and are numbered without a join."""
+    from paygrid.plans.catalog import migration
+
+    m = migration(spark, SF)
+    text = m.item._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join" in x for x in text.splitlines()) == 1                                 # the offsets of the ranges
+    assert "src_order" not in text
+    written = [x for x in text.splitlines() if "Relation" in x]
+    assert written and not any("item_hash" in x or "valor_total_item" in x for x in written)
