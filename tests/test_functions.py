@@ -100,6 +100,21 @@ def test_stable_hash(spark):
     assert got == "aaebb415041fd9bf2f54316578943bf40aaaf491262dd66a1f3a98b7e154ab1b"
 
 
+def test_stable_hash_strips_the_named_texts_only(spark):
+    df = spark.createDataFrame([(1, dt.date(2026, 1, 1), "\u2003 x ", Decimal("10.00"))], "a bigint, b date, c string, d decimal(15,2)")
+    r = df.select(N.stable_hash("a", "b", "c", "d").alias("h"), N.stable_hash("a", "b", "c", F.col("d"), texts=("c",)).alias("g")).first()
+    assert r["h"] == r["g"] == hashlib.sha256(b"1||2026-01-01||x||10.00").hexdigest()
+    assert str(N.stable_hash("a", "b", "c", "d", texts=("c",))._jc).count("trim") == 1
+
+
+def test_strip_ws_of_every_edge(spark):
+    """Every whitespace at either end goes; whatever else begins or ends a text stays."""
+    edges = [*N.WHITESPACE, "\x00", "\x01", "!", "~", "\x7f", "\x80", "\u00e9", "\u200b", "\U0001f600", "a"]
+    raw = [e + "m x" for e in edges] + ["m x" + e for e in edges] + edges + ["", " \u3000 "]
+    got = spark.createDataFrame([(t,) for t in raw], "t string").select("t", N.strip_ws("t").alias("s")).collect()
+    assert {r["t"]: r["s"] for r in got} == {t: t.strip() for t in raw}
+
+
 def test_item_total_and_class(spark):
     df = spark.createDataFrame([(Decimal("100"), None, Decimal("30.5"))], "v decimal(15,2), a decimal(15,2), d decimal(15,2)")
     assert df.select(N.item_total("v", "a", "d")).first()[0] == Decimal("69.50")

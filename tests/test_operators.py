@@ -28,6 +28,57 @@ def test_surrogate_keys_equal_row_number(spark):
     assert tuple(got2) == (101, 5100)
 
 
+def test_surrogate_keys_of_dense_ranges(spark, monkeypatch):
+    """Ranges of a dense column are dealt out without sampling; rows without an id are ranked by themselves."""
+    monkeypatch.setattr(dedupe, "RANGE_IDS", 100)
+    df = spark.range(0, 3000).select((F.col("id") % 4 == 3).alias("bad"), F.col("id").alias("k"))
+    df = df.withColumn("p", F.when(~F.col("bad"), F.floor(F.col("k") / 8) + 1))      # 1..375, six good rows each
+    runs = []
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda *a, **k: runs.append(a))
+    got = dedupe.surrogate_keys(df, ["bad", "p", "k"], "sid", within=["bad"], dense=("p", 375)).collect()
+    assert not runs
+    good = sorted((r.p, r.k, r.sid) for r in got if not r.bad)
+    assert [g[2] for g in good] == list(range(1, 2251))
+    assert sorted(r.sid for r in got if r.bad) == list(range(1, 751))
+
+
+def test_written_plans_keep_the_limit_of_the_session(spark):
+    from paygrid.session import short_methods
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    with short_methods(spark):
+        assert spark.conf.get(key) == "8000"
+    assert spark.conf.get(key) == "65535"
+    spark.conf.set(key, "4000")
+    try:
+        with short_methods(spark):
+            assert spark.conf.get(key) == "4000"
+        assert spark.conf.get(key) == "4000"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_candidates_deal_payslips_out_twice(spark):
+    """Links meet their employees below the join with the payslips, which are not dealt out by employee."""
+    from paygrid.operators.documents import candidates
+
+    c = spark.range(4).select(F.col("id").alias("id_contracheque"), F.lit(1).cast("bigint").alias("id_vinculo"), *[
+        F.lit(None).cast("bigint").alias(n) for n in ("id_folha_referencia", "ano", "mes", "mes_ano", "competencia", "folha_descricao_origem",
+                                                     "dt_lib_c_cheque", "data_consolidacao", "numero")])
+    texts = lambda *names: [F.lit("x").alias(n) for n in names]
+    v = spark.range(1, 3).select(F.col("id").alias("id_vinculo"), F.col("id").alias("id_servidor"),
+                                 *texts("id_funcional", "regime_juridico", "tipo_vinculo"))
+    s = spark.range(1, 3).select(F.col("id").alias("id_servidor"), F.col("id").alias("numfunc"), *texts("nome", "cpf", "pis_pasep", "identidade"))
+    f = spark.range(1).select(F.col("id").alias("id_folha_referencia"), F.col("id").alias("num_folha"), *texts("descricao_folha"))
+    snap = c.select("id_contracheque", *texts("orgao", "cargo", "ref_cargo", "funcao", "ref_funcao", "municipio", "setor", "regime_juridico",
+                                              "tipo_vinculo", "banco", "agencia", "conta", "carga_horaria"))
+    x = candidates(c, v, s, f, snap)
+    assert sorted((r.id_contracheque, r.numfunc) for r in x.collect()) == [(i, 1) for i in range(4)]
+    joins = [line for line in x._jdf.queryExecution().analyzed().toString().splitlines() if "Join Inner" in line]
+    depth = {key: line.index("Join") for line in joins for key in ("id_vinculo", "id_servidor") if f"({key}#" in line}
+    assert depth["id_servidor"] > depth["id_vinculo"]
+
+
 def test_sequence_in_group(spark):
     df = spark.createDataFrame([(1, 3), (1, 1), (2, 5), (1, 2)], "g int, o int")
     got = sorted(tuple(r) for r in dedupe.sequence_in_group(df, ["g"], "o", "s").collect())
