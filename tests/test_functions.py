@@ -199,3 +199,38 @@ def test_tokens_are_folded_per_distinct_description(spark):
     df = ent.queries()["norm_token"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "translate" in plan.split("Aggregate")[0] and "translate" not in plan.split("Aggregate")[1]
+
+
+def _folha_desc(raw):
+    """The rule of I9, month by month."""
+    import re
+
+    text = re.sub(r"\s+", " ", raw.strip()).upper()
+    if not text:
+        return None
+    for alias, number in N.MONTH_ALIASES.items():
+        text = re.sub(rf"(?<![A-ZÇ]){alias}/([0-9]{{4}})", rf"{number}/\1", text)
+    return re.sub(r"(?<![0-9])([0-9])/([0-9]{4})", r"0\1/\2", text)
+
+
+def test_norm_folha_desc_of_odd_texts(spark):
+    """Every alias alone, inside a longer letter run, repeated, before too few digits and beside marks."""
+    forms = ["folha {}/2020", "{}/2020 {}/1999", "x{}/2020", "Ç{}/2020", "{}x/2020", "{}/202", "{}/20201", "1{}/2020", "ã{}/2020", "a {}/2020a",
+             "{}/2020{}/2021", "a{}/2020", "{}//2020", "{} /2020", " {} /2020", "-{}/2020 3/2020 13/2020 a3/2020", "{}/{}/2020"]
+    raw = [f.replace("{}", a) for f in forms for a in [*N.MONTH_ALIASES, *map(str.lower, N.MONTH_ALIASES), "ABC", "JANFEV"]] + ["", " ", "a", "aJAN/2020", "ᵃjan/2020"]
+    got = spark.createDataFrame([(t,) for t in raw], "t string").select("t", N.norm_folha_desc("t").alias("d")).collect()
+    assert {r["t"]: r["d"] for r in got} == {t: _folha_desc(t) for t in raw}
+    # Three patterns a text, where a pattern per month searched it twelve times more.
+    assert str(N.norm_folha_desc("t")._jc).count("regexp_replace") == 3
+
+
+def test_norm_token_of_every_whitespace(spark):
+    """Whitespace at an edge, inside and alone; the text is folded a few times in the expression, not once per rule and edge."""
+    import re
+    import unicodedata
+
+    raw = [x for ws in N.WHITESPACE for x in (ws + "a b", "a b" + ws, "a" + ws + "b", ws, ws + "ﬁ" + ws, ws + "́" + ws + "z")]
+    want = {t: re.sub(r"\s+", " ", unicodedata.normalize("NFKD", t.strip()).encode("ascii", "ignore").decode()).strip().upper() for t in raw}
+    got = spark.createDataFrame([(t,) for t in raw], "t string").select("t", N.norm_token("t").alias("d")).collect()
+    assert {r["t"]: r["d"] for r in got} == want
+    assert str(N.norm_token("t")._jc).count("translate(") <= 6

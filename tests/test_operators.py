@@ -215,3 +215,13 @@ def test_pages_are_read_by_their_bounds(spark):
     assert [(r.pagina, r.linhas) for r in p] == [(0, 500), (1, 500), (2, 299)]
     got = [x.id_contracheque for r in p for x in D.page(c, r.primeiro_id, r.ultimo_id).orderBy("id_contracheque").collect()]
     assert got == list(range(3, 2600, 2))
+
+
+def test_document_token_is_made_once(spark):
+    """The folded description of a document is a column, not an expression inside every rule and field that reads it."""
+    from paygrid.operators import documents as D
+    from paygrid.plans.catalog import doc_inputs
+
+    m, c = doc_inputs(spark, "/root/testdata/sf0.001")
+    plan = D.payloads(c, m.item).select("folha_tipo", "folha_descricao", "contracheque.competencia")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("translate(") <= 6
