@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,8 +15,21 @@ from pyspark.sql import DataFrame
 SLICE_BYTES = 4 << 20
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)         # glibc only
+
+
+def release_memory() -> None:
+    """Return freed memory to the system: Spark keeps a worker process, with all its allocator holds, for later stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of a batch with at most ``limit`` bytes of text (one row at least)."""
+    """Consecutive slices of a batch with at most ``limit`` bytes of text (one row at least).
+
+    What the slices took is given back at the end of the batch.
+    """
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start, total = 0, 0
     for i, n in enumerate(sizes):
@@ -25,6 +39,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
         total += int(n)
     if len(sizes) > start:
         yield batch.slice(start)
+    release_memory()
 
 
 def map_slices(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,

@@ -54,6 +54,11 @@ class PairTable:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def as_dict(self) -> dict[int, int]:
+        """All pairs, by ``a << 32 | b``."""
+        used = self.keys != -1
+        return dict(zip(self.keys[used].tolist(), self.values[used].tolist()))
+
     def get(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Merged id of each pair (its rank), NONE where the pair does not merge or is padding."""
         keys = a.astype(np.int64) << 32 | (b.astype(np.int64) & 0xFFFFFFFF)
@@ -100,7 +105,6 @@ class Codec:
                     values.append(rank)
         self.pairs = PairTable(np.array(keys, dtype=np.int64), np.array(values, dtype=np.int64))
         self.pair_dict = None
-        self._keys, self._values = keys, values
         size = max(ranks.values()) + 1
         self.token_len = np.zeros(size, dtype=np.int64)
         for token, rank in ranks.items():
@@ -146,7 +150,7 @@ class Codec:
     def merge_long(self, piece: bytes) -> np.ndarray:
         """The same merges for one long piece: a heap of pairs over a linked list of tokens."""
         if self.pair_dict is None:
-            self.pair_dict = dict(zip(self._keys, self._values))
+            self.pair_dict = self.pairs.as_dict()
         tok = self.byte_id[np.frombuffer(piece, dtype=np.uint8)].tolist()
         n = len(tok)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
