@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 # Bytes of text that one numpy step works on; a longer text is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)         # glibc only

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from .arrow import map_slices, ranges
 
 LONG_PIECE = 1024
+CELLS = 1 << 17                 # cells of a matrix of token ids; a merge round holds about ten arrays of its size
 NONE = np.int64(1 << 40)        # rank of a pair that does not merge
 PAD = -1
 
@@ -185,7 +186,7 @@ class Codec:
             else:
                 buckets.setdefault((len(p) - 1).bit_length(), []).append(i)
         for bits, members in buckets.items():
-            step = max(1, (1 << 20) >> bits)    # a million cells a matrix
+            step = max(1, CELLS >> bits)
             for k in range(0, len(members), step):
                 part = members[k:k + step]
                 n = np.array([len(pieces[i]) for i in part])

@@ -284,3 +284,21 @@ def test_pair_table_lists_its_pairs():
 
     pairs = {(a << 32 | b): a + b + 300 for a in range(40) for b in range(0, 40, 3)}
     assert PairTable(np.array(list(pairs)), np.array(list(pairs.values()))).as_dict() == pairs
+
+
+def test_codec_matrices_stay_small(monkeypatch):
+    """Many distinct pieces are merged in matrices of bounded size, whatever the slice; the ids are those of one piece at a time."""
+    import public_tokenizers
+
+    from paygrid.llm import byte_bpe
+    from paygrid.llm.byte_bpe import Codec
+
+    codec = Codec.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    sizes, merge = [], Codec.merge_matrix
+    monkeypatch.setattr(Codec, "merge_matrix", lambda self, ids: (sizes.append(ids.size), merge(self, ids))[1])
+    pieces = [f"q{i * 7919:x}zx{i:b}".encode() for i in range(20_000)]
+    ids, n = codec.encode_pieces(pieces)
+    assert max(sizes) <= 1 << 18 and len(n) == len(pieces)
+    ends = n.cumsum()
+    for i in (0, 77, 19_999):
+        assert list(ids[ends[i] - n[i]:ends[i]]) == list(codec.encode_pieces([pieces[i]])[0])
