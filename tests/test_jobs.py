@@ -90,3 +90,43 @@ def test_failed_load_is_audited(spark):
         jobs.load_tables(spark, checks, checks, store, TS)     # runs source with the wrong shape
     rows = store.read("carga_importacao").collect()
     assert [r.status for r in rows] == ["ERRO"] and rows[0].observacao
+
+
+def test_steps_side_by_side(spark):
+    """The steps of a group run at the same time, and the first error is raised once all of them have ended."""
+    import threading
+
+    import pytest
+
+    meet, ended = threading.Barrier(3, timeout=30), []
+
+    def step(name, bad=False):
+        def run():
+            meet.wait()
+            ended.append((name, spark.range(5).count()))
+            if bad:
+                raise ValueError(name)
+        return run
+
+    with pytest.raises(ValueError, match="a"):
+        jobs._side_by_side([step("a", True), step("b"), step("c")])
+    assert sorted(ended) == [("a", 5), ("b", 5), ("c", 5)]
+
+
+def test_later_load_stages_only_appended_lines(spark, monkeypatch):
+    """What an upsert returns is scratch data: it is not written a second time before its periods are replaced."""
+    from paygrid import session
+    from paygrid.operators.resolve import Migration
+
+    store = Store(spark, tempfile.mkdtemp(prefix="paygrid-store-", dir="/tmp"))
+    checks, folhas = T.payroll_checks(spark, SF), T.payroll_folhas(spark, SF)
+    jobs.migrate(spark, checks, folhas, RunOptions(1997, 3), store, TS)
+    names, write = [], session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, name="tmp": (names.append(name), write(df, name))[1])
+    jobs.migrate(spark, checks, folhas, RunOptions(1997, 3), store, TS)
+    assert [n for n in names if n.startswith("stage-")] == ["stage-contracheque_item"]
+    m = Migration(checks, folhas)
+    m.__dict__["periods"] = [(1996, 12), (1997, 3)]
+    rows = spark.createDataFrame([(1996, 12), (1997, 3), (1997, 12), (1996, 3), (None, 3), (1997, None)], "ano int, mes int")
+    assert sorted(map(tuple, m.touched(rows).collect())) == [(1996, 12), (1997, 3)]
+    assert " OR " not in m.touched(rows)._jdf.queryExecution().optimizedPlan().toString()
