@@ -130,3 +130,61 @@ def test_later_load_stages_only_appended_lines(spark, monkeypatch):
     rows = spark.createDataFrame([(1996, 12), (1997, 3), (1997, 12), (1996, 3), (None, 3), (1997, None)], "ano int, mes int")
     assert sorted(map(tuple, m.touched(rows).collect())) == [(1996, 12), (1997, 3)]
     assert " OR " not in m.touched(rows)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_later_load_takes_few_jobs(spark):
+    """An upsert is one written join: repeated keys, new rows and the stored maximum are counted by that write."""
+    store = Store(spark, tempfile.mkdtemp(prefix="paygrid-store-", dir="/tmp"))
+    checks, folhas = T.payroll_checks(spark, SF), T.payroll_folhas(spark, SF)
+    jobs.migrate(spark, checks, folhas, RunOptions(1997, 3), store, TS)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    jobs.migrate(spark, checks, folhas, RunOptions(1997, 3), store, TS)
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) < 125
+
+
+def test_children_are_written_after_their_parents(spark, monkeypatch):
+    """A parent whose write fails leaves none of its children in the store, and the load ends as ERRO."""
+    import pytest
+
+    store = Store(spark, tempfile.mkdtemp(prefix="paygrid-store-", dir="/tmp"))
+    checks, folhas = T.payroll_checks(spark, SF), T.payroll_folhas(spark, SF)
+    write = Store.write_periods
+
+    def broken(self, table, *args, **kw):
+        if table == "contracheque":
+            raise OSError("disk")
+        return write(self, table, *args, **kw)
+
+    monkeypatch.setattr(Store, "write_periods", broken)
+    with pytest.raises(OSError, match="disk"):
+        jobs.migrate(spark, checks, folhas, RunOptions(1997, 3), store, TS)
+    assert store.read("servidor_vinculo") is not None and store.read("carga_importacao").first().status == "ERRO"
+    for t in ("contracheque", "contracheque_item", "contracheque_snapshot_funcional", "contracheque_consolidado"):
+        assert store.read(t) is None, t
+    monkeypatch.setattr(Store, "write_periods", write)
+    jobs.migrate(spark, checks, folhas, RunOptions(1997, 3), store, TS)
+    ids = {r[0] for r in store.read("contracheque").select("id_contracheque").collect()}
+    assert ids and {r[0] for r in store.read("contracheque_item").select("id_contracheque").collect()} <= ids
+
+
+def test_few_new_rows_are_numbered_without_ranges(spark, monkeypatch):
+    """An upsert's new rows get the same ids from one task as from ranges, after the stored maximum; repeats are refused."""
+    import pytest
+
+    from paygrid import session
+    from paygrid.operators import dedupe, sinks
+
+    target = spark.createDataFrame([(7, 1, "a"), (9, None, "b")], "id bigint, k bigint, v string")
+    source = spark.createDataFrame([(5, "x"), (1, "y"), (None, "n"), (None, "n"), (3, "z")], "k bigint, v string")
+    names, write = [], session.materialize
+    monkeypatch.setattr(dedupe, "materialize", lambda df, name="tmp": (names.append(name), write(df, name))[1])
+    few = sorted(map(str, sinks.upsert(target, source, ["k"], ["v"], id_col="id").collect()))
+    assert names == []
+    monkeypatch.setattr(dedupe, "FEW_ROWS", 0)
+    assert sorted(map(str, sinks.upsert(target, source, ["k"], ["v"], id_col="id").collect())) == few and names == ["ids"]
+    assert "Row(id=12, k=3, v='z')" in few and "Row(id=13, k=5, v='x')" in few and "Row(id=7, k=1, v='y')" in few
+    with pytest.raises(sinks.DuplicateKeyError):
+        sinks.upsert(target, source.unionByName(source), ["k"], ["v"], id_col="id")
+    with pytest.raises(sinks.DuplicateKeyError):
+        sinks.upsert(target.limit(0), source.filter("k = 1").unionByName(source), ["k"], ["v"], id_col="id")
